@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +26,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.embedding_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.quotations import link_quotations
+
+    return link_quotations(table(spark, sf_dir, "conversations"))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.jaccard_join import jaccard_components
+
+    found = jaccard_components(table(spark, sf_dir, "documents"), width=3, similarity=Fraction(9, 10))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.token_counts import count_tokens
 
@@ -34,10 +64,48 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048, end_id=2)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.quality import score_quality, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs.select("doc_id", "text", "source", "lang"), model)
+    return scored.select("doc_id", "p_text", "host_mean", "path_mean", "p_quality", "accepted")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.decontaminate import benchmark_hits
+
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.langid import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    prototypes = train(docs.where(fold != 0))
+    held_out = F.coalesce(fold == 0, F.lit(False)).alias("held_out")
+    return identify(docs.select("doc_id", held_out, "text"), prototypes).drop("text")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.url_filter import filter_urls, labelled_urls, train
+
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train(labelled_urls(spark)))
+
+
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_quotation_links": op2_quotation_links,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
+    "op9_language_id": op9_language_id,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {}

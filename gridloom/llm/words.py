@@ -10,6 +10,7 @@ import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -27,10 +28,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One 64-bit hash per word of the whole text, in order."""
+def word_hashes(text: str | None, plain: bool = False) -> np.ndarray:
+    """One 64-bit hash per word of the whole text, in order.
+
+    ``plain``: all letters are lower-cased first and ASCII punctuation parts words.
+    """
+    if plain:
+        text = (text or "").lower()
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    inside = np.concatenate(([False], ~_SPACE[raw], [False]))
+    inside = np.concatenate(([False], ~(_MARKS if plain else _SPACE)[raw], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     if not edges.size:
         return np.empty(0, dtype=np.uint64)

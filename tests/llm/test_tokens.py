@@ -101,7 +101,7 @@ def test_packing_leaves_little_padding():
     assert sorted(i for w in windows for i in w) == list(range(20_000))
     # no two lengths above half a window fit together
     least = max(lengths.sum() / 2048, (lengths > 1024).sum())
-    assert len(windows) <= least * 1.001 + 2
+    assert len(windows) <= least * 1.01
 
 
 def test_token_files_round_trip(docs, library):
