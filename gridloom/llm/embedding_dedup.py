@@ -235,15 +235,19 @@ def link_vectors(
     index_parts = _blocks(balls.groupBy(*cell).agg(F.count("*").alias("n")), "iparts").drop("n")
     query_parts = _blocks(queries.groupBy(*cell).agg(F.count("*").alias("n")), "qparts").drop("n")
     tiles = materialize(index_parts.join(query_parts, cell), "tiles")
+    both = [F.col(c).alias(c) for c in tiles.columns]
+    columns = ["ball", *cell, "unit", "radius", "i", "q"]
     left = (
-        index_rows.join(tiles, cell)
+        index_rows.join(tiles.select(*both), cell)
         .withColumn("i", F.pmod(F.xxhash64("ball"), F.col("iparts")).cast("int"))
         .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1)))
+        .select(*columns)
     )
     right = (
-        queries.join(tiles, cell)
+        queries.join(tiles.select(*both), cell)
         .withColumn("q", F.pmod(F.xxhash64("ball"), F.col("qparts")).cast("int"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("iparts") - 1)))
+        .select(*columns)
     )
 
     def near_balls(a: pa.Table, b: pa.Table) -> pa.Table:
