@@ -93,7 +93,7 @@ def e10_detect_group_in_row(spark, sf):
 
 def sectioned(spark, sf):
     """The grids with a section line in place of every 50th row."""
-    line = F.array(F.lit(""), F.when(F.col("row_no") % 100 == 0, "Low Recovery").otherwise("Medium"), *[F.lit("")] * 6)
+    line = F.array(F.lit(""), F.when(F.col("row_no") % 100 == 0, "Low Recovery").otherwise("Medium"), *[F.lit("")] * 4)
     rows = clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 50 == 0, line).otherwise(F.col("cells")))
     return nm.detect_section_header(rows)
 
@@ -110,8 +110,8 @@ def blocks(spark, sf):
 def marked(spark, sf):
     """The grids with a marker line in place of every 30th row."""
     year = F.get("cells", F.lit(2))
-    line = F.array(F.concat(F.lit("हिन्दी / "), "report_id", F.lit(" Part "), (F.col("row_no") / 30).cast("int").cast("string"), F.lit(" "), year), *[F.lit("")] * 6)
-    return clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 30 == 0, line).otherwise(F.slice("cells", 1, 7)))
+    line = F.array(F.concat(F.lit("हिन्दी / "), "report_id", F.lit(" Part "), (F.col("row_no") / 30).cast("int").cast("string"), F.lit(" "), year), *[F.lit("")] * 4)
+    return clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 30 == 0, line).otherwise(F.slice("cells", 1, 5)))
 
 
 def e17_describe_blocks(spark, sf):
