@@ -20,7 +20,7 @@ _CHUNK = re.compile(r"\s?\S+|\s+(?!\S)")
 _DENSE = re.compile(r"[ \n](?=\s)|\s(?=[ \n])| \Z")
 #: Characters that Python counts as white space and the tokenizer does not.
 _UNSAFE = re.compile("[\x1c-\x1f]")
-_CACHE_LIMIT = 1_000_000
+_CACHE_LIMIT = 800_000
 
 
 def chunks_of(text: str) -> list[str]:
@@ -67,59 +67,105 @@ class ChunkEncoder:
         self.width = np.zeros(1 + max(vocab.values(), default=0), dtype=np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token) if all(c in letters for c in token) else 0
+        #: ids of chunks, of a space and a word, and of a line end and a word
         self.cache: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
+        self.after_line: dict[str, bytes] = {}
+        self.line_ids = len(self._whole(["\n"])[0])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Put the ids of chunks into the cache.
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks.
 
         Chunks of one white-space character and a word keep their borders when they
         are joined, so they go to the library as one text and are told apart by
         their lengths in bytes; others go one by one.
         """
-        tied = [c for c in chunks if len(c) > 1 and c[0].isspace() and not c[1].isspace()]
-        alone = list(set(chunks).difference(tied))
-        self.cache.update(zip(alone, self._whole(alone)))
+        found: list[bytes] = [b""] * len(chunks)
+        tied = [i for i, c in enumerate(chunks) if len(c) > 1 and c[0].isspace() and not c[1].isspace() and not c[-1].isspace()]
+        alone = sorted(set(range(len(chunks))).difference(tied))
+        for i, ids in zip(alone, self._whole([chunks[i] for i in alone])):
+            found[i] = ids
         for k in range(0, len(tied), 20_000):
             some = tied[k : k + 20_000]
-            raw = self._whole(["".join(some)])[0]
+            raw = self._whole(["".join(chunks[i] for i in some)])[0]
             ends = np.cumsum(self.width[np.frombuffer(raw, dtype="<u4")])
-            want = np.cumsum([len(c.encode("utf-8")) for c in some])
+            want = np.cumsum([len(chunks[i].encode("utf-8")) for i in some])
             cuts = np.searchsorted(ends, want)
             if not np.array_equal(ends[cuts], want):
                 raise ValueError("a chunk border is no token border")
             cuts = [0, *(4 * (cuts + 1)).tolist()]
-            self.cache.update((c, raw[x:y]) for c, x, y in zip(some, cuts, cuts[1:]))
+            for i, x, y in zip(some, cuts, cuts[1:]):
+                found[i] = raw[x:y]
+        return found
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes; null is empty."""
         texts = [t or "" for t in texts]
         out: list[bytes] = [b""] * len(texts)
-        if len(self.cache) > _CACHE_LIMIT:
-            self.cache.clear()
-        whole, late, new, get = [], [], set(), self.cache.get
+        if len(self.cache) + len(self.after_space) + len(self.after_line) > _CACHE_LIMIT:
+            for known in (self.cache, self.after_space, self.after_line):
+                known.clear()
+        late, rest = [], []
+        new_space: set[str] = set()
+        new_line: set[str] = set()
         for i, t in enumerate(texts):
-            if not self.chunked or _UNSAFE.search(t) or self.special and self.special.search(t):
-                whole.append(i)
+            if not self.chunked:
+                rest.append(i)
                 continue
-            chunks = chunks_of(t)
-            ids = list(map(get, chunks))
+            # the quick way: words that one space or one line end sets apart
+            lines = [line.split(" ") for line in ("\n" + t).split("\n")[1:]]
+            ids = self._lookup(lines)
             if None in ids:
-                late.append((i, chunks))
-                new.update(c for c, x in zip(chunks, ids) if x is None)
+                late.append((i, lines))
+                new_line.update(w[0] for w in lines if w[0] not in self.after_line)
+                new_space.update(w for ws in lines for w in ws[1:] if w not in self.after_space)
             else:
-                out[i] = b"".join(ids)
+                out[i] = b"".join(ids)[self.line_ids :]
+        for known, sign, words in ((self.after_line, "\n", new_line), (self.after_space, " ", new_space)):
+            plain = [w for w in words if self._plain(w)]
+            known.update(zip(plain, self._learn([sign + w for w in plain])))
+        for i, lines in late:
+            ids = self._lookup(lines)
+            if None in ids:
+                rest.append(i)
+            else:
+                out[i] = b"".join(ids)[self.line_ids :]
+        self._encode_rest(texts, rest, out)
+        return out
+
+    def _plain(self, word: str) -> bool:
+        """Whether a word may be cached: not empty, no white space at its ends, no special string."""
+        return bool(word) and not word[0].isspace() and not word[-1].isspace() and not _UNSAFE.search(word) and not (self.special and self.special.search(word))
+
+    def _lookup(self, lines: list[list[str]]) -> list[bytes | None]:
+        ids: list[bytes | None] = []
+        for words in lines:
+            ids.append(self.after_line.get(words[0]))
+            if len(words) > 1:
+                ids += map(self.after_space.get, words[1:])
+        return ids
+
+    def _encode_rest(self, texts: list[str], rest: list[int], out: list[bytes]) -> None:
+        """Texts with other white space by chunks, and what no chunk rule covers whole."""
+        whole, split, new = [], [], set()
+        for i in rest:
+            t = texts[i]
+            if not self.chunked or _UNSAFE.search(t) or self.special and self.special.search(t):
+                whole.append(i)
+            else:
+                split.append((i, _CHUNK.findall(t)))
+                new.update(c for c in split[-1][1] if c not in self.cache)
         if whole:
             for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
                 out[i] = ids
-        if new:
-            self._learn(list(new))
-        for i, chunks in late:
+        fresh = list(new)
+        self.cache.update(zip(fresh, self._learn(fresh)))
+        for i, chunks in split:
             out[i] = b"".join(map(self.cache.__getitem__, chunks))
-        return out
 
 
 class ArrayMerger:
