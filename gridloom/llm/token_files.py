@@ -27,7 +27,7 @@ from gridloom.llm.packing import encoder
 from gridloom.llm.storage import materialize, new_folder
 
 MANIFEST = "path string, first_id long, first_row long, docs long, tokens long"
-READ = "path string, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+READ = "path string, doc_id long, start long, n_tokens long, ids_crc32 long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -144,33 +144,28 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
-    """Every document of the files of a manifest: path, doc_id, local_start, n_tokens, ids_crc32."""
+    """Every document of the files of a manifest: path, doc_id, start, n_tokens, ids_crc32.
+
+    ``start`` counts the ids of all documents before it: the ids of earlier shards,
+    summed over the manifest (one row per shard), and those before it in its shard.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist()):
                 for names, starts, sizes, ids in shard_documents(path):
                     crc = [zlib.crc32(x.tobytes()) for x in ids]
+                    starts = [before + x for x in starts]
                     columns = [pa.array([path] * len(names)), *(pa.array(c, pa.int64()) for c in (names, starts, sizes, crc))]
-                    yield pa.RecordBatch.from_arrays(columns, ["path", "doc_id", "local_start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(manifest.sparkSession.sparkContext.defaultParallelism, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select("path").repartition(n).mapInArrow(read, READ)
+    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = manifest.select("path", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("before"))
+    return placed.repartition(n).mapInArrow(read, READ)
 
 
 def token_file_digest(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 2) -> DataFrame:
-    """Write the files, read them back, and describe every document by what was read.
-
-    ``start`` counts the ids of all documents before it: the ids of earlier shards,
-    summed over the manifest, and those before it in its shard.
-    """
-    spark = docs.sparkSession
-    manifest = write_token_files(docs, tokenizer, new_folder(spark, "tokens"), length, end_id)
-    # one row per shard: few rows, whose number does not grow with the documents of a shard
-    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_row").rowsBetween(Window.unboundedPreceding, -1)
-    before = manifest.select("path", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("before"))
-    return (
-        read_token_files(manifest)
-        .join(before, "path")
-        .select("doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
-    )
+    """Write the files, read them back, and describe every document by what was read."""
+    manifest = write_token_files(docs, tokenizer, new_folder(docs.sparkSession, "tokens"), length, end_id)
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
