@@ -148,7 +148,7 @@ def toc_ranges(toc: DataFrame) -> DataFrame:
 
 def select_parameters(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """C14: the requested parameters of a report; all of them for ``all``, blank, or no match."""
-    wanted = F.transform(F.split(F.lower(F.coalesce("request", F.lit(""))), ","), F.trim)
+    wanted = F.transform(F.split(F.lower(F.coalesce("request", F.lit(""))), ","), lambda w: F.trim(w))
     joined = catalog.join(requests, "report_id", "left").withColumn("wanted", wanted)
     named = F.array_contains("wanted", F.lower("parameter_id"))
     some = F.max(named).over(Window.partitionBy("report_id"))

@@ -82,7 +82,7 @@ def c11_route_query(spark, sf):
 
 
 def c14_select_parameters(spark, sf):
-    n = F.length("report_id") % 3
+    n = F.length("report_id") % 2
     asked = page_counts(spark, sf).select("report_id", F.when(n == 0, "asia, Europe").when(F.col("report_id").endswith("1"), "all").when(F.col("report_id").endswith("2"), "nothing").otherwise("africa").alias("request"))
     return dc.select_parameters(catalog(spark, sf), asked)
 
@@ -130,6 +130,6 @@ ORACLE_SQL = {
     "c12_apply_range_overrides": f"""{BASE} SELECT report_id, table_number, CASE table_number WHEN '1' THEN 12 WHEN '2' THEN 7 ELSE start_page END AS start_page,
       CASE table_number WHEN '1' THEN 14 WHEN '2' THEN 7 ELSE end_page END AS end_page, CASE WHEN table_number IN ('1', '2') THEN 'user' ELSE 'suggested' END AS source FROM chain""",
     "c13_toc_ranges": f"{BASE} SELECT report_id, table_number, printed_page AS start_page, lead(printed_page) OVER (PARTITION BY report_id ORDER BY printed_page, line_no) - 1 AS end_page FROM toc",
-    "c14_select_parameters": f"""{BASE}, a AS (SELECT report_id, CASE WHEN length(report_id) % 3 = 0 THEN ['asia', 'europe'] WHEN report_id LIKE '%1' OR report_id LIKE '%2' THEN [] ELSE ['africa'] END AS w FROM counts)
+    "c14_select_parameters": f"""{BASE}, a AS (SELECT report_id, CASE WHEN length(report_id) % 2 = 0 THEN ['asia', 'europe'] WHEN report_id LIKE '%1' OR report_id LIKE '%2' THEN [] ELSE ['africa'] END AS w FROM counts)
       SELECT report_id, parameter_id FROM (SELECT c.report_id, parameter_id, list_contains(w, parameter_id) AS named, bool_or(list_contains(w, parameter_id)) OVER (PARTITION BY c.report_id) AS anyone FROM cat c JOIN a USING (report_id)) WHERE named OR NOT anyone""",
 }
