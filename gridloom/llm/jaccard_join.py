@@ -12,7 +12,10 @@ both sides of a pair use the same number of blocks, and an equi-join on
 Groups of documents that agree in a block may be large, so their pairs are never
 written out.  Equal sets are one class from the start; every class is checked
 against the smallest class it meets; after components are known, only classes of a
-group that are still apart from its main component are checked against the rest.
+group that are still apart from its main component are checked against the rest.  Where
+that would still be many pairs, as with a passage that fills a block of many documents,
+the group's sketches are compared in blocks of bounded size, and only close pairs leave
+the task.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.graph import components
@@ -32,6 +35,12 @@ from gridloom.llm.words import mix, shingle_hashes
 #: Ratio of the bounds of neighbouring size bands.
 _BAND = 1.4
 _BITMAP_SLOTS = 1 << 27
+#: When more pairs than this would come of a key, its sketches are compared in blocks.
+_MANY_PAIRS = 2048
+#: Words of the short sketch that is compared before the long one.
+_FOLD = 4
+#: Most rows of one side of such a block.
+_BLOCK = 2048
 
 
 def size_bands(similarity: Fraction, most: int = 1 << 32) -> tuple[np.ndarray, np.ndarray]:
@@ -54,28 +63,36 @@ def size_bands(similarity: Fraction, most: int = 1 << 32) -> tuple[np.ndarray, n
     return np.array(lows, dtype=np.int64), np.array(blocks, dtype=np.int64)
 
 
-def sketch_keys(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> np.ndarray:
-    """Join keys of a set: its sketch blocks in its own band, and in the next if a partner may lie there."""
+def sketch(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
+    """The parity bits of a set in the blocks of a band."""
+    block = (shingles >> np.uint64(32)) % np.uint64(blocks)
+    bit = np.uint64(1) << (shingles & np.uint64(63))
+    order = np.argsort(block, kind="stable")
+    block, bit = block[order], bit[order]
+    first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    bits = np.zeros(blocks, dtype=np.uint64)
+    bits[block[first].astype(np.int64)] = np.bitwise_xor.reduceat(bit, first)
+    return bits
+
+
+def fold(shingles: np.ndarray) -> np.ndarray:
+    """A parity sketch of four words that is the same for all bands."""
+    bits = np.zeros(_FOLD, dtype=np.uint64)
+    np.bitwise_xor.at(bits, (shingles >> np.uint64(24)) % np.uint64(_FOLD), np.uint64(1) << (shingles >> np.uint64(8) & np.uint64(63)))
+    return bits
+
+
+def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, np.ndarray, np.ndarray]:
+    """Own band, sketch there, and sketch in the next band if a partner may lie there."""
     lows, blocks = bands
     own = int(np.searchsorted(lows, shingles.size, side="right")) - 1
-    used = [own] if own >= 0 else []
-    if own + 1 < len(lows) and shingles.size >= similarity * int(lows[own + 1]):
-        used.append(own + 1)
-    keys = []
-    for band in used:
-        n = int(blocks[band])
-        if n < 2:
-            continue
-        block = (shingles >> np.uint64(32)) % np.uint64(n)
-        bit = np.uint64(1) << (shingles & np.uint64(63))
-        order = np.argsort(block, kind="stable")
-        block, bit = block[order], bit[order]
-        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        bits = np.zeros(n, dtype=np.uint64)
-        bits[block[first].astype(np.int64)] = np.bitwise_xor.reduceat(bit, first)
-        place = np.arange(n, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
-        keys.append(mix(mix(place) ^ bits * np.uint64(0x9E3779B97F4A7C15)))
-    return np.concatenate(keys) if keys else np.empty(0, dtype=np.uint64)
+    parts = [np.empty(0, dtype=np.uint64)] * 2
+    for k in range(2):
+        band = own + k
+        near = k == 0 or band < len(lows) and shingles.size >= similarity * int(lows[band])
+        if shingles.size and band >= 0 and near and blocks[band] > 1:
+            parts[k] = sketch(shingles, band, int(blocks[band]))
+    return own, parts[0], parts[1]
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -94,69 +111,135 @@ def _set_id(shingles: np.ndarray) -> int:
 
 
 def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """doc_id, n_shingles, set_id and sketch keys of every document."""
+    """doc_id, n_shingles, set_id, band, and the sketches in that band and the next."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = size_bands(similarity)
         for batch in batches:
             sets = [shingle_hashes(t.as_py(), width) for t in batch.column("text")]
+            made = [sketches_of(s, bands, similarity) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([s.size for s in sets], pa.int64()),
                     pa.array([_set_id(s) for s in sets], pa.int64()),
-                    _lists([sketch_keys(s, bands, similarity) for s in sets]),
+                    pa.array([m[0] for m in made], pa.int32()),
+                    _lists([m[1] for m in made]),
+                    _lists([m[2] for m in made]),
+                    _lists([fold(s) for s in sets]),
                 ],
-                ["doc_id", "n_shingles", "set_id", "keys"],
+                ["doc_id", "n_shingles", "set_id", "band", "bits", "next_bits", "fold"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_shingles long, set_id long, keys array<long>")
+    made = "doc_id long, n_shingles long, set_id long, band int, bits array<long>, next_bits array<long>, fold array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, made)
 
 
-def _shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class IdFilter:
+    """A bitmap of fixed size (16 MB) over hashed ids; it lets some other ids through, but never drops one of its own.
+
+    Spark builds it, so what reaches the driver is bounded whatever the input.
+    """
+
+    size = 4096
+
+    def __init__(self, ids: DataFrame, column: str):
+        slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP_SLOTS))
+        parts = (
+            ids.groupBy(F.bitmap_bucket_number(slot).alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+            .collect()
+        )
+        filled = np.zeros(_BITMAP_SLOTS // 8 + 2 * self.size, dtype=np.uint8)
+        for row in parts:
+            filled[row.part * self.size : (row.part + 1) * self.size] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+        self.held = ids.sparkSession.sparkContext.broadcast(filled)
+
+    @staticmethod
+    def columns(column: str) -> list[Column]:
+        slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP_SLOTS))
+        return [F.bitmap_bucket_number(slot).alias("_part"), F.bitmap_bit_position(slot).alias("_bit")]
+
+    def hits(self, batch: pa.RecordBatch) -> np.ndarray:
+        part, bit = batch.column("_part").to_numpy(), batch.column("_bit").to_numpy()
+        return (self.held.value[part * self.size + (bit >> 3)] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+    def __reduce__(self):
+        return _restored, (self.held,)
+
+
+def _restored(held) -> IdFilter:
+    made = IdFilter.__new__(IdFilter)
+    made.held = held
+    return made
+
+
+def _thinned(rows: DataFrame, column: str, wanted: IdFilter) -> DataFrame:
+    """The rows whose id the filter lets through."""
+    names = rows.columns
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_hashes(t.as_py(), width) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in sets], pa.int64()), _lists(sets)], ["set_id", "shingles"])
+            yield batch.filter(pa.array(wanted.hits(batch))).select(names)
 
-    return docs.select("text").mapInArrow(rows, "set_id long, shingles array<long>")
+    return rows.select(*names, *wanted.columns(column)).mapInArrow(thin, rows.schema)
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
     """(key, set_id) of the keys that more than one set has.
 
-    The keys are counted by one aggregation.  A bitmap of fixed size (16 MB), built by
-    Spark from the keys that are shared, then thins out the rows before they are
-    shuffled again; what it lets through by chance the join drops.
+    The keys are counted by one aggregation with partial sums; a filter of the shared
+    ones then thins out the rows before they are shuffled again.
     """
     counted = keys.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = materialize(counted.where("low <> high").select("key"), "shared-keys")
-    slot = F.pmod("key", F.lit(_BITMAP_SLOTS))
-    maps = (
-        shared.groupBy(F.bitmap_bucket_number(slot).alias("part"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-        .collect()  # at most _BITMAP_SLOTS / 8 bytes, whatever the input
-    )
-    size = 4096
-    filled = np.zeros(_BITMAP_SLOTS // 8 + 2 * size, dtype=np.uint8)
-    for row in maps:
-        filled[row.part * size : (row.part + 1) * size] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-    held = keys.sparkSession.sparkContext.broadcast(filled)
+    shared = materialize(counted.where("low <> high").select("key", "low"), "shared-keys")
+    kept = _thinned(keys, "key", IdFilter(shared, "key"))
+    return kept.distinct().join(shared, "key")
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _close(pairs: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs (u, v) whose sketches, and sizes, leave room for the similarity."""
+    num, den = similarity.numerator, similarity.denominator
+
+    def apart(left: Column | str, right: Column | str) -> Column:
+        bits = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.coalesce(F.aggregate(bits, F.lit(0), lambda s, x: s + x), F.lit(0))
+
+    def both(rows: DataFrame, names: list[str]) -> DataFrame:
+        u = sketches.select(F.col("set_id").alias("u"), *[F.col(c).alias(f"u_{c}") for c in names])
+        v = sketches.select(F.col("set_id").alias("v"), *[F.col(c).alias(f"v_{c}") for c in names])
+        return rows.join(v, "v").join(u, "u")
+
+    # sizes and short sketches first, so that few pairs carry their long ones
+    low, high = F.least("u_n_shingles", "v_n_shingles"), F.greatest("u_n_shingles", "v_n_shingles")
+    room = (low + high) * (den - num)
+    step = F.col("v_band") - F.col("u_band")
+    short = both(pairs, ["n_shingles", "band", "fold"]).where((low * den >= high * num) & (F.abs(step) <= 1) & (apart("u_fold", "v_fold") * (den + num) <= room))
+    short = materialize(short.select("u", "v", room.alias("room"), step.alias("step")), "short")
+    left = F.when(F.col("step") == 1, F.col("u_next_bits")).otherwise(F.col("u_bits"))
+    right = F.when(F.col("step") == -1, F.col("v_next_bits")).otherwise(F.col("v_bits"))
+    return both(short, ["bits", "next_bits"]).where(apart(left, right) * (den + num) <= F.col("room")).select("u", "v")
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(set_id, shingles) of the ``wanted`` (set_id, first_id), out of the texts of their first documents."""
+    ids = IdFilter(wanted, "first_id")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("slot").to_numpy()
-            part, bit = batch.column("part").to_numpy(), batch.column("bit").to_numpy()
-            hit = held.value[part * size + (bit >> 3)] >> (bit & 7).astype(np.uint8) & 1
-            del at
-            yield batch.filter(pa.array(hit.astype(bool))).select(["key", "set_id"])
+            kept = batch.filter(pa.array(ids.hits(batch)))
+            sets = [shingle_hashes(t.as_py(), width) for t in kept.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in sets], pa.int64()), _lists(sets)], ["set_id", "shingles"])
 
-    placed = keys.select("key", "set_id", slot.alias("slot"), F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("bit"))
-    return placed.mapInArrow(thin, "key long, set_id long").join(shared, "key")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").select("text", *ids.columns("first_id"))
+    return texts.mapInArrow(rows, "set_id long, shingles array<long>").join(wanted.select("set_id"), "set_id").dropDuplicates(["set_id"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """The pairs (u, v) of sets whose similarity is reached, by their whole shingle sets."""
+    named = pairs.select(F.col("u").alias("set_id")).union(pairs.select("v")).distinct()
+    wanted = materialize(named.join(classes, "set_id"), "wanted")
+    sets = materialize(_shingle_sets(docs, wanted, width), "sets")
     v = sets.select(F.col("set_id").alias("v"), F.col("shingles").alias("b"))
     u = sets.select(F.col("set_id").alias("u"), F.col("shingles").alias("a"))
     num, den = similarity.numerator, similarity.denominator
@@ -166,6 +249,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
     return pairs.join(v, "v").join(u, "u").where((den + num) * both >= num * total).select("u", "v")
 
 
+def _across(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs (u, v) of a group in different components, one of them outside the main component."""
+    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"), "low")
+    other = members.select(*keys, F.col("set_id").alias("v"), F.col("root").alias("rv"))
+    pairs = rest.join(other, keys).where("ru <> rv AND u <> low AND v <> low")
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataFrame:
+    """What ``_across`` and ``_close`` give, for large groups: sketches are compared in blocks of bounded size.
+
+    Both sides of a group, those outside its main component and all, are dealt to
+    blocks by a hash; every block of one side meets every block of the other, and
+    only pairs that are close enough leave the task.
+    """
+    num, den = similarity.numerator, similarity.denominator
+    held = members.join(sketches, "set_id").select("key", "set_id", "root", "main", "n", "most", "n_shingles", "band", "bits", "next_bits")
+    held = materialize(held, "hot-sketches")
+    salt = F.xxhash64("set_id", F.lit(3))
+    parts = F.ceil(F.col("n") / _BLOCK).cast("int")
+    rest_parts = F.ceil((F.col("n") - F.col("most")) / _BLOCK).cast("int")
+    columns = ["key", "p", "q", "set_id", "root", "n_shingles", "band", "bits", "next_bits"]
+    rest = held.where("root <> main").withColumn("p", F.pmod(salt, rest_parts)).withColumn("q", F.explode(F.sequence(F.lit(0), parts - 1))).select(*columns)
+    every = held.withColumn("q", F.pmod(salt, parts).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), (rest_parts - 1).cast("long"))))
+    every = every.select(*[F.col(c).alias(c) for c in columns])
+
+    def words(rows: pa.Table, name: str, at: np.ndarray) -> np.ndarray:
+        column = rows.column(name).combine_chunks().take(pa.array(at))
+        return column.flatten().to_numpy().view(np.uint64).reshape(at.size, -1)
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        found: list[list[np.ndarray]] = [[], []]
+        if a.num_rows and b.num_rows:
+            (ia, ra, na, ba), (ib, rb, nb, bb) = ([t.column(c).to_numpy() for c in ("set_id", "root", "n_shingles", "band")] for t in (a, b))
+            for x in np.unique(ba):
+                for y in np.unique(bb[np.abs(bb - x) <= 1]):
+                    at_a, at_b = np.flatnonzero(ba == x), np.flatnonzero(bb == y)
+                    left = words(a, "next_bits" if y > x else "bits", at_a)
+                    right = words(b, "next_bits" if x > y else "bits", at_b)
+                    if left.shape[1] != right.shape[1]:
+                        # a set too small for the other band has no sketch there
+                        continue
+                    for k in range(0, at_a.size, 256):
+                        some = at_a[k : k + 256]
+                        distance = np.zeros((some.size, at_b.size), dtype=np.int32)
+                        for j in range(left.shape[1]):
+                            distance += np.bitwise_count(left[k : k + 256, j, None] ^ right[None, :, j])
+                        sizes = na[some][:, None] + nb[at_b]
+                        ok = (distance * (den + num) <= sizes * (den - num)) & (ra[some][:, None] != rb[at_b])
+                        i, j = np.nonzero(ok)
+                        found[0].append(np.minimum(ia[some[i]], ib[at_b[j]]))
+                        found[1].append(np.maximum(ia[some[i]], ib[at_b[j]]))
+        return pa.table({n: pa.array(np.concatenate(f) if f else np.empty(0, np.int64), pa.int64()) for n, f in zip("uv", found)})
+
+    tile = ["key", "p", "q"]
+    return rest.groupBy(*tile).cogroup(every.groupBy(*tile)).applyInArrow(compare, "u long, v long").distinct()
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """Shingle-set size and component of every document.
 
@@ -179,35 +320,38 @@ def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = F
     docs = docs.where("doc_id IS NOT NULL")
     sketches = materialize(_sketches(docs, width, similarity), "sketches")
     names = sketches.select("doc_id", "n_shingles", "set_id")
-    classes = sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys"))
+    classes = sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     classes = materialize(classes, "classes")
-    keys = classes.select("set_id", F.explode("keys").alias("key"))
+    own = F.transform("bits", lambda x, i: F.xxhash64("band", i, x))
+    following = F.transform("next_bits", lambda x, i: F.xxhash64(F.col("band") + 1, i, x))
+    keys = sketches.select("set_id", F.explode(F.concat(own, following)).alias("key"))
     members = materialize(_shared_keys(keys), "members")
 
-    wanted = members.select("set_id").distinct().join(classes.select("set_id", "first_id"), "set_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(wanted.select("first_id").distinct(), "first_id")
-    sets = _shingle_sets(texts, width).join(wanted.select("set_id"), "set_id").dropDuplicates(["set_id"])
-    sets = materialize(sets, "sets")
+    ids = members.select("set_id").distinct()
+    few = _thinned(sketches.drop("doc_id"), "set_id", IdFilter(ids, "set_id")).join(ids, "set_id").dropDuplicates(["set_id"])
+    few = materialize(few, "member-sketches")
 
-    lows = members.groupBy("key").agg(F.min("set_id").alias("u"))
-    lows = materialize(lows, "lows")
-    first = members.join(lows, "key").where("u < set_id").groupBy(F.col("set_id").alias("v")).agg(F.min("u").alias("u"))
-    links = materialize(_verified(first.select("u", "v"), sets, similarity), "links")
+    # every member against the smallest set of its key
+    first = members.where("low < set_id").select(F.col("low").alias("u"), F.col("set_id").alias("v")).distinct()
+    near = materialize(_close(first, few, similarity), "near")
+    links = materialize(_verified(near, docs, classes, width, similarity), "links")
     nodes = components(links)
 
-    # groups whose members are not yet in one component: the rest against all
+    # keys whose members are not yet in one component: all others against those outside the main one
     placed = members.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
-    placed = materialize(placed.select("key", "set_id", F.coalesce("root", "set_id").alias("root")), "placed")
+    placed = materialize(placed.select("key", "set_id", "low", F.coalesce("root", "set_id").alias("root")), "placed")
+    # (pairs with the smallest set of a key are known)
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = materialize(placed.join(mains.select("key", "main"), "key"), "open")
-    rest = open_.where("root <> main").select("key", F.col("set_id").alias("u"), F.col("root").alias("ru"))
-    other = open_.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"))
-    pairs = rest.join(other, "key").where("ru <> rv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    more = materialize(_verified(materialize(pairs, "pairs"), sets, similarity), "links")
+    mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    mains = mains.where("n > most AND n > 2").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
+    open_ = materialize(placed.join(mains.select("key", "main", "many", "n", "most"), "key"), "open")
+    few_pairs = materialize(_across(open_.where("NOT many"), ["key"]), "pairs")
+    hot = _close_in_blocks(open_.where("many"), few, similarity)
+    near = materialize(_close(few_pairs, few, similarity).union(hot).distinct(), "near")
+    more = materialize(_verified(near, docs, classes, width, similarity), "links")
     nodes = components(links.unionByName(more))
 
-    rooted = classes.select("set_id", "first_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
+    rooted = classes.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
     rooted = materialize(rooted.select("set_id", "first_id", F.coalesce("root", "set_id").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = materialize(rooted.select("set_id", "root").join(least, "root").select("set_id", "component_id"), "labels")
