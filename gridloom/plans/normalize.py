@@ -109,8 +109,7 @@ def blocks(spark, sf):
 
 def marked(spark, sf):
     """The grids with a marker line in place of every 30th row."""
-    year = F.get("cells", F.lit(2))
-    line = F.array(F.concat(F.lit("हिन्दी / "), "report_id", F.lit(" Part "), (F.col("row_no") / 30).cast("int").cast("string"), F.lit(" "), year), *[F.lit("")] * 4)
+    line = F.array(F.concat(F.lit("हिन्दी / "), "report_id", F.lit(" Part "), (F.col("row_no") / 30).cast("int").cast("string"), F.lit(" 2024-25")), *[F.lit("")] * 4)
     return clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 30 == 0, line).otherwise(F.slice("cells", 1, 5)))
 
 
@@ -179,7 +178,7 @@ ORACLE_SQL = {
     "d2_select_table_by_index": f"""{TWO} SELECT report_id, pdf_page, table_idx, row_idx, joined FROM raw WHERE table_idx = 1""",
     "d3_extract_in_range": f"""{WITH_GRID} SELECT report_id, pdf_page, page_row AS row_idx, CAST(NULL AS VARCHAR) AS warning, {JOINED} AS joined FROM fx_grid WHERE pdf_page BETWEEN 2 AND 4 + report_id % 3""",
     "d4_range_id": f"{WITH_GRID} SELECT DISTINCT report_id, 2 AS start_page, 4 + report_id % 3 AS end_page, substr(sha256(concat('2-', 4 + report_id % 3)), 1, 16) AS range_id FROM fx_grid",
-    "d5_detect_header_height": f"{WITH_GRID} SELECT DISTINCT report_id, 1 AS header_height FROM fx_grid",
+    "d5_detect_header_height": f"{WITH_GRID} SELECT report_id, CASE WHEN max(pdf_page) > 1 THEN 1 ELSE 0 END AS header_height FROM fx_grid GROUP BY 1",
     "d6_merge_pages": f"""{WITH_GRID} SELECT report_id, CAST(row_number() OVER (PARTITION BY report_id ORDER BY pdf_page, page_row) AS INT) AS row_no, pdf_page, {JOINED} AS joined
       FROM fx_grid WHERE NOT (page_row = 0 AND pdf_page > 1)""",
     "d7_pad_rows": f"{WITH_BODY} SELECT report_id, row_no, {JOINED} AS joined FROM body",
@@ -193,7 +192,7 @@ ORACLE_SQL = {
     "e3_drop_empty_rows": f"{WITH_BODY} SELECT report_id, row_no, concat_ws('|', c0, c1) AS joined FROM body WHERE c0 <> '' OR c1 <> ''",
     "e4_cleanup_stats": f"{WITH_BODY} SELECT report_id, 0 AS empty_rows_removed, 1 AS empty_cols_removed, count(*) FILTER (contains(c0, '(cid:')) AS cid_tokens_removed FROM body GROUP BY 1",
     "e5_clean_text": f"{CLEAN} SELECT report_id, row_no, {JOINED} AS joined FROM cl",
-    "e6_extract_english": f"""{CLEAN}, t AS (SELECT report_id, row_no, row_no % 30 = 0 AS m, c0, concat(report_id, ' Part ', CAST(floor(row_no / 30) AS INT), ' ', c2) AS name FROM cl)
+    "e6_extract_english": f"""{CLEAN}, t AS (SELECT report_id, row_no, row_no % 30 = 0 AS m, c0, concat(report_id, ' Part ', CAST(floor(row_no / 30) AS INT), ' 2024-25') AS name FROM cl)
       SELECT report_id, row_no, CASE WHEN m THEN name ELSE c0 END AS english, CASE WHEN m THEN 'Part' ELSE c0 END AS latin, CASE WHEN m THEN name ELSE c0 END AS tail FROM t""",
     "e7_count_artifacts": f"{WITH_BODY} SELECT report_id, count(*) FILTER (contains(c0, '(cid:')) AS cid_tokens FROM body GROUP BY 1",
     "e8_normalize_key": f"""{WITH_BODY} SELECT report_id, row_no, trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(concat(c0, ' & /', c1)), '\\(cid:\\d+\\)', '', 'g'), '&', ' and '), '[/*]', '', 'g'), '\\s+', ' ', 'g')) AS key FROM body""",
