@@ -191,3 +191,20 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 6] and kept.columns == df.columns
     assert decontaminate.benchmark_hits(df, bench.limit(0)).count() == 0
     assert decontaminate.benchmark_hits(df.limit(0), bench).count() == 0
+
+
+def test_decontamination_of_short_unspaced_and_long_items(spark):
+    long = " ".join(f"w{i}" for i in range(450))
+    question = "地球の直径はおよそ何キロメートルですか？"
+    items = [(1, "Who wrote Hamlet?"), (2, question), (3, long), (4, "今何時"), (5, "?!")]
+    docs = [
+        (1, "Quiz: who wrote Hamlet? Answer below"), (2, "Hamlet, who wrote it"), (3, f"問題。「{question}」答え"), (4, " ".join(f"w{i}" for i in range(100, 220))),
+        (5, " ".join(f"w{i}" for i in range(100, 120))), (6, "“Who wrote—Hamlet”"), (7, "今何時ですか"), (8, "?! 今、何を時"), (9, None),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hits = {(r.doc_id, r.item_id): r for r in decontaminate.benchmark_hits(df, bench).collect()}
+    assert sorted(hits) == [(1, 1), (3, 2), (4, 3), (6, 1), (7, 4)]
+    assert hits[4, 3].coverage < 0.5 and hits[4, 3].longest_tile == 120
+    assert all(hits[k].coverage == 1.0 for k in hits if k != (4, 3))
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()) == [2, 5, 8, 9]
