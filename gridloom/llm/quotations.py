@@ -1,10 +1,14 @@
 """Linking of quotations: who answers whom, and conversations without quotes.
 
 A line that starts with ``>`` marks, blanks allowed between them, is quoted as often
-as it has marks.  Quoted lines, and whole runs of lines at one level, are normalised
-and hashed, and joined to the earliest message of the conversation that wrote the
-same passage itself.  A message answers the message behind its shallowest level of
-quotation, there the one with most matches, then the latest.  DataFrame functions only.
+as it has marks.  Quoted lines, whole runs of lines at one level, their sentences and
+their shingles of six words are normalised and hashed, and joined to the earliest
+message of the conversation that wrote the same passage itself, so a part of a message,
+or one that was wrapped anew, finds its source.  A part of under six words that is no
+whole sentence or line does not.  A message answers the message behind its shallowest
+level of quotation, there the one with most matches, then the latest; a passage counts
+as often as it has parts, so a whole one outweighs pieces of it elsewhere.  DataFrame
+functions only.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.storage import materialize
 
+#: Words of a shingle.
+_WIDTH = 6
 _MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 
 
@@ -46,14 +52,40 @@ def _runs(lines: Column) -> Column:
     return F.aggregate(lines, empty, add)
 
 
+def _sentences(text: Column) -> Column:
+    """The sentences of a text, split behind their end marks."""
+    return F.split(text, r"(?<=[.!?…])[\p{P}]*\s+|(?<=[。！？])\s*")
+
+
+def _pieces(body: Column, run: Column) -> Column:
+    """Hashed (h1, h2, n) passages of one normalised text: itself, counting for all its shingles, and those shingles for a run."""
+
+    def named(x: Column, n: Column) -> Column:
+        # two independent hashes name a passage
+        return F.struct(F.xxhash64(x).alias("h1"), F.hash(x, F.lit(7)).alias("h2"), n.cast("int").alias("n"))
+
+    def of(words: Column) -> Column:
+        last = F.size(words) - _WIDTH
+        at = F.when(run & (last > 0), F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        shingles = F.transform(at, lambda i: named(F.concat_ws(" ", *[F.get(words, i + k) for k in range(_WIDTH)]), F.lit(1)))
+        return F.concat(F.array(named(body, F.greatest(last + 1, F.lit(1)))), shingles)
+
+    # bound as a variable, the words are split once and not for every shingle
+    return F.flatten(F.transform(F.array(F.split(body, " ")), of))
+
+
 def _passages(messages: DataFrame, quoted: bool) -> DataFrame:
-    """(conv_id, turn, level, hash) of the lines and runs that are quoted, or that are not."""
+    """(conv_id, turn, level, h1, h2, n) of the lines, runs, sentences and shingles that are quoted, or that are not."""
     wanted = (lambda x: x["level"] > 0) if quoted else (lambda x: x["level"] == 0)
-    parts = F.array_union(F.filter("_lines", wanted), F.filter("_runs", wanted))
+    runs = F.filter("_runs", wanted)
+    sentences = F.flatten(F.transform(runs, lambda r: F.transform(_sentences(r["body"]), lambda x: F.struct(r["level"].alias("level"), x.alias("body")))))
+    # shingles of a run are those of its lines and sentences too
+    whole = F.transform(F.array_union(F.filter("_lines", wanted), sentences), lambda x: F.struct(x["level"], x["body"], F.lit(False).alias("run")))
+    parts = F.concat(whole, F.transform(runs, lambda x: F.struct(x["level"], x["body"], F.lit(True).alias("run"))))
     rows = messages.select("conv_id", "turn", F.explode(parts).alias("part"))
-    rows = rows.select("conv_id", "turn", "part.level", normalised(F.col("part.body")).alias("body")).where("body <> ''")
-    # two independent hashes name a passage
-    return rows.select("conv_id", "turn", "level", F.xxhash64("body").alias("h1"), F.hash("body", F.lit(7)).alias("h2"))
+    rows = rows.select("conv_id", "turn", "part.level", "part.run", normalised(F.col("part.body")).alias("body")).where("body <> ''")
+    rows = rows.select("conv_id", "turn", "level", F.explode(_pieces(F.col("body"), F.col("run"))).alias("p"))
+    return rows.select("conv_id", "turn", "level", "p.h1", "p.h2", "p.n")
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
@@ -72,9 +104,9 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     # only conversations with quotes need their messages' own passages
     within = quoting.select("conv_id").distinct()
     own = base.join(within, "conv_id", "left_semi").withColumn("_runs", _runs(F.col("_lines")))
-    own = _passages(own, False).groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("source"))
+    own = _passages(own, False).drop("n").groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("source"))
     found = quotes.join(own, ["conv_id", "h1", "h2"]).where("source < turn")
-    votes = found.groupBy("conv_id", "turn", "level", "source").agg(F.count("*").alias("n"))
+    votes = found.groupBy("conv_id", "turn", "level", "source").agg(F.sum("n").alias("n"))
     links = votes.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "n", "source"))["source"].alias("reply_to"))
     links = materialize(links, "replies")
 

@@ -169,3 +169,16 @@ def test_pipeline_stages(spark, stages):
     assert not any(i in r.text for i in items for r in stages[3].collect())
     tokens = stages[4].groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("d"))
     assert tokens.where("n <> d").isEmpty() and tokens.count() == stages[3].count()
+
+
+def test_quotations_of_parts_and_wrapped_anew(spark):
+    first = "We met on Monday. Could you send the final budget for the northern office before Friday noon? The old one is lost."
+    rows = [
+        (1, 0, "u", first), (1, 1, "a", "> Could you send the final budget for the northern office before Friday noon?\nYes."),
+        (1, 2, "u", "Please note that the lift is out of order all week, so use the stairs at the back of the building instead"),
+        (1, 3, "a", "> note that the lift is out of\n> order all week, so use the\n\nThanks"), (1, 4, "a", "> The old one is lost.\nHere it is."),
+        # the whole of turn 5 outweighs its sentences, which turn 0 wrote first
+        (1, 5, "u", f"{first} All of it is needed."), (1, 6, "a", f"> {first} All of it is needed.\nSure"), (2, 0, "u", "Something else"), (2, 1, "a", "> the lift is out of order all week\nwhat?"),
+    ]
+    got = {(r.conv_id, r.turn): r.reply_to for r in quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {(1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 2, (1, 4): 0, (1, 5): None, (1, 6): 5, (2, 0): None, (2, 1): None}
