@@ -12,7 +12,7 @@ from gridloom.llm.packing import pack_documents
 from gridloom.llm.quality import score_quality
 from gridloom.llm.quality import train as train_quality
 from gridloom.llm.queries import table, tokenizer_path
-from gridloom.llm.storage import new_folder
+from gridloom.llm.storage import materialize, new_folder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +33,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): the smallest doc_id.
+    """One row of each group of near copies (five words, similarity 0.8): the smallest doc_id, null last.
 
-    Documents without an id cannot be compared by name and stay.
+    Rows are compared under a number of their own, so a repeated or missing doc_id neither drops nor keeps a text.
     """
-    groups = jaccard_components(docs, width=5, similarity=Fraction(4, 5))
-    kept = groups.where("doc_id = component_id").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, similarity=Fraction(4, 5))
+    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min_by("_row", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
+    kept = named.groupBy("component_id").agg(first.alias("_row")).select("_row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

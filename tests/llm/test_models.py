@@ -182,3 +182,14 @@ def test_quotations_of_parts_and_wrapped_anew(spark):
     ]
     got = {(r.conv_id, r.turn): r.reply_to for r in quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert got == {(1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 2, (1, 4): 0, (1, 5): None, (1, 6): 5, (2, 0): None, (2, 1): None}
+
+
+def test_deduplicate_compares_rows_and_not_ids(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, c), (2, c), (None, "d " + a[::-1]), (None, "d " + a[::-1]), (None, b), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text) for r in corpus_pipeline.deduplicate(spark, docs, SF).collect()}
+    assert got == {(1, a), (1, b), (2, c), (None, "d " + a[::-1]), (4, None)}
+    assert corpus_pipeline.deduplicate(spark, docs, SF).count() == 5
