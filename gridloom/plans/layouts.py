@@ -101,7 +101,7 @@ def two_headers(spark, sf):
     top = F.array(*map(F.lit, ["State", "Utility", "2024-25", "", "Charge (Rs/kWh)", "", "Charge Rs/kW/month", ""]))
     low = F.array(*map(F.lit, ["", "Utility", "Year", "-", "LT", "11 kV", "33 kV", ""]))
     charge = F.transform("cells", lambda c, i: F.when((i == 4) & (c == ""), "1").otherwise(c))
-    body = clean(spark, sf).where("row_no <= 60").select("report_id", (F.col("row_no") + 2).alias("row_no"), charge.alias("cells"))
+    body = clean(spark, sf).select("report_id", (F.col("row_no") + 2).alias("row_no"), charge.alias("cells"))
     ids = body.select("report_id").distinct()
     return ids.select("report_id", F.lit(1).alias("row_no"), top.alias("cells")).unionByName(ids.select("report_id", F.lit(2).alias("row_no"), low.alias("cells"))).unionByName(body)
 
@@ -116,7 +116,8 @@ def paths(spark, sf):
 
 
 def h5(spark, sf):
-    rows = two_headers(spark, sf)
+    # its SQL gives the first 60 rows of a report
+    rows = two_headers(spark, sf).where("row_no <= 62")
     v = rows.select(F.explode("cells").alias("value")).distinct()
     found = en.recognize({"state": en.match_state(v, *states(spark, sf)), "year": en.match_year(v)})
     return hd.annotate_cells(rows, hd.describe_columns(paths(spark, sf)), hd.header_depth(rows), found)

@@ -98,3 +98,8 @@ def test_writers_read_back(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "g")).count() == 50
     writers.write_page_index_csv(index.page_index(spark, SF), str(tmp_path / "csv"))
     assert spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "csv")).count() == index.page_index(spark, SF).count()
+
+
+def test_two_headers_keep_all_rows(spark):
+    body = normalize.clean(spark, SF)
+    assert layouts.two_headers(spark, SF).count() == body.count() + 2 * body.select("report_id").distinct().count()
