@@ -1,8 +1,9 @@
-"""Byte-level BPE over whole texts: exact ids by cached chunks, and array merging.
+"""Byte-level BPE over whole texts: exact ids by distinct words, and array merging.
 
-A text is cut into chunks at places where the tokenizer's own pattern always
-cuts, so the ids of a text are the ids of its chunks in order.  Only chunks that
-a worker has not met yet reach the tokenizer; the cache is bounded.
+A text is cut into words at places where the tokenizer's own pattern always cuts,
+so the ids of a text are the ids of its words in order.  The words of a batch are
+told apart by Arrow; only distinct ones that a worker has not met yet reach the
+tokenizer, and ids are put together again by one gather.
 """
 
 from __future__ import annotations
@@ -12,29 +13,119 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: One optional white-space character with the word after it, or the white
 #: space before that.  GPT-2's pattern cuts at each of these borders.
 _CHUNK = re.compile(r"\s?\S+|\s+(?!\S)")
-#: White space that needs _CHUNK: a space or line end beside other white space, or a last space.
-_DENSE = re.compile(r"[ \n](?=\s)|\s(?=[ \n])| \Z")
 #: Characters that Python counts as white space and the tokenizer does not.
 _UNSAFE = re.compile("[\x1c-\x1f]")
-_CACHE_LIMIT = 800_000
+#: White space of the tokenizer, in Arrow's regular expressions.
+_SPACE = r"[\t-\r\x85\p{Z}]"
+#: The same without the line end.
+_BLANK = r"[\t\x0b-\r\x85\p{Z}]"
+#: ASCII marks that may end a word.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Ends in what has been a letter or digit in every version of Unicode.
+_SURE = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
+#: Distinct words of one of the two generations of a cache.
+_CACHE_LIMIT = 300_000
+#: Bytes of text that are taken apart at once.
+_SLICE = 8 << 20
 
 
-def chunks_of(text: str) -> list[str]:
-    """Chunks of a text whose ids, one after the other, are the ids of the text.
+def _slices(texts: pa.Array) -> Iterable[pa.Array]:
+    """Runs of rows of about ``_SLICE`` bytes; a longer row is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + _SLICE, side="right")))
+        yield texts.slice(first, last - first)
+        first = last
 
-    Every chunk but the first starts with white space, or is white space alone.
+
+class Words:
+    """The words of a run of texts: distinct stems and tails, their numbers in text order, and the texts that need another way.
+
+    A word is parted by one space or one line end; the former is left out, the latter
+    kept in front.  The first word of a text has a line end in front, too.  ASCII marks
+    behind a letter or digit are the tail of a word, what stands before them its stem:
+    the pattern always cuts there.  Texts with other white space at a border, or with a
+    special string, are ``odd``; the numbers leave them out.
     """
-    if not text:
-        return []
-    if _DENSE.search(text):
-        return _CHUNK.findall(text)
-    # each space and line end stands alone here: cut before it, keep it with its word
-    parts = text.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f")
-    return parts if parts[0] else parts[1:]
+
+    def __init__(self, texts: pa.Array, special: list[str]):
+        marked = pc.binary_join_element_wise(pa.scalar("\n", texts.type), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", texts.type))
+        parts = pc.split_pattern(marked, " ")
+        found = parts.flatten().dictionary_encode()
+        words, codes = found.dictionary, found.indices.to_numpy()
+        starts = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+        odd = rf"^\n?$|^{_BLANK}|^\n{_SPACE}|{_SPACE}$"
+        for text in special:
+            # a special string with a space or line end in it would span words
+            odd += "|" + re.escape(re.split(r"[ \n]", text)[0])
+        strange = pc.match_substring_regex(words, odd).to_numpy(zero_copy_only=False)
+        self.odd = np.logical_or.reduceat(strange[codes], starts) if len(texts) else np.empty(0, dtype=bool)
+        sizes = np.diff(np.append(starts, codes.size))
+        if self.odd.any():
+            codes, sizes = codes[np.repeat(~self.odd, sizes)], sizes[~self.odd]
+        #: words of each text, and the place of its first word
+        self.sizes, self.firsts = sizes, np.cumsum(sizes) - sizes
+        # words of odd texts alone are never asked for, so nothing must be learned of them
+        words = pc.if_else(pa.array(strange), pa.scalar("\n.", words.type), words)
+        stems = pc.ascii_rtrim(words, _MARKS)
+        stems = pc.if_else(pc.match_substring_regex(stems, _SURE), stems, words)
+        tails = self._tails(words, pc.binary_length(stems).to_numpy())
+        stems, tails = stems.dictionary_encode(), tails.dictionary_encode()
+        self.stems, self.tails = (x.dictionary.to_numpy(zero_copy_only=False).tolist() for x in (stems, tails))
+        #: numbers of the stem and the tail of each word of the texts that are not odd, in order
+        self.stem_of, self.tail_of = stems.indices.to_numpy()[codes], tails.indices.to_numpy()[codes]
+
+    @staticmethod
+    def _tails(words: pa.Array, cut: np.ndarray) -> pa.Array:
+        """What stands behind the first ``cut`` bytes of each word."""
+        words = words.cast(pa.large_string())
+        _, ends, data = words.buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+        size = np.diff(ends) - cut
+        raw = np.frombuffer(data, dtype=np.uint8) if data else np.empty(0, dtype=np.uint8)
+        raw = raw[_gather(ends[:-1] + cut, size)]
+        return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(np.append(0, np.cumsum(size))), pa.py_buffer(raw.tobytes()))
+
+
+class TwoGenerations:
+    """A bounded cache: when the young half is full it becomes the old half, and the old half is dropped."""
+
+    def __init__(self, limit: int = _CACHE_LIMIT):
+        self.young: dict = {}
+        self.old: dict = {}
+        self.limit = limit
+
+    def look(self, keys: list, learn) -> list:
+        """Values of distinct keys; ``learn`` gives those of keys that are not held."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        values = list(map(self.young.get, keys))
+        missed = [i for i, v in enumerate(values) if v is None]
+        if missed:
+            sought = [keys[i] for i in missed]
+            held = list(map(self.old.get, sought)) if self.old else [None] * len(sought)
+            learned = iter(learn([k for k, v in zip(sought, held) if v is None]))
+            found = [next(learned) if v is None else v for v in held]
+            self.young.update(zip(sought, found))
+            for i, v in zip(missed, found):
+                values[i] = v
+        return values
+
+
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1 ... of every run, one run after the other."""
+    ends = np.cumsum(sizes, dtype=starts.dtype)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(places.size, dtype=starts.dtype)
+    return places
 
 
 class ChunkEncoder:
@@ -59,19 +150,16 @@ class ChunkEncoder:
             and not pre.get("add_prefix_space")
             and pre.get("use_regex", True)
         )
-        special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        # bytes that each id stands for, to find the chunks again in joined ids
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special_rx = re.compile("|".join(map(re.escape, self.special))) if self.special else None
+        # bytes that each id stands for, to find the words again in joined ids
         letters = {c: b for b, c in _byte_letters().items()}
         vocab = spec["model"].get("vocab", {}) if self.chunked else {}
         self.width = np.zeros(1 + max(vocab.values(), default=0), dtype=np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token) if all(c in letters for c in token) else 0
-        #: ids of chunks, of a space and a word, and of a line end and a word
-        self.cache: dict[str, bytes] = {}
-        self.after_space: dict[str, bytes] = {}
-        self.after_line: dict[str, bytes] = {}
-        self.line_ids = len(self._whole(["\n"])[0])
+        self.stems, self.tails, self.chunks = TwoGenerations(), TwoGenerations(), TwoGenerations()
+        self.line_ids = len(self._whole(["\n"])[0]) // 4
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,81 +179,95 @@ class ChunkEncoder:
             found[i] = ids
         for k in range(0, len(tied), 20_000):
             some = tied[k : k + 20_000]
-            raw = self._whole(["".join(chunks[i] for i in some)])[0]
-            ends = np.cumsum(self.width[np.frombuffer(raw, dtype="<u4")])
-            want = np.cumsum([len(chunks[i].encode("utf-8")) for i in some])
-            cuts = np.searchsorted(ends, want)
-            if not np.array_equal(ends[cuts], want):
-                raise ValueError("a chunk border is no token border")
-            cuts = [0, *(4 * (cuts + 1)).tolist()]
-            for i, x, y in zip(some, cuts, cuts[1:]):
-                found[i] = raw[x:y]
+            for i, ids in zip(some, self._joined([chunks[i] for i in some])):
+                found[i] = ids
         return found
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit bytes; null is empty."""
-        texts = [t or "" for t in texts]
-        out: list[bytes] = [b""] * len(texts)
-        if len(self.cache) + len(self.after_space) + len(self.after_line) > _CACHE_LIMIT:
-            for known in (self.cache, self.after_space, self.after_line):
-                known.clear()
-        late, rest = [], []
-        new_space: set[str] = set()
-        new_line: set[str] = set()
-        for i, t in enumerate(texts):
-            if not self.chunked:
-                rest.append(i)
-                continue
-            # the quick way: words that one space or one line end sets apart
-            lines = [line.split(" ") for line in ("\n" + t).split("\n")[1:]]
-            ids = self._lookup(lines)
-            if None in ids:
-                late.append((i, lines))
-                new_line.update(w[0] for w in lines if w[0] not in self.after_line)
-                new_space.update(w for ws in lines for w in ws[1:] if w not in self.after_space)
-            else:
-                out[i] = b"".join(ids)[self.line_ids :]
-        for known, sign, words in ((self.after_line, "\n", new_line), (self.after_space, " ", new_space)):
-            plain = [w for w in words if self._plain(w)]
-            known.update(zip(plain, self._learn([sign + w for w in plain])))
-        for i, lines in late:
-            ids = self._lookup(lines)
-            if None in ids:
-                rest.append(i)
-            else:
-                out[i] = b"".join(ids)[self.line_ids :]
-        self._encode_rest(texts, rest, out)
-        return out
+    def _joined(self, chunks: list[str]) -> list[bytes]:
+        raw = self._whole(["".join(chunks)])[0]
+        ends = np.cumsum(self.width[np.frombuffer(raw, dtype="<u4")])
+        want = np.cumsum(pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy())
+        cuts = np.searchsorted(ends, want)
+        if chunks and not np.array_equal(ends[cuts], want):
+            raise ValueError("a chunk border is no token border")
+        cuts = [0, *(4 * (cuts + 1)).tolist()]
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def _plain(self, word: str) -> bool:
-        """Whether a word may be cached: not empty, no white space at its ends, no special string."""
-        return bool(word) and not word[0].isspace() and not word[-1].isspace() and not _UNSAFE.search(word) and not (self.special and self.special.search(word))
+    def _learn_stems(self, stems: list[str]) -> list[bytes]:
+        """Ids of words; a space stands before each that has no line end there."""
+        chunks = [w if w[0] == "\n" else " " + w for w in stems]
+        return [ids for k in range(0, len(chunks), 50_000) for ids in self._joined(chunks[k : k + 50_000])]
 
-    def _lookup(self, lines: list[list[str]]) -> list[bytes | None]:
-        ids: list[bytes | None] = []
-        for words in lines:
-            ids.append(self.after_line.get(words[0]))
-            if len(words) > 1:
-                ids += map(self.after_space.get, words[1:])
-        return ids
+    def encode_flat(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and the number of ids of each; null is empty.
 
-    def _encode_rest(self, texts: list[str], rest: list[int], out: list[bytes]) -> None:
+        ``end_id`` is put behind every text.
+        """
+        texts = pc.fill_null(texts, "")
+        flats, counts = [], []
+        for part in _slices(texts):
+            if self.chunked:
+                flat, count = self._encode_slice(part)
+            else:
+                raw = self._whole(part.to_pylist())
+                flat, count = np.frombuffer(b"".join(raw), dtype="<u4"), np.array([len(r) // 4 for r in raw], dtype=np.int64)
+            if end_id is not None:
+                flat, count = np.insert(flat, np.cumsum(count), np.uint32(end_id)), count + 1
+            flats.append(flat)
+            counts.append(count)
+        if not flats:
+            return np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
+        return np.concatenate(flats), np.concatenate(counts)
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        own = Words(texts, self.special)
+        ids = [*self.stems.look(own.stems, self._learn_stems), *self.tails.look(own.tails, self._whole)]
+        length = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+        begin = np.cumsum(length, dtype=np.int32) - length
+        # stem, tail, stem, tail ...
+        pieces = np.empty((own.stem_of.size, 2), dtype=np.int32)
+        pieces[:, 0], pieces[:, 1] = own.stem_of, own.tail_of + np.int32(len(own.stems))
+        size, start = length[pieces], begin[pieces]
+        # the line end that was set before the first word goes again
+        size[own.firsts, 0] -= self.line_ids
+        start[own.firsts, 0] += self.line_ids
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")[_gather(start.ravel(), size.ravel())]
+        count = np.zeros(len(texts), dtype=np.int64)
+        if own.sizes.size:
+            count[~own.odd] = np.add.reduceat(size.sum(axis=1), own.firsts)
+        if not own.odd.any():
+            return flat, count
+        odd = self._encode_odd(texts.take(pa.array(np.flatnonzero(own.odd))).to_pylist())
+        count[own.odd] = [len(r) // 4 for r in odd]
+        out = np.empty(int(count.sum()), dtype="<u4")
+        from_odd = np.repeat(own.odd, count)
+        out[from_odd] = np.frombuffer(b"".join(odd), dtype="<u4")
+        out[~from_odd] = flat
+        return out, count
+
+    def _encode_odd(self, texts: list[str]) -> list[bytes]:
         """Texts with other white space by chunks, and what no chunk rule covers whole."""
-        whole, split, new = [], [], set()
-        for i in rest:
-            t = texts[i]
-            if not self.chunked or _UNSAFE.search(t) or self.special and self.special.search(t):
+        out: list[bytes] = [b""] * len(texts)
+        whole, split = [], []
+        for i, t in enumerate(texts):
+            if _UNSAFE.search(t) or self.special_rx and self.special_rx.search(t):
                 whole.append(i)
             else:
                 split.append((i, _CHUNK.findall(t)))
-                new.update(c for c in split[-1][1] if c not in self.cache)
-        if whole:
-            for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
-                out[i] = ids
-        fresh = list(new)
-        self.cache.update(zip(fresh, self._learn(fresh)))
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+            out[i] = ids
+        distinct = list(dict.fromkeys(c for _, chunks in split for c in chunks))
+        known = dict(zip(distinct, self.chunks.look(distinct, self._learn)))
         for i, chunks in split:
-            out[i] = b"".join(map(self.cache.__getitem__, chunks))
+            out[i] = b"".join(map(known.__getitem__, chunks))
+        return out
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
+        flat, count = self.encode_flat(pa.array(list(texts), pa.string()))
+        ends = np.cumsum(count)
+        raw = flat.astype("<u4").tobytes()
+        return [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), count.tolist())]
 
 
 class ArrayMerger:
@@ -204,7 +306,8 @@ class ArrayMerger:
             .replace(r"\s", r"\p{White_Space}")
             .replace(r"\S", r"\P{White_Space}")
         )
-        self.cache: dict[str, int] = {}
+        self.stems, self.tails, self.chunks = TwoGenerations(), TwoGenerations(), TwoGenerations()
+        self.line_tokens = self._count_chunks(["\n"])[0]
 
     def _merge(self, pieces: list[bytes]) -> np.ndarray:
         """Number of symbols left of each piece; no piece is empty."""
@@ -248,28 +351,33 @@ class ArrayMerger:
         number = dict(zip(pieces, self._merge([p.encode("utf-8") for p in pieces]).tolist()))
         return [sum(map(number.__getitem__, f)) for f in found]
 
-    def count(self, texts: Iterable[str | None]) -> np.ndarray:
+    def count(self, texts: pa.Array) -> np.ndarray:
         """Number of tokens of each whole text; null counts as empty."""
-        if len(self.cache) > _CACHE_LIMIT:
-            self.cache.clear()
-        cache, late, new, out = self.cache, [], set(), []
-        for t in texts:
-            t = t or ""
-            segments = self.special_rx.split(t) if self.special_rx and self.special_rx.search(t) else [t]
+        texts = pc.fill_null(texts, "")
+        return np.concatenate([np.empty(0, dtype=np.int64), *map(self._count_slice, _slices(texts))])
+
+    def _count_stems(self, stems: list[str]) -> list[int]:
+        """Tokens of words; a space stands before each that has no line end there."""
+        chunks = [w if w[0] == "\n" else " " + w for w in stems]
+        return [n for k in range(0, len(chunks), 100_000) for n in self._count_chunks(chunks[k : k + 100_000])]
+
+    def _count_slice(self, texts: pa.Array) -> np.ndarray:
+        own = Words(texts, self.special)
+        stems = np.array(self.stems.look(own.stems, self._count_stems), dtype=np.int64)
+        tails = np.array(self.tails.look(own.tails, self._count_chunks), dtype=np.int64)
+        out = np.zeros(len(texts), dtype=np.int64)
+        if own.sizes.size:
+            # the line end before the first word is no part of the text
+            out[~own.odd] = np.add.reduceat(stems[own.stem_of] + tails[own.tail_of], own.firsts) - self.line_tokens
+        odd = []
+        for t in texts.take(pa.array(np.flatnonzero(own.odd))).to_pylist():
+            segments = self.special_rx.split(t) if self.special_rx else [t]
             # a chunk border may only be trusted where both views of white space agree
-            chunks = [c for s in segments for c in ([s] if _UNSAFE.search(s) else chunks_of(s)) if c]
-            try:
-                out.append(sum(map(cache.__getitem__, chunks)) + len(segments) - 1)
-            except KeyError:
-                late.append((len(out), chunks))
-                new.update(c for c in chunks if c not in cache)
-                out.append(len(segments) - 1)
-        new = list(new)
-        for k in range(0, len(new), 100_000):
-            cache.update(zip(new[k : k + 100_000], self._count_chunks(new[k : k + 100_000])))
-        for i, chunks in late:
-            out[i] += sum(map(cache.__getitem__, chunks))
-        return np.array(out, dtype=np.int64)
+            odd.append((len(segments) - 1, [c for s in segments for c in ([s] if _UNSAFE.search(s) else _CHUNK.findall(s)) if c]))
+        distinct = list(dict.fromkeys(c for _, chunks in odd for c in chunks))
+        known = dict(zip(distinct, self.chunks.look(distinct, self._count_chunks)))
+        out[own.odd] = [extra + sum(map(known.__getitem__, chunks)) for extra, chunks in odd]
+        return out
 
 
 def _byte_letters() -> dict[int, str]:

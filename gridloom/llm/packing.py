@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +49,19 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> Dat
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        tool = encoder(tokenizer)
         for batch in batches:
-            names, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
-            out: list[list] = [[] for _ in PIECES]
-            for name, row, ids in zip(names, rows, tool.encode(batch.column("text").to_pylist())):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    raw = ids[4 * start : 4 * (start + window)]
-                    for column, value in zip(out, (name, start, len(raw) // 4, zlib.crc32(raw), total, row)):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], PIECES.names)
+            flat, totals = tool.encode_flat(batch.column("text"), end_id)
+            flat = np.ascontiguousarray(flat, dtype="<u4")
+            cuts = -(-totals // window)
+            doc = np.repeat(np.arange(totals.size), cuts)
+            start = window * (np.arange(doc.size) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+            length = np.minimum(totals[doc] - start, window)
+            first = (np.cumsum(totals) - totals)[doc] + start
+            crc = np.fromiter(map(zlib.crc32, (flat[x:y] for x, y in zip(first.tolist(), (first + length).tolist()))), dtype=np.int64, count=doc.size)
+            at = pa.array(doc)
+            columns = [batch.column("doc_id").take(at), start, length, crc, totals[doc], batch.column("row").take(at)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) if isinstance(c, np.ndarray) else c for c in columns], PIECES.names)
 
     return docs.select(
         F.col("doc_id").cast("long"), F.col("text"), F.monotonically_increasing_id().alias("row")

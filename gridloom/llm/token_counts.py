@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +28,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, text_col: s
     three names are replaced.  The scan is the only stage: no shuffle.
     """
 
-    @F.pandas_udf("long")
-    def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def tokens(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merger = _merger(tokenizer)
         for part in parts:
-            yield pd.Series(merger.count(part))
+            yield pa.array(merger.count(part))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return (

@@ -61,11 +61,10 @@ class ShardWriter:
             pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(c, self.length) for c in columns], schema=self.schema)
         )
 
-    def add(self, names: list, encoded: list[bytes]) -> None:
-        sizes = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
-        starts = self.start + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.docs.write_batch(pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(starts), pa.array(sizes)], schema=INDEX))
-        self.kept.append(np.frombuffer(b"".join(encoded), dtype="<u4").astype(self.dtype))
+    def add(self, names: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> None:
+        starts = self.start + np.cumsum(sizes) - sizes
+        self.docs.write_batch(pa.RecordBatch.from_arrays([names, pa.array(starts), pa.array(sizes)], schema=INDEX))
+        self.kept.append(flat.astype(self.dtype))
         self.start += int(sizes.sum())
         self.n_docs += len(names)
         self.waiting += self.kept[-1].size
@@ -120,16 +119,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
     count = shards or max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        tool = encoder(tokenizer)
         small = max(tool.library.get_vocab_size(), end_id + 1) <= 1 << 16
         shard, first = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = batch.column("doc_id").to_pylist()
+            names = batch.column("doc_id")
             if shard is None:
-                shard, first = ShardWriter(folder, length, small), (names[0], batch.column("tie")[0].as_py())
-            shard.add(names, [e + end for e in tool.encode(batch.column("text").to_pylist())])
+                shard, first = ShardWriter(folder, length, small), (names[0].as_py(), batch.column("tie")[0].as_py())
+            shard.add(names, *tool.encode_flat(batch.column("text"), end_id))
         if shard is not None:
             shard.close()
             row = [[shard.path], [first[0]], [first[1]], [shard.n_docs], [shard.start]]
