@@ -10,16 +10,22 @@ both sides of a pair use the same number of blocks, and an equi-join on
 (band, block, bits) finds every pair that can reach the similarity.
 
 Groups of documents that agree in a block may be large, so their pairs are never
-written out.  Equal sets are one class from the start; every class is checked
-against the smallest class it meets; after components are known, only classes of a
-group that are still apart from its main component are checked against the rest.  Where
-that would still be many pairs, as with a passage that fills a block of many documents,
-the group's sketches are compared in blocks of bounded size, and only close pairs leave
-the task.
+written out.  Equal sets are one class from the start.  A few blocks of every set link
+most near copies first: each class is checked against the smallest it meets.  Then all
+blocks are joined, a part of the key space at a time, and only keys whose classes are
+not yet in one component are kept.  Keys of a few classes give pairs.
+
+Keys of many classes, which a passage of many documents or an empty block makes, are
+left out where that cannot lose a pair: bands have spare blocks, so two sets that link
+agree in some blocks more than the bound asks for.  A set with fewer hot keys than it
+has blocks to spare shares another key with each of its partners.  What is left, sets
+that consist of such passages, is compared sketch by sketch in blocks of bounded size,
+and only close pairs leave the task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -29,12 +35,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.graph import components
-from gridloom.llm.storage import materialize
+from gridloom.llm.storage import materialize, scratch
 from gridloom.llm.words import mix, shingle_hashes
 
 #: Ratio of the bounds of neighbouring size bands.
 _BAND = 1.4
-_BITMAP_SLOTS = 1 << 27
+#: One spare block for so many.
+_SPARE = 32
+#: Bits of an id filter for each id, and at most (256 MB; beyond that it lets more through, and the join does the rest).
+_FILTER_BITS, _MOST_SLOTS = 32, 1 << 31
+#: Blocks of a band that are joined first.
+_FIRST_BLOCKS = 6
+#: Parts of the key space that are joined one after the other, for each key that a shingle has.
+_ROUNDS = 12
+#: Keys of more open classes are hot.
+_HOT = 16
 #: When more pairs than this would come of a key, its sketches are compared in blocks.
 _MANY_PAIRS = 2048
 #: Words of the short sketch that is compared before the long one.
@@ -44,7 +59,7 @@ _BLOCK = 2048
 
 
 def size_bands(similarity: Fraction, most: int = 1 << 32) -> tuple[np.ndarray, np.ndarray]:
-    """Lower bounds of the size bands, and the number of blocks of each.
+    """Lower bounds of the size bands, and the number of blocks of each, spare ones among them.
 
     Sizes below the first bound can only link when their sets are equal.
     """
@@ -58,7 +73,8 @@ def size_bands(similarity: Fraction, most: int = 1 << 32) -> tuple[np.ndarray, n
     while low < most:
         high = max(low + 1, int(low * _BAND))
         lows.append(low)
-        blocks.append(int(2 * (high - 1) * step) + 1)
+        most_apart = int(2 * (high - 1) * step)
+        blocks.append(most_apart + 1 + (1 + most_apart // _SPARE if most_apart else 0))
         low = high
     return np.array(lows, dtype=np.int64), np.array(blocks, dtype=np.int64)
 
@@ -82,17 +98,33 @@ def fold(shingles: np.ndarray) -> np.ndarray:
     return bits
 
 
-def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, np.ndarray, np.ndarray]:
-    """Own band, sketch there, and sketch in the next band if a partner may lie there."""
+def spare_blocks(size: int, bits: np.ndarray, band: int, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> int:
+    """How many blocks, besides its empty ones, a set can leave out in a band and still share one with every partner there.
+
+    A partner in the band has at most ``partner`` elements and the two differ in at
+    most ``apart`` blocks, so they agree in all the others.  Below 0 the empty blocks
+    must stay.
+    """
+    lows, blocks = bands
+    partner = int(size / similarity)
+    if band + 1 < len(lows):
+        partner = min(partner, int(lows[band + 1]) - 1)
+    apart = int((size + partner) * (1 - similarity) / (1 + similarity))
+    return int(blocks[band]) - apart - 1 - int((bits == 0).sum())
+
+
+def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, list[np.ndarray], list[int]]:
+    """Own band; sketch there, and in the next band if a partner may lie there; blocks to spare in both."""
     lows, blocks = bands
     own = int(np.searchsorted(lows, shingles.size, side="right")) - 1
-    parts = [np.empty(0, dtype=np.uint64)] * 2
+    parts, spare = [np.empty(0, dtype=np.uint64)] * 2, [-1, -1]
     for k in range(2):
         band = own + k
         near = k == 0 or band < len(lows) and shingles.size >= similarity * int(lows[band])
         if shingles.size and band >= 0 and near and blocks[band] > 1:
             parts[k] = sketch(shingles, band, int(blocks[band]))
-    return own, parts[0], parts[1]
+            spare[k] = spare_blocks(shingles.size, parts[k], band, bands, similarity)
+    return own, parts, spare
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -101,76 +133,81 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _set_id(shingles: np.ndarray) -> int:
-    """A 64-bit name of a set; 0 is the empty set's."""
+def _set_names(shingles: np.ndarray) -> tuple[int, int]:
+    """Two independent 64-bit names of a set; 0 is the empty set's."""
     if not shingles.size:
-        return 0
+        return 0, 0
     with np.errstate(over="ignore"):
-        name = mix(np.array([np.add.reduce(mix(shingles)) ^ np.bitwise_xor.reduce(mix(shingles + np.uint64(1)))]))[0]
-    return int(name.view(np.int64)) or 1
+        sums = np.array([np.add.reduce(mix(shingles)) ^ np.bitwise_xor.reduce(mix(shingles + np.uint64(1))), np.add.reduce(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)))])
+    first, second = mix(sums).view(np.int64).tolist()
+    return first or 1, second
+
+
+MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, fold array<long>, spare int, next_spare int"
 
 
 def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """doc_id, n_shingles, set_id, band, and the sketches in that band and the next."""
+    """doc_id, a number of the row, n_shingles, two names of the set, band, and the sketches in that band and the next."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = size_bands(similarity)
         for batch in batches:
             sets = [shingle_hashes(t.as_py(), width) for t in batch.column("text")]
             made = [sketches_of(s, bands, similarity) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([s.size for s in sets], pa.int64()),
-                    pa.array([_set_id(s) for s in sets], pa.int64()),
-                    pa.array([m[0] for m in made], pa.int32()),
-                    _lists([m[1] for m in made]),
-                    _lists([m[2] for m in made]),
-                    _lists([fold(s) for s in sets]),
-                ],
-                ["doc_id", "n_shingles", "set_id", "band", "bits", "next_bits", "fold"],
-            )
-
-    made = "doc_id long, n_shingles long, set_id long, band int, bits array<long>, next_bits array<long>, fold array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, made)
+            names = np.array([_set_names(s) for s in sets], dtype=np.int64).reshape(-1, 2)
+            columns = [
+                batch.column("doc_id"),
+                batch.column("uid"),
+                pa.array([s.size for s in sets], pa.int64()),
+                pa.array(names[:, 0]),
+                pa.array(names[:, 1]),
+                pa.array([m[0] for m in made], pa.int32()),
+                *(_lists([m[1][k] for m in made]) for k in range(2)),
+                _lists([fold(s) for s in sets]),
+                *(pa.array([m[2][k] for m in made], pa.int32()) for k in range(2)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MADE.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("uid"), "text").mapInArrow(rows, MADE)
 
 
 class IdFilter:
-    """A bitmap of fixed size (16 MB) over hashed ids; it lets some other ids through, but never drops one of its own.
+    """A bitmap over hashed ids; it lets some other ids through, but never drops one of its own.
 
-    Spark builds it, so what reaches the driver is bounded whatever the input.
+    Spark builds it; it has ``_FILTER_BITS`` bits an id, and ``_MOST_SLOTS`` at most.
     """
 
     size = 4096
 
     def __init__(self, ids: DataFrame, column: str):
-        slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP_SLOTS))
+        self.slots = min(_MOST_SLOTS, max(1 << 20, 1 << (ids.count() * _FILTER_BITS).bit_length()))
         parts = (
-            ids.groupBy(F.bitmap_bucket_number(slot).alias("part"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+            ids.groupBy(F.bitmap_bucket_number(self._slot(column)).alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(self._slot(column))).alias("bits"))
             .collect()
         )
-        filled = np.zeros(_BITMAP_SLOTS // 8 + 2 * self.size, dtype=np.uint8)
+        filled = np.zeros(self.slots // 8 + 2 * self.size, dtype=np.uint8)
         for row in parts:
             filled[row.part * self.size : (row.part + 1) * self.size] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
         self.held = ids.sparkSession.sparkContext.broadcast(filled)
 
-    @staticmethod
-    def columns(column: str) -> list[Column]:
-        slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP_SLOTS))
-        return [F.bitmap_bucket_number(slot).alias("_part"), F.bitmap_bit_position(slot).alias("_bit")]
+    def _slot(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.slots))
+
+    def columns(self, column: str) -> list[Column]:
+        return [F.bitmap_bucket_number(self._slot(column)).alias("_part"), F.bitmap_bit_position(self._slot(column)).alias("_bit")]
 
     def hits(self, batch: pa.RecordBatch) -> np.ndarray:
         part, bit = batch.column("_part").to_numpy(), batch.column("_bit").to_numpy()
         return (self.held.value[part * self.size + (bit >> 3)] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
     def __reduce__(self):
-        return _restored, (self.held,)
+        return _restored, (self.held, self.slots)
 
 
-def _restored(held) -> IdFilter:
+def _restored(held, slots: int) -> IdFilter:
     made = IdFilter.__new__(IdFilter)
-    made.held = held
+    made.held, made.slots = held, slots
     return made
 
 
@@ -185,19 +222,36 @@ def _thinned(rows: DataFrame, column: str, wanted: IdFilter) -> DataFrame:
     return rows.select(*names, *wanted.columns(column)).mapInArrow(thin, rows.schema)
 
 
-def _shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, set_id) of the keys that more than one set has.
+def _block_keys(sketches: DataFrame, first: int | None = None) -> Column:
+    """The keys of a set: its blocks in its own band and the next, without empty ones where they can be spared."""
+
+    def of(bits: str, spare: str, band: Column) -> Column:
+        taken = F.slice(bits, 1, first) if first else F.col(bits)
+        return F.transform(taken, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
+
+    return F.concat(of("bits", "spare", F.col("band")), of("next_bits", "next_spare", F.col("band") + 1))
+
+
+def _shared_keys(sketches: DataFrame, keys: Column, keep) -> DataFrame:
+    """(key, set_id, low) of the keys that more than one set has; low is the smallest of those.
 
     The keys are counted by one aggregation with partial sums; a filter of the shared
     ones then thins out the rows before they are shuffled again.
     """
-    counted = keys.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = materialize(counted.where("low <> high").select("key", "low"), "shared-keys")
-    kept = _thinned(keys, "key", IdFilter(shared, "key"))
-    return kept.distinct().join(shared, "key")
+    rows = sketches.select("set_id", F.explode(keys).alias("key"))
+    counted = rows.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    shared = keep(counted.where("low <> high").select("key", "low"), "shared-keys")
+    kept = _thinned(rows, "key", IdFilter(shared, "key"))
+    return kept.distinct().join(shared, "key").select("key", "set_id", "low")
+
+
+def _few_sketches(sketches: DataFrame, classes: DataFrame, ids: DataFrame, keep) -> DataFrame:
+    """The sketch of the first row of each of the sets ``ids`` (set_id)."""
+    first = keep(ids.distinct().join(classes, "set_id").select(F.col("first_uid").alias("uid")), "first-rows")
+    return _thinned(sketches.drop("doc_id", "check"), "uid", IdFilter(first, "uid")).join(first, "uid", "left_semi").drop("uid")
 
 
-def _close(pairs: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataFrame:
+def _close(pairs: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """The pairs (u, v) whose sketches, and sizes, leave room for the similarity."""
     num, den = similarity.numerator, similarity.denominator
 
@@ -215,31 +269,34 @@ def _close(pairs: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataF
     room = (low + high) * (den - num)
     step = F.col("v_band") - F.col("u_band")
     short = both(pairs, ["n_shingles", "band", "fold"]).where((low * den >= high * num) & (F.abs(step) <= 1) & (apart("u_fold", "v_fold") * (den + num) <= room))
-    short = materialize(short.select("u", "v", room.alias("room"), step.alias("step")), "short")
+    short = keep(short.select("u", "v", room.alias("room"), step.alias("step")), "short")
     left = F.when(F.col("step") == 1, F.col("u_next_bits")).otherwise(F.col("u_bits"))
     right = F.when(F.col("step") == -1, F.col("v_next_bits")).otherwise(F.col("v_bits"))
     return both(short, ["bits", "next_bits"]).where(apart(left, right) * (den + num) <= F.col("room")).select("u", "v")
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(set_id, shingles) of the ``wanted`` (set_id, first_id), out of the texts of their first documents."""
+    """(set_id, shingles) of the ``wanted`` (set_id, check, first_id), out of the texts of their first documents."""
     ids = IdFilter(wanted, "first_id")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = batch.filter(pa.array(ids.hits(batch)))
             sets = [shingle_hashes(t.as_py(), width) for t in kept.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in sets], pa.int64()), _lists(sets)], ["set_id", "shingles"])
+            names = np.array([_set_names(s) for s in sets], dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(sets)], ["name", "check", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").select("text", *ids.columns("first_id"))
-    return texts.mapInArrow(rows, "set_id long, shingles array<long>").join(wanted.select("set_id"), "set_id").dropDuplicates(["set_id"])
+    # a set is found by both of its names, as its set_id may be another one (see _told_apart)
+    made = texts.mapInArrow(rows, "name long, check long, shingles array<long>")
+    return made.join(wanted.select("set_id", "name", "check"), ["name", "check"]).dropDuplicates(["set_id"]).select("set_id", "shingles")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: Fraction, keep) -> DataFrame:
     """The pairs (u, v) of sets whose similarity is reached, by their whole shingle sets."""
     named = pairs.select(F.col("u").alias("set_id")).union(pairs.select("v")).distinct()
-    wanted = materialize(named.join(classes, "set_id"), "wanted")
-    sets = materialize(_shingle_sets(docs, wanted, width), "sets")
+    wanted = keep(named.join(classes, "set_id"), "wanted")
+    sets = keep(_shingle_sets(docs, wanted, width), "sets")
     v = sets.select(F.col("set_id").alias("v"), F.col("shingles").alias("b"))
     u = sets.select(F.col("set_id").alias("u"), F.col("shingles").alias("a"))
     num, den = similarity.numerator, similarity.denominator
@@ -251,13 +308,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
 
 def _across(members: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs (u, v) of a group in different components, one of them outside the main component."""
-    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"), "low")
+    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"))
     other = members.select(*keys, F.col("set_id").alias("v"), F.col("root").alias("rv"))
-    pairs = rest.join(other, keys).where("ru <> rv AND u <> low AND v <> low")
+    pairs = rest.join(other, keys).where("ru <> rv")
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataFrame:
+def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """What ``_across`` and ``_close`` give, for large groups: sketches are compared in blocks of bounded size.
 
     Both sides of a group, those outside its main component and all, are dealt to
@@ -266,7 +323,7 @@ def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fracti
     """
     num, den = similarity.numerator, similarity.denominator
     held = members.join(sketches, "set_id").select("key", "set_id", "root", "main", "n", "most", "n_shingles", "band", "bits", "next_bits")
-    held = materialize(held, "hot-sketches")
+    held = keep(held, "hot-sketches")
     salt = F.xxhash64("set_id", F.lit(3))
     parts = F.ceil(F.col("n") / _BLOCK).cast("int")
     rest_parts = F.ceil((F.col("n") - F.col("most")) / _BLOCK).cast("int")
@@ -307,54 +364,117 @@ def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fracti
     return rest.groupBy(*tile).cogroup(every.groupBy(*tile)).applyInArrow(compare, "u long, v long").distinct()
 
 
+def _told_apart(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with a set_id that different sets do not share.
+
+    Sets are told apart by two names, 128 bits; the first of them is the set_id.  Some
+    sets of 10^10 may share it and are named anew, so the list of those is short.
+    """
+    clashes = classes.groupBy("set_id").agg(F.count("*").alias("n")).where("n > 1").select("set_id").collect()
+    if not clashes:
+        return sketches, classes
+    again = F.when(F.col("set_id").isin([r.set_id for r in clashes]), F.xxhash64("set_id", "check")).otherwise(F.col("set_id"))
+    return sketches.withColumn("set_id", again), classes.withColumn("set_id", again)
+
+
+def _rooted(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` (set_id ...) with the root of their component."""
+    return members.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+
+
+def _hot_members(open_: DataFrame, sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, set_id, root) of hot keys, without the sets that can leave their hot keys out.
+
+    ``sketches`` are those of the sets of ``open_``.
+    """
+    hot = open_.select("key").distinct()
+
+    def of(bits: str, spare: str, band: Column) -> Column:
+        named = F.transform(bits, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
+        return F.transform(named, lambda h: F.struct(h.alias("key"), band.alias("at"), F.col(spare).alias("room")))
+
+    every = F.concat(of("bits", "spare", F.col("band")), of("next_bits", "next_spare", F.col("band") + 1))
+    rows = sketches.select("set_id", F.explode(every).alias("k")).select("set_id", "k.key", "k.at", "k.room").where("key IS NOT NULL")
+    rows = rows.join(hot, "key", "left_semi")
+    tight = rows.groupBy("set_id", "at").agg(F.count("*").alias("n"), F.max("room").alias("most")).where("n > most")
+    return _rooted(rows.join(tight, ["set_id", "at"], "left_semi").select("key", "set_id").distinct(), nodes)
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """Shingle-set size and component of every document.
 
     Returns doc_id, n_shingles, set_id (equal sets have the same) and component_id,
     the smallest doc_id that links reach.  Two documents link when the similarity of
     their sets of ``width``-word shingles is at least ``similarity``.  Texts that are
-    null or have no words have no shingles and link with nothing.  Rows whose doc_id
-    is null are left out, as they cannot be named; a row that repeats a doc_id is
-    returned again.  An empty table gives an empty result.
+    null or have no words have no shingles and link with nothing.  Every row is a
+    document of its own: a repeated doc_id is returned once a row, each with the
+    component of its own text; a null doc_id is returned, but names no component.
+    Other columns are left out.  An empty table gives an empty result.
     """
-    docs = docs.where("doc_id IS NOT NULL")
-    sketches = materialize(_sketches(docs, width, similarity), "sketches")
-    names = sketches.select("doc_id", "n_shingles", "set_id")
-    classes = sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
-    classes = materialize(classes, "classes")
-    own = F.transform("bits", lambda x, i: F.xxhash64("band", i, x))
-    following = F.transform("next_bits", lambda x, i: F.xxhash64(F.col("band") + 1, i, x))
-    keys = sketches.select("set_id", F.explode(F.concat(own, following)).alias("key"))
-    members = materialize(_shared_keys(keys), "members")
-
-    ids = members.select("set_id").distinct()
-    few = _thinned(sketches.drop("doc_id"), "set_id", IdFilter(ids, "set_id")).join(ids, "set_id").dropDuplicates(["set_id"])
-    few = materialize(few, "member-sketches")
-
-    # every member against the smallest set of its key
-    first = members.where("low < set_id").select(F.col("low").alias("u"), F.col("set_id").alias("v")).distinct()
-    near = materialize(_close(first, few, similarity), "near")
-    links = materialize(_verified(near, docs, classes, width, similarity), "links")
+    with scratch(docs.sparkSession, "sketches") as keep:
+        sketches = keep(_sketches(docs, width, similarity), "sketches")
+        return materialize(_components(docs, sketches, width, similarity, keep), "components")
+
+
+def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fraction, hold) -> DataFrame:
+    """``jaccard_components`` from the sketches; ``hold`` keeps what all phases need."""
+    spark = docs.sparkSession
+    classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"))
+    classes = hold(classes.withColumn("name", F.col("set_id")), "classes")
+    sketches, classes = _told_apart(sketches, classes)
+
+    # a few blocks: every member against the smallest set of its key
+    with scratch(spark, "first") as keep:
+        members = keep(_shared_keys(sketches, F.filter(_block_keys(sketches, _FIRST_BLOCKS), lambda h: h.isNotNull()), keep), "members")
+        few = keep(_few_sketches(sketches, classes, members.select("set_id"), keep), "member-sketches")
+        first = members.where("low < set_id").select(F.col("low").alias("u"), F.col("set_id").alias("v")).distinct()
+        near = keep(_close(first, few, similarity, keep), "near")
+        links = hold(_verified(near, docs, classes, width, similarity, keep), "links")
     nodes = components(links)
 
-    # keys whose members are not yet in one component: all others against those outside the main one
-    placed = members.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
-    placed = materialize(placed.select("key", "set_id", "low", F.coalesce("root", "set_id").alias("root")), "placed")
-    # (pairs with the smallest set of a key are known)
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
-    mains = mains.where("n > most AND n > 2").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
-    open_ = materialize(placed.join(mains.select("key", "main", "many", "n", "most"), "key"), "open")
-    few_pairs = materialize(_across(open_.where("NOT many"), ["key"]), "pairs")
-    hot = _close_in_blocks(open_.where("many"), few, similarity)
-    near = materialize(_close(few_pairs, few, similarity).union(hot).distinct(), "near")
-    more = materialize(_verified(near, docs, classes, width, similarity), "links")
-    nodes = components(links.unionByName(more))
-
-    rooted = classes.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
-    rooted = materialize(rooted.select("set_id", "first_id", F.coalesce("root", "set_id").alias("root")), "rooted")
+    # all blocks: keys whose sets are not yet in one component
+    rounds = math.ceil(_ROUNDS * (1 - similarity) / (1 + similarity)) or 1
+    parts = []
+    for part in range(rounds):
+        with scratch(spark, "round") as keep:
+            keys = F.filter(_block_keys(sketches), lambda h: h.isNotNull() & (F.pmod(h, F.lit(rounds)) == part))
+            placed = keep(_rooted(_shared_keys(sketches, keys, keep), nodes).select("key", "set_id", "root"), "placed")
+            spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
+            parts.append(hold(placed.join(spread.select("key", "n"), "key"), "open"))
+    open_ = parts[0]
+    for part in parts[1:]:
+        open_ = open_.unionByName(part)
+
+    with scratch(spark, "pairs") as keep:
+        few = keep(_few_sketches(sketches, classes, open_.select("set_id"), keep), "open-sketches")
+        cold = open_.where(F.col("n") <= _HOT)
+        other = cold.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"))
+        pairs = cold.select("key", F.col("set_id").alias("u"), F.col("root").alias("ru")).join(other, "key").where("u < v AND ru <> rv")
+        pairs = keep(pairs.select("u", "v").distinct(), "pairs")
+        near = keep(_close(pairs, few, similarity, keep), "near")
+        if not near.isEmpty():
+            links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
+            nodes = components(links)
+
+        hot = open_.where(F.col("n") > _HOT)
+        if not hot.isEmpty():
+            some = keep(_few_sketches(sketches, classes, hot.select("set_id"), keep), "hot-sketches")
+            placed = keep(_hot_members(hot, some, nodes), "hot-members")
+            sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+            mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
+            mains = mains.where("n > most").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
+            held = keep(placed.join(mains, "key"), "hot-open")
+            few_pairs = keep(_across(held.where("NOT many"), ["key"]), "few-pairs")
+            near = _close(few_pairs, some, similarity, keep).union(_close_in_blocks(held.where("many"), some, similarity, keep))
+            near = keep(near.distinct(), "hot-near")
+            if not near.isEmpty():
+                links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
+                nodes = components(links)
+
+    rooted = hold(_rooted(classes.select("set_id", "first_id"), nodes), "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = materialize(rooted.select("set_id", "root").join(least, "root").select("set_id", "component_id"), "labels")
+    labels = rooted.select("set_id", "root").join(least, "root").select("set_id", "component_id")
+    names = sketches.select("doc_id", "n_shingles", "set_id")
     return (
         names.where("n_shingles > 0").join(labels, "set_id")
         .unionByName(names.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")))
