@@ -35,14 +35,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies (five words, similarity 0.8): the smallest doc_id, null last.
 
-    Rows are compared under a number of their own, so a repeated or missing doc_id neither drops nor keeps a text.
+    Rows are compared under a number made of doc_id and text, so a repeated or missing
+    doc_id neither drops nor keeps a text; rows that agree in both are one document.
     """
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, similarity=Fraction(4, 5))
-    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
-    first = F.min_by("_row", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
-    kept = named.groupBy("component_id").agg(first.alias("_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    number = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    named = docs.select(number.alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text", F.lit(1)).alias("_text"))
+    groups = jaccard_components(docs.select(number.alias("doc_id"), "text"), width=5, similarity=Fraction(4, 5))
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    rank = F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "_row")
+    kept = groups.join(named.distinct(), "_row").groupBy("component_id").agg(F.min_by("_row", rank).alias("_row")).select("_row")
+    rows = docs.withColumns({"_row": number, "_text": F.xxhash64("text", F.lit(1))})
+    return rows.join(materialize(kept, "kept"), "_row", "left_semi").dropDuplicates(["_row", "_text"]).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
