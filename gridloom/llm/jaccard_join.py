@@ -15,12 +15,14 @@ most near copies first: each class is checked against the smallest it meets.  Th
 blocks are joined, a part of the key space at a time, and only keys whose classes are
 not yet in one component are kept.  Keys of a few classes give pairs.
 
+Bands have spare blocks, so two sets that link agree in some blocks more than the bound
+asks for, and a pair that shares fewer keys than that is dropped unseen.
+
 Keys of many classes, which a passage of many documents or an empty block makes, are
-left out where that cannot lose a pair: bands have spare blocks, so two sets that link
-agree in some blocks more than the bound asks for.  A set with fewer hot keys than it
-has blocks to spare shares another key with each of its partners.  What is left, sets
-that consist of such passages, is compared sketch by sketch in blocks of bounded size,
-and only close pairs leave the task.
+left out where that cannot lose a pair: a set with no more hot keys than it has blocks
+to spare shares another key with each of its partners.  What is left, sets that consist
+of such passages, is compared sketch by sketch in blocks of bounded size, and only close
+pairs leave the task.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from gridloom.llm.words import mix, shingle_hashes
 #: Ratio of the bounds of neighbouring size bands.
 _BAND = 1.4
 #: One spare block for so many.
-_SPARE = 32
+_SPARE = 10
 #: Bits of an id filter for each id, and at most (256 MB; beyond that it lets more through, and the join does the rest).
 _FILTER_BITS, _MOST_SLOTS = 32, 1 << 31
 #: Blocks of a band that are joined first.
@@ -113,6 +116,12 @@ def spare_blocks(size: int, bits: np.ndarray, band: int, bands: tuple[np.ndarray
     return int(blocks[band]) - apart - 1 - int((bits == 0).sum())
 
 
+def _room(total: Column, similarity: Fraction) -> Column:
+    """The most elements in which two sets of together ``total`` elements differ if they link."""
+    num, den = similarity.numerator, similarity.denominator
+    return F.floor(total * (den - num) / F.lit(den + num) + 1e-9)
+
+
 def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, list[np.ndarray], list[int]]:
     """Own band; sketch there, and in the next band if a partner may lie there; blocks to spare in both."""
     lows, blocks = bands
@@ -143,7 +152,7 @@ def _set_names(shingles: np.ndarray) -> tuple[int, int]:
     return first or 1, second
 
 
-MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, fold array<long>, spare int, next_spare int"
+MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, spare int, next_spare int, empty int, next_empty int"
 
 
 def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
@@ -163,8 +172,9 @@ def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 pa.array(names[:, 1]),
                 pa.array([m[0] for m in made], pa.int32()),
                 *(_lists([m[1][k] for m in made]) for k in range(2)),
-                _lists([fold(s) for s in sets]),
+                *(pa.array(c) for c in np.array([fold(s) for s in sets], dtype=np.uint64).reshape(-1, _FOLD).T.copy().view(np.int64)),
                 *(pa.array([m[2][k] for m in made], pa.int32()) for k in range(2)),
+                *(pa.array([int((m[1][k] == 0).sum()) for m in made], pa.int32()) for k in range(2)),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MADE.split(", ")])
 
@@ -222,57 +232,62 @@ def _thinned(rows: DataFrame, column: str, wanted: IdFilter) -> DataFrame:
     return rows.select(*names, *wanted.columns(column)).mapInArrow(thin, rows.schema)
 
 
-def _block_keys(sketches: DataFrame, first: int | None = None) -> Column:
-    """The keys of a set: its blocks in its own band and the next, without empty ones where they can be spared."""
+def _block_keys(sketches: DataFrame, wanted=None, first: int | None = None) -> DataFrame:
+    """(set_id, key, later) of the blocks of sets in their own band and, ``later``, the next; without empty ones where they can be spared."""
 
-    def of(bits: str, spare: str, band: Column) -> Column:
+    def of(bits: str, spare: str, later: bool) -> Column:
         taken = F.slice(bits, 1, first) if first else F.col(bits)
-        return F.transform(taken, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
+        band = F.col("band") + int(later)
+        named = F.transform(taken, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
+        kept = F.filter(named, lambda h: h.isNotNull() if wanted is None else h.isNotNull() & wanted(h))
+        return F.transform(kept, lambda h: F.struct(h.alias("key"), F.lit(later).alias("later")))
 
-    return F.concat(of("bits", "spare", F.col("band")), of("next_bits", "next_spare", F.col("band") + 1))
+    rows = sketches.select("set_id", F.explode(F.concat(of("bits", "spare", False), of("next_bits", "next_spare", True))).alias("k"))
+    return rows.select("set_id", "k.key", "k.later")
 
 
-def _shared_keys(sketches: DataFrame, keys: Column, keep) -> DataFrame:
-    """(key, set_id, low) of the keys that more than one set has; low is the smallest of those.
+def _shared_keys(rows: DataFrame, keep) -> DataFrame:
+    """(key, set_id, later, low) of the keys that more than one set has, one of them in its own band; low is the smallest set.
 
     The keys are counted by one aggregation with partial sums; a filter of the shared
     ones then thins out the rows before they are shuffled again.
     """
-    rows = sketches.select("set_id", F.explode(keys).alias("key"))
-    counted = rows.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = keep(counted.where("low <> high").select("key", "low"), "shared-keys")
+    counted = rows.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.min("later").alias("later"))
+    shared = keep(counted.where("low <> high AND NOT later").select("key", "low"), "shared-keys")
     kept = _thinned(rows, "key", IdFilter(shared, "key"))
-    return kept.distinct().join(shared, "key").select("key", "set_id", "low")
+    return kept.distinct().join(shared, "key").select("key", "set_id", "later", "low")
 
 
-def _few_sketches(sketches: DataFrame, classes: DataFrame, ids: DataFrame, keep) -> DataFrame:
-    """The sketch of the first row of each of the sets ``ids`` (set_id)."""
+def _sketches_of_sets(sketches: DataFrame, classes: DataFrame, ids: DataFrame, keep) -> DataFrame:
+    """set_id and sketches of the first row of each of the sets ``ids`` (set_id)."""
     first = keep(ids.distinct().join(classes, "set_id").select(F.col("first_uid").alias("uid")), "first-rows")
-    return _thinned(sketches.drop("doc_id", "check"), "uid", IdFilter(first, "uid")).join(first, "uid", "left_semi").drop("uid")
+    rows = sketches.select("uid", "set_id", "bits", "next_bits")
+    return keep(_thinned(rows, "uid", IdFilter(first, "uid")).join(first, "uid", "left_semi").drop("uid"), "some-sketches")
 
 
-def _close(pairs: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
+def _close(pairs: DataFrame, sketches: DataFrame, classes: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """The pairs (u, v) whose sketches, and sizes, leave room for the similarity."""
     num, den = similarity.numerator, similarity.denominator
 
-    def apart(left: Column | str, right: Column | str) -> Column:
-        bits = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        return F.coalesce(F.aggregate(bits, F.lit(0), lambda s, x: s + x), F.lit(0))
-
-    def both(rows: DataFrame, names: list[str]) -> DataFrame:
-        u = sketches.select(F.col("set_id").alias("u"), *[F.col(c).alias(f"u_{c}") for c in names])
-        v = sketches.select(F.col("set_id").alias("v"), *[F.col(c).alias(f"v_{c}") for c in names])
+    def both(rows: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
+        u = table.select(F.col("set_id").alias("u"), *[F.col(c).alias(f"u_{c}") for c in names])
+        v = table.select(F.col("set_id").alias("v"), *[F.col(c).alias(f"v_{c}") for c in names])
         return rows.join(v, "v").join(u, "u")
 
     # sizes and short sketches first, so that few pairs carry their long ones
+    short = [f"f{k}" for k in range(_FOLD)]
     low, high = F.least("u_n_shingles", "v_n_shingles"), F.greatest("u_n_shingles", "v_n_shingles")
-    room = (low + high) * (den - num)
-    step = F.col("v_band") - F.col("u_band")
-    short = both(pairs, ["n_shingles", "band", "fold"]).where((low * den >= high * num) & (F.abs(step) <= 1) & (apart("u_fold", "v_fold") * (den + num) <= room))
-    short = keep(short.select("u", "v", room.alias("room"), step.alias("step")), "short")
+    room, step = _room(low + high, similarity), F.col("v_band") - F.col("u_band")
+    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in short), F.lit(0))
+    some = both(pairs, classes, ["n_shingles", "band", *short]).where((low * den >= high * num) & (F.abs(step) <= 1) & (apart <= room))
+    some = keep(some.select("u", "v", room.alias("room"), step.alias("step")), "short")
+
+    held = _sketches_of_sets(sketches, classes, some.select(F.col("u").alias("set_id")).union(some.select("v")), keep)
     left = F.when(F.col("step") == 1, F.col("u_next_bits")).otherwise(F.col("u_bits"))
     right = F.when(F.col("step") == -1, F.col("v_next_bits")).otherwise(F.col("v_bits"))
-    return both(short, ["bits", "next_bits"]).where(apart(left, right) * (den + num) <= F.col("room")).select("u", "v")
+    bits = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.coalesce(F.aggregate(bits, F.lit(0), lambda s, x: s + x), F.lit(0))
+    return both(some, held, ["bits", "next_bits"]).where(apart <= F.col("room")).select("u", "v")
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -308,14 +323,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
 
 def _across(members: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs (u, v) of a group in different components, one of them outside the main component."""
-    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"))
-    other = members.select(*keys, F.col("set_id").alias("v"), F.col("root").alias("rv"))
-    pairs = rest.join(other, keys).where("ru <> rv")
+    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"))
+    other = members.select(*keys, F.col("set_id").alias("v"), F.col("root").alias("rv"), F.col("later").alias("lv"))
+    pairs = rest.join(other, keys).where("ru <> rv AND NOT (lu AND lv)")
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
-    """What ``_across`` and ``_close`` give, for large groups: sketches are compared in blocks of bounded size.
+    """What ``_across`` and ``_close`` give, for large groups of ``members``: ``sketches`` (set_id, n_shingles, band, bits, next_bits) are compared in blocks of bounded size.
 
     Both sides of a group, those outside its main component and all, are dealt to
     blocks by a hash; every block of one side meets every block of the other, and
@@ -382,22 +397,23 @@ def _rooted(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return members.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
 
 
-def _hot_members(open_: DataFrame, sketches: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, set_id, root) of hot keys, without the sets that can leave their hot keys out.
+def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs (u, v) of ``cold`` (key, set_id, later, root) in different components that share as many keys as they must to link.
 
-    ``sketches`` are those of the sets of ``open_``.
+    Two sets that link agree in all blocks of their common band but ``_room``; of these,
+    empty ones are no keys, and hot ones are not here.  A pair of sets that both keep
+    their hot keys is found by those, unless all keys they share are cold.
     """
-    hot = open_.select("key").distinct()
-
-    def of(bits: str, spare: str, band: Column) -> Column:
-        named = F.transform(bits, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
-        return F.transform(named, lambda h: F.struct(h.alias("key"), band.alias("at"), F.col(spare).alias("room")))
-
-    every = F.concat(of("bits", "spare", F.col("band")), of("next_bits", "next_spare", F.col("band") + 1))
-    rows = sketches.select("set_id", F.explode(every).alias("k")).select("set_id", "k.key", "k.at", "k.room").where("key IS NOT NULL")
-    rows = rows.join(hot, "key", "left_semi")
-    tight = rows.groupBy("set_id", "at").agg(F.count("*").alias("n"), F.max("room").alias("most")).where("n > most")
-    return _rooted(rows.join(tight, ["set_id", "at"], "left_semi").select("key", "set_id").distinct(), nodes)
+    blocks = F.array(*[F.lit(int(n)) for n in size_bands(similarity)[1]])
+    rows = cold.join(sets, ["set_id", "later"])
+    names = ["set_id", "root", "later", "n_shingles", "band", "empty", "spare", "hot"]
+    u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in names]) for x in "uv")
+    pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root AND NOT (u_later AND v_later)")
+    need = F.element_at(blocks, F.col("u_band") + 1) - _room(F.col("u_n_shingles") + F.col("v_n_shingles"), similarity) - F.least("u_empty", "v_empty")
+    light = (F.col("u_hot") <= F.col("u_spare")) | (F.col("v_hot") <= F.col("v_spare"))
+    need = F.greatest(need - F.when(light, F.least("u_hot", "v_hot")).otherwise(0), F.lit(1)).cast("int")
+    counted = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), need.alias("need")).groupBy("u", "v").agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    return counted.where("n >= need").select("u", "v")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
@@ -419,16 +435,18 @@ def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = F
 def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fraction, hold) -> DataFrame:
     """``jaccard_components`` from the sketches; ``hold`` keeps what all phases need."""
     spark = docs.sparkSession
-    classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"))
+    classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(
+        F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"),
+        *[F.max(c).alias(c) for c in ("n_shingles", "band", "spare", "next_spare", "empty", "next_empty", "f0", "f1", "f2", "f3")],
+    )
     classes = hold(classes.withColumn("name", F.col("set_id")), "classes")
     sketches, classes = _told_apart(sketches, classes)
 
     # a few blocks: every member against the smallest set of its key
     with scratch(spark, "first") as keep:
-        members = keep(_shared_keys(sketches, F.filter(_block_keys(sketches, _FIRST_BLOCKS), lambda h: h.isNotNull()), keep), "members")
-        few = keep(_few_sketches(sketches, classes, members.select("set_id"), keep), "member-sketches")
+        members = keep(_shared_keys(_block_keys(sketches, first=_FIRST_BLOCKS), keep), "members")
         first = members.where("low < set_id").select(F.col("low").alias("u"), F.col("set_id").alias("v")).distinct()
-        near = keep(_close(first, few, similarity, keep), "near")
+        near = keep(_close(first, sketches, classes, similarity, keep), "near")
         links = hold(_verified(near, docs, classes, width, similarity, keep), "links")
     nodes = components(links)
 
@@ -437,39 +455,40 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     parts = []
     for part in range(rounds):
         with scratch(spark, "round") as keep:
-            keys = F.filter(_block_keys(sketches), lambda h: h.isNotNull() & (F.pmod(h, F.lit(rounds)) == part))
-            placed = keep(_rooted(_shared_keys(sketches, keys, keep), nodes).select("key", "set_id", "root"), "placed")
+            keys = _block_keys(sketches, lambda h, part=part: F.pmod(h, F.lit(rounds)) == part)
+            placed = keep(_rooted(_shared_keys(keys, keep).drop("low"), nodes), "placed")
             spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
-            parts.append(hold(placed.join(spread.select("key", "n"), "key"), "open"))
-    open_ = parts[0]
-    for part in parts[1:]:
-        open_ = open_.unionByName(part)
+            parts.append(hold(placed.join(spread.select("key", (F.col("n") > _HOT).alias("many")), "key"), "open"))
+    open_ = reduce(DataFrame.unionByName, parts)
 
     with scratch(spark, "pairs") as keep:
-        few = keep(_few_sketches(sketches, classes, open_.select("set_id"), keep), "open-sketches")
-        cold = open_.where(F.col("n") <= _HOT)
-        other = cold.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"))
-        pairs = cold.select("key", F.col("set_id").alias("u"), F.col("root").alias("ru")).join(other, "key").where("u < v AND ru <> rv")
-        pairs = keep(pairs.select("u", "v").distinct(), "pairs")
-        near = keep(_close(pairs, few, similarity, keep), "near")
+        hot = open_.where("many")
+        counts = hot.groupBy("set_id", "later").agg(F.count("*").alias("hot"))
+        bands = [("spare", "empty", False), ("next_spare", "next_empty", True)]
+        sets = [classes.select("set_id", "n_shingles", (F.col("band") + int(later)).alias("band"), F.col(spare).alias("spare"), F.col(empty).alias("empty"), F.lit(later).alias("later")) for spare, empty, later in bands]
+        sets = sets[0].unionByName(sets[1]).join(counts, ["set_id", "later"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
+        sets = keep(sets, "sets")
+        pairs = keep(_pairs_with_enough(open_.where("NOT many").drop("many"), sets, similarity), "pairs")
+        near = keep(_close(pairs, sketches, classes, similarity, keep), "near")
         if not near.isEmpty():
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
             nodes = components(links)
 
-        hot = open_.where(F.col("n") > _HOT)
-        if not hot.isEmpty():
-            some = keep(_few_sketches(sketches, classes, hot.select("set_id"), keep), "hot-sketches")
-            placed = keep(_hot_members(hot, some, nodes), "hot-members")
-            sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-            mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
-            mains = mains.where("n > most").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
-            held = keep(placed.join(mains, "key"), "hot-open")
-            few_pairs = keep(_across(held.where("NOT many"), ["key"]), "few-pairs")
-            near = _close(few_pairs, some, similarity, keep).union(_close_in_blocks(held.where("many"), some, similarity, keep))
+        heavy = sets.where("hot > spare").select("set_id", "later")
+        placed = keep(_rooted(hot.select("key", "set_id", "later").join(heavy, ["set_id", "later"], "left_semi"), nodes), "hot")
+        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+        mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
+        mains = mains.where("n > most").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
+        held = keep(placed.join(mains, "key"), "hot-open")
+        if not held.isEmpty():
+            near = _close(keep(_across(held.where("NOT many"), ["key"]), "few-pairs"), sketches, classes, similarity, keep)
+            many = held.where("many")
+            if not many.isEmpty():
+                some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep).join(classes.select("set_id", "n_shingles", "band"), "set_id")
+                near = near.union(_close_in_blocks(many, some, similarity, keep))
             near = keep(near.distinct(), "hot-near")
-            if not near.isEmpty():
-                links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
-                nodes = components(links)
+            links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
+            nodes = components(links)
 
     rooted = hold(_rooted(classes.select("set_id", "first_id"), nodes), "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
