@@ -16,11 +16,14 @@ blocks are joined, a part of the key space at a time, and only keys whose classe
 not yet in one component are kept.  Keys of a few classes give pairs.
 
 Bands have spare blocks, so two sets that link agree in some blocks more than the bound
-asks for, and a pair that shares fewer keys than that is dropped unseen.
-
-Keys of many classes, which a passage of many documents or an empty block makes, are
-left out where that cannot lose a pair: a set with no more hot keys than it has blocks
-to spare shares another key with each of its partners.  What is left, sets that consist
+asks for.  A set leaves its weakest blocks out, those with the fewest bits, as long as
+every partner must agree with it in a stronger one; so most chance matches, of a block
+that is empty or holds one common shingle, are no keys.  A pair that shares fewer keys
+than its sizes ask for is dropped unseen.
+
+Keys of many classes, which a passage of many documents makes, are left out where that
+cannot lose a pair: a set with no more hot keys than it has blocks to spare shares
+another key with each of its partners.  What is left, sets that consist
 of such passages, is compared sketch by sketch in blocks of bounded size, and only close
 pairs leave the task.
 """
@@ -43,8 +46,8 @@ from gridloom.llm.words import mix, shingle_hashes
 
 #: Ratio of the bounds of neighbouring size bands.
 _BAND = 1.4
-#: One spare block for so many.
-_SPARE = 10
+#: One spare block for so many, and the share of blocks that weak ones may not use up.
+_SPARE, _RESERVE = 4, 16
 #: Bits of an id filter for each id, and at most (256 MB; beyond that it lets more through, and the join does the rest).
 _FILTER_BITS, _MOST_SLOTS = 32, 1 << 31
 #: Blocks of a band that are joined first.
@@ -101,19 +104,25 @@ def fold(shingles: np.ndarray) -> np.ndarray:
     return bits
 
 
-def spare_blocks(size: int, bits: np.ndarray, band: int, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> int:
-    """How many blocks, besides its empty ones, a set can leave out in a band and still share one with every partner there.
+def left_out(size: int, bits: np.ndarray, band: int, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, int, int]:
+    """Which blocks of a set are no keys in a band: those with at most ``level`` bits.  (level, their number, blocks still to spare)
 
     A partner in the band has at most ``partner`` elements and the two differ in at
-    most ``apart`` blocks, so they agree in all the others.  Below 0 the empty blocks
-    must stay.
+    most ``apart`` blocks, so they agree in all the others.  Blocks that agree have the
+    same bits, so of those no more are weak than this set has weak ones.  Whatever level
+    a partner takes, the reserve stays: no more hot keys than that can be spared besides.
     """
     lows, blocks = bands
     partner = int(size / similarity)
     if band + 1 < len(lows):
         partner = min(partner, int(lows[band + 1]) - 1)
     apart = int((size + partner) * (1 - similarity) / (1 + similarity))
-    return int(blocks[band]) - apart - 1 - int((bits == 0).sum())
+    spare = int(blocks[band]) - apart - 1
+    weak = np.cumsum(np.bincount(np.bitwise_count(bits)))
+    reserve = bits.size // _RESERVE
+    level = int(np.searchsorted(weak, spare - reserve, side="right")) - 1
+    dropped = int(weak[level]) if level >= 0 else 0
+    return level, dropped, min(reserve, spare - dropped)
 
 
 def _room(total: Column, similarity: Fraction) -> Column:
@@ -122,18 +131,18 @@ def _room(total: Column, similarity: Fraction) -> Column:
     return F.floor(total * (den - num) / F.lit(den + num) + 1e-9)
 
 
-def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, list[np.ndarray], list[int]]:
-    """Own band; sketch there, and in the next band if a partner may lie there; blocks to spare in both."""
+def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, list[np.ndarray], list[tuple[int, int, int]]]:
+    """Own band; sketch there, and in the next band if a partner may lie there; what is left out in both."""
     lows, blocks = bands
     own = int(np.searchsorted(lows, shingles.size, side="right")) - 1
-    parts, spare = [np.empty(0, dtype=np.uint64)] * 2, [-1, -1]
+    parts, out = [np.empty(0, dtype=np.uint64)] * 2, [(-1, 0, 0)] * 2
     for k in range(2):
         band = own + k
         near = k == 0 or band < len(lows) and shingles.size >= similarity * int(lows[band])
         if shingles.size and band >= 0 and near and blocks[band] > 1:
             parts[k] = sketch(shingles, band, int(blocks[band]))
-            spare[k] = spare_blocks(shingles.size, parts[k], band, bands, similarity)
-    return own, parts, spare
+            out[k] = left_out(shingles.size, parts[k], band, bands, similarity)
+    return own, parts, out
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -152,7 +161,7 @@ def _set_names(shingles: np.ndarray) -> tuple[int, int]:
     return first or 1, second
 
 
-MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, spare int, next_spare int, empty int, next_empty int"
+MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, level int, dropped int, spare int, next_level int, next_dropped int, next_spare int"
 
 
 def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
@@ -173,8 +182,7 @@ def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 pa.array([m[0] for m in made], pa.int32()),
                 *(_lists([m[1][k] for m in made]) for k in range(2)),
                 *(pa.array(c) for c in np.array([fold(s) for s in sets], dtype=np.uint64).reshape(-1, _FOLD).T.copy().view(np.int64)),
-                *(pa.array([m[2][k] for m in made], pa.int32()) for k in range(2)),
-                *(pa.array([int((m[1][k] == 0).sum()) for m in made], pa.int32()) for k in range(2)),
+                *(pa.array([m[2][k][i] for m in made], pa.int32()) for k in range(2) for i in range(3)),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MADE.split(", ")])
 
@@ -233,16 +241,16 @@ def _thinned(rows: DataFrame, column: str, wanted: IdFilter) -> DataFrame:
 
 
 def _block_keys(sketches: DataFrame, wanted=None, first: int | None = None) -> DataFrame:
-    """(set_id, key, later) of the blocks of sets in their own band and, ``later``, the next; without empty ones where they can be spared."""
+    """(set_id, key, later) of the blocks of sets in their own band and, ``later``, the next, without those that are left out."""
 
-    def of(bits: str, spare: str, later: bool) -> Column:
+    def of(bits: str, level: str, later: bool) -> Column:
         taken = F.slice(bits, 1, first) if first else F.col(bits)
         band = F.col("band") + int(later)
-        named = F.transform(taken, lambda x, i: F.when((x != 0) | (F.col(spare) < 0), F.xxhash64(band, i, x)))
+        named = F.transform(taken, lambda x, i: F.when(F.bit_count(x) > F.col(level), F.xxhash64(band, i, x)))
         kept = F.filter(named, lambda h: h.isNotNull() if wanted is None else h.isNotNull() & wanted(h))
         return F.transform(kept, lambda h: F.struct(h.alias("key"), F.lit(later).alias("later")))
 
-    rows = sketches.select("set_id", F.explode(F.concat(of("bits", "spare", False), of("next_bits", "next_spare", True))).alias("k"))
+    rows = sketches.select("set_id", F.explode(F.concat(of("bits", "level", False), of("next_bits", "next_level", True))).alias("k"))
     return rows.select("set_id", "k.key", "k.later")
 
 
@@ -401,15 +409,18 @@ def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction) -
     """Pairs (u, v) of ``cold`` (key, set_id, later, root) in different components that share as many keys as they must to link.
 
     Two sets that link agree in all blocks of their common band but ``_room``; of these,
-    empty ones are no keys, and hot ones are not here.  A pair of sets that both keep
+    weak ones are no keys, and hot ones are not here.  A pair of sets that both keep
     their hot keys is found by those, unless all keys they share are cold.
     """
     blocks = F.array(*[F.lit(int(n)) for n in size_bands(similarity)[1]])
     rows = cold.join(sets, ["set_id", "later"])
-    names = ["set_id", "root", "later", "n_shingles", "band", "empty", "spare", "hot"]
+    names = ["set_id", "root", "later", "n_shingles", "band", "level", "dropped", "spare", "hot"]
     u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in names]) for x in "uv")
     pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root AND NOT (u_later AND v_later)")
-    need = F.element_at(blocks, F.col("u_band") + 1) - _room(F.col("u_n_shingles") + F.col("v_n_shingles"), similarity) - F.least("u_empty", "v_empty")
+    # blocks that agree are weak in both by the higher of the two levels
+    higher = F.when(F.col("u_level") > F.col("v_level"), F.col("u_dropped")).otherwise(F.col("v_dropped"))
+    weak = F.when(F.col("u_level") == F.col("v_level"), F.least("u_dropped", "v_dropped")).otherwise(higher)
+    need = F.element_at(blocks, F.col("u_band") + 1) - _room(F.col("u_n_shingles") + F.col("v_n_shingles"), similarity) - weak
     light = (F.col("u_hot") <= F.col("u_spare")) | (F.col("v_hot") <= F.col("v_spare"))
     need = F.greatest(need - F.when(light, F.least("u_hot", "v_hot")).otherwise(0), F.lit(1)).cast("int")
     counted = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), need.alias("need")).groupBy("u", "v").agg(F.count("*").alias("n"), F.min("need").alias("need"))
@@ -437,7 +448,7 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     spark = docs.sparkSession
     classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(
         F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"),
-        *[F.max(c).alias(c) for c in ("n_shingles", "band", "spare", "next_spare", "empty", "next_empty", "f0", "f1", "f2", "f3")],
+        *[F.max(c).alias(c) for c in ("n_shingles", "band", "level", "dropped", "spare", "next_level", "next_dropped", "next_spare", "f0", "f1", "f2", "f3")],
     )
     classes = hold(classes.withColumn("name", F.col("set_id")), "classes")
     sketches, classes = _told_apart(sketches, classes)
@@ -464,8 +475,10 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     with scratch(spark, "pairs") as keep:
         hot = open_.where("many")
         counts = hot.groupBy("set_id", "later").agg(F.count("*").alias("hot"))
-        bands = [("spare", "empty", False), ("next_spare", "next_empty", True)]
-        sets = [classes.select("set_id", "n_shingles", (F.col("band") + int(later)).alias("band"), F.col(spare).alias("spare"), F.col(empty).alias("empty"), F.lit(later).alias("later")) for spare, empty, later in bands]
+        sets = [
+            classes.select("set_id", "n_shingles", (F.col("band") + int(later)).alias("band"), *[F.col(f"{own}{c}").alias(c) for c in ("level", "dropped", "spare")], F.lit(later).alias("later"))
+            for own, later in (("", False), ("next_", True))
+        ]
         sets = sets[0].unionByName(sets[1]).join(counts, ["set_id", "later"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
         sets = keep(sets, "sets")
         pairs = keep(_pairs_with_enough(open_.where("NOT many").drop("many"), sets, similarity), "pairs")
