@@ -54,6 +54,8 @@ _FILTER_BITS, _MOST_SLOTS = 32, 1 << 31
 _FIRST_BLOCKS = 6
 #: Parts of the key space that are joined one after the other, for each key that a shingle has.
 _ROUNDS = 12
+#: Parts of the sets whose pairs are counted one after the other.
+_PAIR_ROUNDS = 4
 #: Keys of more open classes are hot.
 _HOT = 16
 #: When more pairs than this would come of a key, its sketches are compared in blocks.
@@ -405,26 +407,35 @@ def _rooted(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return members.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
 
 
-def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """Pairs (u, v) of ``cold`` (key, set_id, later, root) in different components that share as many keys as they must to link.
 
-    Two sets that link agree in all blocks of their common band but ``_room``; of these,
-    weak ones are no keys, and hot ones are not here.  A pair of sets that both keep
-    their hot keys is found by those, unless all keys they share are cold.
+    Two sets that link agree in more blocks than the reserve besides the weak ones; of
+    these only hot ones are not here.  A pair of sets that both keep their hot keys is
+    found by those, unless all keys they share are cold.  Pairs are counted for a part
+    of the sets at a time, so that few rows lie on disk at once.
     """
-    blocks = F.array(*[F.lit(int(n)) for n in size_bands(similarity)[1]])
-    rows = cold.join(sets, ["set_id", "later"])
-    names = ["set_id", "root", "later", "n_shingles", "band", "level", "dropped", "spare", "hot"]
-    u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in names]) for x in "uv")
-    pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root AND NOT (u_later AND v_later)")
-    # blocks that agree are weak in both by the higher of the two levels
-    higher = F.when(F.col("u_level") > F.col("v_level"), F.col("u_dropped")).otherwise(F.col("v_dropped"))
-    weak = F.when(F.col("u_level") == F.col("v_level"), F.least("u_dropped", "v_dropped")).otherwise(higher)
-    need = F.element_at(blocks, F.col("u_band") + 1) - _room(F.col("u_n_shingles") + F.col("v_n_shingles"), similarity) - weak
-    light = (F.col("u_hot") <= F.col("u_spare")) | (F.col("v_hot") <= F.col("v_spare"))
-    need = F.greatest(need - F.when(light, F.least("u_hot", "v_hot")).otherwise(0), F.lit(1)).cast("int")
-    counted = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), need.alias("need")).groupBy("u", "v").agg(F.count("*").alias("n"), F.min("need").alias("need"))
-    return counted.where("n >= need").select("u", "v")
+    num, den = similarity.numerator, similarity.denominator
+    must = F.greatest(F.col("spare") + 1 - F.col("hot"), F.lit(1))
+    # size, band and keys that must be shared, in one number
+    told = F.col("n_shingles") * (1 << 17) + F.col("later").cast("long") * (1 << 16) + F.least(must, F.lit((1 << 16) - 1))
+    rows = keep(cold.join(sets.select("set_id", "later", told.alias("told")), ["set_id", "later"]).select("key", "set_id", "root", "told"), "cold")
+
+    def of(x: str) -> tuple[Column, Column, Column]:
+        return F.shiftright(f"{x}_told", 17), F.col(f"{x}_told").bitwiseAND(1 << 16) != 0, F.col(f"{x}_told").bitwiseAND((1 << 16) - 1)
+
+    (u_size, u_later, u_must), (v_size, v_later, v_must) = of("u"), of("v")
+    fits = (F.least(u_size, v_size) * den >= F.greatest(u_size, v_size) * num) & ~(u_later & v_later)
+    found = []
+    for part in range(_PAIR_ROUNDS):
+        u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set_id", "root", "told")]) for x in "uv")
+        u = u.where(F.pmod(F.xxhash64("u_set_id"), F.lit(_PAIR_ROUNDS)) == part)
+        with scratch(cold.sparkSession, "counts") as _:
+            pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root").where(fits)
+            pairs = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), F.least(u_must, v_must).alias("must"))
+            counted = pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("must").alias("must"))
+            found.append(keep(counted.where("n >= must").select("u", "v"), "pairs"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
@@ -481,7 +492,7 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
         ]
         sets = sets[0].unionByName(sets[1]).join(counts, ["set_id", "later"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
         sets = keep(sets, "sets")
-        pairs = keep(_pairs_with_enough(open_.where("NOT many").drop("many"), sets, similarity), "pairs")
+        pairs = _pairs_with_enough(open_.where("NOT many").drop("many"), sets, similarity, keep)
         near = keep(_close(pairs, sketches, classes, similarity, keep), "near")
         if not near.isEmpty():
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
