@@ -293,11 +293,14 @@ def _close(pairs: DataFrame, sketches: DataFrame, classes: DataFrame, similarity
     some = keep(some.select("u", "v", room.alias("room"), step.alias("step")), "short")
 
     held = _sketches_of_sets(sketches, classes, some.select(F.col("u").alias("set_id")).union(some.select("v")), keep)
-    left = F.when(F.col("step") == 1, F.col("u_next_bits")).otherwise(F.col("u_bits"))
-    right = F.when(F.col("step") == -1, F.col("v_next_bits")).otherwise(F.col("v_bits"))
-    bits = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # one array a side is carried on: that of the band in which the two are compared
+    right = held.select(F.col("set_id").alias("v"), F.col("bits").alias("b"), F.col("next_bits").alias("nb"))
+    some = some.join(right, "v").select("u", "v", "room", "step", F.when(F.col("step") == -1, F.col("nb")).otherwise(F.col("b")).alias("right"))
+    left = held.select(F.col("set_id").alias("u"), F.col("bits").alias("b"), F.col("next_bits").alias("nb"))
+    some = some.join(left, "u").withColumn("left", F.when(F.col("step") == 1, F.col("nb")).otherwise(F.col("b")))
+    bits = F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     apart = F.coalesce(F.aggregate(bits, F.lit(0), lambda s, x: s + x), F.lit(0))
-    return both(some, held, ["bits", "next_bits"]).where(apart <= F.col("room")).select("u", "v")
+    return some.where(apart <= F.col("room")).select("u", "v")
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -331,12 +334,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return pairs.join(v, "v").join(u, "u").where((den + num) * both >= num * total).select("u", "v")
 
 
-def _across(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs (u, v) of a group in different components, one of them outside the main component."""
-    rest = members.where("root <> main").select(*keys, F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"))
-    other = members.select(*keys, F.col("set_id").alias("v"), F.col("root").alias("rv"), F.col("later").alias("lv"))
-    pairs = rest.join(other, keys).where("ru <> rv AND NOT (lu AND lv)")
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs (u, v) of hot keys in different components, one of them outside the main component.
+
+    Those that share a cold key, or one of a large group, are found by that, so these
+    must share all their keys here, and more than the smaller of their spare ones.
+    """
+    rest = members.where("root <> main").select("key", F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"), F.col("spare").alias("su"))
+    other = members.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"), F.col("later").alias("lv"), F.col("spare").alias("sv"), (F.col("root") == F.col("main")).alias("mv"))
+    # of two sets outside the main component only one order counts
+    pairs = rest.join(other, "key").where("ru <> rv AND NOT (lu AND lv) AND (mv OR u < v)")
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.least("su", "sv").alias("spare"))
+    return pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("spare").alias("spare")).where("n > spare").select("u", "v")
 
 
 def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
@@ -410,29 +419,32 @@ def _rooted(members: DataFrame, nodes: DataFrame) -> DataFrame:
 def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """Pairs (u, v) of ``cold`` (key, set_id, later, root) in different components that share as many keys as they must to link.
 
-    Two sets that link agree in more blocks than the reserve besides the weak ones; of
-    these only hot ones are not here.  A pair of sets that both keep their hot keys is
-    found by those, unless all keys they share are cold.  Pairs are counted for a part
-    of the sets at a time, so that few rows lie on disk at once.
+    Two sets that link agree in more blocks than either can spare; of these only hot
+    ones are not here, no more than either set has.  A pair of sets that both keep their
+    hot keys is taken here with any key, or found by hot keys alone.  Pairs are counted
+    for a part of the sets at a time, so that few rows lie on disk at once.
     """
     num, den = similarity.numerator, similarity.denominator
-    must = F.greatest(F.col("spare") + 1 - F.col("hot"), F.lit(1))
-    # size, band and keys that must be shared, in one number
-    told = F.col("n_shingles") * (1 << 17) + F.col("later").cast("long") * (1 << 16) + F.least(must, F.lit((1 << 16) - 1))
+    most = (1 << 16) - 1
+    # size, band, keys to spare and hot keys, in one number; a longer count only makes more pairs pass
+    told = F.col("n_shingles") * (1 << 33) + F.col("later").cast("long") * (1 << 32) + F.least("spare", F.lit(most - 1)).cast("long") * (1 << 16) + F.least("hot", F.lit(most))
     rows = keep(cold.join(sets.select("set_id", "later", told.alias("told")), ["set_id", "later"]).select("key", "set_id", "root", "told"), "cold")
 
-    def of(x: str) -> tuple[Column, Column, Column]:
-        return F.shiftright(f"{x}_told", 17), F.col(f"{x}_told").bitwiseAND(1 << 16) != 0, F.col(f"{x}_told").bitwiseAND((1 << 16) - 1)
+    def of(x: str) -> tuple[Column, ...]:
+        told = F.col(f"{x}_told")
+        return F.shiftright(told, 33), told.bitwiseAND(1 << 32) != 0, F.shiftright(told, 16).bitwiseAND(most), told.bitwiseAND(most)
 
-    (u_size, u_later, u_must), (v_size, v_later, v_must) = of("u"), of("v")
+    (u_size, u_later, u_spare, u_hot), (v_size, v_later, v_spare, v_hot) = of("u"), of("v")
     fits = (F.least(u_size, v_size) * den >= F.greatest(u_size, v_size) * num) & ~(u_later & v_later)
+    light = (u_hot <= u_spare) | (v_hot <= v_spare)
+    must = F.when(light, F.greatest(F.least(u_spare, v_spare) + 1 - F.least(u_hot, v_hot), F.lit(1))).otherwise(1)
     found = []
     for part in range(_PAIR_ROUNDS):
         u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set_id", "root", "told")]) for x in "uv")
         u = u.where(F.pmod(F.xxhash64("u_set_id"), F.lit(_PAIR_ROUNDS)) == part)
         with scratch(cold.sparkSession, "counts") as _:
             pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root").where(fits)
-            pairs = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), F.least(u_must, v_must).alias("must"))
+            pairs = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), must.alias("must"))
             counted = pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("must").alias("must"))
             found.append(keep(counted.where("n >= must").select("u", "v"), "pairs"))
     return reduce(DataFrame.unionByName, found)
@@ -498,14 +510,14 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
             nodes = components(links)
 
-        heavy = sets.where("hot > spare").select("set_id", "later")
-        placed = keep(_rooted(hot.select("key", "set_id", "later").join(heavy, ["set_id", "later"], "left_semi"), nodes), "hot")
+        heavy = sets.where("hot > spare").select("set_id", "later", "spare")
+        placed = keep(_rooted(hot.select("key", "set_id", "later").join(heavy, ["set_id", "later"]), nodes), "hot")
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
         mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
         mains = mains.where("n > most").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
         held = keep(placed.join(mains, "key"), "hot-open")
         if not held.isEmpty():
-            near = _close(keep(_across(held.where("NOT many"), ["key"]), "few-pairs"), sketches, classes, similarity, keep)
+            near = _close(keep(_across(held.where("NOT many")), "few-pairs"), sketches, classes, similarity, keep)
             many = held.where("many")
             if not many.isEmpty():
                 some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep).join(classes.select("set_id", "n_shingles", "band"), "set_id")
