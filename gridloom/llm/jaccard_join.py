@@ -348,54 +348,42 @@ def _across(members: DataFrame) -> DataFrame:
     return pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("spare").alias("spare")).where("n > spare").select("u", "v")
 
 
-def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction, keep) -> DataFrame:
-    """What ``_across`` and ``_close`` give, for large groups of ``members``: ``sketches`` (set_id, n_shingles, band, bits, next_bits) are compared in blocks of bounded size.
+def _close_in_blocks(members: DataFrame, sketches: DataFrame, similarity: Fraction) -> DataFrame:
+    """Close pairs (u, v) of large groups: the sketches of a key's band are compared in blocks of bounded size.
 
-    Both sides of a group, those outside its main component and all, are dealt to
-    blocks by a hash; every block of one side meets every block of the other, and
-    only pairs that are close enough leave the task.
+    The sets of a key are dealt to blocks by a hash; every two blocks of a key, and
+    each with itself, meet in one task, and only pairs that are close enough leave it.
     """
     num, den = similarity.numerator, similarity.denominator
-    held = members.join(sketches, "set_id").select("key", "set_id", "root", "main", "n", "most", "n_shingles", "band", "bits", "next_bits")
-    held = keep(held, "hot-sketches")
-    salt = F.xxhash64("set_id", F.lit(3))
+    bits = F.when(F.col("later"), F.col("next_bits")).otherwise(F.col("bits"))
     parts = F.ceil(F.col("n") / _BLOCK).cast("int")
-    rest_parts = F.ceil((F.col("n") - F.col("most")) / _BLOCK).cast("int")
-    columns = ["key", "p", "q", "set_id", "root", "n_shingles", "band", "bits", "next_bits"]
-    rest = held.where("root <> main").withColumn("p", F.pmod(salt, rest_parts)).withColumn("q", F.explode(F.sequence(F.lit(0), parts - 1))).select(*columns)
-    every = held.withColumn("q", F.pmod(salt, parts).cast("int")).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), (rest_parts - 1).cast("long"))))
-    every = every.select(*[F.col(c).alias(c) for c in columns])
-
-    def words(rows: pa.Table, name: str, at: np.ndarray) -> np.ndarray:
-        column = rows.column(name).combine_chunks().take(pa.array(at))
-        return column.flatten().to_numpy().view(np.uint64).reshape(at.size, -1)
-
-    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+    columns = ["key", "set_id", "root", "later", "n_shingles", "bits"]
+    held = members.join(sketches, "set_id").select(*columns[:5], bits.alias("bits"), parts.alias("parts"))
+    held = held.withColumn("own", F.pmod(F.xxhash64("set_id", F.lit(3)), F.col("parts")).cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = held.select(*columns, "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        ids, root, later, size, own = (t.column(c).to_numpy() for c in ("set_id", "root", "later", "n_shingles", "own"))
+        words = t.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        at_a, at_b = np.flatnonzero(own == p), np.flatnonzero(own == q)
         found: list[list[np.ndarray]] = [[], []]
-        if a.num_rows and b.num_rows:
-            (ia, ra, na, ba), (ib, rb, nb, bb) = ([t.column(c).to_numpy() for c in ("set_id", "root", "n_shingles", "band")] for t in (a, b))
-            for x in np.unique(ba):
-                for y in np.unique(bb[np.abs(bb - x) <= 1]):
-                    at_a, at_b = np.flatnonzero(ba == x), np.flatnonzero(bb == y)
-                    left = words(a, "next_bits" if y > x else "bits", at_a)
-                    right = words(b, "next_bits" if x > y else "bits", at_b)
-                    if left.shape[1] != right.shape[1]:
-                        # a set too small for the other band has no sketch there
-                        continue
-                    for k in range(0, at_a.size, 256):
-                        some = at_a[k : k + 256]
-                        distance = np.zeros((some.size, at_b.size), dtype=np.int32)
-                        for j in range(left.shape[1]):
-                            distance += np.bitwise_count(left[k : k + 256, j, None] ^ right[None, :, j])
-                        sizes = na[some][:, None] + nb[at_b]
-                        ok = (distance * (den + num) <= sizes * (den - num)) & (ra[some][:, None] != rb[at_b])
-                        i, j = np.nonzero(ok)
-                        found[0].append(np.minimum(ia[some[i]], ib[at_b[j]]))
-                        found[1].append(np.maximum(ia[some[i]], ib[at_b[j]]))
+        for k in range(0, at_a.size, 256):
+            some = at_a[k : k + 256]
+            distance = np.zeros((some.size, at_b.size), dtype=np.int32)
+            for j in range(words.shape[1]):
+                distance += np.bitwise_count(words[some, j][:, None] ^ words[at_b, j])
+            sizes = size[some][:, None] + size[at_b]
+            ok = (distance * (den + num) <= sizes * (den - num)) & (root[some][:, None] != root[at_b]) & ~(later[some][:, None] & later[at_b])
+            if p == q:
+                ok &= ids[some][:, None] < ids[at_b]
+            i, j = np.nonzero(ok)
+            found[0].append(np.minimum(ids[some[i]], ids[at_b[j]]))
+            found[1].append(np.maximum(ids[some[i]], ids[at_b[j]]))
         return pa.table({n: pa.array(np.concatenate(f) if f else np.empty(0, np.int64), pa.int64()) for n, f in zip("uv", found)})
 
-    tile = ["key", "p", "q"]
-    return rest.groupBy(*tile).cogroup(every.groupBy(*tile)).applyInArrow(compare, "u long, v long").distinct()
+    return held.groupBy("key", "p", "q").applyInArrow(compare, "u long, v long").distinct()
 
 
 def _told_apart(sketches: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -520,8 +508,8 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
             near = _close(keep(_across(held.where("NOT many")), "few-pairs"), sketches, classes, similarity, keep)
             many = held.where("many")
             if not many.isEmpty():
-                some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep).join(classes.select("set_id", "n_shingles", "band"), "set_id")
-                near = near.union(_close_in_blocks(many, some, similarity, keep))
+                some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep).join(classes.select("set_id", "n_shingles"), "set_id")
+                near = near.union(_close_in_blocks(many, some, similarity))
             near = keep(near.distinct(), "hot-near")
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
             nodes = components(links)

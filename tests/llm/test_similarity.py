@@ -107,6 +107,23 @@ def test_jaccard_components(spark, corpus, width, similarity):
         assert r.component_id == 3 * want[r.doc_id // 3]
 
 
+def test_jaccard_of_hot_keys_in_blocks(spark, monkeypatch):
+    """Hot keys, the count of their pairs and the comparison in blocks give what all pairs give."""
+    rng = random.Random(8)
+    vocabulary = ["w%d" % i for i in range(300)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [" ".join(passage + [rng.choice(vocabulary) for _ in range(rng.choice((3, 6, 9, 12, 20, 60)))]) for _ in range(70)]
+    sets = [shingles(t, 3) for t in texts]
+    want = roots(len(texts), [(i, j) for i, a in enumerate(sets) for j in range(i) if 10 * len(a & sets[j]) >= 9 * len(a | sets[j])])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for many in (0, 1 << 30):
+        monkeypatch.setattr(jaccard_join, "_HOT", 2)
+        monkeypatch.setattr(jaccard_join, "_BLOCK", 16)
+        monkeypatch.setattr(jaccard_join, "_MANY_PAIRS", many)
+        got = jaccard_join.jaccard_components(df, 3, Fraction(9, 10)).collect()
+        assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
