@@ -3,12 +3,14 @@
 Two codebooks, one for each half of the vectors, form a grid of cells.  Every
 vector lies in the cell of its nearest codewords; a query visits cells in the
 order of the summed distances of its halves to the codewords (multi-sequence
-traversal) and stops at the number of cells that reaches the target recall for
-partners at the threshold, as measured on the sample that fitted the codebooks.
+traversal) and stops where the target recall is reached for partners at the threshold,
+as measured on the sample that fitted the codebooks.
 
 Groups of near copies may be large, so links are not written out pair by pair.
 The vectors of a cell are covered by balls of half the threshold angle: all members
-of a ball link with each other.  Only the balls' leaders are searched.  Two balls
+of a ball link with each other.  Only the balls' leaders are searched, each as far as
+the threshold angle plus twice its radius: of two balls the wider one finds the other.
+Two balls
 whose radii leave no doubt link wholly or not at all; for others, members are held
 against leaders, and only what is still in doubt is compared member by member.
 """
@@ -31,6 +33,8 @@ from gridloom.llm.storage import materialize
 _MARGIN = 1e-7
 #: Most rows of one side of a block that a task compares.
 _BLOCK = 4096
+#: Steps of radius for which the reach of a search is fitted.
+_LEVELS = 4
 
 
 def unit_rows(column: pa.Array) -> tuple[list, np.ndarray]:
@@ -48,10 +52,20 @@ def unit_rows(column: pa.Array) -> tuple[list, np.ndarray]:
     return out, good
 
 
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray, rows: int = 2048) -> np.ndarray:
+    """The nearest centre of every row, a slice of the rows at a time."""
+    slices = [_squared(x[k : k + rows], centres).argmin(axis=1) for k in range(0, len(x), rows)]
+    return np.concatenate(slices) if slices else np.empty(0, dtype=np.int64)
+
+
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(rounds):
-        near = _squared(x, centres).argmin(axis=1)
+        near = _nearest(x, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         n = np.bincount(near, minlength=len(centres))
@@ -59,26 +73,30 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return centres
 
 
-def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
-
-
 class MultiIndex:
-    """Codebooks for both halves of vectors of one dimension, and the number of cells to visit."""
+    """Codebooks for both halves of vectors of one dimension, and where a traversal may stop.
+
+    ``slack[k]`` is how far above its nearest cell, in summed squared distance, a query
+    of radius ``k / _LEVELS`` of the largest one has to go to meet the share ``recall``
+    of partners at the threshold angle plus twice that radius.
+    """
 
     def __init__(self, sample: np.ndarray, codewords: int, threshold: float, recall: float):
         rng = np.random.default_rng(7)
         self.half = sample.shape[1] // 2
         self.books = [_kmeans(h, codewords, rng) for h in self._halves(sample)]
-        # partners exactly at the threshold, in random directions
+        self.theta = math.acos(threshold)
         x = sample[rng.choice(len(sample), min(4000, len(sample)), replace=False)]
         step = rng.normal(size=x.shape)
         step -= (step * x).sum(1)[:, None] * x
         norm = np.sqrt((step * step).sum(1))[:, None]
-        y = threshold * x + math.sqrt(1 - threshold * threshold) * step / np.where(norm > 0, norm, 1)
-        order, own = self.traversal(x), self.cells(y)
-        rank = (order == own[:, None]).argmax(axis=1)
-        self.visits = int(np.quantile(rank, recall, method="higher")) + 1
+        step /= np.where(norm > 0, norm, 1)
+        self.slack = np.zeros(_LEVELS + 1)
+        for k in range(_LEVELS + 1):
+            angle = self.theta * (1 + k / _LEVELS)
+            excess = self._excess(x, math.cos(angle) * x + math.sin(angle) * step)
+            self.slack[k] = np.quantile(excess, recall, method="higher")
+        self.slack = np.maximum.accumulate(self.slack)
 
     def _halves(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, : self.half], x[:, self.half :]]
@@ -87,17 +105,54 @@ class MultiIndex:
         return [_squared(h, b) for h, b in zip(self._halves(x), self.books)]
 
     def cells(self, x: np.ndarray) -> np.ndarray:
+        a, b = (_nearest(h, book) for h, book in zip(self._halves(x), self.books))
+        return a * len(self.books[1]) + b
+
+    def _excess(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How far the cell of each row of ``y`` lies, for its row of ``x``, above the nearest cell."""
+        out = []
+        for k in range(0, len(x), 1024):
+            own = np.divmod(self.cells(y[k : k + 1024]), len(self.books[1]))
+            out.append(sum(np.take_along_axis(s, o[:, None], 1)[:, 0] - s.min(axis=1) for s, o in zip(self._scores(x[k : k + 1024]), own)))
+        return np.concatenate(out)
+
+    def reach(self, radius: np.ndarray) -> np.ndarray:
+        """The slack of balls of these radii; a ball answers for partners no wider than itself."""
+        level = np.ceil(np.clip(radius / (self.theta / 2), 0, 1) * _LEVELS - 1e-9).astype(int)
+        return self.slack[level]
+
+    def traversal(self, x: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) pairs by multi-sequence traversal, all rows a step at a time.
+
+        Both lists of half distances are sorted.  A row's frontier holds, for each opened
+        codeword of the first half, its next codeword of the second; the least sum is
+        visited, and a first visit opens the next codeword.  A row stops when its least
+        sum lies more than its slack above its nearest cell.
+        """
         a, b = self._scores(x)
-        return a.argmin(axis=1) * len(self.books[1]) + b.argmin(axis=1)
-
-    def traversal(self, x: np.ndarray, visits: int | None = None) -> np.ndarray:
-        """The nearest cells of every row, by the sum of both halves' distances."""
-        a, b = self._scores(x)
-        total = (a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
-        if visits is None or visits >= total.shape[1]:
-            return np.argsort(total, axis=1, kind="stable")
-        near = np.argpartition(total, visits - 1, axis=1)[:, :visits]
-        return near
+        ia, ib = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
+        sa, sb = np.take_along_axis(a, ia, 1), np.take_along_axis(b, ib, 1)
+        last = sb.shape[1] - 1
+        limit = sa[:, 0] + sb[:, 0] + slack + 1e-12
+        turn = np.zeros(sa.shape, dtype=np.int64)
+        frontier = np.full(sa.shape, np.inf)
+        frontier[:, 0] = sa[:, 0] + sb[:, 0]
+        live, opened = np.arange(len(x)), 1
+        rows, cells = [live[:0]], [live[:0]]
+        while live.size:
+            i = frontier[live, :opened].argmin(axis=1)
+            on = frontier[live, i] <= limit[live]
+            live, i = live[on], i[on]
+            j = turn[live, i]
+            rows.append(live)
+            cells.append(ia[live, i] * (last + 1) + ib[live, j])
+            turn[live, i] = j + 1
+            frontier[live, i] = np.where(j < last, sa[live, i] + sb[live, np.minimum(j + 1, last)], np.inf)
+            fresh = (j == 0) & (i + 1 < sa.shape[1])
+            row, k = live[fresh], i[fresh] + 1
+            frontier[row, k] = sa[row, k] + sb[row, 0]
+            opened = max(opened, int(k.max(initial=0)) + 1)
+        return np.concatenate(rows), np.concatenate(cells)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -163,7 +218,8 @@ def link_vectors(
 
     The codebooks are fitted on at most ``sample_rows`` vectors, those with the
     smallest hashes; every row is indexed and searched.  Codebooks are sized for about
-    ``cell_rows`` vectors of a label in a cell.
+    ``cell_rows`` vectors of a label in a cell, with at least 16 sampled vectors for a
+    codeword: 20,000 carry 400 million vectors of a label, more need more ``sample_rows``.
     """
     theta = math.acos(threshold)
     vectors = materialize(_vectors(rows, id_col, vec_col, label_col), "vectors")
@@ -172,7 +228,7 @@ def link_vectors(
     indexes = {}
     for s in shape:  # one per dimension
         taken = indexed.where(F.col("dim") == s.dim).orderBy(F.xxhash64("unit", "uid")).limit(sample_rows).select("unit").toArrow()
-        codewords = int(np.clip(math.sqrt(s.n / max(1, s.labels) / cell_rows), 2, 256))
+        codewords = int(np.clip(math.sqrt(s.n / max(1, s.labels) / cell_rows), 2, max(2, sample_rows // 16)))
         indexes[s.dim] = MultiIndex(_matrix(taken.column("unit")), codewords, threshold, recall)
     held = rows.sparkSession.sparkContext.broadcast(indexes)
 
@@ -224,9 +280,10 @@ def link_vectors(
                 index = held.value[int(dim)]
                 for some in np.array_split(at, max(1, at.size // 512)):
                     rows_ = batch.take(pa.array(some))
-                    near = index.traversal(_matrix(rows_.column("unit")), index.visits)
-                    again = rows_.take(pa.array(np.repeat(np.arange(some.size), near.shape[1])))
-                    yield again.set_column(again.schema.get_field_index("cell"), "cell", pa.array(near.ravel()))
+                    row, near = index.traversal(_matrix(rows_.column("unit")), index.reach(rows_.column("radius").to_numpy()))
+                    for k in range(0, row.size, _BLOCK):
+                        again = rows_.take(pa.array(row[k : k + _BLOCK]))
+                        yield again.set_column(again.schema.get_field_index("cell"), "cell", pa.array(near[k : k + _BLOCK]))
 
     # blocks of bounded size on both sides: index rows x rows that visit the cell
     ball_schema = "ball long, label string, dim int, cell long, unit array<double>, radius double"

@@ -228,3 +228,23 @@ def test_decontamination_of_short_unspaced_and_long_items(spark):
     assert hits[4, 3].coverage < 0.5 and hits[4, 3].longest_tile == 120
     assert all(hits[k].coverage == 1.0 for k in hits if k != (4, 3))
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()) == [2, 5, 8, 9]
+
+
+def test_traversal_visits_the_cells_within_the_slack_in_order():
+    import numpy as np
+    from gridloom.llm.embedding_dedup import MultiIndex, _squared
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = MultiIndex(x, 12, 0.93, 0.999)
+    assert (np.diff(index.slack) >= 0).all() and (index.reach(np.array([0.0, index.theta])) == index.slack[[0, -1]]).all()
+    some = x[:50]
+    slack = rng.uniform(0, 0.5, len(some))
+    rows, cells = index.traversal(some, slack)
+    a, b = (_squared(h, book) for h, book in zip(index._halves(some), index.books))
+    score = (a[:, :, None] + b[:, None, :]).reshape(len(some), -1)
+    for r in range(len(some)):
+        seen = cells[rows == r]
+        assert (np.diff(score[r, seen]) >= -1e-9).all()
+        assert set(seen) == set(np.flatnonzero(score[r] <= score[r].min() + slack[r] + 1e-12))
