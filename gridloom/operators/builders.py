@@ -41,13 +41,13 @@ def melt(rows: DataFrame, labels: DataFrame, first: int = 1) -> DataFrame:
     """Numeric cells from column ``first`` on, with the label of their column."""
     cells = rows.select(KEY, "row_no", "pdf_page", "cells", F.posexplode("cells").alias("col_idx", "cell"))
     cells = cells.where(F.col("col_idx") >= first).withColumn("value", tx.parse_number(F.col("cell"))).where("value IS NOT NULL")
-    return cells.join(F.broadcast(labels), [KEY, "col_idx"])
+    return cells.join(labels, [KEY, "col_idx"])
 
 
 def wide_to_long(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFrame:
     """Every numeric cell with category, subcategory, voltage, year, unit and provenance."""
     sub = labels.where("col_idx = 1").select(KEY, F.lower("label").contains("category").alias("has_sub"))
-    out = melt(rows, labels, first).join(F.broadcast(sub), KEY, "left")
+    out = melt(rows, labels, first).join(sub, KEY, "left")
     year = F.get(F.filter("cells", lambda c: c.rlike(r"^\d{4}-\d{2}$")), F.lit(0))
     return out.select(
         KEY, "row_no", "pdf_page", "col_idx",
@@ -145,13 +145,13 @@ def block_matrix(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFram
     body = body.withColumn("utility", F.last(filled(cell(1)), ignorenulls=True).over(w)).where("NOT _line")
     cells = body.select(KEY, "block_no", "row_no", "pdf_page", "state", "utility", "_v", F.posexplode("cells").alias("col_idx", "cell"))
     cells = cells.where(F.col("col_idx") >= first).withColumn("value", tx.parse_number(F.col("cell"))).where("value IS NOT NULL")
-    out = cells.join(F.broadcast(labels), [KEY, "col_idx"])
+    out = cells.join(labels, [KEY, "col_idx"])
     return out.select(KEY, "block_no", "row_no", "state", "utility", F.coalesce("_v", tx.extract_voltage(F.col("label"))).alias("voltage_level"), "label", "value")
 
 
 def nearest_header_column(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """A value column takes the header whose column is closest, the first of equals."""
-    joined = cells.join(F.broadcast(headers.select(KEY, F.col("col_idx").alias("h"), "label")), KEY)
+    joined = cells.join(headers.select(KEY, F.col("col_idx").alias("h"), "label"), KEY)
     distance = F.struct(F.abs(F.col("col_idx") - F.col("h")), F.col("h"))
     return joined.groupBy(*cells.columns).agg(F.min_by("label", distance).alias("nearest_label"))
 
@@ -221,7 +221,7 @@ def with_record_id(records: DataFrame, parameter: str, parts: list[str]) -> Data
 def block_records_nested(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFrame:
     """One row a block row: a map of label to cell, with the block's utility carried."""
     names = labels.groupBy(KEY).agg(F.transform(F.sort_array(F.collect_list(F.struct("col_idx", "label"))), lambda x: x["label"]).alias("names"))
-    joined = rows.join(F.broadcast(names), KEY)
+    joined = rows.join(names, KEY)
     w = Window.partitionBy(KEY, "block_no").orderBy("row_no")
     joined = joined.withColumn("utility", F.last(filled(cell(1)), ignorenulls=True).over(w))
     size = F.size("cells") - first

@@ -36,12 +36,6 @@ def unpacked(values: DataFrame, hit: Column, value: str = "value") -> DataFrame:
     return values.withColumn("_m", hit).select(value, "_m.canonical", F.coalesce("_m.confidence", F.lit(0.0)).alias("confidence"), "_m.method")
 
 
-def lookup(values: DataFrame, table: DataFrame, test: Column, value: str = "value") -> DataFrame:
-    """(value, canonical) of the first catalog entry, by priority, that fits."""
-    hits = values.join(F.broadcast(table), test)
-    return hits.groupBy(value).agg(F.min_by("canonical", F.struct("priority", "canonical")).alias("canonical"))
-
-
 def similarity_ratio(a: Column, b: Column) -> Column:
     """Ratcliff-Obershelp ratio, in Arrow batches."""
 
@@ -70,24 +64,62 @@ def match_state(values: DataFrame, names: DataFrame, aliases: DataFrame, least:
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
-def match_utility(values: DataFrame, utilities: DataFrame, patterns: list[str], header: Column | None = None) -> DataFrame:
-    """Exact name, a name's key inside the value (4 letters at least), a pattern, or the header's word for it."""
-    keyed = values.select("value", *([header.alias("header")] if header is not None else [F.lit("").alias("header")])).distinct().withColumn("key", tx.normalize_key(F.col("value")))
-    names = utilities.select(F.lower("canonical").alias("name"), "canonical", "priority")
-    exact = lookup(keyed, names, F.col("key") == F.col("name")).withColumnRenamed("canonical", "_exact")
-    # both ways of containment are joined on the words of a name, not name by name
-    words = keyed.select("value", "key", F.explode(F.array_distinct(F.split("key", r"[^a-z0-9]+"))).alias("word")).where(F.length("word") >= 4)
-    by_word = names.select("name", "canonical", "priority", F.explode(F.array_distinct(F.split("name", r"[^a-z0-9]+"))).alias("word")).where(F.length("word") >= 4)
-    part = words.join(by_word, "word").where(F.contains("key", "name") | F.contains("name", "key")).groupBy("value").agg(F.min_by("canonical", F.struct("priority", "canonical")).alias("_part"))
-    joined = keyed.join(exact, "value", "left").join(part, "value", "left")
+def _grams(text: Column, n: int) -> Column:
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
+    return F.when(F.length(text) >= n, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
+
+
+def held_names(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(text, name) of every name of one table that a text of the other holds; both sides distinct.
+
+    A name is looked for under the one of its four-letter pieces that fewest texts have,
+    a shorter name as a piece itself, so that both are joins on equal keys.
+    """
+    posts = texts.select("text", F.explode(_grams(F.col("text"), 4)).alias("gram"))
+    pieces = names.select("name", F.explode(_grams(F.col("name"), 4)).alias("gram"))
+    counted = pieces.join(posts.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    rarest = counted.groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    long = posts.join(rarest, "gram").where(F.contains("text", "name")).select("text", "name")
+    short = texts.select("text", F.explode(F.concat(*[_grams(F.col("text"), n) for n in (1, 2, 3)])).alias("name"))
+    return long.unionByName(short.join(names.where(F.length("name") < 4).select("name"), "name").select("text", "name"))
+
+
+def match_utility(values: DataFrame, utilities: DataFrame, patterns: list[str], header: Column | None = None, state: Column | None = None) -> DataFrame:
+    """Exact name, a name inside the value or the reverse (4 letters at least), the same at any
+    length among the names of the active state, a pattern, or the header's word for it.
+
+    With ``state``, ``utilities`` has a state too and the result is by value and state.
+    """
+    keyed = values.select("value", (header if header is not None else F.lit("")).alias("header"), (state if state is not None else F.lit(None).cast("string")).alias("state"))
+    keyed = keyed.distinct().withColumn("key", tx.normalize_key(F.col("value")))
+    names = utilities.select(F.lower("canonical").alias("name"), "canonical", "priority", *(["state"] if state is not None else []))
+    first = F.min_by("canonical", F.struct("priority", "canonical"))
+    named = names.groupBy("name").agg(F.min(F.struct("priority", "canonical")).alias("e")).select("name", "e.*")
+    keys = keyed.select("key").where("key IS NOT NULL").distinct()
+    long_names = named.where(F.length("name") >= 4)
+    inside = held_names(keys.withColumnRenamed("key", "text"), long_names.select("name")).select(F.col("text").alias("key"), "name")
+    around = held_names(named.select(F.col("name").alias("text")), keys.where(F.length("key") >= 4).withColumnRenamed("key", "name")).select(F.col("name").alias("key"), F.col("text").alias("name"))
+    part = inside.unionByName(around).join(named, "name").groupBy("key").agg(first.alias("_part"))
+    exact = named.select(F.col("name").alias("key"), F.col("canonical").alias("_exact"))
+    joined = keyed.join(exact, "key", "left").join(part, "key", "left")
+    if state is not None:
+        # longer names are found above, so only short ones are held against those of their state
+        own = names.select("name", "canonical", "priority", F.col("state").alias("own_state"))
+        short = (F.length("key") < 4) | (F.length("name") < 4)
+        near = joined.where("_exact IS NULL AND _part IS NULL AND key <> ''").join(own, (F.col("state") == F.col("own_state")) & short & (F.contains("key", "name") | F.contains("name", "key")))
+        joined = joined.join(near.groupBy("key", "state").agg(first.alias("_near")), ["key", "state"], "left")
+    else:
+        joined = joined.withColumn("_near", F.lit(None).cast("string"))
     regex = reduce(lambda a, b: a | b, [F.col("value").rlike(p) for p in patterns], F.lit(False))
     headed = F.lower("header").rlike("utility|discom|licensee") & tx.parse_number(F.col("value")).isNull() & (F.length("key") > 2)
-    return unpacked(joined, first_hit([
+    out = joined.withColumn("_m", first_hit([
         (F.col("_exact").isNotNull(), found(F.col("_exact"), 1.0, "exact")),
         (F.col("_part").isNotNull(), found(F.col("_part"), 0.9, "substring")),
+        (F.col("_near").isNotNull(), found(F.col("_near"), 0.85, "active_state")),
         (regex, found(tx.strip(F.col("value")), 0.6, "regex")),
         (headed, found(tx.strip(F.col("value")), 0.5, "header")),
     ]))
+    return out.select("value", *(["state"] if state is not None else []), "_m.canonical", F.coalesce("_m.confidence", F.lit(0.0)).alias("confidence"), "_m.method")
 
 
 def match_voltage(values: DataFrame, aliases: dict[str, str]) -> DataFrame:
@@ -158,16 +190,22 @@ def recognize(matches: dict[str, DataFrame]) -> DataFrame:
 
 
 def canonicalize_utility(rows: DataFrame, alias_map: list[tuple[str, str]], utilities: DataFrame) -> DataFrame:
-    """An alias inside the name (list order decides), else the name in the catalog of the row's state, else of any state; year parts go first."""
+    """An alias inside the name (list order decides), else a catalog name inside it, of the row's state before any other; year parts go first.
+
+    Of several names of a catalog, the one that sorts first is taken.
+    """
     parts = F.filter(F.split("utility", " - "), lambda p: ~p.rlike(r"^20\d{2}-\d{2}$"))
     base = rows.withColumn("utility", F.array_join(parts, " - "))
     low = F.lower("utility")
     alias = F.lit(None).cast("string")
     for name, target in reversed(alias_map):
         alias = F.when(low.contains(name.lower()), target).otherwise(alias)
-    u = utilities.select(F.lower("canonical").alias("_n"), F.col("canonical").alias("_c"), F.col("state").alias("_s"))
-    # a name is joined by its key, so a long catalog stays an equi-join
-    joined = base.withColumn("_k", low).join(u.groupBy("_n").agg(F.min("_c").alias("_any"), F.collect_set("_s").alias("_states")), F.col("_k") == F.col("_n"), "left")
-    own = F.when(F.array_contains("_states", F.col("state")), F.col("_any"))
+    u = utilities.select(F.lower("canonical").alias("name"), "canonical", F.col("state").alias("_s")).where("name <> ''").distinct()
+    held = held_names(base.select(low.alias("text")).where("text IS NOT NULL").distinct(), u.select("name").distinct()).join(u, "name")
+    anywhere = held.groupBy(F.col("text").alias("_k")).agg(F.min("canonical").alias("_any"))
+    in_state = held.groupBy(F.col("text").alias("_k"), "_s").agg(F.min("canonical").alias("_own"))
+    joined = base.withColumn("_k", low).join(anywhere, "_k", "left")
+    joined = joined.join(in_state, (joined["_k"] == in_state["_k"]) & (joined["state"] == in_state["_s"]), "left").drop(in_state["_k"])
+    own = F.col("_own")
     step = F.when(alias.isNotNull(), "alias").when(own.isNotNull(), "state").when(F.col("_any").isNotNull(), "catalog").otherwise("as_is")
-    return joined.withColumns({"canonical": F.coalesce(alias, own, F.col("_any"), F.col("utility")), "step": step}).drop("_k", "_n", "_any", "_states")
+    return joined.withColumns({"canonical": F.coalesce(alias, own, F.col("_any"), F.col("utility")), "step": step}).drop("_k", "_s", "_any", "_own")

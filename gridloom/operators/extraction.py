@@ -64,7 +64,7 @@ def detect_header_height(rows: DataFrame, key: str = "report_id", most: int = 5)
 def merge_pages(rows: DataFrame, heights: DataFrame, key: str = "report_id") -> DataFrame:
     """All pages in order, the header of later pages stripped where it is repeated exactly."""
     numbered = rows.withColumn("page_row", F.row_number().over(Window.partitionBy(key, "pdf_page").orderBy("table_idx", "row_idx")))
-    numbered = numbered.withColumn("first_page", F.min("pdf_page").over(Window.partitionBy(key))).join(F.broadcast(heights), key)
+    numbered = numbered.withColumn("first_page", F.min("pdf_page").over(Window.partitionBy(key))).join(heights, key)
     head = numbered.where("pdf_page = first_page AND page_row <= header_height").select(key, "page_row", F.col("cells").alias("head"))
     joined = numbered.join(head, [key, "page_row"], "left")
     inside = F.col("page_row") <= F.col("header_height")

@@ -31,7 +31,7 @@ def header_depth(rows: DataFrame, most: int = 5) -> DataFrame:
 
 
 def header_cells(rows: DataFrame, depths: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(depths), KEY).where("row_no <= depth").select(KEY, "row_no", F.posexplode("cells").alias("col_idx", "cell")).withColumn("cell", tx.strip(F.col("cell")))
+    return rows.join(depths, KEY).where("row_no <= depth").select(KEY, "row_no", F.posexplode("cells").alias("col_idx", "cell")).withColumn("cell", tx.strip(F.col("cell")))
 
 
 def fill_header_spans(rows: DataFrame, depths: DataFrame, most: int = 5) -> DataFrame:
@@ -82,8 +82,8 @@ def annotate_cells(rows: DataFrame, columns: DataFrame, depths: DataFrame, entit
 
     ``entities`` (value, entity_type, canonical) come from distinct values.  Named entities are never numbers.
     """
-    cells = rows.join(F.broadcast(depths), KEY).select(KEY, "row_no", (F.col("row_no") <= F.col("depth")).alias("head"), F.posexplode("cells").alias("col_idx", "value"))
-    joined = cells.join(F.broadcast(columns), [KEY, "col_idx"]).join(entities.select("value", "entity_type", "canonical"), "value", "left")
+    cells = rows.join(depths, KEY).select(KEY, "row_no", (F.col("row_no") <= F.col("depth")).alias("head"), F.posexplode("cells").alias("col_idx", "value"))
+    joined = cells.join(columns, [KEY, "col_idx"]).join(entities.select("value", "entity_type", "canonical"), "value", "left")
     number = tx.parse_number(F.col("value"))
     named = F.coalesce("entity_type", F.lit("unknown")) != "unknown"
     kind = (

@@ -72,7 +72,7 @@ def page_search(pages: DataFrame, queries: DataFrame, limit: int = 20) -> DataFr
     """
     terms = queries.select("query_id", F.explode(tokens(F.col("query"))).alias("term"))
     terms = terms.withColumn("n_terms", F.count("*").over(Window.partitionBy("query_id")))
-    wanted = F.broadcast(terms.select("term").distinct())
+    wanted = terms.select("term").distinct()
     index = pages.select("report_id", "pdf_page", F.explode(tokens(F.col("page_text"))).alias("term")).join(wanted, "term")
     hits = index.join(terms, "term").groupBy("query_id", "report_id", "pdf_page", "n_terms").agg(F.count("*").alias("n")).where("n = n_terms")
     order = Window.partitionBy("query_id").orderBy("report_id", "pdf_page")

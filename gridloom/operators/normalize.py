@@ -45,7 +45,7 @@ def align_headers(rows: DataFrame, depth: int = 4, key: str = "report_id") -> Da
     )
     moves = columns.select(key, target.alias("to"), F.col("col_idx").alias("from")).where("to IS NOT NULL")
     held = moves.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("to", "from"))).alias("into"), F.collect_list("from").alias("gone"))
-    joined = rows.join(F.broadcast(held), key, "left")
+    joined = rows.join(held, key, "left")
 
     def moved(c: Column, i: Column) -> Column:
         source = F.get("cells", F.try_element_at("into", i))
@@ -60,7 +60,7 @@ def drop_empty_columns(rows: DataFrame, key: str = "report_id") -> DataFrame:
     width = rows.groupBy(key).agg(F.max(F.size("cells")).alias("width"))
     cells = rows.select(key, F.posexplode("cells").alias("col_idx", "cell")).where(~tx.is_blank(F.col("cell")))
     keep = cells.groupBy(key).agg(F.sort_array(F.collect_set("col_idx")).alias("keep")).join(width, key)
-    joined = rows.join(F.broadcast(keep.select(key, "keep")), key, "left")
+    joined = rows.join(keep.select(key, "keep"), key, "left")
     kept = F.transform(F.coalesce("keep", F.array().cast("array<int>")), lambda i: F.get("cells", i))
     return joined.withColumn("cells", kept).select(rows.columns)
 

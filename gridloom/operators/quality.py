@@ -51,7 +51,7 @@ def check_composite_duplicates(records: DataFrame, keys: list[str], severity: st
 def check_catalog_membership(records: DataFrame, names: DataFrame, column: str = "state") -> DataFrame:
     """Non-blank values that no catalog name or alias equals (``names`` has alias)."""
     values = records.where(~blank(column)).select(KEY, F.lower(F.trim(column)).alias("alias"))
-    bad = values.join(F.broadcast(names.select(F.lower("alias").alias("alias")).distinct()), "alias", "left_anti").groupBy(KEY).agg(F.count("*").alias("n"))
+    bad = values.join(names.select(F.lower("alias").alias("alias")).distinct(), "alias", "left_anti").groupBy(KEY).agg(F.count("*").alias("n"))
     out = records.select(KEY).distinct().join(bad, KEY, "left").na.fill(0, ["n"])
     return _checks(out, f"catalog.{column}", "error", "n")
 
@@ -77,7 +77,7 @@ def check_min_records(records: DataFrame, least: int) -> DataFrame:
 
 def check_coverage(records: DataFrame, names: DataFrame, least: int, column: str = "state") -> DataFrame:
     """Distinct canonical names that the records reach."""
-    found = records.select(KEY, F.lower(F.trim(column)).alias("alias")).join(F.broadcast(names.select(F.lower("alias").alias("alias"), "canonical")), "alias")
+    found = records.select(KEY, F.lower(F.trim(column)).alias("alias")).join(names.select(F.lower("alias").alias("alias"), "canonical"), "alias")
     per = found.groupBy(KEY).agg(F.count_distinct("canonical").alias("n"))
     out = records.select(KEY).distinct().join(per, KEY, "left").na.fill(0, ["n"])
     return out.select(KEY, F.lit("coverage").alias("rule_id"), F.lit("warning").alias("severity"), (F.col("n") >= least).alias("passed"), F.col("n").cast("double").alias("metric"))
@@ -85,7 +85,7 @@ def check_coverage(records: DataFrame, names: DataFrame, least: int, column: str
 
 def recalibrate_confidence(records: DataFrame, names: DataFrame, fields: list[str]) -> DataFrame:
     """.95 with all fields filled, else .8; at most .5 for an unknown state, at most .3 for a column label as utility."""
-    known = F.broadcast(names.select(F.lower("alias").alias("_alias"), F.lit(True).alias("_known")).distinct())
+    known = names.select(F.lower("alias").alias("_alias"), F.lit(True).alias("_known")).distinct()
     joined = records.join(known, F.lower(F.trim("state")) == F.col("_alias"), "left")
     full = reduce(lambda a, b: a & b, [~blank(f) for f in fields])
     score = F.when(full, 0.95).otherwise(0.8)
@@ -123,7 +123,7 @@ def profile_records(records: DataFrame, fields: list[str]) -> DataFrame:
 def audit_hierarchy(records: DataFrame, value: str = "value") -> DataFrame:
     """Rows of every state, suspicious names, utilities that are states, and rows without a value."""
     states = records.select(KEY, F.col("state").alias("utility"), F.lit(True).alias("leak")).distinct()
-    joined = records.join(F.broadcast(states), [KEY, "utility"], "left")
+    joined = records.join(states, [KEY, "utility"], "left")
     odd = (F.length("utility") < 3) | F.upper("utility").rlike("STATE|UTILITY")
     return joined.groupBy(KEY, "state").agg(F.count("*").alias("rows"), F.count_if(odd).alias("suspicious"), F.count_if(F.col("leak")).alias("leaks"), F.count_if(F.col(value).isNull()).alias("empty_values"))
 

@@ -49,4 +49,4 @@ def block_catalog(rows: DataFrame) -> DataFrame:
 def retrieve_block(terms: DataFrame, blocks: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of the first block of a report whose state contains the term."""
     hit = blocks.join(F.broadcast(terms), F.contains(F.lower("state"), F.lower("term"))).groupBy("term", "report_id").agg(F.min("block_no").alias("block_no"))
-    return rows.join(F.broadcast(hit), ["report_id", "block_no"]).select("term", "report_id", "block_no", "row_no")
+    return rows.join(hit, ["report_id", "block_no"]).select("term", "report_id", "block_no", "row_no")

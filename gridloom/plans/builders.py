@@ -72,7 +72,7 @@ def block_grid(spark, sf):
 
 
 def i11_nearest_header_column(spark, sf):
-    cells = clean(spark, sf).where("row_no <= 200").select("report_id", "row_no", F.posexplode("cells").alias("col_idx", "cell")).where("col_idx >= 4")
+    cells = clean(spark, sf).select("report_id", "row_no", F.posexplode("cells").alias("col_idx", "cell")).where("col_idx >= 4")
     heads = labels(spark, sf).where("col_idx IN (3, 5, 7)")
     return bd.nearest_header_column(cells, heads)
 
@@ -158,7 +158,7 @@ ORACLE_SQL = {
         last_value(CASE WHEN NOT line THEN nullif(c1, '') END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS utility FROM g),
       k AS (SELECT * FROM h WHERE NOT line), m AS ({melted(4, 'k')})
       SELECT report_id, block_no, row_no, state, utility, coalesce(v, volt) AS voltage_level, label, value FROM m WHERE value IS NOT NULL""",
-    "i11_nearest_header_column": f"""{CLEAN}, m AS ({melted(4)}) SELECT report_id, row_no, col_idx, cell, CASE col_idx WHEN 4 THEN 'Col 3' WHEN 7 THEN '132 kV Charge' ELSE '11 kV Charge' END AS nearest_label FROM m WHERE row_no <= 200""",
+    "i11_nearest_header_column": f"""{CLEAN}, m AS ({melted(4)}) SELECT report_id, row_no, col_idx, cell, CASE col_idx WHEN 4 THEN 'Col 3' WHEN 7 THEN '132 kV Charge' ELSE '11 kV Charge' END AS nearest_label FROM m""",
     "i12_simple_matrix": f"{MELT1} SELECT report_id, row_no, c0 AS category, label AS utility, value, 'Rs/kWh' AS charge_unit FROM m WHERE value IS NOT NULL",
     "i13_key_value": f"{CLEAN} SELECT report_id, row_no, c1 AS metric, {num('c4')} AS value, 'Rs/kWh' AS charge_unit FROM cl WHERE c1 <> '' AND {num('c4')} IS NOT NULL",
     "i14_narrative_hierarchy": f"""{SECT}, lb AS (SELECT *, CASE WHEN is_section THEN 's' WHEN c0 <> '' THEN 'master' WHEN c1 <> '' AND state <> '' THEN 'child' ELSE '' END AS lab FROM sf),

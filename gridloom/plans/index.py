@@ -118,7 +118,8 @@ ORACLE_SQL = {
       UNION ALL SELECT lower(trim(n_name)), n_name, 'nation', CAST(row_number() OVER (ORDER BY n_nationkey) AS INT) FROM nation
       UNION ALL SELECT lower(trim(c_mktsegment)), c_mktsegment, 'segment', CAST(row_number() OVER (ORDER BY c_mktsegment) AS INT) FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
     "a5_page_index_csv": f"{WITH_INDEX} SELECT report_id, pdf_page, text_length, table_count, contains_table, titles AS table_titles FROM idx",
-    "a8_content_identity": f"""{WITH_PAGES}, h AS (SELECT report_id, sha256(string_agg(page_text, chr(12) ORDER BY pdf_page)) AS content_hash, count(*) AS page_count FROM fx_pages GROUP BY report_id)
+    "a8_content_identity": f"""{WITH_PAGES}, g AS (SELECT report_id, floor(pdf_page / 1024) AS b, sha256(string_agg(sha256(page_text), '' ORDER BY pdf_page)) AS d, count(*) AS n FROM fx_pages GROUP BY 1, 2),
+      h AS (SELECT report_id, sha256(string_agg(d, '' ORDER BY b)) AS content_hash, CAST(sum(n) AS BIGINT) AS page_count FROM g GROUP BY report_id)
       SELECT report_id, content_hash, substr(content_hash, 1, 16) AS content_id, page_count FROM h""",
     "b1_detect_titles": f"{WITH_TITLES} SELECT * FROM titles",
     "b2_drop_toc_pages": f"{WITH_TITLES} SELECT report_id, pdf_page FROM kept",

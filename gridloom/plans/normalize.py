@@ -61,10 +61,10 @@ def clean(spark, sf):
 
 
 def states(spark, sf):
-    from gridloom.sources.catalogs import names
+    from gridloom.sources.catalogs import names, ranked
 
-    seg = table(spark, sf, "customer").select("c_mktsegment").distinct()
-    catalog = names(seg, "c_mktsegment", "c_mktsegment", "segment").select("canonical", "priority")
+    seg = ranked(table(spark, sf, "customer"), "c_mktsegment")
+    catalog = names(seg, "c_mktsegment", F.col("place"), "segment").select("canonical", "priority")
     aliases = spark.createDataFrame([("auto", "AUTOMOBILE", 1), ("bldg", "BUILDING", 2), ("hh", "HOUSEHOLD", 3)], "alias string, canonical string, priority int")
     return catalog, aliases
 
@@ -148,7 +148,7 @@ QUERIES = {
     "d8_merge_log": d8_merge_log,
     "d9_drop_keyword_headers": lambda s, d: flat(ex.drop_keyword_headers(grid_rows(s, d), ["state", "utility", "kv charge"]), "report_id", "pdf_page", "row_idx"),
     "d10_skip_header_rows": lambda s, d: flat(ex.skip_header_rows(grid_rows(s, d), 2), "report_id", "pdf_page", "row_idx"),
-    "e1_align_headers": lambda s, d: flat(nm.align_headers(shifted(s, d), 1).where("row_no <= 2"), "report_id", "row_no"),
+    "e1_align_headers": lambda s, d: flat(nm.align_headers(shifted(s, d), 1), "report_id", "row_no"),
     "e2_drop_empty_columns": lambda s, d: flat(nm.drop_empty_columns(grid_body(s, d)), "report_id", "row_no"),
     "e3_drop_empty_rows": lambda s, d: flat(nm.drop_empty_rows(grid_body(s, d).withColumn("cells", F.slice("cells", 1, 2))), "report_id", "row_no"),
     "e4_cleanup_stats": lambda s, d: nm.cleanup_stats(grid_body(s, d), nm.drop_empty_columns(grid_body(s, d))),
@@ -187,7 +187,7 @@ ORACLE_SQL = {
     "d9_drop_keyword_headers": f"{WITH_GRID} SELECT report_id, pdf_page, page_row AS row_idx, {JOINED} AS joined FROM fx_grid WHERE page_row > 0",
     "d10_skip_header_rows": f"{WITH_GRID} SELECT report_id, pdf_page, page_row AS row_idx, {JOINED} AS joined FROM fx_grid WHERE page_row > 1",
     "e1_align_headers": f"""{WITH_BODY} SELECT DISTINCT report_id, 1 AS row_no, 'State|Utility|Year||LT|11 kV|33 kV|132 kV' AS joined FROM body
-      UNION ALL SELECT report_id, 2, {JOINED} FROM body WHERE row_no = 1""",
+      UNION ALL SELECT report_id, row_no + 1, {JOINED} FROM body""",
     "e2_drop_empty_columns": f"{WITH_BODY} SELECT report_id, row_no, concat_ws('|', c0, c1, c2, c4, c5, c6, c7) AS joined FROM body",
     "e3_drop_empty_rows": f"{WITH_BODY} SELECT report_id, row_no, concat_ws('|', c0, c1) AS joined FROM body WHERE c0 <> '' OR c1 <> ''",
     "e4_cleanup_stats": f"{WITH_BODY} SELECT report_id, 0 AS empty_rows_removed, 1 AS empty_cols_removed, count(*) FILTER (contains(c0, '(cid:')) AS cid_tokens_removed FROM body GROUP BY 1",

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def names(df: DataFrame, column: str, order: str, kind: str) -> DataFrame:
-    """alias (lower-case key), canonical, kind and priority of a column of names."""
-    place = F.row_number().over(Window.orderBy(order))
-    return df.select(F.lower(F.trim(column)).alias("alias"), F.col(column).alias("canonical"), F.lit(kind).alias("kind"), place.alias("priority"))
+def names(df: DataFrame, column: str, priority: Column, kind: str) -> DataFrame:
+    """alias (lower-case key), canonical, kind and priority of a column of names; the priority comes from a key, so no table is numbered."""
+    return df.select(F.lower(F.trim(column)).alias("alias"), F.col(column).alias("canonical"), F.lit(kind).alias("kind"), priority.alias("priority"))
+
+
+def ranked(df: DataFrame, column: str) -> DataFrame:
+    """The few distinct names of a column with their place in alphabetical order."""
+    return df.agg(F.sort_array(F.collect_set(column)).alias("_all")).select(F.posexplode("_all").alias("place", column)).withColumn("place", F.col("place") + 1)
 
 
 def catalogs_of(nation: DataFrame, region: DataFrame, customer: DataFrame) -> dict[str, DataFrame]:
     """Places, groups and organisations as dimensions; ``aliases`` is all small ones together."""
-    segments = customer.select("c_mktsegment").distinct()
-    states = names(region, "r_name", "r_regionkey", "region")
-    nations = names(nation, "n_name", "n_nationkey", "nation")
-    groups = names(segments, "c_mktsegment", "c_mktsegment", "segment")
+    segments = ranked(customer, "c_mktsegment")
+    states = names(region, "r_name", (F.col("r_regionkey") + 1).cast("int"), "region")
+    nations = names(nation, "n_name", (F.col("n_nationkey") + 1).cast("int"), "nation")
+    groups = names(segments, "c_mktsegment", F.col("place"), "segment")
     utilities = customer.select(F.lower("c_name").alias("alias"), F.col("c_name").alias("canonical"), F.col("c_mktsegment").alias("state"))
     return {"aliases": states.unionByName(nations).unionByName(groups), "states": groups, "nations": nations, "utilities": utilities}

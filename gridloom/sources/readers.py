@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,8 +38,18 @@ def read_records(spark: SparkSession, path: str, schema: StructType | str) -> Da
     return spark.read.schema(schema).json(path)
 
 
-def content_identity(pages: DataFrame) -> DataFrame:
-    """SHA-256 of a report's pages in order; the identity is its first 16 digits."""
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pdf_page", "page_text"))), lambda p: p["page_text"]), "\f")
-    hashed = pages.groupBy("report_id").agg(F.sha2(text, 256).alias("content_hash"), F.count("*").alias("page_count"))
-    return hashed.select("report_id", "content_hash", F.substring("content_hash", 1, 16).alias("content_id"), "page_count")
+def content_identity(pages: DataFrame, block: int = 1024) -> DataFrame:
+    """SHA-256 of a report; the identity is its first 16 digits.
+
+    It is the hash of the hashes of blocks of ``block`` page numbers, each the hash of its
+    pages' hashes, in page order, so no row ever holds more than one page of text.
+    """
+
+    def combined(place: str, digest: str) -> Column:
+        parts = F.sort_array(F.collect_list(F.struct(place, digest)))
+        return F.sha2(F.array_join(F.transform(parts, lambda p: p[digest]), ""), 256)
+
+    hashed = pages.select("report_id", "pdf_page", F.floor(F.col("pdf_page") / block).alias("block_no"), F.sha2("page_text", 256).alias("page_hash"))
+    blocks = hashed.groupBy("report_id", "block_no").agg(combined("pdf_page", "page_hash").alias("block_hash"), F.count("*").alias("n"))
+    whole = blocks.groupBy("report_id").agg(combined("block_no", "block_hash").alias("content_hash"), F.sum("n").alias("page_count"))
+    return whole.select("report_id", "content_hash", F.substring("content_hash", 1, 16).alias("content_id"), "page_count")

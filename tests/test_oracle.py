@@ -103,3 +103,16 @@ def test_writers_read_back(spark, tmp_path):
 def test_two_headers_keep_all_rows(spark):
     body = normalize.clean(spark, SF)
     assert layouts.two_headers(spark, SF).count() == body.count() + 2 * body.select("report_id").distinct().count()
+
+
+def test_utility_names_inside_values_and_the_reverse(spark):
+    from gridloom.operators.entities import canonicalize_utility, match_utility
+
+    catalog = spark.createDataFrame([("Torrent Power", 1, "GJ"), ("BRPL", 2, "DL"), ("UP PCL", 3, "UP"), ("TPL", 4, "GJ")], "canonical string, priority int, state string")
+    values = spark.createDataFrame([("torr", "GJ"), ("xbrplx", "DL"), ("UP PCL Ltd", "UP"), ("tp", "GJ"), ("tp", "DL"), ("zz", "GJ"), ("", "GJ"), (None, "GJ")], "value string, st string")
+    got = {(r.value, r.state): (r.canonical, r.confidence) for r in match_utility(values, catalog, [], state=F.col("st")).collect()}
+    assert got["torr", "GJ"] == ("Torrent Power", 0.9) and got["xbrplx", "DL"] == ("BRPL", 0.9) and got["UP PCL Ltd", "UP"] == ("UP PCL", 0.9)
+    assert got["tp", "GJ"] == ("TPL", 0.85) and got["tp", "DL"] == (None, 0.0) and got["zz", "GJ"] == (None, 0.0) and got["", "GJ"] == (None, 0.0) and got[None, "GJ"] == (None, 0.0)
+    labels = spark.createDataFrame([("BRPL Ltd (DL)", "DL"), ("old tpl - 2024-25", "DL"), ("none", "GJ"), (None, "GJ")], "utility string, state string")
+    steps = {r.utility: (r.canonical, r.step) for r in canonicalize_utility(labels, [], catalog).collect()}
+    assert steps["BRPL Ltd (DL)"] == ("BRPL", "state") and steps["old tpl"] == ("TPL", "catalog") and steps["none"][1] == "as_is" and len(steps) == 4
