@@ -40,16 +40,22 @@ def normalised(text: Column) -> Column:
 
 
 def _runs(lines: Column) -> Column:
-    """Neighbouring lines of one level, joined: (level, body)."""
-    empty = F.array().cast("array<struct<level:int,body:string>>")
+    """Neighbouring lines of one level, joined: (level, body).  Linear in the lines."""
 
-    def add(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["level"].alias("level"), F.concat(last["body"], F.lit(" "), x["body"]).alias("body"))
-        size = F.size(done)
-        return F.when((size > 0) & (F.try_element_at(done, F.lit(-1))["level"] == x["level"]), F.concat(F.slice(done, 1, F.greatest(size - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(x)))
+    def of(x: Column) -> Column:
+        def joined(starts: Column) -> Column:
+            def run(s: Column, k: Column) -> Column:
+                part = F.slice(x, s + 1, F.coalesce(F.get(starts, k + 1), F.size(x)) - s)
+                return F.struct(F.get(x, s)["level"].alias("level"), F.concat_ws(" ", F.transform(part, lambda y: y["body"])).alias("body"))
 
-    return F.aggregate(lines, empty, add)
+            return F.transform(starts, run)
+
+        places = F.sequence(F.lit(0), F.size(x) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(x, i)["level"] != F.get(x, i - 1)["level"]))
+        return F.flatten(F.transform(F.array(starts), joined))
+
+    # bound as variables, the lines and the starts are made once and not for every run
+    return F.flatten(F.transform(F.array(lines), of))
 
 
 def _sentences(text: Column) -> Column:
@@ -80,7 +86,7 @@ def _passages(messages: DataFrame, quoted: bool) -> DataFrame:
     runs = F.filter("_runs", wanted)
     sentences = F.flatten(F.transform(runs, lambda r: F.transform(_sentences(r["body"]), lambda x: F.struct(r["level"].alias("level"), x.alias("body")))))
     # shingles of a run are those of its lines and sentences too
-    whole = F.transform(F.array_union(F.filter("_lines", wanted), sentences), lambda x: F.struct(x["level"], x["body"], F.lit(False).alias("run")))
+    whole = F.transform(F.concat(F.filter("_lines", wanted), sentences), lambda x: F.struct(x["level"], x["body"], F.lit(False).alias("run")))
     parts = F.concat(whole, F.transform(runs, lambda x: F.struct(x["level"], x["body"], F.lit(True).alias("run"))))
     rows = messages.select("conv_id", "turn", F.explode(parts).alias("part"))
     rows = rows.select("conv_id", "turn", "part.level", "part.run", normalised(F.col("part.body")).alias("body")).where("body <> ''")
@@ -96,6 +102,8 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     quotes no earlier message of its conversation; such a message is the root of a
     thread.  A text without quotes stays as it is.  Rows that share (conv_id, turn) share their links and all stay; a null
     conv_id or turn has no links.  Null text counts as empty.  Other columns are dropped.
+    Of equal votes the latest source wins, and a passage that several wrote is the first
+    one's.  No step holds a conversation: a hot one is only rows of a grouped minimum.
     """
     base = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.coalesce("text", F.lit("")).alias("_text"), quote_lines(F.col("text")).alias("_lines"))
     some = F.exists("_lines", lambda x: x["level"] > 0)
