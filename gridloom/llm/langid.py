@@ -3,7 +3,8 @@
 Every letter has a random vector of +1 and -1.  A letter trigram is the product of
 its letters' vectors, each permuted (rolled) by its place; a text is the sum of its
 trigrams' vectors; a language is the sum of its texts' unit vectors.  A text takes the
-language whose prototype is closest by cosine.
+language whose prototype is closest by cosine.  Letters up to U+03FF have vectors of
+their own; those above share 1,024 vectors by the remainder of their code point.
 """
 
 from __future__ import annotations
@@ -52,10 +53,7 @@ class LetterMemory:
         keep = np.ones(rows.size, dtype=bool)
         keep[1:] = (rows[1:] != 0) | (rows[:-1] != 0)
         rows = np.concatenate(([0], rows[keep], [0]))
-        if rows[1] == 0:
-            rows = rows[1:]
-        if rows.size < 3:
-            rows = np.concatenate((rows, [0]))
+        rows = rows[int(rows[1] == 0) : rows.size - int(rows[-2] == 0)]
         grams, counts = np.unique(rows[:-2] << 22 | rows[1:-1] << 11 | rows[2:], return_counts=True)
         total = np.zeros(self.width, dtype=np.float32)
         a, b, c = self.rolled
@@ -64,7 +62,7 @@ class LetterMemory:
             bound = a[g >> 22] * b[g >> 11 & 2047] * c[g & 2047]
             total += counts[k : k + 4096].astype(np.float32) @ bound.astype(np.float32)
         norm = float(np.sqrt(total @ total))
-        return total / norm if norm else None
+        return total / norm if norm else total
 
 
 def memory(width: int) -> LetterMemory:
@@ -106,7 +104,8 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     """``docs`` with lang_pred and score, the cosine with the closest prototype, 0 at least.
 
     Texts that are null or without a letter, and all texts when no language was
-    learned, get ``und`` and 0; ties go to the language that sorts first.  Columns
+    learned, get ``und`` and 0; ties go to the language that sorts first, with score 0
+    where the trigrams of a text cancel out; repeated rows are judged again.  Columns
     that already have one of the two names are replaced.  No shuffle.
     """
     names = list(prototypes)
@@ -131,4 +130,3 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.withColumn("_guess", guess(F.col(text_col))).select(*kept, "_guess.lang_pred", "_guess.score")
-
