@@ -157,23 +157,25 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def score_quality(docs: DataFrame, model: ShapeClassifier, host_col: str = "source", path_col: str = "lang", accept: float = 0.5) -> DataFrame:
+def score_quality(docs: DataFrame, model: ShapeClassifier, host_col: str = "source", path_col: str = "lang", accept: float = 0.5, keep_text: bool = True) -> DataFrame:
     """``docs`` with p_text, host_mean, path_mean, p_quality and accepted.
 
     Null hosts and paths are sites and sections of their own; null, empty and wordless
     texts have the evidence of their shape; repeated rows are scored again; an empty
     table gives an empty result.  Columns that already have one of these names are
-    replaced.
+    replaced.  Every text is read once: its evidence is written beside the columns of
+    ``docs``, without the text unless ``keep_text``.
     """
     added = ("p_text", "host_mean", "path_mean", "p_quality", "accepted")
     docs = docs.select([c for c in docs.columns if c not in added])
-    narrow = text_evidence(docs.select(host_col, path_col, "text"), model).drop("text")
-    sections, prior = section_posteriors(narrow, host_col, path_col)
+    known = text_evidence(docs, model)
+    known = materialize(known if keep_text else known.drop("text"), "evidence")
+    sections, prior = section_posteriors(known, host_col, path_col)
     sections = sections.toDF("_host", "_path", "_n", "_total", "_k", "host_mean")
     if sections.count() <= _BROADCAST_SECTIONS:
         sections = F.broadcast(sections)
     on = F.col(host_col).cast("string").eqNullSafe(F.col("_host")) & F.col(path_col).cast("string").eqNullSafe(F.col("_path"))
-    scored = text_evidence(docs, model).join(sections, on)
+    scored = known.join(sections, on)
     path_mean = (F.col("_total") - F.col("p_text") + F.col("_k") * F.col("host_mean")) / (F.col("_n") - 1 + F.col("_k"))
     odds = _logit(F.col("p_text")) + _logit(F.col("path_mean")) - _logit(F.lit(prior))
     return (
