@@ -5,8 +5,9 @@ dealt to shards by ranges of doc_id.  A shard is one Arrow stream file whose
 batches hold ``ids``, a fixed-size list of small unsigned integers, and ``mask``,
 a fixed-size list of booleans that marks padding in its last sequence; beside it
 lies an Arrow stream file with doc_id, start and n_tokens of its documents.
-Both map into memory without a copy, and sequence k of a shard is found by its
-number alone.
+Both map into memory without a copy.  All batches but the last of a shard have equal
+length in bytes, so sequence k is found by its number alone (``ShardSequences``,
+``read_sequences``).
 
 A task that runs again writes files of new names; only the files named in the
 returned manifest count.
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.packing import encoder
 from gridloom.llm.storage import materialize, new_folder
 
+#: Most text of a shard, on average.
+SHARD_BYTES = 512 << 20
 MANIFEST = "path string, first_id long, first_row long, docs long, tokens long"
 READ = "path string, doc_id long, start long, n_tokens long, ids_crc32 long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -91,6 +94,35 @@ def _opened(folder_path: str):
     return pa.ipc.open_stream(source)
 
 
+class ShardSequences:
+    """The sequences of a shard by number; only the batch that holds one is read, without a copy where the file is local."""
+
+    def __init__(self, path: str):
+        fs, where = _file_system(f"{path}.ids")
+        self.file = pa.memory_map(where) if fs.type_name == "local" else fs.open_input_file(where)
+        self.schema = pa.ipc.read_schema(self.file)
+        self.first = self.file.tell()
+        self.rows = self._batch().num_rows
+        self.step, self.end = self.file.tell() - self.first, self.file.size()
+
+    def _batch(self) -> pa.RecordBatch:
+        return pa.ipc.read_record_batch(pa.ipc.read_message(self.file), self.schema)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, int]:
+        """The ids of sequence ``k``, padding included, and how many of them are no padding."""
+        block, row = divmod(k, self.rows)
+        at = self.first + block * self.step
+        # behind the last batch lies the mark of the end, of 8 bytes
+        if k < 0 or at + 8 >= self.end:
+            raise IndexError(k)
+        self.file.seek(at)
+        batch = self._batch()
+        if row >= batch.num_rows:
+            raise IndexError(k)
+        ids, mask = (c[row].values for c in batch.columns)
+        return ids.to_numpy(), mask.true_count
+
+
 def shard_documents(path: str) -> Iterator[tuple[list, list, list, list]]:
     """doc_id, start in the shard, ids and crc32 of the documents of a shard, in batches."""
     sequences = (b.column(0).flatten().to_numpy(zero_copy_only=True) for b in _opened(f"{path}.ids"))
@@ -113,10 +145,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
 
     Null texts are empty, so they hold the end id alone.  Null doc_ids come first;
     rows that repeat a doc_id lie next to each other, ordered by the hash of their
-    text.  Without rows there are no shards.
+    text.  Without rows there are no shards.  Shards grow in number with the text, not
+    in size.
     """
     spark = docs.sparkSession
-    count = shards or max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
@@ -136,7 +171,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, length: int
 
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), F.col("text"))
-        .repartitionByRange(count, "doc_id", "tie")
+        .repartitionByRange(shards, "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
     )
     return materialize(ordered.mapInArrow(write, MANIFEST), "manifest")
@@ -164,6 +199,31 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return placed.repartition(n).mapInArrow(read, READ)
 
 
+def read_sequences(wanted: DataFrame) -> DataFrame:
+    """path, sequence, ids and n_ids (without padding) of the ``wanted`` (path, sequence) of written shards, in any order.
+
+    Rows that are asked for twice come twice; nulls, and numbers a shard does not have, give no row.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, shard = None, None
+        for batch in batches:
+            found = []
+            for name, k in zip(batch.column("path").to_pylist(), batch.column("sequence").to_pylist()):
+                if name != path:
+                    path, shard = name, ShardSequences(name)
+                try:
+                    ids, n = shard[k]
+                except IndexError:
+                    continue
+                found.append((name, k, ids.tolist(), n))
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "sequence", "ids", "n_ids"])
+
+    rows = wanted.select("path", F.col("sequence").cast("long")).where("path IS NOT NULL AND sequence IS NOT NULL")
+    return rows.sortWithinPartitions("path", "sequence").mapInArrow(read, "path string, sequence long, ids array<long>, n_ids long")
+
+
 def token_file_digest(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 2) -> DataFrame:
     """Write the files, read them back, and describe every document by what was read."""
     manifest = write_token_files(docs, tokenizer, new_folder(docs.sparkSession, "tokens"), length, end_id)

@@ -1,9 +1,11 @@
 """Token counts, packing and token files against the tokenizers library."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from gridloom.llm import packing, token_files
 from gridloom.llm.queries import tokenizer_path
@@ -125,3 +127,44 @@ def test_token_files_have_fixed_sequences(spark, docs):
 
 def test_token_files_of_an_empty_table(docs):
     assert token_files.token_file_digest(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_sequences_are_found_by_their_number(spark, docs):
+    manifest = token_files.write_token_files(docs, tokenizer_path(), new_folder(spark, "t"), length=16, shards=2)
+    wanted, want = [], {}
+    for row in manifest.collect():
+        whole = [x for b in token_files._opened(f"{row.path}.ids") for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        shard = token_files.ShardSequences(row.path)
+        for k in random.Random(1).sample(range(len(whole)), min(40, len(whole))) + [len(whole) - 1]:
+            ids, n = shard[k]
+            assert (ids.tolist(), n) == (whole[k][0], sum(whole[k][1]))
+            want[row.path, k] = (whole[k][0], sum(whole[k][1]))
+            wanted.append((row.path, k))
+        for k in (-1, len(whole), len(whole) + 5000):
+            with pytest.raises(IndexError):
+                shard[k]
+        wanted += [(row.path, len(whole)), (row.path, None), (None, 0)]
+    got = token_files.read_sequences(spark.createDataFrame(wanted, "path string, sequence long")).collect()
+    assert {(r.path, r.sequence): (r.ids, r.n_ids) for r in got} == want and len(got) == sum(w in want for w in wanted)
+
+
+def test_sequences_of_many_batches(tmp_path):
+    writer = token_files.ShardWriter(f"file://{tmp_path}", 8, True, rows_per_batch=4)
+    flat = np.arange(1001, dtype=np.uint16)
+    for k in range(0, 1001, 77):
+        part = flat[k : k + 77]
+        writer.add(pa.array([k]), part, np.array([part.size]))
+    writer.close()
+    shard = token_files.ShardSequences(writer.path)
+    for k in (125, 0, 77, 124, 3, 4):
+        ids, n = shard[k]
+        assert ids[:n].tolist() == flat[k * 8 : k * 8 + 8].tolist() and n == min(8, 1001 - k * 8)
+    with pytest.raises(IndexError):
+        shard[126]
+
+
+def test_shards_grow_in_number_with_the_text(docs, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 1000)
+    ids = sorted((r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_file_digest(docs, tokenizer_path(), length=16).collect())
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 1 << 30)
+    assert ids == sorted((r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_file_digest(docs, tokenizer_path(), length=16).collect())
