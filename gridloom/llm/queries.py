@@ -69,7 +69,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score_quality(docs.select("doc_id", "text", "source", "lang"), model)
+    scored = score_quality(docs.select("doc_id", "text", "source", "lang"), model, keep_text=False)
     return scored.select("doc_id", "p_text", "host_mean", "path_mean", "p_quality", "accepted")
 
 
@@ -108,4 +108,20 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: All pairs, and what links reach from every row: for tables as small as the tests'.
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": """WITH RECURSIVE x AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM x WHERE label IS NOT NULL AND e IS NOT NULL AND NOT list_bool_or(list_transform(e, lambda c: c IS NULL OR NOT isfinite(c))) AND list_sum(list_transform(e, lambda c: abs(c))) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+low AS (SELECT u, min(v) AS v FROM reach GROUP BY 1), n AS (SELECT u, count(*) AS n FROM links GROUP BY 1)
+SELECT x.vec_id, coalesce(n.n, 0) AS n_links, least(x.vec_id, coalesce(l.v, x.vec_id)) AS component_id, coalesce(l.v, x.vec_id) >= x.vec_id AS kept FROM x LEFT JOIN n ON n.u = vec_id LEFT JOIN low l ON l.u = vec_id""",
+    "op3_jaccard_join": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN z a ON a.doc_id = u JOIN z b ON b.doc_id = v WHERE 100 * shared.n >= 90 * (a.n + b.n - shared.n)),
+reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+low AS (SELECT u, min(v) AS v FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(z.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.v, w.doc_id)) AS component_id FROM w LEFT JOIN z USING (doc_id) LEFT JOIN low l ON l.u = w.doc_id""",
+}
