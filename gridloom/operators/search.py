@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values
-STOP_WORDS = "the a an of for in to and or is are what show me give get find".split()
+STOP_WORDS = ("extract", "show", "find", "get", "what", "is", "the", "charges", "charge", "open", "access", "for", "of", "in")
 
 
 def detect_query_group(queries: DataFrame, groups: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def query_keywords(queries: DataFrame) -> DataFrame:
     rest = F.replace(F.lower("query"), F.lower(F.coalesce("group", F.lit(""))), F.lit(" "))
     rest = F.when(F.coalesce("group", F.lit("")) == "", F.lower("query")).otherwise(rest)
     words = F.regexp_extract_all(rest, F.lit(r"[a-z0-9]+"), F.lit(0))
-    return queries.withColumn("keywords", F.filter(words, lambda w: ~w.isin(STOP_WORDS)))
+    return queries.withColumn("keywords", F.filter(words, lambda w: ~w.isin(*STOP_WORDS)))
 
 
 def score_rows(queries: DataFrame, records: DataFrame) -> DataFrame:
