@@ -62,10 +62,15 @@ def check_range(records: DataFrame, column: str, low: float = 0.0, high: float =
     return _checks(per, f"range.{column}", "warning", "n")
 
 
-def check_null_rates(records: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """Share of missing values of every column that is present, against its limit."""
+def check_null_rates(records: DataFrame, limits: dict[str, float], value_fields: list[str] = (), value_limit: float = 0.2) -> DataFrame:
+    """Share of missing values of every column that is present, against its limit; ``value_fields`` that are present have one share together."""
     used = {c: v for c, v in limits.items() if c in records.columns}
-    rates = records.groupBy(KEY).agg(*[F.avg(missing(c).cast("double")).alias(c) for c in used])
+    pooled = [c for c in value_fields if c in records.columns]
+    rates = {c: F.avg(missing(c).cast("double")) for c in used}
+    if pooled:
+        rates["values"] = reduce(lambda a, b: a + b, [F.count_if(missing(c)) for c in pooled]) / (F.count("*") * len(pooled))
+        used = {**used, "values": value_limit}
+    rates = records.groupBy(KEY).agg(*[r.alias(c) for c, r in rates.items()])
     return union([_checks(rates.select(KEY, F.col(c)), f"null_rate.{c}", "warning", c, v) for c, v in used.items()])
 
 
@@ -94,16 +99,23 @@ def recalibrate_confidence(records: DataFrame, names: DataFrame, fields: list[st
     return joined.withColumn("confidence", score).drop("_alias", "_known")
 
 
-def validation_report(checks: DataFrame, max_warnings: int = 5) -> DataFrame:
-    """Failed errors and warnings of every parameter, and whether it may be exported."""
+def lineage(records: DataFrame, column: str = "record_id") -> DataFrame:
+    """One digest of the record identities of every parameter, whatever their order: the hash of the sum of their hashes."""
+    part = F.conv(F.substring(F.sha2(F.col(column).cast("string"), 256), 1, 15), 16, 10).cast("decimal(20,0)")
+    return records.groupBy(KEY).agg(F.sha2(F.sum(part).cast("string"), 256).alias("lineage_hash"))
+
+
+def validation_report(checks: DataFrame, max_warnings: int = 5, max_errors: int = 0, records: DataFrame | None = None) -> DataFrame:
+    """Failed errors and warnings of every parameter, whether it may be exported, and the lineage of its ``records``."""
     failed = ~F.col("passed")
     per = checks.groupBy(KEY).agg(F.count_if(failed & (F.col("severity") == "error")).alias("errors"), F.count_if(failed & (F.col("severity") == "warning")).alias("warnings"), F.count("*").alias("checks"))
-    return per.withColumn("passed", F.col("errors") == 0).withColumn("export_allowed", (F.col("errors") == 0) & (F.col("warnings") <= max_warnings))
+    per = per.withColumn("passed", F.col("errors") == 0).withColumn("export_allowed", (F.col("errors") <= max_errors) & (F.col("warnings") <= max_warnings))
+    return per if records is None else per.join(lineage(records), KEY, "left")
 
 
 def coverage_summary(records: DataFrame, value: str = "value") -> DataFrame:
-    """Records, distinct states and utilities, and the share without a value."""
-    names = [F.array_join(F.sort_array(F.collect_set(F.when(~blank(c), F.col(c)))), ",").alias(n) for c, n in (("state", "states"),)]
+    """Records, the distinct states and utilities, and the share without a value."""
+    names = [F.array_join(F.sort_array(F.collect_set(F.when(~blank(c), F.col(c)))), ",").alias(n) for c, n in (("state", "states"), ("utility", "utilities"))]
     return records.groupBy(KEY).agg(F.count("*").alias("record_count"), *names, F.count_distinct("utility").alias("utility_count"), F.avg(F.col(value).isNull().cast("double")).alias("null_rate"))
 
 
@@ -128,8 +140,12 @@ def audit_hierarchy(records: DataFrame, value: str = "value") -> DataFrame:
     return joined.groupBy(KEY, "state").agg(F.count("*").alias("rows"), F.count_if(odd).alias("suspicious"), F.count_if(F.col("leak")).alias("leaks"), F.count_if(F.col(value).isNull()).alias("empty_values"))
 
 
-def check_contracts(pages: DataFrame, rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Contiguous pages, equal widths, rows without gaps, ordered ranges; one row a violation."""
+def check_contracts(pages: DataFrame, rows: DataFrame, ranges: DataFrame, records: DataFrame, names: DataFrame, id_pattern: str) -> DataFrame:
+    """Contiguous pages, equal widths, rows without gaps, ordered ranges of their stated length, identities of one
+    pattern, confidences from 0 to 1, and a catalog (``position``, ``name``) in order; one row a violation.
+
+    Records are reported by their identity, catalogs by the name that comes too late.
+    """
     p = pages.groupBy("report_id").agg(F.min("pdf_page").alias("a"), F.max("pdf_page").alias("b"), F.count_distinct("pdf_page").alias("n"))
     w = rows.groupBy("report_id").agg(F.count_distinct(F.size("cells")).alias("widths"), F.max("row_no").alias("b"), F.count("*").alias("n"))
     found = [
@@ -137,6 +153,11 @@ def check_contracts(pages: DataFrame, rows: DataFrame, ranges: DataFrame) -> Dat
         w.where("widths > 1").select(F.col("report_id").cast("string"), F.lit("equal_widths").alias("rule_id")),
         w.where("b <> n").select(F.col("report_id").cast("string"), F.lit("rows_numbered").alias("rule_id")),
         ranges.where("start_page > end_page").select(F.col("report_id").cast("string"), F.lit("range_ordered").alias("rule_id")),
+        ranges.where("length <> end_page - start_page + 1").select(F.col("report_id").cast("string"), F.lit("range_length").alias("rule_id")),
+        records.where(~F.col("record_id").rlike(id_pattern)).select(F.col("record_id").alias("report_id"), F.lit("id_pattern").alias("rule_id")),
+        records.where("confidence NOT BETWEEN 0 AND 1").select(F.col("record_id").alias("report_id"), F.lit("confidence_range").alias("rule_id")),
+        # a catalog is a small dimension, so one task may hold it
+        names.withColumn("_b", F.lag("name").over(Window.orderBy("position"))).where("_b > name").select(F.col("name").alias("report_id"), F.lit("catalog_sorted").alias("rule_id")),
     ]
     return union(found)
 

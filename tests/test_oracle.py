@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 GROUPS = (index, discovery, normalize, layouts, builders, records)
 NAMES = [(g, n) for g in GROUPS for n in g.QUERIES if n in g.ORACLE_SQL]
 #: Their SQL names reports or pages that the smallest tables do not have.
-SKIP = {"j15_check_contracts", "g9_extract_voltage"}
+SKIP = {"g9_extract_voltage"}
 
 
 @pytest.fixture(scope="module")
