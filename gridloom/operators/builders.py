@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
+from gridloom.operators.entities import held_names
 from gridloom.operators.normalize import ordered
 
 KEY = "report_id"
@@ -44,12 +45,22 @@ def melt(rows: DataFrame, labels: DataFrame, first: int = 1) -> DataFrame:
     return cells.join(labels, [KEY, "col_idx"])
 
 
-def wide_to_long(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFrame:
-    """Every numeric cell with category, subcategory, voltage, year, unit and provenance."""
+def with_utility(records: DataFrame, names: DataFrame, column: str = "category") -> DataFrame:
+    """The first of the catalog's ``names`` (canonical, priority) that the column holds, else ``state_level``."""
+    known = names.select(F.lower("canonical").alias("name"), "canonical", "priority").where("name <> ''")
+    texts = records.select(F.lower(column).alias("text")).where("text <> ''").distinct()
+    held = held_names(texts, known.select("name").distinct()).join(known, "name")
+    held = held.groupBy(F.col("text").alias("_text")).agg(F.min_by("canonical", F.struct("priority", "canonical")).alias("_found"))
+    joined = records.join(held, F.lower(column) == F.col("_text"), "left")
+    return joined.withColumn("utility", F.coalesce("_found", F.lit("state_level"))).drop("_text", "_found")
+
+
+def wide_to_long(rows: DataFrame, labels: DataFrame, first: int = 4, names: DataFrame | None = None) -> DataFrame:
+    """Every numeric cell with category, subcategory, voltage, year, unit and provenance, and its utility where catalog names are given."""
     sub = labels.where("col_idx = 1").select(KEY, F.lower("label").contains("category").alias("has_sub"))
     out = melt(rows, labels, first).join(sub, KEY, "left")
     year = F.get(F.filter("cells", lambda c: c.rlike(r"^\d{4}-\d{2}$")), F.lit(0))
-    return out.select(
+    out = out.select(
         KEY, "row_no", "pdf_page", "col_idx",
         tx.strip(cell(0)).alias("category"),
         F.when(F.col("has_sub"), tx.strip(cell(1))).otherwise("").alias("subcategory"),
@@ -58,6 +69,7 @@ def wide_to_long(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFram
         tx.extract_unit(F.concat_ws(" ", "label", "cell")).alias("charge_unit"),
         "label", "value",
     )
+    return out if names is None else with_utility(out, names)
 
 
 def wide_to_long_keyed(rows: DataFrame, columns: dict[str, int]) -> DataFrame:

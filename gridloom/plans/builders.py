@@ -8,6 +8,7 @@ from gridloom.fixtures import CELLS, grid_body, grid_rows, table
 from gridloom.functions import text as tx
 from gridloom.operators import builders as bd
 from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, filled, labelled, sectioned
+from gridloom.sources.catalogs import ranked
 
 VALUE_COLUMNS = {"LT": 4, "11 kV": 5, "33 kV": 6, "132 kV": 7}
 
@@ -24,6 +25,14 @@ def records(spark, sf):
     return bd.wide_to_long(clean(spark, sf), labels(spark, sf))
 
 
+def i2_wide_to_long(spark, sf):
+    """Records with the utility that their category names, out of words of the segments and their whole names."""
+    segments = ranked(table(spark, sf, "customer"), "c_mktsegment")
+    names = segments.select(F.col("c_mktsegment").alias("canonical"), (F.col("place") * 2).alias("priority"))
+    names = names.unionByName(segments.where("place % 2 = 0").select(F.substring("c_mktsegment", 1, 3).alias("canonical"), (F.col("place") * 2 - 1).alias("priority")))
+    return bd.wide_to_long(clean(spark, sf), labels(spark, sf), names=names)
+
+
 def num(c: str) -> str:
     return f"TRY_CAST(regexp_extract({c}, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE)"
 
@@ -99,7 +108,7 @@ def i23_group_members(spark, sf):
 
 QUERIES = {
     "i1_header_labels": labels,
-    "i2_wide_to_long": records,
+    "i2_wide_to_long": i2_wide_to_long,
     "i3_wide_to_long_keyed": lambda s, d: bd.wide_to_long_keyed(clean(s, d), VALUE_COLUMNS).drop("charge_unit"),
     "i4_numeric_matrix": lambda s, d: bd.numeric_matrix(clean(s, d), labels(s, d)),
     "i5_year_anchored_rows": lambda s, d: bd.year_anchored_rows(clean(s, d)),
@@ -135,7 +144,10 @@ MELT4 = f"{CLEAN}, m AS ({melted(4)}), rec AS (SELECT report_id, row_no, pdf_pag
 MELT1 = f"{CLEAN}, m AS ({melted(1)})"
 ORACLE_SQL = {
     "i1_header_labels": f"{CLEAN}, l AS (SELECT DISTINCT report_id FROM cl) " + " UNION ALL ".join(f"SELECT report_id, {i} AS col_idx, '{n}' AS label FROM l" for i, n in enumerate(LABELS)),
-    "i2_wide_to_long": f"{MELT4} SELECT * FROM rec",
+    "i2_wide_to_long": f"""{MELT4}, sg AS (SELECT c_mktsegment AS canonical, row_number() OVER (ORDER BY c_mktsegment) AS place FROM (SELECT DISTINCT c_mktsegment FROM customer)),
+      nm AS (SELECT canonical, place * 2 AS priority FROM sg UNION ALL SELECT substr(canonical, 1, 3), place * 2 - 1 FROM sg WHERE place % 2 = 0),
+      u AS (SELECT category, min_by(canonical, priority) AS utility FROM (SELECT DISTINCT category FROM rec) JOIN nm ON contains(lower(category), lower(canonical)) GROUP BY 1)
+      SELECT rec.*, coalesce(u.utility, 'state_level') AS utility FROM rec LEFT JOIN u USING (category)""",
     "i3_wide_to_long_keyed": f"{KEYED} SELECT * FROM keyed",
     "i4_numeric_matrix": f"{MELT1} SELECT report_id, row_no, pdf_page, c0 AS row_label, label AS column_label, value FROM m WHERE value IS NOT NULL",
     "i5_year_anchored_rows": f"""{CLEAN}, y AS (SELECT *, list_filter([c3, c4, c5, c6, c7], lambda c: trim(c) <> '') AS a, last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no) AS state,
