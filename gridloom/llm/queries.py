@@ -95,6 +95,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train(labelled_urls(spark)))
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.bestfit import best_fit_documents
+
+    return best_fit_documents(table(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end_id=0)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quotation_links": op2_quotation_links,
@@ -106,6 +112,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op13_best_fit": op13_best_fit,
 }
 
 #: All pairs, and what links reach from every row: for tables as small as the tests'.
