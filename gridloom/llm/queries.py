@@ -95,6 +95,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train(labelled_urls(spark)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.hard_negatives import mine_hard_negatives
+
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), vec_id % 50 == 0)
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.bestfit import best_fit_documents
 
@@ -112,6 +120,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_best_fit": op13_best_fit,
 }
 
@@ -131,4 +140,11 @@ links AS (SELECT u, v FROM shared JOIN z a ON a.doc_id = u JOIN z b ON b.doc_id
 reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
 low AS (SELECT u, min(v) AS v FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(z.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.v, w.doc_id)) AS component_id FROM w LEFT JOIN z USING (doc_id) LEFT JOIN low l ON l.u = w.doc_id""",
+    "op12_hard_negatives": """WITH x AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+r AS (SELECT vec_id, label, list_transform(e, lambda c: floor(256 * c)) AS q FROM x WHERE label IS NOT NULL AND e IS NOT NULL AND NOT coalesce(list_bool_or(list_transform(e, lambda c: c IS NULL OR NOT isfinite(c))), false)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
 }
