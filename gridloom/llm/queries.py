@@ -95,6 +95,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, train(labelled_urls(spark)))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.collocations import mine_collocations
+
+    return mine_collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.hard_negatives import mine_hard_negatives
 
@@ -120,6 +126,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op11_collocations": op11_collocations,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_best_fit": op13_best_fit,
 }
@@ -140,6 +147,23 @@ links AS (SELECT u, v FROM shared JOIN z a ON a.doc_id = u JOIN z b ON b.doc_id
 reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
 low AS (SELECT u, min(v) AS v FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(z.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.v, w.doc_id)) AS component_id FROM w LEFT JOIN z USING (doc_id) LEFT JOIN low l ON l.u = w.doc_id""",
+    "op11_collocations": r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+g AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i : i + 1], ' '))) FROM w
+UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) FROM w),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY 1),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+k AS (SELECT lang, phrase, f AS a, 1 AS k, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+UNION ALL SELECT lang, phrase, f, 2, array_to_string(w[:2], ' '), w[3] FROM c WHERE size = 3),
+s AS (SELECT k.lang, k.phrase, a, k, l.f AS l, r.f AS r, 1000000 * a::HUGEINT * a // (l.f::HUGEINT * r.f) AS score
+FROM k JOIN f l ON l.lang = k.lang AND l.phrase = x JOIN f r ON r.lang = k.lang AND r.phrase = y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, p AS phrase, max(f) AS longer FROM (SELECT lang, f, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) AS p FROM c WHERE size = 3) GROUP BY 1, 2),
+o AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT o.lang, rank, o.phrase, a, l, r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000""",
     "op12_hard_negatives": """WITH x AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 r AS (SELECT vec_id, label, list_transform(e, lambda c: floor(256 * c)) AS q FROM x WHERE label IS NOT NULL AND e IS NOT NULL AND NOT coalesce(list_bool_or(list_transform(e, lambda c: c IS NULL OR NOT isfinite(c))), false)),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
