@@ -31,7 +31,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240611).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bytes of text that are hashed at once, and that are counted together.
-_CHUNK, _RUN = 4 << 20, 24 << 20
+_CHUNK, _RUN = 1 << 20, 8 << 20
 #: n-grams in a hash partition, and counters over the least number of a summary.
 _MASS, _SLACK = 2_000_000, 4
 #: Bytes of an n-gram's mark in its partition.
@@ -237,6 +237,23 @@ def _survivors(summaries: DataFrame, least: int, mark_bits: int) -> DataFrame:
     return summaries.groupBy("part").applyInArrow(merge, _KEYS)
 
 
+def _told_apart(key: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place and the number of every pair of hashes."""
+    order = np.argsort(key, kind="stable")
+    if not order.size:
+        return order, order
+    new = np.append(True, key[order][1:] != key[order][:-1])
+    begin = np.flatnonzero(new)
+    times = np.diff(np.append(begin, order.size))
+    if (other[order] != np.repeat(other[order[begin]], times)).any():
+        # one key stands for several n-grams
+        order = np.lexsort((other, key))
+        new = np.append(True, (key[order][1:] != key[order][:-1]) | (other[order][1:] != other[order][:-1]))
+        begin = np.flatnonzero(new)
+        times = np.diff(np.append(begin, order.size))
+    return order[begin], times
+
+
 def _counted(docs: DataFrame, longest: int, key_bits: int, known) -> DataFrame:
     """Exact counts of the n-grams of each run of texts, with their words; size 0 has the number of words.
 
@@ -254,21 +271,10 @@ def _counted(docs: DataFrame, longest: int, key_bits: int, known) -> DataFrame:
             for (size, at, found), (_, _, other) in zip(run.grams(longest), run.grams(longest, 1)):
                 key = (found >> np.uint64(64 - key_bits)).astype(np.int64)
                 if keys is not None:
-                    place = np.searchsorted(keys, key)
-                    hit = np.flatnonzero(keys[np.minimum(place, keys.size - 1)] == key) if keys.size else np.empty(0, dtype=np.int64)
-                    at, key, other, place = at[hit], key[hit], other[hit], place[hit]
-                    first = np.full(keys.size, -1)
-                    first[place[::-1]] = np.arange(place.size)[::-1]
-                    times = np.bincount(place, minlength=keys.size)
-                    apart = bool((other != other[first[place]]).any()) if place.size else False
-                    present = np.flatnonzero(times)
-                    first, times = first[present], times[present]
-                if keys is None or apart:
-                    # told apart by both hashes
-                    order = np.lexsort((other, key))
-                    new = np.append(True, (key[order][1:] != key[order][:-1]) | (other[order][1:] != other[order][:-1]))[: order.size]
-                    begin = np.flatnonzero(new)
-                    first, times = order[begin], np.diff(np.append(begin, order.size))
+                    place = np.minimum(np.searchsorted(keys, key), keys.size - 1) if keys.size else key
+                    hit = np.flatnonzero(keys[place] == key) if keys.size else np.empty(0, dtype=np.int64)
+                    at, key, other = at[hit], key[hit], other[hit]
+                first, times = _told_apart(key, other)
                 if first.size:
                     places = at[first]
                     yield _batch(
