@@ -31,7 +31,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240611).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bytes of text that are hashed at once, and that are counted together.
-_CHUNK, _RUN = 1 << 20, 8 << 20
+_CHUNK, _RUN = 512 << 10, 3 << 20
 #: n-grams in a hash partition, and counters over the least number of a summary.
 _MASS, _SLACK = 2_000_000, 4
 #: Bytes of an n-gram's mark in its partition.
