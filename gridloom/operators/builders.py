@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
-from gridloom.operators.entities import held_names
+from gridloom.operators.dictionary import held_names
 from gridloom.operators.normalize import ordered
 
 KEY = "report_id"
@@ -146,19 +146,102 @@ def split_multi_value(records: DataFrame, col: str) -> DataFrame:
     return split.select(*records.columns, "part", value.alias("value"), F.col("_x.q").alias("qualifier"))
 
 
-def block_matrix(rows: DataFrame, labels: DataFrame, first: int = 4) -> DataFrame:
-    """Per block, values by category and column; voltage lines carry downwards inside the block.
+def resolved_utilities(values: DataFrame, aliases: DataFrame, utilities: DataFrame) -> DataFrame:
+    """Canonical utility of (state, utility): the first alias inside the name, else the first catalog name of the state, else of any state.
 
-    Needs ``block_no`` and ``state``.
+    ``aliases`` has name, canonical and priority, ``utilities`` canonical, state and
+    priority; both are one dictionary, looked up once.  Year parts of what is left go.
     """
-    line = F.forall(F.slice("cells", 2, F.greatest(F.size("cells"), F.lit(1))), tx.is_blank) & (tx.extract_voltage(cell(0)) != "all")
-    w = Window.partitionBy(KEY, "block_no").orderBy("row_no")
-    body = rows.withColumn("_line", line).withColumn("_v", F.last(F.when(line, tx.extract_voltage(cell(0))), ignorenulls=True).over(w))
-    body = body.withColumn("utility", F.last(filled(cell(1)), ignorenulls=True).over(w)).where("NOT _line")
-    cells = body.select(KEY, "block_no", "row_no", "pdf_page", "state", "utility", "_v", F.posexplode("cells").alias("col_idx", "cell"))
-    cells = cells.where(F.col("col_idx") >= first).withColumn("value", tx.parse_number(F.col("cell"))).where("value IS NOT NULL")
-    out = cells.join(labels, [KEY, "col_idx"])
-    return out.select(KEY, "block_no", "row_no", "state", "utility", F.coalesce("_v", tx.extract_voltage(F.col("label"))).alias("voltage_level"), "label", "value")
+    table = aliases.select(F.lower("name").alias("name"), "canonical", F.lit(None).cast("string").alias("own"), F.lit(0).alias("tier"), "priority")
+    table = table.unionByName(utilities.select(F.lower("canonical").alias("name"), "canonical", F.col("state").alias("own"), F.lit(1).alias("tier"), "priority"))
+    asked = values.select("state", "utility", F.lower("utility").alias("text")).distinct()
+    held = held_names(asked.select("text").distinct(), table.select("name").distinct()).join(table, "name")
+    tier = F.when((F.col("tier") == 1) & ~F.coalesce(F.col("own") == F.col("state"), F.lit(False)), 2).otherwise(F.col("tier"))
+    best = F.min_by("canonical", F.struct(tier, "priority", "canonical"))
+    out = asked.join(held.drop("name"), "text", "left").groupBy("state", "utility").agg(F.coalesce(best, F.col("utility")).alias("name"))
+    kept = F.filter(F.split("name", " - "), lambda p: ~p.rlike(r"^20\d{2}-\d{2}\b"))
+    return out.select("state", "utility", F.when(F.contains("name", F.lit(" - ")), F.array_join(kept, " - ")).otherwise(F.col("name")).alias("canonical"))
+
+
+# fixed values
+HEADER_WORDS = ("category", "sub-category", "s.no", "sl.no", "sno", "state", "ut", "year", "value", "unit")
+VOLTAGE_LINE = r"(?i)\b(11\s*kV|33\s*kV|132\s*kV|220\s*kV|66\s*kV|400\s*kV|LT\b|HT\b|EHT\b)"
+NO_VALUE = r"(?i)\b20\d{2}\b|\bFY\s*\d{2}\s*-\s*\d{2}\b|\b\d+\s*kv\b|\b\d+\s*v(olts?)?\b"
+CATEGORY_LEVELS = (("HT", ("ht", "high tension")), ("LT", ("lt", "low tension")), ("EHT", ("eht", "extra high tension")))
+
+
+def block_matrix(rows: DataFrame, columns: DataFrame, aliases: DataFrame | None = None, utilities: DataFrame | None = None, spanning: bool = False) -> DataFrame:
+    """Values of every block by category, voltage and utility.
+
+    ``rows`` needs ``block_no`` and ``state`` and may have ``year``; ``columns``
+    (col_idx, display_name, role, year, unit) has what is known of the columns.  The
+    category stands in the last column with the role category or voltage, else in the first;
+    values stand in those with the role value.  Without such a role the category is the
+    second column and values follow it, or the first where names span (or where there
+    are two columns only).
+
+    A line with a voltage and no value sets the voltage of the lines below it in its
+    block.  The block's first line with ``category`` among its first cells names the
+    utilities: a value takes the nearest of these headers, the left one of two, and
+    otherwise the name of its column.  Names go through aliases and catalog, if given;
+    year and unit come from the column, else from the block and ``Rs/kWh``.  Years and
+    voltages are no values.  Headers are a map carried over the block and looked up in
+    every cell, so no cell is joined.
+    """
+    role = lambda *r: F.col("role").isin(*r)
+    known = columns.groupBy(KEY).agg(
+        F.max(F.when(role("category", "voltage"), F.col("col_idx"))).alias("_category"),
+        F.sort_array(F.collect_list(F.when(role("value"), F.col("col_idx")))).alias("_values"),
+        F.map_from_entries(F.collect_list(F.struct("col_idx", F.struct("display_name", "year", "unit")))).alias("_columns"),
+    )
+    n = F.size("cells")
+    wide = F.lit(False) if spanning else n > 2
+    named = F.coalesce(F.size("_values"), F.lit(0)) > 0
+    rest = F.sequence(F.when(wide, 2).otherwise(1), F.greatest(n - 1, F.when(wide, 2).otherwise(1)))
+    body = rows.join(known, KEY, "left").withColumn("year", F.col("year") if "year" in rows.columns else F.lit(None).cast("string"))
+    body = body.withColumn("_c", F.when(named, F.coalesce("_category", F.lit(0))).otherwise(F.when(wide, 1).otherwise(0)))
+    body = body.withColumn("_v", F.filter(F.when(named, F.col("_values")).otherwise(rest), lambda i: i < n))
+    at = lambda i: F.coalesce(F.get("cells", i), F.lit(""))
+    number = lambda c: F.when(~c.rlike(NO_VALUE), tx.parse_number(c))
+    body = body.withColumn("category", tx.strip(at(F.col("_c"))))
+    low = F.lower("category")
+    valued = F.exists("_v", lambda i: ~tx.strip(at(i)).isin("", "-", "nil") & number(at(i)).isNotNull())
+    stands = (F.col("category") != "") & ~low.isin("category", "sub-category", "utility")
+    found = F.regexp_extract("category", VOLTAGE_LINE, 1)
+    line = stands & ~valued & (found != "")
+    voltage = F.when(F.lower(found).isin("lt", "ht", "eht"), F.upper(found)).otherwise(found)
+    cells = F.transform("cells", lambda c, i: F.struct(i.alias("col"), tx.strip(c).alias("label")))
+    heads = F.filter(cells, lambda h: (h["label"] != "") & ~F.lower(h["label"]).isin(*HEADER_WORDS))
+    heads = F.when(F.exists(F.slice("cells", 1, 4), lambda c: F.lower(tx.strip(c)) == "category"), heads)
+    block = Window.partitionBy(KEY, "block_no").orderBy("row_no")
+    whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    body = body.withColumns({
+        "_line": line, "_stands": stands,
+        "_heads": F.first(heads, ignorenulls=True).over(whole),
+        "voltage_level": F.coalesce(F.last(F.when(line, voltage), ignorenulls=True).over(block), F.lit("all")),
+    }).where("_stands AND NOT _line")
+    level = F.col("voltage_level")
+    own = F.lit(None).cast("string")
+    for name, parts in reversed(CATEGORY_LEVELS):
+        own = F.when(low.rlike("|".join(parts)), name).otherwise(own)
+    beside = F.when((F.col("_c") + 1 < n) & ~F.array_contains("_v", F.col("_c") + 1), tx.strip(at(F.col("_c") + 1))).otherwise("")
+    body = body.withColumns({"voltage_level": F.when(level == "all", F.coalesce(own, level)).otherwise(level), "subcategory": beside})
+    out = body.select("*", F.explode("_v").alias("col_idx")).withColumn("value", number(at(F.col("col_idx")))).where("value IS NOT NULL")
+    nearest = F.array_min(F.transform("_heads", lambda h: F.struct(F.abs(h["col"] - F.col("col_idx")), h["col"], h["label"].alias("label"))))
+    own_column = F.try_element_at("_columns", F.col("col_idx"))
+    title = F.coalesce(F.when(own_column["display_name"] != "", own_column["display_name"]), F.concat(F.lit("Col "), F.col("col_idx").cast("string")))
+    out = out.select(
+        KEY, "block_no", "row_no", "col_idx", "state",
+        F.when(F.size("_heads") > 0, nearest["label"]).otherwise(title).alias("utility"),
+        "category", "subcategory", "voltage_level", "value",
+        F.coalesce(own_column["unit"], F.lit("Rs/kWh")).alias("charge_unit"),
+        F.coalesce(own_column["year"], F.col("year")).alias("year"),
+    )
+    if aliases is None or utilities is None:
+        return out
+    names = resolved_utilities(out, aliases, utilities).withColumnsRenamed({"state": "_s", "utility": "_u"})
+    out = out.join(names, F.col("state").eqNullSafe(F.col("_s")) & (F.col("utility") == F.col("_u")), "left")
+    return out.withColumn("utility", F.col("canonical")).drop("_s", "_u", "canonical")
 
 
 def nearest_header_column(cells: DataFrame, headers: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.dictionary import held_names
 from gridloom.operators.index import TOC_LINE
 
 
@@ -23,7 +24,10 @@ def extract_toc(pages: DataFrame, pattern: str = TOC_LINE, max_pages: int = 15)
 def match_alias(titles: DataFrame, aliases: DataFrame, supported: list[str] | None = None, keys: tuple[str, ...] = ("report_id", "table_number")) -> DataFrame:
     """The first parameter, by priority, whose alias the title contains."""
     kept = aliases if supported is None else aliases.where(F.col("parameter_id").isin(supported))
-    hits = titles.join(F.broadcast(kept), F.contains(F.lower("title_text"), F.lower("alias")))
+    kept = kept.withColumn("_name", F.lower("alias"))
+    texts = titles.select(F.lower("title_text").alias("text")).distinct()
+    held = held_names(texts, kept.select(F.col("_name").alias("name")).distinct())
+    hits = titles.withColumn("text", F.lower("title_text")).join(held, "text").join(kept, F.col("name") == F.col("_name")).drop("text", "name", "_name")
     best = Window.partitionBy(*keys).orderBy("priority", "parameter_id")
     return hits.withColumn("place", F.row_number().over(best)).where("place = 1").drop("place", "alias", "priority")
 
@@ -45,9 +49,16 @@ def merge_catalog(toc: DataFrame, index: DataFrame, offsets: DataFrame) -> DataF
 
 
 def first_phrase_page(pages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """C4: first page, of those given, that contains a phrase; ``missing`` where there is none."""
-    wanted = pages.select("report_id").distinct().join(F.broadcast(phrases.select("phrase")), F.lit(True))
-    hits = pages.join(F.broadcast(phrases.select("phrase")), F.contains(F.lower("page_text"), F.lower("phrase"))).groupBy("report_id", "phrase").agg(F.min("pdf_page").alias("pdf_page"))
+    """C4: first page, of those given, that contains a phrase; ``missing`` where there is none.
+
+    The result has a row for every report and phrase; phrases are a list that users write.
+    """
+    all_phrases = phrases.agg(F.collect_set("phrase")).scalar()
+    wanted = pages.select("report_id").distinct().select("report_id", F.explode(all_phrases).alias("phrase"))
+    names = phrases.select("phrase", F.lower("phrase").alias("name")).distinct()
+    texts = pages.select("report_id", "pdf_page", F.lower("page_text").alias("text"))
+    held = held_names(texts, names.select("name").distinct(), ["report_id", "pdf_page"])
+    hits = held.groupBy("report_id", "name").agg(F.min("pdf_page").alias("pdf_page")).join(names, "name").drop("name")
     return wanted.join(hits, ["report_id", "phrase"], "left").withColumn("missing", F.col("pdf_page").isNull())
 
 
@@ -89,12 +100,23 @@ def page_range_toc_next(toc: DataFrame, offsets: DataFrame, page_counts: DataFra
 def page_range_next_anchor(titles: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Ends before the first heading of another number on a later page.
 
-    A running minimum from the end of the report stands for the range join: the next
-    heading is the first later one, or the first after those of the same number.
+    Pages are taken in order once.  A page with headings of one number continues the run of
+    the page before if that has the same one alone.  The next page ends a section unless it
+    has the section's number alone; then the page behind its run does.
     """
-    pages = titles.groupBy("report_id").agg(F.sort_array(F.collect_list(F.struct("pdf_page", "table_number"))).alias("all"))
-    joined = titles.join(pages, "report_id").join(page_counts, "report_id")
-    later = F.array_min(F.transform(F.filter("all", lambda a: (a["pdf_page"] > F.col("pdf_page")) & (a["table_number"] != F.col("table_number"))), lambda a: a["pdf_page"]))
+    numbers = titles.groupBy("report_id", "pdf_page").agg(F.min("table_number").alias("low"), F.max("table_number").alias("high"))
+    alone = numbers.select("report_id", "pdf_page", F.when(F.col("low") == F.col("high"), F.col("low")).alias("alone"))
+    w = Window.partitionBy("report_id").orderBy("pdf_page")
+    down = Window.partitionBy("report_id").orderBy(F.desc("pdf_page"))
+    before = F.lag("alone").over(w)
+    starts = F.col("alone").isNull() | before.isNull() | (before != F.col("alone"))
+    runs = alone.withColumn("start", F.when(starts, F.col("pdf_page")))
+    # from the last page upwards, so that the frame only grows
+    runs = runs.withColumn("behind", F.last("start", ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, -1)))
+    runs = runs.select("report_id", "pdf_page", *[F.lead(c).over(w).alias(f"next_{n}") for c, n in (("pdf_page", "page"), ("alone", "alone"), ("behind", "behind"))])
+    joined = titles.join(runs, ["report_id", "pdf_page"]).join(page_counts, "report_id")
+    same = F.coalesce(F.col("next_alone") == F.col("table_number"), F.lit(False))
+    later = F.when(same, F.col("next_behind")).otherwise(F.col("next_page"))
     end = F.when(later.isNull(), F.col("page_count")).otherwise(F.greatest(F.col("pdf_page"), later - 1))
     return joined.select("report_id", "table_number", F.col("pdf_page").alias("start_page"), end.alias("end_page"))
 
@@ -118,9 +140,12 @@ def catalog_rollup(catalog: DataFrame, supported: list[str]) -> DataFrame:
 
 def route_query(queries: DataFrame, keywords: DataFrame, ranges: DataFrame) -> DataFrame:
     """C11: a request's first keyword, the first heading that contains it, and its section."""
-    k = queries.join(F.broadcast(keywords), F.contains(F.lower("query"), F.lower("keyword")))
-    k = k.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("priority"))).where("place = 1").select("query_id", "keyword")
-    hits = ranges.join(k, F.contains(F.lower("title_text"), F.lower("keyword")))
+    low = keywords.withColumn("name", F.lower("keyword"))
+    asked = queries.select("query_id", F.lower("query").alias("text"))
+    k = asked.join(held_names(asked.select("text").distinct(), low.select("name").distinct()), "text").join(low, "name")
+    k = k.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("priority"))).where("place = 1").select("query_id", "keyword", "name")
+    titled = ranges.withColumn("text", F.lower("title_text"))
+    hits = titled.join(held_names(titled.select("text").distinct(), k.select("name").distinct()), "text").join(k, "name")
     first = Window.partitionBy("query_id", "report_id").orderBy("start_page", "table_number")
     return hits.withColumn("place", F.row_number().over(first)).where("place = 1").select("query_id", "keyword", "report_id", "title_text", "start_page", "end_page")
 

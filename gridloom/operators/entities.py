@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
+from gridloom.operators.dictionary import held_names
 from gridloom.operators.normalize import _word
 
 ORDER = ["state", "utility", "voltage", "year", "unit", "category"]
@@ -64,26 +65,6 @@ def match_state(values: DataFrame, names: DataFrame, aliases: DataFrame, least:
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
-def _grams(text: Column, n: int) -> Column:
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
-
-
-def held_names(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """(text, name) of every name of one table that a text of the other holds; both sides distinct.
-
-    A name is looked for under the one of its four-letter pieces that fewest texts have,
-    a shorter name as a piece itself, so that both are joins on equal keys.
-    """
-    posts = texts.select("text", F.explode(_grams(F.col("text"), 4)).alias("gram"))
-    pieces = names.select("name", F.explode(_grams(F.col("name"), 4)).alias("gram"))
-    counted = pieces.join(posts.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
-    rarest = counted.groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    long = posts.join(rarest, "gram").where(F.contains("text", "name")).select("text", "name")
-    short = texts.select("text", F.explode(F.concat(*[_grams(F.col("text"), n) for n in (1, 2, 3)])).alias("name"))
-    return long.unionByName(short.join(names.where(F.length("name") < 4).select("name"), "name").select("text", "name"))
-
-
 def match_utility(values: DataFrame, utilities: DataFrame, patterns: list[str], header: Column | None = None, state: Column | None = None) -> DataFrame:
     """Exact name, a name inside the value or the reverse (4 letters at least), the same at any
     length among the names of the active state, a pattern, or the header's word for it.

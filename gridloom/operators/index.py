@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.dictionary import held_names
+
 # fixed values: heading and contents-line patterns
 TITLE = r"(?i)TABLE[- ]?\d+(?:\([A-Z]\))?\s*:\s*([^\n]+)"
 TOC_LINE = r"(?i)TABLE[- ]?(\d+(?:\([A-Z]\))?)\s*:\s*(.*?)\s+(\d+)"
@@ -90,5 +92,7 @@ def title_catalog(titles: DataFrame, min_page: int = 1, least: int = 8) -> DataF
 def phrase_pages(pages: DataFrame, phrases: DataFrame, lines: int = 3) -> DataFrame:
     """Pages that contain a phrase, case ignored, with their first lines."""
     preview = F.array_join(F.slice(F.split("page_text", "\n"), 1, lines), "\n")
-    hits = pages.join(F.broadcast(phrases), F.contains(F.upper("page_text"), F.upper("phrase")))
-    return hits.select("phrase", "report_id", "pdf_page", preview.alias("preview"))
+    named = phrases.withColumn("name", F.upper("phrase"))
+    texts = pages.select("report_id", "pdf_page", F.upper("page_text").alias("text"))
+    held = held_names(texts, named.select("name").distinct(), ["report_id", "pdf_page"]).join(named, "name")
+    return pages.join(held, ["report_id", "pdf_page"]).select("phrase", "report_id", "pdf_page", preview.alias("preview"))

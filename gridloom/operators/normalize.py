@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
+from gridloom.operators.dictionary import held_names, held_words
 
 # fixed values: words that no group name holds
 EXCLUDED_WORDS = (
-    "ht lt eht category power surcharge charge voltage level kv utility discom tension industry industries supply domestic "
-    "commercial traction irrigation general billing period policy residential apartment apartments township townships "
-    "colony colonies villa villas station stations"
-).split()
+    "ht", "lt", "eht", "category", "power", "surcharge", "charge", "voltage", "level", "kv", "utility", "discom", "tension",
+    "industry", "industries", "supply", "domestic", "commercial", "traction", "irrigation", "general", "billing", "period",
+    "policy", "residential", "apartment", "apartments", "township", "townships", "colony", "colonies", "villa", "villas",
+    "station", "stations",
+)
+
+
+# fixed values: letters that tell a section, in the order they are listed
+SECTIONS = (("EHT", ("eht", "extra high tension")), ("HT", ("ht", "high tension")), ("LT", ("lt", "low tension")))
 
 
 def ordered(key: str = "report_id"):
@@ -104,12 +110,12 @@ def resolve_state(values: DataFrame, names: DataFrame, aliases: DataFrame, value
         names.select(F.lower("canonical").alias("name"), "canonical", "priority", F.lit(1).alias("exact"), F.lit(3).alias("inside"))
         .unionByName(aliases.select(F.lower("alias").alias("name"), "canonical", "priority", F.lit(2).alias("exact"), F.lit(4).alias("inside")))
     )
-    same = F.col("key") == F.col("name")
-    hits = keyed.join(F.broadcast(table), same | _word(F.col("key"), F.col("name")))
-    step = F.when(same, F.col("exact")).otherwise(F.col("inside"))
-    best = hits.groupBy(value).agg(F.min_by(F.struct("canonical", step.alias("step")), F.struct(step, "priority")).alias("b"))
+    keys = keyed.select(F.col("key").alias("text")).where("text IS NOT NULL").distinct()
+    inside = held_words(keys, table.select("name").distinct()).join(table, "name").select(F.col("text").alias("key"), "canonical", "priority", F.col("inside").alias("step"))
+    same = table.select(F.col("name").alias("key"), "canonical", "priority", F.col("exact").alias("step"))
+    best = inside.unionByName(same).groupBy("key").agg(F.min_by(F.struct("canonical", "step"), F.struct("step", "priority")).alias("b"))
     method = F.element_at(F.array(*map(F.lit, ["exact", "alias", "name_word", "alias_word"])), F.col("b.step"))
-    return keyed.join(best, value, "left").select(value, F.col("b.canonical").alias("canonical"), F.when(F.col("b").isNotNull(), method).alias("method"))
+    return keyed.join(best, "key", "left").select(value, F.col("b.canonical").alias("canonical"), F.when(F.col("b").isNotNull(), method).alias("method"))
 
 
 def detect_group_in_row(rows: DataFrame, names: DataFrame, aliases: DataFrame, first: int = 4, key: str = "report_id") -> DataFrame:
@@ -189,20 +195,37 @@ def segment_blocks_marker(rows: DataFrame, key: str = "report_id") -> DataFrame:
     return out.where("block_no > 0 AND NOT _m").drop("_m")
 
 
-def describe_blocks(rows: DataFrame, key: str = "report_id") -> DataFrame:
-    """First year label, distinct utilities, sections and identity of every block (needs ``state``)."""
-    year = F.get(F.filter("cells", lambda c: c.rlike(r"^20\d{2}-\d{2}$")), F.lit(0))
-    text = F.lower(F.array_join("cells", " "))
-    section = F.when(text.rlike(tx.SECTION_WORDS["EHT"]), "EHT").when(text.rlike(tx.SECTION_WORDS["LT"]), "LT").when(text.rlike(tx.SECTION_WORDS["HT"]), "HT")
-    utility = F.when(~tx.is_blank(F.get("cells", F.lit(1))), tx.strip(F.get("cells", F.lit(1))))
-    out = rows.groupBy(key, "block_no").agg(
+def describe_blocks(rows: DataFrame, names: DataFrame | None = None, key: str = "report_id") -> DataFrame:
+    """First year label, distinct utilities, sections and identity of every block (needs ``state``).
+
+    ``names`` (name, canonical) holds the alias map and the catalog together: every
+    canonical name whose name a cell of the block holds counts.  A block without any takes
+    its cells with a word for a utility; sections go by letters, so EHT is HT, too.
+    """
+    cells = rows.select(key, "block_no", "row_no", "state", F.posexplode_outer("cells").alias("col_idx", "cell")).withColumn("text", F.lower("cell"))
+    if names is None:
+        cells = cells.withColumn("held", F.array().cast("array<string>"))
+    else:
+        low = names.select(F.lower("name").alias("name"), "canonical").distinct()
+        texts = cells.select("text").where("text <> ''").distinct()
+        held = held_names(texts, low.select("name").distinct()).join(low, "name").groupBy("text").agg(F.collect_set("canonical").alias("held"))
+        cells = cells.join(held, "text", "left")
+    year = F.regexp_extract("cell", tx.YEAR_LABEL, 0)
+    place = F.struct("row_no", "col_idx")
+    has = lambda *parts: F.max(F.when(F.col("text").rlike("|".join(parts)), 1))
+    out = cells.groupBy(key, "block_no").agg(
         F.min_by("state", "row_no").alias("state"),
-        F.min_by(year, F.when(year.isNotNull(), F.col("row_no"))).alias("year"),
-        F.array_join(F.sort_array(F.collect_set(utility)), ",").alias("utilities"),
-        F.array_join(F.sort_array(F.collect_set(section)), ",").alias("sections"),
-        F.count("*").alias("row_count"),
+        F.min_by(year, F.when(year != "", place)).alias("year"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("held")))).alias("held"),
+        F.sort_array(F.collect_set(F.when(F.col("text").rlike("discom|utility|licensee"), tx.strip(F.col("cell"))))).alias("worded"),
+        F.array_join(F.array(*[F.when(has(*p) == 1, s) for s, p in SECTIONS]), ",").alias("sections"),
+        F.min("row_no").alias("start_row"),
+        F.max("row_no").alias("end_row"),
+        F.count_if(F.coalesce(F.col("col_idx"), F.lit(0)) == 0).alias("row_count"),
     )
-    return out.withColumn("block_id", F.concat_ws("_", F.col(key).cast("string"), F.lower(F.regexp_replace("state", r"\W+", "_")), F.col("block_no").cast("string")))
+    utilities = F.array_join(F.when(F.size("held") > 0, F.col("held")).otherwise(F.col("worded")), ",")
+    block_id = F.concat_ws("_", F.col(key).cast("string"), F.replace(F.lower("state"), F.lit(" "), F.lit("_")), F.col("start_row").cast("string"), F.col("end_row").cast("string"))
+    return out.select(key, "block_no", "state", "year", utilities.alias("utilities"), "sections", "start_row", "end_row", "row_count", block_id.alias("block_id"))
 
 
 def utility_to_group(values: DataFrame, utilities: DataFrame, value: str = "value") -> DataFrame:

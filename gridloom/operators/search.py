@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.dictionary import held_names
+
 # fixed values
 STOP_WORDS = ("extract", "show", "find", "get", "what", "is", "the", "charges", "charge", "open", "access", "for", "of", "in")
 
 
 def detect_query_group(queries: DataFrame, groups: DataFrame) -> DataFrame:
     """L1: the longest group name that the query contains; null where there is none."""
-    hits = queries.join(F.broadcast(groups.select("group")), F.contains(F.lower("query"), F.lower("group")))
+    named = groups.select("group", F.lower("group").alias("name")).distinct()
+    asked = queries.select("query_id", F.lower("query").alias("text"))
+    hits = asked.join(held_names(asked.select("text").distinct(), named.select("name").distinct()), "text").join(named, "name")
     best = hits.groupBy("query_id").agg(F.max_by("group", F.struct(F.length("group"), "group")).alias("group"))
     return queries.join(best, "query_id", "left")
 
@@ -48,5 +52,8 @@ def block_catalog(rows: DataFrame) -> DataFrame:
 
 def retrieve_block(terms: DataFrame, blocks: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of the first block of a report whose state contains the term."""
-    hit = blocks.join(F.broadcast(terms), F.contains(F.lower("state"), F.lower("term"))).groupBy("term", "report_id").agg(F.min("block_no").alias("block_no"))
+    named = terms.select("term", F.lower("term").alias("name")).distinct()
+    placed = blocks.select("report_id", "block_no", F.lower("state").alias("text"))
+    held = held_names(placed.select("text").distinct(), named.select("name").distinct()).join(named, "name")
+    hit = placed.join(held, "text").groupBy("term", "report_id").agg(F.min("block_no").alias("block_no"))
     return rows.join(hit, ["report_id", "block_no"]).select("term", "report_id", "block_no", "row_no")

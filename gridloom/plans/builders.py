@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.fixtures import CELLS, grid_body, grid_rows, table
 from gridloom.functions import text as tx
 from gridloom.operators import builders as bd
-from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, filled, labelled, sectioned
+from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, filled, labelled, sectioned, utility_names
 from gridloom.sources.catalogs import ranked
 
 VALUE_COLUMNS = {"LT": 4, "11 kV": 5, "33 kV": 6, "132 kV": 7}
@@ -73,11 +73,31 @@ def i9_parse_sentinel_number(spark, sf):
     return line.select("l_orderkey", "l_linenumber", tx.parse_sentinel_number(raw).alias("value"))
 
 
+COLUMN_ROLES = [
+    (2, "Year", "category", None, None),
+    (4, "LT side", "value", None, "Rs/kWh"),
+    (5, "2024-25 - new zone", "value", "2024-25", None),
+    (6, "", "value", None, "Rs/kW/month"),
+    (7, "2025-26 - Customer#000000003 - x", "value", "2025-26", None),
+]
+
+
 def block_grid(spark, sf):
-    """Blocks whose every 20th row is a voltage line."""
-    line = F.array(F.when(F.col("row_no") % 40 == 0, "HT supply").otherwise("33 kV"), *[F.lit("")] * 7)
-    rows = blocks(spark, sf)
-    return rows.withColumn("cells", F.when((F.col("row_no") % 20 == 0) & (F.get("cells", F.lit(0)) == ""), line).otherwise(F.col("cells")))
+    """Blocks of a segment with voltage lines, categories that name a level, and in every second block a line of local headers."""
+    r, own = F.col("row_no"), lambda i: F.get("cells", F.lit(i))
+    body = own(0) == ""
+    line = F.array(F.lit(""), F.lit(""), F.when(r % 40 == 0, "HT supply").when(r % 60 == 20, "33 kV side").otherwise("EHT"), *[F.lit("")] * 2, F.lit("-"), F.lit("nil"), F.lit(""))
+    local = F.array(F.lit(""), F.lit("Category"), F.lit(""), F.lit("State"), F.lit("Automobiles"), F.lit(""), F.concat(F.lit("Customer#"), F.lpad((r % 90).cast("string"), 9, "0")), F.lit(""))
+    named = F.array(*[F.when(r % 9 == 0, F.concat(F.lit("HT "), own(2))).when(r % 14 == 0, F.concat(F.lit("alt "), own(2))).otherwise(own(2)) if i == 2 else own(i) for i in range(8)])
+    cells = F.when(body & (F.col("block_no") % 2 == 1) & (r % 30 == 15), local).when(body & (r % 20 == 0), line).otherwise(named)
+    return blocks(spark, sf).withColumn("year", F.when(r > 0, "2023-24")).withColumn("cells", cells)
+
+
+def i10_block_matrix(spark, sf):
+    rows = block_grid(spark, sf)
+    roles = spark.createDataFrame(COLUMN_ROLES, "col_idx int, display_name string, role string, year string, unit string")
+    columns = labels(spark, sf).select("report_id", "col_idx").join(roles, "col_idx")
+    return bd.block_matrix(rows, columns, *utility_names(spark, sf))
 
 
 def i11_nearest_header_column(spark, sf):
@@ -116,7 +136,7 @@ QUERIES = {
     "i7_sectioned_values": lambda s, d: bd.sectioned_values(filled_sections(s, d)),
     "i8_split_multi_value": i8_split_multi_value,
     "i9_parse_sentinel_number": i9_parse_sentinel_number,
-    "i10_block_matrix": lambda s, d: bd.block_matrix(block_grid(s, d), labels(s, d)),
+    "i10_block_matrix": i10_block_matrix,
     "i11_nearest_header_column": i11_nearest_header_column,
     "i12_simple_matrix": lambda s, d: bd.simple_matrix(clean(s, d), labels(s, d)),
     "i13_key_value": lambda s, d: bd.key_value(clean(s, d), 1, 4),
@@ -165,11 +185,18 @@ ORACLE_SQL = {
       SELECT l_orderkey, l_linenumber, raw, 0 AS part, CAST(a AS DOUBLE) AS value, CASE WHEN l_linenumber % 2 = 0 THEN 'Partial OA' END AS qualifier FROM r
       UNION ALL SELECT l_orderkey, l_linenumber, raw, 1, CAST(b AS DOUBLE), 'Full OA' FROM r WHERE l_linenumber % 2 = 0""",
     "i9_parse_sentinel_number": "SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 0.0 WHEN 3 THEN CAST(l_quantity AS INT) + 0.5 WHEN 4 THEN CAST(CAST(l_quantity AS INT) AS DOUBLE) END AS value FROM lineitem",
-    "i10_block_matrix": f"""{CLEAN}, g AS (SELECT *, row_no % 20 = 0 AND c0 = '' AS line FROM bl WHERE block_no > 0),
-      h AS (SELECT *, last_value(CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT' ELSE '33 kV' END END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS v,
-        last_value(CASE WHEN NOT line THEN nullif(c1, '') END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS utility FROM g),
-      k AS (SELECT * FROM h WHERE NOT line), m AS ({melted(4, 'k')})
-      SELECT report_id, block_no, row_no, state, utility, coalesce(v, volt) AS voltage_level, label, value FROM m WHERE value IS NOT NULL""",
+    "i10_block_matrix": rf"""{CLEAN}, g AS (SELECT *, c0 = '' AND block_no % 2 = 1 AND row_no % 30 = 15 AS head, c0 = '' AND row_no % 20 = 0 AND NOT (block_no % 2 = 1 AND row_no % 30 = 15) AS line FROM bl WHERE block_no > 0),
+      h AS (SELECT *, CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT supply' WHEN row_no % 60 = 20 THEN '33 kV side' ELSE 'EHT' END WHEN head THEN '' WHEN row_no % 9 = 0 THEN concat('HT ', c2) WHEN row_no % 14 = 0 THEN concat('alt ', c2) ELSE c2 END AS category,
+        last_value(CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT' WHEN row_no % 60 = 20 THEN '33 kV' ELSE 'EHT' END WHEN NOT head AND row_no % 9 = 0 AND coalesce({num("c4")}, {num("c5")}, {num("c6")}, {num("c7")}) IS NULL THEN 'HT' END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS v,
+        min(CASE WHEN head THEN row_no END) OVER (PARTITION BY report_id, block_no) AS first_head FROM g),
+      m AS (SELECT *, unnest([4, 5, 6, 7]) AS col_idx, unnest([c4, c5, c6, c7]) AS cell FROM h WHERE NOT line AND NOT head AND category <> ''),
+      k AS (SELECT report_id, block_no, row_no, col_idx, state, category, c3 AS subcategory, CASE WHEN v IS NOT NULL THEN v WHEN row_no % 9 = 0 THEN 'HT' WHEN row_no % 14 = 0 THEN 'LT' ELSE 'all' END AS voltage_level, {num("cell")} AS value,
+        CASE WHEN first_head IS NOT NULL THEN CASE WHEN col_idx <= 5 THEN 'Automobiles' ELSE concat('Customer#', lpad(CAST(first_head % 90 AS VARCHAR), 9, '0')) END
+          ELSE CASE col_idx WHEN 4 THEN 'LT side' WHEN 5 THEN '2024-25 - new zone' WHEN 6 THEN 'Col 6' ELSE '2025-26 - Customer#000000003 - x' END END AS raw,
+        CASE col_idx WHEN 6 THEN 'Rs/kW/month' ELSE 'Rs/kWh' END AS charge_unit, CASE col_idx WHEN 5 THEN '2024-25' WHEN 7 THEN '2025-26' ELSE '2023-24' END AS year FROM m),
+      nm AS (SELECT lower(c_name) AS name, c_name AS canonical, c_mktsegment AS own, 1 AS tier, c_custkey AS priority FROM customer WHERE c_custkey % 3 = 0 UNION ALL VALUES ('automob', 'Auto Power', NULL, 0, 0), ('00007', 'Seven Power', NULL, 0, 1), ('new zone', 'Zone Power', NULL, 0, 2)),
+      u AS (SELECT state, raw, min_by(canonical, CASE WHEN tier = 1 AND own <> state THEN 2 ELSE tier END * 1000000000 + priority) AS canonical FROM (SELECT DISTINCT state, raw FROM k) JOIN nm ON contains(lower(raw), name) GROUP BY 1, 2)
+      SELECT report_id, block_no, row_no, col_idx, k.state, coalesce(canonical, k.raw) AS utility, category, subcategory, voltage_level, value, charge_unit, year FROM k LEFT JOIN u ON u.state = k.state AND u.raw = k.raw WHERE value IS NOT NULL""",
     "i11_nearest_header_column": f"""{CLEAN}, m AS ({melted(4)}) SELECT report_id, row_no, col_idx, cell, CASE col_idx WHEN 4 THEN 'Col 3' WHEN 7 THEN '132 kV Charge' ELSE '11 kV Charge' END AS nearest_label FROM m""",
     "i12_simple_matrix": f"{MELT1} SELECT report_id, row_no, c0 AS category, label AS utility, value, 'Rs/kWh' AS charge_unit FROM m WHERE value IS NOT NULL",
     "i13_key_value": f"{CLEAN} SELECT report_id, row_no, c1 AS metric, {num('c4')} AS value, 'Rs/kWh' AS charge_unit FROM cl WHERE c1 <> '' AND {num('c4')} IS NOT NULL",

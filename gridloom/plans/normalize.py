@@ -113,8 +113,31 @@ def marked(spark, sf):
     return clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 30 == 0, line).otherwise(F.slice("cells", 1, 5)))
 
 
+UTILITY_ALIASES = [("automob", "Auto Power"), ("00007", "Seven Power"), ("new zone", "Zone Power")]
+
+
+def utility_names(spark, sf):
+    """Every third customer of the catalog, and a few aliases."""
+    catalog = table(spark, sf, "customer").where("c_custkey % 3 = 0").select("c_custkey", F.col("c_name").alias("canonical"), F.col("c_mktsegment").alias("state"))
+    aliases = spark.createDataFrame([(n, c, i) for i, (n, c) in enumerate(UTILITY_ALIASES)], "name string, canonical string, priority int")
+    return aliases, catalog.withColumnRenamed("c_custkey", "priority")
+
+
+def utility_blocks(spark, sf):
+    """A block for every run of a utility, with sections and unlisted utilities among its cells."""
+    r = F.col("row_no")
+    six = F.when(r % 11 == 0, "HT supply").when(r % 13 == 0, "LT-II").when(r % 17 == 0, "EHT")
+    three = F.when(r % 7 == 0, F.concat(F.lit(" North DISCOM "), (r % 3).cast("string"))).when(r % 29 == 0, "in 2024-25")
+    cell = {3: three, 6: six}
+    rows = filled(spark, sf)
+    cells = F.array(*[F.coalesce(cell[i], F.get("cells", F.lit(i))) if i in cell else F.get("cells", F.lit(i)) for i in range(8)])
+    return nm.segment_blocks_spanning(rows.withColumn("cells", cells), F.get("cells", F.lit(1)) != "")
+
+
 def e17_describe_blocks(spark, sf):
-    return nm.describe_blocks(blocks(spark, sf))
+    aliases, catalog = utility_names(spark, sf)
+    names = aliases.select("name", "canonical").unionByName(catalog.select(F.col("canonical").alias("name"), "canonical"))
+    return nm.describe_blocks(utility_blocks(spark, sf), names)
 
 
 def e19_utility_to_group(spark, sf):
@@ -129,6 +152,10 @@ def e19_utility_to_group(spark, sf):
 CLEAN = WITH_BODY + r""", cl AS (SELECT report_id, row_no, pdf_page, trim(regexp_replace(regexp_replace(c0, '\(cid:\d+\)', ''), '\*+$', '')) AS c0, c1, c2, c3, c4, c5, c6, c7 FROM body),
 fl AS (SELECT *, coalesce(last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no), '') AS state FROM cl),
 bl AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS block_no FROM fl)"""
+UBLOCKS = CLEAN + """, ua AS (SELECT report_id, row_no, pdf_page, state, c0, c1, c2, CASE WHEN row_no % 7 = 0 THEN concat(' North DISCOM ', row_no % 3) WHEN row_no % 29 = 0 THEN 'in 2024-25' ELSE c3 END AS c3, c4, c5,
+  CASE WHEN row_no % 11 = 0 THEN 'HT supply' WHEN row_no % 13 = 0 THEN 'LT-II' WHEN row_no % 17 = 0 THEN 'EHT' ELSE c6 END AS c6, c7,
+  sum(CASE WHEN c1 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS block_no FROM fl),
+ub AS (SELECT * FROM ua WHERE block_no > 0)"""
 SECT = CLEAN + """, se AS (SELECT report_id, row_no, row_no % 50 = 0 AS is_section,
   CASE WHEN row_no % 50 = 0 THEN '' ELSE c0 END AS c0, CASE WHEN row_no % 100 = 0 THEN 'Low Recovery' WHEN row_no % 50 = 0 THEN 'Medium' ELSE c1 END AS c1,
   CASE WHEN row_no % 50 = 0 THEN '' ELSE concat(c2, c3, c4, c5, c6, c7) END AS rest FROM cl),
@@ -209,8 +236,15 @@ ORACLE_SQL = {
       n AS (SELECT *, sum(CASE WHEN b IS NULL OR b <> substr(c2, 1, 4) THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS block_no FROM g)
       SELECT report_id, block_no, min(row_no) AS start_row, max(row_no) AS end_row, count(*) AS row_count FROM n GROUP BY 1, 2""",
     "e16_segment_blocks_marker": f"{CLEAN} SELECT report_id, row_no, CAST(floor(row_no / 30) AS INT) AS block_no, concat(report_id, ' Part ', CAST(floor(row_no / 30) AS INT)) AS block_name FROM cl WHERE row_no > 30 AND row_no % 30 <> 0",
-    "e17_describe_blocks": rf"""{CLEAN} SELECT report_id, block_no, min_by(state, row_no) AS state, min_by(c2, row_no) FILTER (c2 LIKE '20%') AS year, string_agg(DISTINCT nullif(trim(c1), ''), ',' ORDER BY nullif(trim(c1), '')) AS utilities, '' AS sections, count(*) AS row_count,
-      concat_ws('_', CAST(report_id AS VARCHAR), lower(regexp_replace(min_by(state, row_no), '\W+', '_', 'g')), CAST(block_no AS VARCHAR)) AS block_id FROM bl WHERE block_no > 0 GROUP BY report_id, block_no""",
+    "e17_describe_blocks": rf"""{UBLOCKS}, x AS (SELECT report_id, block_no, row_no, state, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS cell, unnest(range(0, 8)) AS i FROM ub),
+      nm AS (SELECT lower(c_name) AS name, c_name AS canonical FROM customer WHERE c_custkey % 3 = 0 UNION ALL VALUES ('automob', 'Auto Power'), ('00007', 'Seven Power'), ('new zone', 'Zone Power')),
+      h AS (SELECT report_id, block_no, string_agg(DISTINCT canonical, ',' ORDER BY canonical) AS held FROM x JOIN nm ON contains(lower(cell), name) GROUP BY 1, 2),
+      b AS (SELECT report_id, block_no, min_by(state, row_no) AS state, nullif(min_by(regexp_extract(cell, '\b20\d{{2}}-\d{{2}}\b'), row_no * 10 + i) FILTER (regexp_matches(cell, '\b20\d{{2}}-\d{{2}}\b')), '') AS year,
+        coalesce(string_agg(DISTINCT trim(cell), ',' ORDER BY trim(cell)) FILTER (regexp_matches(lower(cell), 'discom|utility|licensee')), '') AS worded,
+        concat_ws(',', CASE WHEN bool_or(contains(lower(cell), 'eht')) THEN 'EHT' END, CASE WHEN bool_or(contains(lower(cell), 'ht')) THEN 'HT' END, CASE WHEN bool_or(contains(lower(cell), 'lt')) THEN 'LT' END) AS sections,
+        min(row_no) AS start_row, max(row_no) AS end_row, count(DISTINCT row_no) AS row_count FROM x GROUP BY 1, 2)
+      SELECT report_id, block_no, state, year, coalesce(held, worded) AS utilities, sections, start_row, end_row, row_count, concat_ws('_', CAST(report_id AS VARCHAR), replace(lower(state), ' ', '_'), CAST(start_row AS VARCHAR), CAST(end_row AS VARCHAR)) AS block_id
+      FROM b LEFT JOIN h USING (report_id, block_no)""",
     "e18_compress_row": f"{WITH_BODY} SELECT report_id, row_no, concat_ws('|', {', '.join(f'nullif(trim({c}), $$$$)' for c in CELLS)}) AS joined FROM body".replace("$$$$", "''"),
     "e19_utility_to_group": """SELECT DISTINCT CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN concat('M/s ', c_name, ' Ltd') ELSE concat('no', c_custkey) END AS value,
       CASE WHEN c_custkey % 3 < 2 THEN c_mktsegment END AS state, CASE c_custkey % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'word' END AS method FROM customer""",
