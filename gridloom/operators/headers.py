@@ -34,25 +34,31 @@ def header_cells(rows: DataFrame, depths: DataFrame) -> DataFrame:
     return rows.join(depths, KEY).where("row_no <= depth").select(KEY, "row_no", F.posexplode("cells").alias("col_idx", "cell")).withColumn("cell", tx.strip(F.col("cell")))
 
 
-def fill_header_spans(rows: DataFrame, depths: DataFrame, most: int = 5) -> DataFrame:
+def fill_header_spans(rows: DataFrame, depths: DataFrame) -> DataFrame:
     """H2: the first header row is filled from the left; later rows from above, else from the left.
 
-    The rows of a header, ``most`` at most, are columns here, so that a row can use the filled one above it.
+    A blank cell below takes the filled one above it, else the one to its left.  A column
+    is thus begun by the first row that has text at or left of it, with the last such
+    text; below that it keeps the last text of its own.  Headers of any depth are filled
+    by windows along rows and columns.
     """
-    wide = header_cells(rows, depths).where(F.col("row_no") <= most).groupBy(KEY, "col_idx").agg(*[F.max(F.when(F.col("row_no") == r, F.col("cell"))).alias(f"h{r}") for r in range(1, most + 1)])
-    w = Window.partitionBy(KEY).orderBy("col_idx")
-    blank = lambda c: F.when(c != "", c)
-    for r in range(1, most + 1):
-        own = blank(F.col(f"h{r}")) if r == 1 else F.coalesce(blank(F.col(f"h{r}")), blank(F.col(f"h{r - 1}")))
-        wide = wide.withColumn("_own", own).withColumn(f"h{r}", F.when(F.col(f"h{r}").isNotNull(), F.coalesce("_own", F.last("_own", ignorenulls=True).over(w), F.lit(""))))
-    return wide.drop("_own")
-
-
-def header_paths(filled: DataFrame, most: int = 5) -> DataFrame:
+    cells = header_cells(rows, depths)
+    own = F.when(F.col("cell") != "", F.col("cell"))
+    across = Window.partitionBy(KEY, "row_no").orderBy("col_idx")
+    column = Window.partitionBy(KEY, "col_idx")
+    held = cells.withColumn("_own", own).withColumn("_left", F.last(own, ignorenulls=True).over(across))
+    held = held.withColumn("_begin", F.min(F.when(F.col("_left").isNotNull(), F.col("row_no"))).over(column))
+    text = F.when(F.col("row_no") == F.col("_begin"), F.col("_left")).otherwise(F.col("_own"))
+    filled = F.coalesce(F.last(text, ignorenulls=True).over(column.orderBy("row_no")), F.lit(""))
+    return held.select(KEY, "row_no", "col_idx", filled.alias("cell"))
+
+
+def header_paths(filled: DataFrame) -> DataFrame:
     """H3: the path of every column from the top, without marks and repeats of the part above."""
-    parts = F.filter(F.array(*[F.col(f"h{r}") for r in range(1, most + 1)]), lambda p: p.isNotNull() & ~p.isin("", "/", "\\", "-"))
-    once = F.filter(parts, lambda p, i: (i == 0) | (p != F.get(parts, i - 1)))
-    return filled.select(KEY, "col_idx", once.alias("header_path"))
+    column = filled.groupBy(KEY, "col_idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("row_no", "cell"))), lambda x: x["cell"]).alias("all"))
+    parts = F.filter("all", lambda p: ~p.isin("", "/", "\\", "-"))
+    once = F.filter("parts", lambda p, i: (i == 0) | (p != F.get(F.col("parts"), i - 1)))
+    return column.withColumn("parts", parts).select(KEY, "col_idx", once.alias("header_path"))
 
 
 def header_tree(paths: DataFrame) -> DataFrame:
@@ -62,7 +68,11 @@ def header_tree(paths: DataFrame) -> DataFrame:
 
 
 def describe_columns(paths: DataFrame) -> DataFrame:
-    """H4: display name, year, unit, group and role of every column."""
+    """H4: display name, year, unit, group, role and entity type of every column.
+
+    The type is what cells of the role are; values are a percentage where the unit is
+    ``%``, else a charge.
+    """
     parts = F.filter(F.transform("header_path", lambda p: F.regexp_replace(p, r"^[\s/*+-]+|[\s/*+-]+$", "")), lambda p: p != "")
     name = F.when(F.size(parts) == 0, F.concat(F.lit("Column "), F.col("col_idx").cast("string"))).otherwise(F.array_join(parts, " - "))
     text = F.array_join("header_path", " ")
@@ -74,25 +84,61 @@ def describe_columns(paths: DataFrame) -> DataFrame:
     for r, words in ROLE_WORDS:
         role = role.when(low.rlike(words), r)
     value = F.col("unit").isNotNull() | F.col("year").isNotNull() | low.rlike("charge|value")
-    return out.withColumn("role", role.when(value, "value").otherwise("unknown"))
+    out = out.withColumn("role", role.when(value, "value").otherwise("unknown"))
+    amount = F.when(F.col("unit") == "%", "percentage").otherwise("charge")
+    return out.withColumn("entity_type", F.when(F.col("role") == "value", amount).otherwise(F.col("role")))
+
+
+# fixed values: cells that say nothing
+EMPTY_CELLS = ("", "NA", "N/A", "na", "n/a", "-")
+
+
+def cells_in_context(rows: DataFrame, columns: DataFrame, depths: DataFrame, match_states) -> DataFrame:
+    """Every cell with its column's header, role and unit, and the state that its row's state column names.
+
+    ``match_states`` takes distinct values and returns their canonical states; the
+    state column is the first with that role, else the first of all.
+    """
+    place = columns.groupBy(KEY).agg(F.min(F.when(F.col("role") == "state", F.col("col_idx"))).alias("_s"))
+    base = rows.join(depths, KEY).join(place, KEY, "left").select(KEY, "row_no", "cells", (F.col("row_no") <= F.col("depth")).alias("head"), F.coalesce("_s", F.lit(0)).alias("_s"))
+    base = base.withColumn("_own", F.when(~F.col("head"), F.get("cells", F.col("_s"))))
+    states = match_states(base.select(F.col("_own").alias("value")).where("value IS NOT NULL").distinct())
+    states = states.where("canonical IS NOT NULL").select(F.col("value").alias("_own"), F.col("canonical").alias("state"))
+    cells = base.join(states, "_own", "left").select(KEY, "row_no", "head", "state", F.posexplode("cells").alias("col_idx", "value"))
+    seen = columns.select(KEY, "col_idx", F.col("display_name").alias("header"), "role", F.col("unit").alias("column_unit"))
+    return cells.withColumn("value", tx.strip(F.coalesce("value", F.lit("")))).join(seen, [KEY, "col_idx"], "left")
+
+
+def triples_of(cells: DataFrame) -> DataFrame:
+    """The distinct (value, header, state) of the cells that say something."""
+    said = cells.where(~F.col("head") & ~F.col("value").isin(*EMPTY_CELLS))
+    return said.select("value", F.coalesce("header", F.lit("")).alias("header"), F.coalesce("state", F.lit("")).alias("state")).distinct()
 
 
-def annotate_cells(rows: DataFrame, columns: DataFrame, depths: DataFrame, entities: DataFrame) -> DataFrame:
-    """H5: what every cell is: header, empty, an entity, or a number of its column's role; with unit and context.
+def annotate_cells(cells: DataFrame, entities: DataFrame) -> DataFrame:
+    """H5: what every cell is: header, empty, an entity, or a number typed by its column's role.
 
-    ``entities`` (value, entity_type, canonical) come from distinct values.  Named entities are never numbers.
+    ``cells`` comes from ``cells_in_context``, ``entities`` from recognising their
+    triples.  Years, voltages, states, utilities and serial numbers are no numbers; a
+    charge has its column's unit or ``Rs/kWh``, a percentage ``%``.
     """
-    cells = rows.join(depths, KEY).select(KEY, "row_no", (F.col("row_no") <= F.col("depth")).alias("head"), F.posexplode("cells").alias("col_idx", "value"))
-    joined = cells.join(columns, [KEY, "col_idx"]).join(entities.select("value", "entity_type", "canonical"), "value", "left")
+    key = {"value": F.col("value"), "header": F.coalesce("header", F.lit("")), "state": F.coalesce("state", F.lit(""))}
+    known = entities.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("entity_type").alias("_type"), F.col("canonical").alias("_name"), F.col("confidence").alias("_sure"))
+    joined = cells.join(known, [c.eqNullSafe(F.col(f"_{k}")) for k, c in key.items()], "left")
     number = tx.parse_number(F.col("value"))
-    named = F.coalesce("entity_type", F.lit("unknown")) != "unknown"
+    found = F.coalesce("_type", F.lit("unknown")) != "unknown"
+    share = (F.col("column_unit") == "%") | F.contains("value", F.lit("%"))
     kind = (
-        F.when(F.col("head"), "header").when(tx.is_blank(F.col("value")), "empty").when(named, F.col("entity_type"))
-        .when(number.isNotNull() & F.col("role").isin("serial_number", "voltage"), F.col("role")).when(number.isNotNull(), "charge").otherwise("unknown")
+        F.when(F.col("head"), "header").when(F.col("value").isin(*EMPTY_CELLS), "empty").when(found, F.col("_type")).when(number.isNull(), "unknown")
+        .when(F.col("role").isin("serial_number", "voltage"), F.col("role")).when((F.col("role") == "value") & F.coalesce(share, F.lit(False)), "percentage").otherwise("charge")
     )
-    out = joined.withColumn("annotation", kind)
-    numeric = F.col("annotation") == "charge"
-    return out.select(KEY, "row_no", "col_idx", "annotation", F.when(numeric, number).alias("number"), F.when(numeric, F.coalesce("unit", tx.extract_unit(F.col("value")))).alias("unit"), F.col("display_name").alias("context"))
+    out = joined.withColumn("annotation", kind).withColumn("_number", number)
+    named = F.col("annotation").isin("year", "voltage", "header", "serial_number", "state", "utility", "empty")
+    level = F.when((F.col("annotation") == "voltage") & ~found, F.concat(F.col("_number").cast("long").cast("string"), F.lit(" kV")))
+    canonical = F.when(F.col("annotation") == "empty", None).when(F.col("head"), F.col("value")).when(found, F.col("_name")).otherwise(F.coalesce(level, F.col("value")))
+    sure = F.when(F.col("annotation").isin("header", "empty"), 1.0).when(found, F.col("_sure")).when(F.col("annotation") == "unknown", 0.0).otherwise(0.95)
+    unit = F.when(F.col("annotation") == "percentage", "%").when(F.col("annotation") == "charge", F.coalesce("column_unit", F.lit("Rs/kWh")))
+    return out.select(KEY, "row_no", "col_idx", "annotation", canonical.alias("canonical"), sure.alias("confidence"), F.when(~named, F.col("_number")).alias("number"), unit.alias("unit"), F.col("header").alias("context"), "state")
 
 
 def annotated_numbers(cells: DataFrame, value: Column, annotation: Column) -> DataFrame:

@@ -10,6 +10,7 @@ from gridloom.operators import entities as en
 from gridloom.operators import headers as hd
 from gridloom.operators import layouts as ly
 from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, labelled, states
+from gridloom.sources.scratch import written
 
 VOLTAGES = {"low tension": "LT", "lt": "LT", "high tension": "HT", "ht": "HT", "extra high tension": "EHT", "eht": "EHT"}
 UNITS = {"rs/kwh": "Rs/kWh", "rs. / kwh": "Rs/kWh", "rs./kwh": "Rs/kWh", "rs/kw/month": "Rs/kW/month"}
@@ -65,9 +66,27 @@ def g6(spark, sf):
     return en.match_category(values(spark, sf, "'Household'", "concat('large ind unit ', q)", "m", "'FURNITURE'", "concat('find ', q)", "concat('household no ', p)"), CATEGORIES)
 
 
+PATTERNS = [r"(?i)\bdiscom\b"]
+
+
+def recognized(triples, spark, sf):
+    """All six matchers on (value, header, state), with the segments as states and customers as utilities."""
+    c = table(spark, sf, "customer")
+    utilities = c.where("c_custkey % 3 = 0 OR c_custkey < 60").select(F.col("c_name").alias("canonical"), F.col("c_custkey").alias("priority"), F.col("c_mktsegment").alias("state"))
+    return en.recognize_in_context(triples, states(spark, sf), utilities, PATTERNS, VOLTAGES, UNITS, CATEGORIES)
+
+
 def g7(spark, sf):
-    v = values(spark, sf, "concat('20', lpad(CAST(q AS STRING), 2, '0'), '-17')", "concat(q, ' kV')", "concat(q, ' %')", "m", "'Household'", "concat('feeder ', p, ' of 66 kV')")
-    return en.recognize({"year": en.match_year(v), "voltage": en.match_voltage(v, VOLTAGES), "unit": en.match_unit(v, UNITS), "category": en.match_category(v, CATEGORIES)})
+    """A shape of value and header for each line number; the fourth has one for each return flag."""
+    li = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("int").alias("q"), F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("m"), F.col("l_partkey").alias("p"))
+    two = F.lpad(F.col("q").cast("string"), 2, "0")
+    text = F.col("q").cast("string")
+    flag = lambda a, n, r: F.when(F.col("m") == "A", a).when(F.col("m") == "N", n).otherwise(r)
+    value = F.when(F.col("n") == 1, F.concat(F.lit("20"), two, F.lit("-17"))).when(F.col("n") == 2, F.concat(text, F.lit(" kV"))).when(F.col("n") == 3, F.concat(text, F.lit(" %")))
+    value = value.when(F.col("n") == 4, flag(F.concat(F.lit("Plant x"), text), F.concat(F.lit("Tariff x"), text), F.concat(F.lit("Customer#"), F.lpad(text, 9, "0"), F.lit(" Ltd"))))
+    value = value.when(F.col("n") == 5, "Household").when(F.col("n") == 6, F.concat(F.lit("q"), text)).otherwise(F.concat(F.lit("feeder "), F.col("p").cast("string"), F.lit(" of 66 kV")))
+    header = F.when(F.col("n") == 4, flag(F.lit("Utility"), F.lit("Consumer Tariff"), F.lit("Utility"))).when(F.col("n") == 6, "11 kV Charge").otherwise("Charge")
+    return recognized(li.select(value.alias("value"), header.alias("header"), F.lit("BUILDING").alias("state")).distinct(), spark, sf)
 
 
 def g10(spark, sf):
@@ -98,13 +117,20 @@ def f5(spark, sf):
 
 
 def two_headers(spark, sf):
-    """Merged grids under a two-row header with spans."""
-    top = F.array(*map(F.lit, ["State", "Utility", "2024-25", "", "Charge (Rs/kWh)", "", "Charge Rs/kW/month", ""]))
-    low = F.array(*map(F.lit, ["", "Utility", "Year", "-", "LT", "11 kV", "33 kV", ""]))
+    """Merged grids under a header of two rows with spans, of three in every third report, which differs from report to report."""
+    r = F.col("report_id")
+    even = r % 2 == 0
+    top = [F.when(r % 5 == 0, "").otherwise("State"), "Utility", F.when(even, "2024-25").otherwise("2025-26"), "", F.when(r % 4 < 3, "Charge (Rs/kWh)").otherwise("Surcharge %"), "", "Charge Rs/kW/month", ""]
+    low = [F.when(r % 5 == 0, "State/UT").otherwise(""), "Utility", "Year", "-", "LT", F.when(even, "11 kV").otherwise("66 kV Tension"), "33 kV", ""]
+    last = ["", "", "", "/", "slab", "", "", "net"]
+    depth = F.when(r % 3 == 0, 3).otherwise(2)
+    line = lambda cells: F.array(*[c if isinstance(c, F.Column) else F.lit(c) for c in cells])
     charge = F.transform("cells", lambda c, i: F.when((i == 4) & (c == ""), "1").otherwise(c))
-    body = clean(spark, sf).select("report_id", (F.col("row_no") + 2).alias("row_no"), charge.alias("cells"))
+    body = clean(spark, sf).select("report_id", (F.col("row_no") + depth).alias("row_no"), charge.alias("cells"))
     ids = body.select("report_id").distinct()
-    return ids.select("report_id", F.lit(1).alias("row_no"), top.alias("cells")).unionByName(ids.select("report_id", F.lit(2).alias("row_no"), low.alias("cells"))).unionByName(body)
+    rows = F.filter(F.array(line(top), line(low), line(last)), lambda x, i: i < depth)
+    head = ids.select("report_id", F.posexplode(rows).alias("row_no", "cells")).withColumn("row_no", F.col("row_no") + 1)
+    return head.unionByName(body)
 
 
 def filled_headers(spark, sf):
@@ -117,10 +143,14 @@ def paths(spark, sf):
 
 
 def h5(spark, sf):
-    rows = two_headers(spark, sf)
-    v = rows.select(F.explode("cells").alias("value")).distinct()
-    found = en.recognize({"state": en.match_state(v, *states(spark, sf)), "year": en.match_year(v)})
-    return hd.annotate_cells(rows, hd.describe_columns(paths(spark, sf)), hd.header_depth(rows), found)
+    """The grid, its columns and what its values mean are written once each and joined."""
+    rows = written(two_headers(spark, sf), "grid")
+    depths = hd.header_depth(rows)
+    columns = written(hd.describe_columns(hd.header_paths(hd.fill_header_spans(rows, depths))), "columns")
+    named = lambda values: en.match_state(values, *states(spark, sf))
+    cells = written(hd.cells_in_context(rows, columns, depths, named), "cells")
+    found = written(recognized(written(hd.triples_of(cells), "triples"), spark, sf), "entities")
+    return hd.annotate_cells(cells, found)
 
 
 def h6(spark, sf):
@@ -159,7 +189,7 @@ QUERIES = {
     "g9_extract_voltage": lambda s, d: values(s, d, "concat(q, ' kV')", "concat('HT ', q, ' kV')", "concat('EHT ', q)", "m", "concat('Low Tension ', q)", "concat('right ', q)", "concat('line ', p, ' at 66 kV')").select("value", tx.extract_voltage(F.col("value")).alias("voltage")),
     "g10_canonicalize_utility": g10,
     "h1_header_depth": lambda s, d: hd.header_depth(two_headers(s, d)),
-    "h2_fill_header_spans": lambda s, d: filled_headers(s, d).select("report_id", "col_idx", "h1", "h2"),
+    "h2_fill_header_spans": filled_headers,
     "h3_header_paths": lambda s, d: paths(s, d).withColumn("header_path", F.array_join("header_path", " > ")),
     "h3_header_tree": lambda s, d: hd.header_tree(paths(s, d)),
     "h4_describe_columns": lambda s, d: hd.describe_columns(paths(s, d)),
@@ -167,26 +197,28 @@ QUERIES = {
     "h6_parse_number": h6,
 }
 
-N = "CAST({c} AS DOUBLE)"
 DIGIT = " + ".join(f"CAST(regexp_matches({c}, '[0-9]') AS INT)" for c in CELLS[4:])
 P = "lpad(CAST(q AS VARCHAR), 2, '0')"
-COLS = ["State", "Utility", "2024-25", "2024-25", "Charge (Rs/kWh)", "Charge (Rs/kWh)", "Charge Rs/kW/month", "Charge Rs/kW/month"]
-LOWS = ["State", "Utility", "Year", "-", "LT", "11 kV", "33 kV", "Charge Rs/kW/month"]
-PATHS = ["State", "Utility", "2024-25 > Year", "2024-25", "Charge (Rs/kWh) > LT", "Charge (Rs/kWh) > 11 kV", "Charge Rs/kW/month > 33 kV", "Charge Rs/kW/month"]
-IDS = "(SELECT n_nationkey AS report_id FROM nation)"
-
-
-def per_column(*lists):
-    return " UNION ALL ".join(f"SELECT report_id, {i} AS col_idx, " + ", ".join(f"{v} AS {n}" for n, v in zip(lists[0], row)) + f" FROM {IDS}" for i, row in enumerate(zip(*lists[1:])))
-
-
-def quoted(xs):
-    return [f"'{x}'" if x is not None else "CAST(NULL AS VARCHAR)" for x in xs]
-
-
-ROLES = ["state", "utility", "value", "value", "value", "voltage", "voltage", "value"]
-CTX = [p.replace(" > ", " - ") for p in PATHS]
-UNIT_OF = [None, None, None, None, "Rs/kWh", "Rs/kWh", "Rs/kW/month", "Rs/kW/month"]
+HEADERS = CLEAN + r""", hr AS (SELECT report_id, CASE WHEN report_id % 3 = 0 THEN 3 ELSE 2 END AS d FROM (SELECT DISTINCT report_id FROM cl)),
+hl AS (SELECT report_id, unnest([1, 2, 3]) AS row_no, unnest([
+  [CASE WHEN report_id % 5 = 0 THEN '' ELSE 'State' END, 'Utility', CASE WHEN report_id % 2 = 0 THEN '2024-25' ELSE '2025-26' END, '', CASE WHEN report_id % 4 < 3 THEN 'Charge (Rs/kWh)' ELSE 'Surcharge %' END, '', 'Charge Rs/kW/month', ''],
+  [CASE WHEN report_id % 5 = 0 THEN 'State/UT' ELSE '' END, 'Utility', 'Year', '-', 'LT', CASE WHEN report_id % 2 = 0 THEN '11 kV' ELSE '66 kV Tension' END, '33 kV', ''],
+  ['', '', '', '/', 'slab', '', '', 'net']]) AS cells FROM hr),
+gr AS (SELECT hl.report_id, row_no, cells FROM hl JOIN hr ON hl.report_id = hr.report_id AND row_no <= d
+  UNION ALL SELECT cl.report_id, row_no + d, [c0, c1, c2, c3, CASE WHEN c4 = '' THEN '1' ELSE c4 END, c5, c6, c7] FROM cl JOIN hr ON cl.report_id = hr.report_id),
+dp AS (SELECT report_id, CAST(greatest(1, coalesce(min(CASE WHEN row_no <= 5 AND len(list_filter(cells, lambda c: TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) IS NOT NULL
+    AND NOT (TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) BETWEEN 1990 AND 2100 OR contains(c, '-') OR contains(c, '/')))) > 0 THEN row_no END) - 1, least(5, count(*)))) AS INT) AS depth FROM gr GROUP BY 1),
+hx AS (SELECT gr.report_id, row_no, CAST(unnest(range(0, 8)) AS INT) AS col_idx, nullif(trim(unnest(cells)), '') AS cell FROM gr JOIN dp ON gr.report_id = dp.report_id AND row_no <= depth),
+hy AS (SELECT *, last_value(cell IGNORE NULLS) OVER (PARTITION BY report_id, row_no ORDER BY col_idx) AS lf FROM hx),
+hz AS (SELECT *, min(CASE WHEN lf IS NOT NULL THEN row_no END) OVER (PARTITION BY report_id, col_idx) AS b FROM hy),
+hf AS (SELECT report_id, row_no, col_idx, coalesce(last_value(CASE WHEN row_no = b THEN lf ELSE cell END IGNORE NULLS) OVER (PARTITION BY report_id, col_idx ORDER BY row_no), '') AS cell FROM hz),
+hq AS (SELECT *, lag(cell) OVER (PARTITION BY report_id, col_idx ORDER BY row_no) AS p FROM hf WHERE cell NOT IN ('', '/', '\', '-')),
+pt AS (SELECT k.report_id, k.col_idx, coalesce(list(cell ORDER BY row_no) FILTER (cell IS NOT NULL AND (p IS NULL OR p <> cell)), []) AS path FROM (SELECT DISTINCT report_id, col_idx FROM hf) k LEFT JOIN hq ON hq.report_id = k.report_id AND hq.col_idx = k.col_idx GROUP BY 1, 2),
+ca AS (SELECT *, array_to_string(list_filter(list_transform(path, lambda x: regexp_replace(x, '^[\s/*+-]+|[\s/*+-]+$', '', 'g')), lambda x: x <> ''), ' - ') AS shown, array_to_string(path, ' ') AS t FROM pt),
+cb AS (SELECT report_id, col_idx, path, CASE WHEN shown = '' THEN concat('Column ', col_idx) ELSE shown END AS display_name, nullif(regexp_extract(t, '\b20\d{2}-\d{2}\b'), '') AS year,
+  CASE WHEN contains(lower(t), 'rs/kw/month') THEN 'Rs/kW/month' WHEN contains(t, '%') THEN '%' WHEN contains(lower(t), 'rs/kwh') THEN 'Rs/kWh' END AS unit FROM ca),
+co AS (SELECT *, CASE WHEN col_idx = 0 AND regexp_matches(lower(display_name), '\bstate\b|union territory|\but\b') THEN 'state' WHEN regexp_matches(lower(display_name), 'utility|discom|licensee') THEN 'utility' WHEN regexp_matches(lower(display_name), 'voltage|kv|tension') THEN 'voltage'
+  WHEN regexp_matches(lower(display_name), 'category|consumer') THEN 'category' WHEN unit IS NOT NULL OR year IS NOT NULL OR regexp_matches(lower(display_name), 'charge|value') THEN 'value' ELSE 'unknown' END AS role FROM cb)"""
 LAB = SECT + """, ft AS (SELECT s.report_id, s.row_no, s.c0, s.c1, CASE WHEN is_section THEN '' ELSE l.c2 END AS c2, CASE WHEN is_section THEN '' ELSE l.c4 END AS c4, CASE WHEN is_section THEN '' ELSE l.c5 END AS c5,
   CASE WHEN is_section THEN '' ELSE l.c6 END AS c6, CASE WHEN is_section THEN '' ELSE l.c7 END AS c7,
   CASE WHEN is_section THEN 's' WHEN s.c0 <> '' THEN 'master' WHEN s.c1 <> '' AND state <> '' THEN 'child' WHEN s.c1 = '' AND rest <> '' AND state <> '' THEN 'continuation' ELSE 'data' END AS lab FROM sf s JOIN cl l ON l.report_id = s.report_id AND l.row_no = s.row_no)"""
@@ -242,24 +274,37 @@ ORACLE_SQL = {
       p AS (SELECT value, min_by(n.c_name, n.c_custkey) AS name FROM v JOIN customer n ON k = 3 AND length(value) >= 4 AND contains(lower(n.c_name), value) GROUP BY value)
       SELECT value, CASE k WHEN 2 THEN value WHEN 3 THEN name ELSE c_name END AS canonical, CAST(CASE k WHEN 0 THEN 1.0 WHEN 1 THEN 0.9 WHEN 2 THEN 0.6 ELSE CASE WHEN name IS NULL THEN 0.0 ELSE 0.9 END END AS DOUBLE) AS confidence,
       CASE k WHEN 0 THEN 'exact' WHEN 1 THEN 'substring' WHEN 2 THEN 'regex' ELSE CASE WHEN name IS NOT NULL THEN 'substring' END END AS method FROM v LEFT JOIN p USING (value)""",
-    "g3_match_voltage": vsql(("concat(q, ' kV')", BAND.format(q="q"), 0.95, "'kv'"), ("concat(q, ' volts')", "'LT'", 0.9, "'volt'"), ("'High Tension'", "'HT'", 1.0, "'alias'"), ("concat('new ht line ', m)", "'HT'", 0.8, "'word'"), ("m", "NULL", 0.0, "NULL"), ("concat('at ', q, '.5kV')", BAND.format(q="q + 0.5"), 0.95, "'kv'"), ("concat('feeder ', p, ' of 66 kV')", "'EHT'", 0.95, "'kv'")),
+    "g3_match_voltage": "SELECT value, canonical, confidence, method, CASE WHEN canonical LIKE '% kV' THEN " + BAND.format(q="TRY_CAST(regexp_extract(canonical, '^[0-9.]+') AS DOUBLE)") + " WHEN canonical LIKE '% V' THEN 'LT' ELSE canonical END AS band FROM (" + vsql(("concat(q, ' kV')", "concat(q, ' kV')", 0.95, "'kv'"), ("concat(q, ' volts')", "concat(q, ' V')", 0.9, "'volt'"), ("'High Tension'", "'HT'", 1.0, "'alias'"), ("concat('new ht line ', m)", "'HT'", 0.8, "'word'"), ("m", "NULL", 0.0, "NULL"), ("concat('at ', q, '.5kV')", "concat(q, '.5 kV')", 0.95, "'kv'"), ("concat('feeder ', p, ' of 66 kV')", "'66 kV'", 0.95, "'kv'")) + ")",
     "g4_match_year": vsql((f"concat('20', {P}, '-17')", f"concat('20', {P}, '-17')", 1.0, "'fy_dash'"), (f"concat('20', {P}, '/18 x')", f"concat('20', {P}, '-18')", 0.95, "'fy_slash'"), (f"concat('FY ', {P}, '-19')", f"concat('20', {P}, '-19')", 0.9, "'fy_short'"), (f"concat('in 20', {P})", f"concat('20', {P})", 0.85, "'calendar'"), ("m", "NULL", 0.0, "NULL"), (f"concat('FY 20', {P}, '-20')", f"concat('20', {P}, '-20')", 1.0, "'fy_dash'"), ("concat('lot ', p, ' FY 2024-25')", "'2024-25'", 1.0, "'fy_dash'")),
     "g5_match_unit": vsql(("'Rs/kWh'", "'Rs/kWh'", 1.0, "'alias'"), ("concat(q, ' %')", "'%'", 0.95, "'percent'"), ("concat(q, ' paise / kWh')", "'paise/kWh'", 0.85, "'regex'"), ("m", "NULL", 0.0, "NULL"), ("'Rs./kWh'", "'Rs/kWh'", 1.0, "'alias'"), ("concat('lot ', p, ' in percent')", "'%'", 0.95, "'percent'")),
     "g6_match_category": vsql(("'Household'", "'Domestic'", 1.0, "'alias'"), ("concat('large ind unit ', q)", "'Industrial'", 0.9, "'word'"), ("m", "NULL", 0.0, "NULL"), ("'FURNITURE'", "'Commercial'", 1.0, "'alias'"), ("concat('find ', q)", "NULL", 0.0, "NULL"), ("concat('household no ', p)", "'Domestic'", 0.9, "'word'")),
-    "g7_recognize": "SELECT value, method AS entity_type, canonical, confidence FROM (" + vsql((f"concat('20', {P}, '-17')", f"concat('20', {P}, '-17')", 1.0, "'year'"), ("concat(q, ' kV')", BAND.format(q="q"), 0.95, "'voltage'"), ("concat(q, ' %')", "'%'", 0.95, "'unit'"), ("m", "NULL", 0.0, "'unknown'"), ("'Household'", "'Domestic'", 1.0, "'category'"), ("concat('feeder ', p, ' of 66 kV')", "'EHT'", 0.95, "'voltage'")) + ")",
+    "g7_recognize": f"""WITH l AS (SELECT DISTINCT CAST(l_quantity AS INT) AS q, l_linenumber AS n, l_returnflag AS m, l_partkey AS p FROM lineitem),
+      v AS (SELECT DISTINCT CASE n WHEN 1 THEN concat('20', {P}, '-17') WHEN 2 THEN concat(q, ' kV') WHEN 3 THEN concat(q, ' %') WHEN 4 THEN CASE m WHEN 'A' THEN concat('Plant x', q) WHEN 'N' THEN concat('Tariff x', q) ELSE concat('Customer#', lpad(CAST(q AS VARCHAR), 9, '0'), ' Ltd') END
+        WHEN 5 THEN 'Household' WHEN 6 THEN concat('q', q) ELSE concat('feeder ', p, ' of 66 kV') END AS value, CASE WHEN n = 4 THEN CASE WHEN m = 'N' THEN 'Consumer Tariff' ELSE 'Utility' END WHEN n = 6 THEN '11 kV Charge' ELSE 'Charge' END AS header, q, n, m FROM l)
+      SELECT DISTINCT value, header, 'BUILDING' AS state, CASE n WHEN 1 THEN 'year' WHEN 3 THEN 'unit' WHEN 4 THEN CASE m WHEN 'N' THEN 'category' ELSE 'utility' END WHEN 5 THEN 'state' ELSE 'voltage' END AS entity_type,
+      CASE n WHEN 1 THEN value WHEN 2 THEN value WHEN 3 THEN '%' WHEN 4 THEN CASE m WHEN 'R' THEN left(value, 18) ELSE value END WHEN 5 THEN 'HOUSEHOLD' WHEN 6 THEN '11 kV' ELSE '66 kV' END AS canonical,
+      CAST(CASE n WHEN 1 THEN 1 WHEN 4 THEN CASE m WHEN 'A' THEN 0.5 WHEN 'N' THEN 0.75 ELSE 0.9 END WHEN 5 THEN 1 WHEN 6 THEN 0.7 ELSE 0.95 END AS DOUBLE) AS confidence,
+      CASE n WHEN 1 THEN 'fy_dash' WHEN 3 THEN 'percent' WHEN 4 THEN CASE m WHEN 'R' THEN 'substring' ELSE 'header' END WHEN 5 THEN 'exact' WHEN 6 THEN 'header' ELSE 'kv' END AS method FROM v""",
     "g8_extract_unit": "SELECT value, canonical AS unit FROM (" + vsql(("concat(q, ' Rs/kWh')", "'Rs/kWh'", 0, "''"), ("concat(q, ' p/kWh')", "'paise/kWh'", 0, "''"), ("concat(q, ' Rs/MW/day')", "'Rs/MW/day'", 0, "''"), ("m", "'none'", 0, "''"), ("concat(q, ' percent')", "'%'", 0, "''"), ("concat('lot ', p, ' in Rs/kWh')", "'Rs/kWh'", 0, "''")) + ")",
     "g9_extract_voltage": "SELECT value, canonical AS voltage FROM (" + vsql(("concat(q, ' kV')", "concat(q, ' kV')", 0, "''"), ("concat('HT ', q, ' kV')", "concat('HT - ', q, ' kV')", 0, "''"), ("concat('EHT ', q)", "'EHT'", 0, "''"), ("m", "'all'", 0, "''"), ("concat('Low Tension ', q)", "'LT'", 0, "''"), ("concat('right ', q)", "'all'", 0, "''"), ("concat('line ', p, ' at 66 kV')", "'66 kV'", 0, "''")) + ")",
     "g10_canonicalize_utility": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN concat('old acme ', c_custkey) WHEN 2 THEN lower(c_name) ELSE concat('Plain St ', c_custkey) END AS utility, CASE WHEN c_custkey % 8 < 4 THEN c_mktsegment ELSE 'NONE' END AS state,
       CASE c_custkey % 4 WHEN 1 THEN 'ACME Power' WHEN 3 THEN concat('Plain St ', c_custkey) ELSE c_name END AS canonical,
       CASE WHEN c_custkey % 4 = 1 THEN 'alias' WHEN c_custkey % 4 = 3 THEN 'as_is' WHEN c_custkey % 8 < 4 THEN 'state' ELSE 'catalog' END AS step FROM customer""",
-    "h1_header_depth": f"SELECT report_id, 2 AS depth FROM {IDS}",
-    "h2_fill_header_spans": per_column(["h1", "h2"], quoted(COLS), quoted(LOWS)),
-    "h3_header_paths": per_column(["header_path"], quoted(PATHS)),
-    "h3_header_tree": " UNION ALL ".join(f"SELECT report_id, '{p}' AS prefix, '{c}' AS columns FROM {IDS}" for p, c in [("State", "0"), ("Utility", "1"), ("2024-25", "2,3"), ("2024-25 > Year", "2"), ("Charge (Rs/kWh)", "4,5"), ("Charge (Rs/kWh) > LT", "4"), ("Charge (Rs/kWh) > 11 kV", "5"), ("Charge Rs/kW/month", "6,7"), ("Charge Rs/kW/month > 33 kV", "6")]),
-    "h4_describe_columns": per_column(["display_name", "year", "unit", '"group"', "role"], quoted(CTX), quoted([None, None, "2024-25", "2024-25", None, None, None, None]), quoted(UNIT_OF), quoted([None, None, "2024-25", None, "Charge (Rs/kWh)", "Charge (Rs/kWh)", "Charge Rs/kW/month", None]), quoted(ROLES)),
-    "h5_annotate_cells": f"""{CLEAN}, x AS (SELECT report_id, row_no + 2 AS row_no, unnest([c0, c1, c2, c3, coalesce(nullif(c4, ''), '1'), c5, c6, c7]) AS v, unnest(range(0, 8)) AS i FROM cl),
-      y AS (SELECT *, CASE WHEN v = '' THEN 'empty' WHEN v IN (SELECT c_mktsegment FROM customer) THEN 'state' WHEN i = 2 AND v LIKE '20%' THEN 'year' WHEN regexp_extract(v, '\\d+') = '' THEN 'unknown' WHEN i IN (5, 6) THEN 'voltage' ELSE 'charge' END AS a FROM x)
-      SELECT report_id, row_no, CAST(i AS INT) AS col_idx, a AS annotation, CASE WHEN a = 'charge' THEN TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) END AS number, CASE WHEN a = 'charge' THEN coalesce([{", ".join(quoted(UNIT_OF))}][i + 1], 'Rs/kWh') END AS unit, [{", ".join(quoted(CTX))}][i + 1] AS context FROM y
-      UNION ALL SELECT report_id, r, i, 'header', NULL, NULL, [{", ".join(quoted(CTX))}][i + 1] FROM {IDS}, (SELECT unnest(range(0, 8)) AS i) a, (SELECT unnest([1, 2]) AS r) b""",
+    "h1_header_depth": f"{HEADERS} SELECT report_id, depth FROM dp",
+    "h2_fill_header_spans": f"{HEADERS} SELECT report_id, row_no, col_idx, cell FROM hf",
+    "h3_header_paths": f"{HEADERS} SELECT report_id, col_idx, array_to_string(path, ' > ') AS header_path FROM pt",
+    "h3_header_tree": f"""{HEADERS}, pf AS (SELECT report_id, col_idx, array_to_string(path[1:k], ' > ') AS prefix FROM (SELECT *, unnest(range(1, len(path) + 1)) AS k FROM pt))
+      SELECT report_id, prefix, string_agg(DISTINCT CAST(col_idx AS VARCHAR), ',' ORDER BY CAST(col_idx AS VARCHAR)) AS columns FROM pf GROUP BY 1, 2""",
+    "h4_describe_columns": f"""{HEADERS} SELECT report_id, col_idx, display_name, year, unit, CASE WHEN len(path) > 1 THEN regexp_replace(path[1], '^[\\s/*+-]+|[\\s/*+-]+$', '', 'g') END AS "group", role,
+      CASE WHEN role = 'value' THEN CASE WHEN unit = '%' THEN 'percentage' ELSE 'charge' END ELSE role END AS entity_type FROM co""",
+    "h5_annotate_cells": f"""{HEADERS}, x AS (SELECT gr.report_id, row_no, row_no <= depth AS head, cells[1] AS own, CAST(unnest(range(0, 8)) AS INT) AS col_idx, trim(unnest(cells)) AS v FROM gr JOIN dp ON gr.report_id = dp.report_id),
+      sg AS (SELECT DISTINCT c_mktsegment AS g FROM customer), ul AS (SELECT * FROM customer WHERE c_custkey % 3 = 0 OR c_custkey < 60),
+      ne AS (SELECT nv, nown, min_by(c_name, c_custkey) AS near FROM (SELECT DISTINCT v AS nv, own AS nown FROM x WHERE NOT head AND length(v) BETWEEN 1 AND 3) JOIN ul ON c_mktsegment = nown AND contains(lower(c_name), lower(nv)) GROUP BY 1, 2),
+      y AS (SELECT x.*, near, role, co.unit AS cu, display_name, TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) AS n, nullif(regexp_extract(lower(display_name), '\\b(\\d+)\\s*kv\\b', 1), '') AS kv, v IN (SELECT c_name FROM ul) AS listed, regexp_matches(v, '^20\\d{{2}}-\\d{{2}}$') AS fy FROM x JOIN co ON co.report_id = x.report_id AND co.col_idx = x.col_idx LEFT JOIN ne ON nv = v AND nown = own),
+      z AS (SELECT *, CASE WHEN head THEN 'header' WHEN v IN ('', 'N/A', '-') THEN 'empty' WHEN v IN (SELECT g FROM sg) THEN 'state' WHEN fy THEN 'year' WHEN v LIKE 'Customer#%' OR near IS NOT NULL THEN 'utility' WHEN contains(v, 'Rs/kWh') THEN 'unit' WHEN kv IS NOT NULL AND length(v) < 5 THEN 'voltage'
+        WHEN n IS NULL THEN 'unknown' WHEN role = 'voltage' THEN 'voltage' WHEN role = 'value' AND cu = '%' THEN 'percentage' ELSE 'charge' END AS a FROM y)
+      SELECT report_id, row_no, col_idx, a AS annotation, CASE WHEN a = 'empty' THEN NULL WHEN a = 'unit' THEN 'Rs/kWh' WHEN a = 'utility' THEN coalesce(near, v) WHEN a = 'voltage' THEN CASE WHEN length(v) < 5 THEN concat(kv, ' kV') ELSE concat(CAST(n AS BIGINT), ' kV') END ELSE v END AS canonical,
+      CAST(CASE WHEN a IN ('header', 'empty', 'state', 'year') THEN 1 WHEN a = 'utility' THEN CASE WHEN near IS NOT NULL THEN 0.85 WHEN listed THEN 1 ELSE 0.5 END WHEN a = 'unit' THEN 0.85 WHEN a = 'voltage' AND length(v) < 5 THEN 0.7 WHEN a = 'unknown' THEN 0 ELSE 0.95 END AS DOUBLE) AS confidence,
+      CASE WHEN a IN ('unit', 'charge', 'percentage', 'unknown') THEN n END AS number, CASE WHEN a = 'percentage' THEN '%' WHEN a = 'charge' THEN coalesce(cu, 'Rs/kWh') END AS unit, display_name AS context, CASE WHEN NOT head AND own <> '' THEN own END AS state FROM z""",
     "h6_parse_number": f"""{CLEAN}, x AS (SELECT report_id, row_no, unnest([c0, c3, c4, c5, c6, c7]) AS v, unnest([0, 3, 4, 5, 6, 7]) AS col_idx FROM cl) SELECT report_id, row_no, col_idx, TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) AS number FROM x WHERE TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) IS NOT NULL""",
 }

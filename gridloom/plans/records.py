@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from gridloom.fixtures import WITH_PAGES, report_pages, table
@@ -15,6 +12,7 @@ from gridloom.operators import search as sr
 from gridloom.plans.index import WITH_TITLES
 from gridloom.plans.normalize import CLEAN, blocks, clean
 from gridloom.sources import writers
+from gridloom.sources.scratch import new_path
 
 FIELDS = ["state", "utility", "year", "unit"]
 
@@ -109,13 +107,8 @@ sc AS (SELECT query_id, position, len(list_filter(kw, lambda w: contains(t, w)))
 
 
 def stored(spark, sf, name, write):
-    """A new path in the folder that driver and executors share, written; a local folder serves a local master only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="gridloom-")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share, written."""
+    path = new_path(spark, name)
     write(path)
     return path
 
