@@ -22,21 +22,27 @@ def candidate_tables(rows: DataFrame) -> DataFrame:
 
 
 def select_primary_table(rows: DataFrame, heuristic: str = "largest_area", index: int = 0) -> DataFrame:
-    """The rows of one table a page: the largest (first of equals), the first, or by index."""
-    tables = candidate_tables(rows)
-    page = Window.partitionBy(*PAGE)
+    """The rows of one table a page: the largest (first of equals), the first, or by index.
+
+    Shapes and places of tables are windows over a page, so the rows are dealt once.
+    """
+    page, one = Window.partitionBy(*PAGE), Window.partitionBy(*PAGE, "table_idx")
     if heuristic == "largest_area":
-        tables = tables.withColumn("place", F.row_number().over(page.orderBy(F.desc("area"), "table_idx"))).where("place = 1")
+        shaped = rows.withColumn("_area", F.count("*").over(one) * F.max(F.size("cells")).over(one))
+        best = F.max(F.struct("_area", (-F.col("table_idx")).alias("_first"))).over(page)
+        chosen = shaped.withColumn("_best", -best["_first"])
     else:
+        placed = rows.withColumn("_place", F.dense_rank().over(page.orderBy("table_idx")) - 1)
         wanted = 0 if heuristic == "first_table" else index
-        tables = tables.withColumn("place", F.row_number().over(page.orderBy("table_idx")) - 1)
-        tables = tables.where(F.col("place") == F.when(F.col("tables_on_page") > wanted, F.lit(wanted)).otherwise(0))
-    return rows.join(tables.select(*PAGE, "table_idx"), [*PAGE, "table_idx"], "left_semi")
+        there = F.max("_place").over(page) >= wanted
+        place = F.when(there, F.lit(wanted)).otherwise(0)
+        chosen = placed.withColumn("_best", F.when(F.col("_place") == place, F.col("table_idx")))
+    return chosen.where(F.col("table_idx") == F.col("_best")).select(rows.columns)
 
 
 def extract_in_range(rows: DataFrame, pages: DataFrame, ranges: DataFrame) -> DataFrame:
-    """D3: pages of a confirmed range that exist, with their rows, or a warning where there are none."""
-    wanted = ranges.select("report_id", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page")).distinct()
+    """D3: pages of a confirmed range that exist, with their rows, or a warning where there are none; a range turned round holds no page."""
+    wanted = ranges.where("start_page <= end_page").select("report_id", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page")).distinct()
     inside = wanted.join(pages.select(*PAGE).distinct(), PAGE, "left_semi")
     joined = inside.join(rows, PAGE, "left")
     return joined.withColumn("warning", F.when(F.col("cells").isNull(), "no table on page").when(~F.exists("cells", lambda c: ~is_blank(c)), "empty row"))
@@ -47,30 +53,38 @@ def range_id(ranges: DataFrame) -> DataFrame:
     return ranges.withColumn("range_id", F.substring(F.sha2(F.concat(F.col("start_page").cast("string"), F.lit("-"), F.col("end_page").cast("string")), 256), 1, 16))
 
 
+def with_repeats(rows: DataFrame, key: str = "report_id", most: int = 5) -> DataFrame:
+    """Rows with their place on the page, the header height of their table, and whether they repeat its header.
+
+    Each of the first ``most`` rows of a page has a digest of all rows of the page so far.
+    Pages begin alike down to the last row whose digest is that of the first page, which
+    is one comparison of equals; the header is as high as the longest such start.  All
+    windows lie over the same rows in the same order, so the rows are dealt and sorted once.
+    """
+    report = Window.partitionBy(key).orderBy("pdf_page", "table_idx", "row_idx")
+    whole, page = Window.partitionBy(key), Window.partitionBy(key, "pdf_page")
+    in_page = page.orderBy("table_idx", "row_idx")
+    start = F.array(*[F.lag("cells", k).over(in_page) for k in range(most - 1, 0, -1)], F.col("cells"))
+    out = rows.withColumns({"first_page": F.first("pdf_page").over(report), "page_row": F.row_number().over(in_page), "_start": start})
+    out = out.withColumn("_digest", F.when(F.col("page_row") <= most, F.sha2(F.to_json("_start"), 256))).drop("_start")
+    own = F.col("pdf_page") == F.col("first_page")
+    out = out.withColumn("_first", F.array(*[F.max(F.when(own & (F.col("page_row") == k), F.col("_digest"))).over(whole) for k in range(1, most + 1)]))
+    out = out.withColumn("_same", F.when(~own & (F.get("_first", F.col("page_row") - 1) == F.col("_digest")), F.col("page_row")))
+    out = out.withColumn("header_height", F.coalesce(F.max("_same").over(whole), F.lit(0)))
+    whole_header = (F.max("_same").over(page) >= F.col("header_height")) & (F.col("header_height") > 0)
+    repeated = F.coalesce(whole_header, F.lit(False)) & (F.col("page_row") <= F.col("header_height"))
+    return out.withColumn("repeated", repeated).drop("_digest", "_first", "_same")
+
+
 def detect_header_height(rows: DataFrame, key: str = "report_id", most: int = 5) -> DataFrame:
     """How many first rows of the first page any later page starts with, ``most`` at most."""
-    top = rows.withColumn("page_row", F.row_number().over(Window.partitionBy(key, "pdf_page").orderBy("table_idx", "row_idx"))).where(F.col("page_row") <= most + 1)
-    first_page = F.min("pdf_page").over(Window.partitionBy(key))
-    top = top.withColumn("first_page", first_page)
-    base = top.where("pdf_page = first_page").select(key, "page_row", F.col("cells").alias("first_cells"))
-    other = top.where("pdf_page > first_page").join(base, [key, "page_row"], "left")
-    # the common start ends at the first row that differs, or with the shorter page
-    same = F.coalesce(F.col("cells") == F.col("first_cells"), F.lit(False))
-    per_page = other.groupBy(key, "pdf_page").agg(F.coalesce(F.min(F.when(~same, F.col("page_row"))) - 1, F.count("*")).alias("h"))
-    best = per_page.groupBy(key).agg(F.least(F.max("h"), F.lit(most)).cast("int").alias("header_height"))
-    return rows.select(key).distinct().join(best, key, "left").select(key, F.coalesce("header_height", F.lit(0)).alias("header_height"))
-
-
-def merge_pages(rows: DataFrame, heights: DataFrame, key: str = "report_id") -> DataFrame:
+    return with_repeats(rows, key, most).groupBy(key).agg(F.max("header_height").alias("header_height"))
+
+
+def merge_pages(rows: DataFrame, key: str = "report_id", most: int = 5) -> DataFrame:
     """All pages in order, the header of later pages stripped where it is repeated exactly."""
-    numbered = rows.withColumn("page_row", F.row_number().over(Window.partitionBy(key, "pdf_page").orderBy("table_idx", "row_idx")))
-    numbered = numbered.withColumn("first_page", F.min("pdf_page").over(Window.partitionBy(key))).join(heights, key)
-    head = numbered.where("pdf_page = first_page AND page_row <= header_height").select(key, "page_row", F.col("cells").alias("head"))
-    joined = numbered.join(head, [key, "page_row"], "left")
-    inside = F.col("page_row") <= F.col("header_height")
-    repeats = F.sum(F.when(inside & (F.col("cells") == F.col("head")), 1).otherwise(0)).over(Window.partitionBy(key, "pdf_page"))
-    kept = joined.withColumn("repeats", repeats).where(~(inside & (F.col("pdf_page") > F.col("first_page")) & (F.col("repeats") == F.col("header_height"))))
     order = Window.partitionBy(key).orderBy("pdf_page", "table_idx", "row_idx")
+    kept = with_repeats(rows, key, most).where("NOT repeated")
     return kept.select(key, F.row_number().over(order).alias("row_no"), "pdf_page", "cells")
 
 
@@ -80,14 +94,16 @@ def pad_rows(rows: DataFrame, key: str = "report_id") -> DataFrame:
     return rows.withColumn("width", widest).withColumn("cells", F.concat("cells", F.array_repeat(F.lit(""), F.col("width") - F.size("cells")))).drop("width")
 
 
-def merge_log(rows: DataFrame, merged: DataFrame, key: str = "report_id") -> DataFrame:
-    """Rows added and header rows removed on every page, with a hash of the page's kept rows."""
-    before = rows.groupBy(key, "pdf_page").agg(F.count("*").alias("rows_before"))
-    lines = F.transform(F.sort_array(F.collect_list(F.struct("row_no", "cells"))), lambda r: F.array_join(r["cells"], "|"))
-    after = merged.groupBy(key, "pdf_page").agg(F.count("*").alias("rows_added"), F.sha2(F.array_join(lines, "\n"), 256).alias("page_hash"))
-    joined = before.join(after, [key, "pdf_page"], "left")
-    added = F.coalesce("rows_added", F.lit(0))
-    return joined.select(key, "pdf_page", added.alias("rows_added"), (F.col("rows_before") - added).alias("headers_removed"), F.coalesce("page_hash", F.lit("")).alias("page_hash"))
+def merge_log(rows: DataFrame, key: str = "report_id", most: int = 5) -> DataFrame:
+    """Rows added and header rows removed on every page, with a hash of the page's kept rows in order."""
+    kept = F.when(~F.col("repeated"), F.struct("page_row", "cells"))
+    lines = F.transform(F.sort_array(F.collect_list(kept)), lambda r: F.array_join(r["cells"], "|"))
+    log = with_repeats(rows, key, most).groupBy(key, "pdf_page").agg(
+        F.count_if(~F.col("repeated")).alias("rows_added"),
+        F.count_if(F.col("repeated")).alias("headers_removed"),
+        F.sha2(F.array_join(lines, "\n"), 256).alias("page_hash"),
+    )
+    return log.withColumn("page_hash", F.when(F.col("rows_added") > 0, F.col("page_hash")).otherwise(""))
 
 
 def drop_keyword_headers(rows: DataFrame, phrases: list[str], least: int = 2) -> DataFrame:

@@ -9,6 +9,7 @@ from gridloom.functions import text as tx
 from gridloom.operators import builders as bd
 from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, filled, labelled, sectioned, utility_names
 from gridloom.sources.catalogs import ranked
+from gridloom.sources.scratch import written
 
 VALUE_COLUMNS = {"LT": 4, "11 kV": 5, "33 kV": 6, "132 kV": 7}
 
@@ -30,7 +31,7 @@ def i2_wide_to_long(spark, sf):
     segments = ranked(table(spark, sf, "customer"), "c_mktsegment")
     names = segments.select(F.col("c_mktsegment").alias("canonical"), (F.col("place") * 2).alias("priority"))
     names = names.unionByName(segments.where("place % 2 = 0").select(F.substring("c_mktsegment", 1, 3).alias("canonical"), (F.col("place") * 2 - 1).alias("priority")))
-    return bd.wide_to_long(clean(spark, sf), labels(spark, sf), names=names)
+    return bd.wide_to_long(written(clean(spark, sf), "clean"), labels(spark, sf), names=names)
 
 
 def num(c: str) -> str:

@@ -8,6 +8,7 @@ from gridloom.fixtures import CELLS, WITH_BODY, WITH_GRID, grid_body, grid_rows,
 from gridloom.functions import text as tx
 from gridloom.operators import extraction as ex
 from gridloom.operators import normalize as nm
+from gridloom.sources.scratch import written
 
 JOINED = "concat_ws('|', c0, c1, c2, c3, c4, c5, c6, c7)"
 
@@ -35,8 +36,7 @@ def ranges_of(spark, sf):
 
 
 def merged(spark, sf):
-    rows = grid_rows(spark, sf)
-    return ex.merge_pages(rows, ex.detect_header_height(rows))
+    return ex.merge_pages(grid_rows(spark, sf))
 
 
 def ragged(spark, sf):
@@ -45,15 +45,11 @@ def ragged(spark, sf):
     return grid_body(spark, sf).withColumn("cells", F.slice("cells", 1, F.greatest(last, F.lit(1))))
 
 
-def d8_merge_log(spark, sf):
-    return ex.merge_log(grid_rows(spark, sf), merged(spark, sf))
-
-
 def shifted(spark, sf):
     """Merged grids with the header of c2 one column to the right, over the empty c3."""
     rows = merged(spark, sf)
     cells = F.when(F.col("row_no") == 1, F.array(*map(F.lit, ["State", "Utility", "", "Year", "LT", "11 kV", "33 kV", "132 kV"]))).otherwise(F.col("cells"))
-    return rows.withColumn("cells", cells)
+    return written(rows.withColumn("cells", cells), "shifted")
 
 
 def clean(spark, sf):
@@ -172,7 +168,7 @@ QUERIES = {
     "d5_detect_header_height": lambda s, d: ex.detect_header_height(grid_rows(s, d)),
     "d6_merge_pages": lambda s, d: flat(merged(s, d), "report_id", "row_no", "pdf_page"),
     "d7_pad_rows": lambda s, d: flat(ex.pad_rows(ragged(s, d)), "report_id", "row_no"),
-    "d8_merge_log": d8_merge_log,
+    "d8_merge_log": lambda s, d: ex.merge_log(grid_rows(s, d)),
     "d9_drop_keyword_headers": lambda s, d: flat(ex.drop_keyword_headers(grid_rows(s, d), ["state", "utility", "kv charge"]), "report_id", "pdf_page", "row_idx"),
     "d10_skip_header_rows": lambda s, d: flat(ex.skip_header_rows(grid_rows(s, d), 2), "report_id", "pdf_page", "row_idx"),
     "e1_align_headers": lambda s, d: flat(nm.align_headers(shifted(s, d), 1), "report_id", "row_no"),
