@@ -34,6 +34,17 @@ def detect_titles(pages: DataFrame, pattern: str = TITLE) -> DataFrame:
     )
 
 
+def page_titles(text: Column, pattern: str = TITLE, most: int = 2) -> Column:
+    """The headings of a page in order, none of a contents page: B1 and B2 as one expression."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), _with_lower_number)
+    return F.when(F.size(toc_lines(text)) <= most, found).otherwise(F.array().cast("array<string>"))
+
+
+def _with_lower_number(raw: Column) -> Column:
+    number = F.regexp_extract(raw, NUMBER, 0)
+    return F.trim(F.replace(raw, number, F.lower(number)))
+
+
 def build_page_index(pages: DataFrame, tables: DataFrame, titles: DataFrame) -> DataFrame:
     """Text length, number of tables and headings of every page."""
     key = ["report_id", "pdf_page"]

@@ -9,7 +9,7 @@ from gridloom.operators import export as kx
 from gridloom.operators import incremental as inc
 from gridloom.operators import quality as ql
 from gridloom.operators import search as sr
-from gridloom.plans.index import WITH_TITLES
+from gridloom.plans.index import WITH_INDEX, WITH_TITLES
 from gridloom.plans.normalize import CLEAN, blocks, clean
 from gridloom.sources import writers
 from gridloom.sources.scratch import new_path
@@ -140,6 +140,52 @@ def m2_invalidate_downstream(spark, sf):
     return inc.invalidate_downstream(status, changed)
 
 
+def stage_hash(changed):
+    n = F.col("report_id") + F.col("stage_no") * 7 + F.coalesce("parameter_id", F.lit(0))
+    return F.when(F.lit(changed) & (n % 11 == 0), F.concat(F.lit("new"), n.cast("string"))).otherwise(n.cast("string"))
+
+
+def stages(spark, sf):
+    """Three stages of every order and three of each of its lines, with the day they ended."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("report_id"), F.lit(None).cast("int").alias("parameter_id"), F.col("o_orderdate").alias("day"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("stage_no"))
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").alias("day"))
+    li = li.select(F.col("l_orderkey").alias("report_id"), F.col("l_linenumber").cast("int").alias("parameter_id"), "day", F.explode(F.sequence(F.lit(4), F.lit(6))).alias("stage_no"))
+    ended = F.date_add(F.col("day").cast("date"), (F.col("stage_no") * 5 + F.col("report_id") % 9).cast("int"))
+    return o.unionByName(li).select("report_id", "parameter_id", "stage_no", ended.alias("completed_at"))
+
+
+def m1_stale_stages(spark, sf):
+    s = stages(spark, sf)
+    current = s.select("report_id", "parameter_id", "stage_no").withColumn("input_hash", stage_hash(True))
+    ran = s.where("(report_id + stage_no) % 13 <> 0").withColumn("input_hash", stage_hash(False))
+    return inc.stale_stages(current, ran)
+
+
+def m2_invalidate_scoped(spark, sf):
+    s = stages(spark, sf).select("report_id", "parameter_id", "stage_no").withColumn("status", F.lit("complete"))
+    return inc.invalidate_downstream(s, s.where("(report_id * 3 + stage_no * 5 + coalesce(parameter_id, 0)) % 17 = 0"))
+
+
+def m3_stream_whole_index(spark, sf):
+    """Three deliveries that overlap, tables before and after their pages, then a row that only tells the time; equals the batch index."""
+    from gridloom.streaming.pages import whole_index_available
+
+    at = lambda minutes: F.timestamp_seconds(F.lit(1_700_000_000 + 60 * minutes)).alias("arrived")
+    pages = report_pages(spark, sf).select("report_id", "pdf_page", "page_text")
+    tables = pages.where("pdf_page % 3 = 0").select("report_id", "pdf_page", F.lit(1).alias("table_idx"))
+    pause = pages.select(F.lit(None).cast("string").alias("report_id"), F.lit(0).alias("pdf_page"), F.lit("").alias("page_text"), at(3000)).limit(1)
+    root = new_path(spark, "stream")
+    for k, minutes in enumerate((0, 25, 50)):
+        late = F.col("pdf_page") % 3 == k
+        pages.where(late | (F.col("pdf_page") % 4 == k)).select("*", at(minutes)).write.parquet(f"{root}/pages/{k}")
+        tables.where((F.col("pdf_page") % 9 == 3 * k) | (F.col("pdf_page") % 2 == k % 2)).select("*", at(minutes)).write.parquet(f"{root}/tables/{k}")
+        whole_index_available(spark, f"{root}/pages/*", f"{root}/tables/*", f"{root}/out", f"{root}/state")
+    pause.write.parquet(f"{root}/pages/end")
+    pause.select("report_id", "pdf_page", F.lit(0).alias("table_idx"), "arrived").write.parquet(f"{root}/tables/end")
+    whole_index_available(spark, f"{root}/pages/*", f"{root}/tables/*", f"{root}/out", f"{root}/state")
+    return spark.read.parquet(f"{root}/out").withColumn("titles", F.array_join("titles", "; "))
+
+
 def m3_stream_page_index(spark, sf):
     """Pages land in two deliveries that overlap; the streamed index equals the batch one."""
     from gridloom.streaming.pages import index_available
@@ -182,6 +228,9 @@ def l6_retrieve_block(spark, sf):
 
 
 K8 = {"State": ["State", "state"], "Utility": ["DISCOM", "utility"], "Year": ["year"], "Charge": ["value"]}
+STAGES = """WITH st AS (SELECT o_orderkey AS report_id, CAST(NULL AS INT) AS parameter_id, s AS stage_no, CAST(o_orderdate AS DATE) + CAST(s * 5 + o_orderkey % 9 AS INT) AS completed_at FROM orders, (SELECT unnest([1, 2, 3]) AS s)
+UNION ALL SELECT l_orderkey, CAST(l_linenumber AS INT), s, CAST(max(l_shipdate) AS DATE) + CAST(s * 5 + l_orderkey % 9 AS INT) FROM lineitem, (SELECT unnest([4, 5, 6]) AS s) GROUP BY 1, 2, 3)"""
+
 QUERIES = {
     "a4_records_round_trip": a4_records_round_trip,
     "a6_write_warehouse": a6_write_warehouse,
@@ -218,7 +267,10 @@ QUERIES = {
     "l6_retrieve_block": l6_retrieve_block,
     "m1_changed_inputs": m1_changed_inputs,
     "m2_invalidate_downstream": m2_invalidate_downstream,
+    "m1_stale_stages": m1_stale_stages,
+    "m2_invalidate_scoped": m2_invalidate_scoped,
     "m3_stream_page_index": m3_stream_page_index,
+    "m3_stream_whole_index": m3_stream_whole_index,
 }
 
 SHEET = r"substr(regexp_replace(concat('State: ', state, ' [all of it, and some more]'), '[\\/*?:\[\]]', '_', 'g'), 1, 31)"
@@ -267,5 +319,13 @@ ORACLE_SQL = {
       SELECT term, report_id, block_no, row_no FROM bl JOIN h USING (report_id, block_no)""",
     "m1_changed_inputs": "SELECT doc_id FROM documents WHERE doc_id % 2 = 1 OR doc_id % 10 = 0",
     "m2_invalidate_downstream": "SELECT o_orderkey AS report_id, s.stage_no, CASE WHEN o_orderkey % 3 = 0 AND s.stage_no > o_custkey % 8 + 1 THEN 'stale' ELSE 'complete' END AS status FROM orders, (SELECT unnest(range(1, 9)) AS stage_no) s",
+    "m1_stale_stages": f"""{STAGES}, c AS (SELECT *, report_id + stage_no * 7 + coalesce(parameter_id, 0) AS k, (report_id + stage_no) % 13 <> 0 AS ran FROM st),
+      u AS (SELECT a.report_id, a.parameter_id, a.stage_no, max(CASE WHEN b.ran THEN b.completed_at END) AS newest FROM c a LEFT JOIN c b ON a.report_id = b.report_id AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY ALL),
+      r AS (SELECT c.report_id, c.parameter_id, c.stage_no, CASE WHEN NOT ran THEN 'new' WHEN k % 11 = 0 THEN 'input' WHEN newest > completed_at THEN 'upstream newer' END AS reason FROM c JOIN u ON u.report_id = c.report_id AND u.stage_no = c.stage_no AND u.parameter_id IS NOT DISTINCT FROM c.parameter_id),
+      d AS (SELECT a.report_id, a.parameter_id, a.stage_no, any_value(a.reason) AS reason, bool_or(b.reason IS NOT NULL) AS behind FROM r a LEFT JOIN r b ON a.report_id = b.report_id AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY 1, 2, 3)
+      SELECT report_id, parameter_id, stage_no, coalesce(reason, 'upstream stale') AS reason FROM d WHERE reason IS NOT NULL OR behind""",
+    "m2_invalidate_scoped": f"""{STAGES}, ch AS (SELECT * FROM st WHERE (report_id * 3 + stage_no * 5 + coalesce(parameter_id, 0)) % 17 = 0)
+      SELECT s.report_id, s.parameter_id, s.stage_no, CASE WHEN EXISTS (SELECT 1 FROM ch WHERE ch.report_id = s.report_id AND ch.stage_no < s.stage_no AND (ch.parameter_id IS NULL OR s.parameter_id IS NULL OR ch.parameter_id = s.parameter_id)) THEN 'stale' ELSE 'complete' END AS status FROM st s""",
     "m3_stream_page_index": f"{WITH_TITLES} SELECT * FROM titles",
+    "m3_stream_whole_index": f"{WITH_INDEX} SELECT * FROM idx",
 }
