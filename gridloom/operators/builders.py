@@ -323,6 +323,75 @@ def block_records_nested(rows: DataFrame, labels: DataFrame, first: int = 4) ->
     return joined.select(KEY, "block_no", "row_no", "utility", F.map_from_arrays(F.slice("names", first + 1, size), F.slice("cells", first + 1, size)).alias("values"))
 
 
+def nested_blocks(rows: DataFrame, layouts: DataFrame) -> DataFrame:
+    """I19, whole: every block as one row, nested by its layout (``layouts``: block, layout).
+
+    Blank cells go first.  A ``matrix`` has sections: a row of one cell names one, a row that
+    begins with ``category`` names the columns of what follows, other rows are entries of
+    their section once columns are known.  A ``simple_matrix`` takes its columns from its
+    first row.  A ``key_value`` block has metrics, and its utility from the last row that begins
+    with ``category``.  An entry maps columns to cells as far as both go; of equal columns
+    the last counts.  ``columns`` of a section are those known where it begins.
+
+    A block is a part of one report's table, so its rows are few.
+    """
+    block = [KEY, "block_no"]
+    w = Window.partitionBy(*block).orderBy("row_no")
+    c = rows.join(layouts.select(*block, "layout"), block).withColumn("c", F.filter(F.transform("cells", lambda x: tx.strip(F.coalesce(x, F.lit("")))), lambda x: x != ""))
+    c = c.where(F.size("c") > 0).withColumn("_k", F.row_number().over(w))
+    first, rest = F.get("c", F.lit(0)), F.slice("c", 2, F.greatest(F.size("c"), F.lit(1)))
+    named, matrix, simple = F.lower(first) == "category", F.col("layout") == "matrix", F.col("layout") == "simple_matrix"
+    head = F.when(matrix, named & (F.size("c") > 1)).when(simple, F.col("_k") == 1).otherwise(named & (F.size("c") > 1))
+    starts = matrix & (F.size("c") == 1) & ~head
+    c = c.withColumns({
+        "_head": head, "_starts": starts,
+        "_columns": F.last(F.when(head, rest), ignorenulls=True).over(w),
+        "_section": F.sum(starts.cast("int")).over(w),
+    })
+    n = F.least(F.size("_columns"), F.size("c") - 1)
+    pairs = F.arrays_zip(F.slice("_columns", 1, n).alias("k"), F.slice(rest, 1, n).alias("v"))
+    later = lambda e, i: F.exists(F.slice("_pairs", i + 2, F.greatest(F.size("_pairs"), F.lit(1))), lambda f: f["k"] == e["k"])
+    c = c.withColumn("_pairs", F.when(F.col("_columns").isNotNull() & (n >= 0), pairs))
+    values = F.map_from_entries(F.filter("_pairs", lambda e, i: ~later(e, i)))
+    entry = ~F.col("_head") & F.col("_columns").isNotNull() & F.when(matrix, (F.col("_section") > 0) & ~F.col("_starts")).otherwise(simple)
+    c = c.withColumn("_entry", F.when(entry, F.struct("row_no", first.alias("category"), values.alias("values"))))
+    ordered_list = lambda x: F.sort_array(F.collect_list(x))
+    # maps cannot be ordered, so entries are put in order by their row
+    entries = F.array_sort(F.collect_list("_entry"), lambda a, b: F.signum(a["row_no"] - b["row_no"]).cast("int"))
+    parts = c.groupBy(*block, "layout", "_section").agg(
+        F.max(F.when(F.col("_starts"), first)).alias("name"),
+        F.max_by("_columns", F.when(F.col("_starts"), F.col("row_no"))).alias("section_columns"),
+        F.max_by("_columns", "row_no").alias("columns"),
+        entries.alias("rows"),
+        ordered_list(F.when(~F.col("_head") & (F.size("c") >= 2), F.struct("row_no", first.alias("metric"), F.get("c", F.lit(1)).alias("value")))).alias("metrics"),
+        F.max_by(F.get("c", F.lit(1)), F.when(F.col("_head"), F.col("row_no"))).alias("utility"),
+        F.max("_k").alias("n"),
+    )
+    section = F.when((F.col("_section") > 0) & (F.col("layout") == "matrix"), F.struct("_section", "name", F.col("section_columns").alias("columns"), "rows"))
+    out = parts.groupBy(*block, "layout").agg(
+        F.array_sort(F.collect_list(section), lambda a, b: F.signum(a["_section"] - b["_section"]).cast("int")).alias("sections"),
+        F.max_by("columns", "_section").alias("columns"), F.max_by("rows", "_section").alias("rows"), F.max_by("metrics", "_section").alias("metrics"),
+        F.max_by("utility", "_section").alias("utility"), F.max("n").alias("n"),
+    )
+    whole, pair = (F.col("layout") == "simple_matrix") & (F.col("n") > 1), F.col("layout") == "key_value"
+    return out.select(
+        *block, F.col("layout").alias("parser_type"), "sections",
+        F.when(whole, F.col("columns")).alias("columns"), F.when(whole, F.col("rows")).alias("rows"),
+        F.when(pair, F.col("metrics")).alias("metrics"), F.when(pair, F.col("utility")).alias("utility"),
+    )
+
+
+def flat_blocks(nested: DataFrame) -> DataFrame:
+    """The cells of nested blocks again: section, category or metric, column and value."""
+    block = [KEY, "block_no", "parser_type"]
+    none = F.lit(None).cast("string")
+    s = nested.select(*block, F.explode("sections").alias("s")).select(*block, F.col("s.name").alias("section"), F.explode("s.rows").alias("r"))
+    r = nested.select(*block, none.alias("section"), F.explode("rows").alias("r"))
+    both = s.unionByName(r).select(*block, "section", "r.row_no", F.col("r.category").alias("category"), F.explode("r.values").alias("label", "value"))
+    m = nested.select(*block, F.col("utility").alias("label"), F.explode("metrics").alias("m"))
+    return both.unionByName(m.select(*block, none.alias("section"), "m.row_no", F.col("m.metric").alias("category"), "label", F.col("m.value").alias("value")))
+
+
 def parse_summary(records: DataFrame, rows: DataFrame) -> DataFrame:
     """Records and rows of every report, and whether parsing gave anything."""
     n = records.groupBy(KEY).agg(F.count("*").alias("record_count"), F.count_distinct("row_no").alias("rows_used"))

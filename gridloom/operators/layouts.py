@@ -135,10 +135,40 @@ def apply_pattern_overrides(classes: DataFrame, forced: DataFrame, key: str = "r
     return j.select(key, pattern.alias("pattern"), F.when(source == "classifier", F.col("confidence")).otherwise(1.0).alias("confidence"), source.alias("routing_source"))
 
 
-def route_parser(classes: DataFrame, bindings: DataFrame, key: str = "report_id") -> DataFrame:
-    """the family bound to a table, else that of its pattern, else the simple matrix."""
+# fixed values: parts of a parameter's name that tell its family, in order
+NAME_FAMILIES = (("wheel", "wide_to_long"), ("cross", "state_block_matrix"), ("bank", "narrative"), ("trans", "numeric_matrix"))
+
+
+def route_parser(classes: DataFrame, bindings: DataFrame, key: str = "report_id", parsers: DataFrame | None = None, name: str | None = None) -> DataFrame:
+    """the family of a table, and the step that gave it.
+
+    The family bound to a table, else that of its bound parser, else that of its bound
+    pattern; else the family of the classifier's parser, else of the classifier's pattern; else
+    the family that a part of the table's ``name`` tells, else the simple matrix.
+
+    ``bindings`` has the key and family, and may have parser_id and bound_pattern;
+    ``classes`` has pattern and may have parser_id; ``parsers`` (parser_id, family)
+    resolves parser identities, and one that it lacks is passed over.
+    """
     known = F.create_map(*[F.lit(x) for p in FAMILIES.items() for x in p])
-    return classes.join(bindings, key, "left").select(key, "pattern", F.coalesce("family", F.try_element_at(known, F.col("pattern")), F.lit("simple_matrix")).alias("family"))
+    have = lambda df, c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    own = bindings.select(key, F.col("family").alias("_family"), have(bindings, "parser_id").alias("_bound"), have(bindings, "bound_pattern").alias("_pattern"))
+    joined = classes.withColumn("_parser", have(classes, "parser_id")).join(own, key, "left")
+    for c in ("_bound", "_parser"):
+        if parsers is None:
+            joined = joined.withColumn(f"{c}_family", F.lit(None).cast("string"))
+        else:
+            joined = joined.join(parsers.select(F.col("parser_id").alias(c), F.col("family").alias(f"{c}_family")), c, "left")
+    told = F.lit(None).cast("string")
+    if name is not None:
+        for part, family in reversed(NAME_FAMILIES):
+            told = F.when(F.contains(F.col(name), F.lit(part)), family).otherwise(told)
+    steps = [
+        ("binding", F.col("_family")), ("bound_parser", F.col("_bound_family")), ("bound_pattern", F.try_element_at(known, F.col("_pattern"))),
+        ("classified_parser", F.col("_parser_family")), ("pattern", F.try_element_at(known, F.col("pattern"))), ("name", told), ("default", F.lit("simple_matrix")),
+    ]
+    step = F.coalesce(*[F.when(f.isNotNull(), n) for n, f in steps])
+    return joined.select(key, "pattern", F.coalesce(*[f for _, f in steps]).alias("family"), step.alias("step"))
 
 
 def block_layout(rows: DataFrame, key: str = "report_id") -> DataFrame:

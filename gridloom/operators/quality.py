@@ -99,14 +99,23 @@ def recalibrate_confidence(records: DataFrame, names: DataFrame, fields: list[st
     return joined.withColumn("confidence", score).drop("_alias", "_known")
 
 
-def lineage(records: DataFrame, column: str = "record_id") -> DataFrame:
-    """One digest of the record identities of every parameter, whatever their order: the hash of the sum of their hashes."""
-    part = F.conv(F.substring(F.sha2(F.col(column).cast("string"), 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    return records.groupBy(KEY).agg(F.sha2(F.sum(part).cast("string"), 256).alias("lineage_hash"))
+def lineage(records: DataFrame, position: str = "position", column: str = "record_id", block: int = 1024, levels: int = 3) -> DataFrame:
+    """One digest of the record identities of every parameter in the order of ``position``.
+
+    It is the root of a tree of hashes: identities of ``block`` positions are hashed
+    together in order, then the hashes of ``block`` blocks, and so on, so that no row holds
+    more than a block.  Equal positions are taken in the order of their identities.
+    """
+    level = records.select(KEY, F.col(position).cast("long").alias("at"), F.col(column).cast("string").alias("part"))
+    for turn in range(levels + 1):
+        keys = [F.col(KEY)] if turn == levels else [F.col(KEY), F.floor(F.col("at") / block).alias("at")]
+        parts = F.sort_array(F.collect_list(F.struct("at", "part")))
+        level = level.groupBy(*keys).agg(F.sha2(F.array_join(F.transform(parts, lambda p: p["part"]), ""), 256).alias("part"))
+    return level.select(KEY, F.col("part").alias("lineage_hash"))
 
 
 def validation_report(checks: DataFrame, max_warnings: int = 5, max_errors: int = 0, records: DataFrame | None = None) -> DataFrame:
-    """Failed errors and warnings of every parameter, whether it may be exported, and the lineage of its ``records``."""
+    """Failed errors and warnings of every parameter, whether it may be exported, and the lineage of its ``records`` (which have a ``position``)."""
     failed = ~F.col("passed")
     per = checks.groupBy(KEY).agg(F.count_if(failed & (F.col("severity") == "error")).alias("errors"), F.count_if(failed & (F.col("severity") == "warning")).alias("warnings"), F.count("*").alias("checks"))
     per = per.withColumn("passed", F.col("errors") == 0).withColumn("export_allowed", (F.col("errors") <= max_errors) & (F.col("warnings") <= max_warnings))
@@ -168,3 +177,25 @@ def check_catalog_refs(aliases: DataFrame, names: DataFrame, children: DataFrame
     c = children.join(parents.select("parent"), "parent", "left_anti").select(F.lit("parent").alias("rule_id"), F.col("child").alias("item"))
     d = names.groupBy("canonical").count().where("count > 1").select(F.lit("duplicate_name").alias("rule_id"), F.col("canonical").alias("item"))
     return union([a, c, d])
+
+
+def check_bindings(parameters: DataFrame, registry: DataFrame, parsers: DataFrame) -> DataFrame:
+    """J16, bindings: parameters whose parser, family or pattern does not resolve; one row a violation.
+
+    ``parameters`` has parameter_id, parser_id, family and pattern (null where none is
+    forced), ``registry`` the parser bound to each parameter, ``parsers`` parser_id, family
+    and the patterns it takes.  A parameter is reported for the first rule it breaks, a
+    registered one also for a bound parser that does not exist.
+    """
+    bound = registry.select("parameter_id", F.col("parser_id").alias("bound"))
+    known = parsers.select("parser_id", F.col("family").alias("own_family"), "patterns")
+    joined = parameters.join(bound, "parameter_id", "left").join(known, "parser_id", "left")
+    rule = (
+        F.when(F.col("bound").isNull(), "unregistered").when(~F.col("bound").eqNullSafe(F.col("parser_id")), "binding")
+        .when(F.col("own_family").isNull(), "unknown_parser").when(~F.col("family").eqNullSafe(F.col("own_family")), "family")
+        .when(F.col("pattern").isNotNull() & ~F.coalesce(F.array_contains("patterns", F.col("pattern")), F.lit(False)), "pattern")
+    )
+    own = joined.withColumn("rule_id", rule).where("rule_id IS NOT NULL").select("rule_id", F.col("parameter_id").alias("item"))
+    lost = registry.join(parsers, "parser_id", "left_anti").select(F.lit("bound_parser").alias("rule_id"), F.col("parameter_id").alias("item"))
+    twice = registry.groupBy("parameter_id").count().where("count > 1").select(F.lit("bound_twice").alias("rule_id"), F.col("parameter_id").alias("item"))
+    return union([own, lost, twice])

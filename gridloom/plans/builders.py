@@ -122,6 +122,24 @@ def i19_block_records_nested(spark, sf):
     return out.select("report_id", "block_no", "row_no", "utility", F.explode("values").alias("label", "raw"))
 
 
+def nested_grid(spark, sf):
+    """Blocks of a run of rows of one utility's state: matrices with sections, simple matrices, and pairs of a metric and a value."""
+    r, own, k = F.col("row_no"), lambda i: F.get("cells", F.lit(i)), F.col("block_no") % 3
+    begins = own(0) != ""
+    line = lambda *c: F.array(*[x if isinstance(x, F.Column) else F.lit(x) for x in c])
+    matrix = F.when(begins | (r % 23 == 0), F.when(r % 2 == 0, line("Category", "LT", "", "HT", "LT")).otherwise(line("", "category", "LT", "HT"))).when(r % 10 == 0, line("", F.concat(F.lit("Section "), r.cast("string")))).otherwise(line(own(2), own(4), own(5), own(6)))
+    simple = F.when(begins, line("Kind", own(0), "B")).otherwise(line(own(2), own(4), own(5), own(7)))
+    pairs = F.when(begins | (r % 31 == 0), line("CATEGORY", F.concat(F.lit("U"), r.cast("string")))).otherwise(line(own(2), "", own(4)))
+    return blocks(spark, sf).withColumn("cells", F.when(k == 1, matrix).when(k == 2, simple).otherwise(pairs))
+
+
+def i19_nested_blocks(spark, sf):
+    rows = nested_grid(spark, sf)
+    k = F.col("block_no") % 3
+    layouts = blocks(spark, sf).select("report_id", "block_no").distinct().withColumn("layout", F.when(k == 1, "matrix").when(k == 2, "simple_matrix").otherwise("key_value"))
+    return bd.flat_blocks(bd.nested_blocks(rows, layouts))
+
+
 def i23_group_members(spark, sf):
     rows = filled(spark, sf).select("report_id", "row_no", "state", F.get("cells", F.lit(1)).alias("utility"), (F.get("cells", F.lit(0)) != "").alias("is_master"))
     return bd.group_members(rows)
@@ -147,6 +165,7 @@ QUERIES = {
     "i17_inherit_parent_payload": lambda s, d: bd.inherit_parent_payload(parents(s, d), ["owner", "charge"]),
     "i18_record_id": lambda s, d: bd.with_record_id(records(s, d), "wheeling", ["category", "year", "row_no", "col_idx"]).select("report_id", "row_no", "col_idx", "record_id"),
     "i19_block_records_nested": i19_block_records_nested,
+    "i19_nested_blocks": i19_nested_blocks,
     "i20_parse_summary": lambda s, d: bd.parse_summary(records(s, d), clean(s, d)),
     "i21_source_pages": lambda s, d: bd.source_pages(records(s, d), ["report_id", "year"]),
     "i22_classify_record_rows": lambda s, d: bd.classify_record_rows(clean(s, d)),
@@ -218,6 +237,16 @@ ORACLE_SQL = {
     "i18_record_id": f"{MELT4} SELECT report_id, row_no, col_idx, substr(sha256(lower(concat_ws(':', 'wheeling', category, coalesce(year, ''), CAST(row_no AS VARCHAR), CAST(col_idx AS VARCHAR)))), 1, 16) AS record_id FROM rec",
     "i19_block_records_nested": f"""{CLEAN}, u AS (SELECT *, last_value(nullif(c1, '') IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS utility FROM bl WHERE block_no > 0), m AS ({melted(4, 'u')})
       SELECT report_id, block_no, row_no, utility, label, cell AS raw FROM m""",
+    "i19_nested_blocks": f"""{CLEAN}, g AS (SELECT *, block_no % 3 AS k, c0 <> '' AS begins FROM bl WHERE block_no > 0),
+      h AS (SELECT report_id, block_no, row_no, k, list_filter(CASE WHEN k = 1 THEN CASE WHEN begins OR row_no % 23 = 0 THEN CASE WHEN row_no % 2 = 0 THEN ['Category', 'LT', 'HT', 'LT'] ELSE ['category', 'LT', 'HT'] END WHEN row_no % 10 = 0 THEN [concat('Section ', row_no)] ELSE [c2, c4, c5, c6] END
+        WHEN k = 2 THEN CASE WHEN begins THEN ['Kind', c0, 'B'] ELSE [c2, c4, c5, c7] END ELSE CASE WHEN begins OR row_no % 31 = 0 THEN ['CATEGORY', concat('U', row_no)] ELSE [c2, c4] END END, lambda x: x <> '') AS c FROM g),
+      m AS (SELECT *, CASE WHEN k = 2 THEN c[1] = 'Kind' ELSE lower(c[1]) = 'category' END AS head FROM h WHERE len(c) > 0),
+      n AS (SELECT *, last_value(CASE WHEN head THEN c[2:] END IGNORE NULLS) OVER w AS cols, last_value(CASE WHEN k = 1 AND len(c) = 1 THEN c[1] END IGNORE NULLS) OVER w AS section, last_value(CASE WHEN k = 0 AND head THEN c[2] END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS utility
+        FROM m WINDOW w AS (PARTITION BY report_id, block_no ORDER BY row_no)),
+      e AS (SELECT report_id, block_no, k, section, row_no, c[1] AS category, cols[i] AS label, c[i + 1] AS value, row_number() OVER (PARTITION BY report_id, block_no, row_no, cols[i] ORDER BY i DESC) AS last
+        FROM (SELECT *, unnest(range(1, least(len(cols), len(c) - 1) + 1)) AS i FROM n WHERE NOT head AND k > 0 AND (k = 2 OR section IS NOT NULL AND len(c) > 1)))
+      SELECT report_id, block_no, CASE k WHEN 1 THEN 'matrix' ELSE 'simple_matrix' END AS parser_type, section, row_no, category, label, value FROM e WHERE last = 1
+      UNION ALL SELECT report_id, block_no, 'key_value', NULL, row_no, c[1], utility, c[2] FROM n WHERE k = 0 AND NOT head AND len(c) >= 2""",
     "i20_parse_summary": f"""{MELT4} SELECT report_id, (SELECT count(*) FROM cl WHERE cl.report_id = r.report_id) AS rows_processed, count(*) AS record_count, count(DISTINCT row_no) AS rows_used, 'success' AS status FROM rec r GROUP BY report_id""",
     "i21_source_pages": f"{MELT4} SELECT report_id, year, array_to_string(list_sort(list(DISTINCT pdf_page)), ',') AS pages, min(row_no) AS first_row, max(row_no) AS last_row FROM rec GROUP BY 1, 2",
     "i22_classify_record_rows": f"{CLEAN} SELECT report_id, row_no, CASE WHEN c1 <> '' THEN 'record' ELSE 'continuation' END AS row_type, c4 <> '' AS has_charge, c6 NOT IN ('', '-') AS has_period FROM cl",

@@ -112,8 +112,17 @@ def f4(spark, sf):
 
 
 def f5(spark, sf):
-    b = grid_rows(spark, sf).select("report_id").distinct().where("report_id % 3 = 0").withColumn("family", F.lit("narrative"))
-    return ly.route_parser(f4(spark, sf), b)
+    """Bindings of a family, a parser or a pattern, classified parsers, and names that tell a family."""
+    r = F.col("report_id")
+    reports = grid_rows(spark, sf).select("report_id").distinct()
+    bound = reports.where("report_id % 3 = 0").select(
+        "report_id", F.when(r % 2 == 0, "narrative").alias("family"), F.when(r % 4 == 1, "kv_v1").when(r % 4 == 3, "gone").alias("parser_id"), F.when(r % 5 == 0, "wide_table").alias("bound_pattern")
+    )
+    parsers = spark.createDataFrame([("kv_v1", "key_value"), ("wide_v2", "wide_to_long")], "parser_id string, family string")
+    name = F.when(r % 7 == 0, "wheeling").when(r % 7 == 1, "cross_subsidy").when(r % 7 == 2, "additional")
+    pattern = F.when(r % 2 == 1, "unheard").otherwise(F.col("pattern"))
+    classed = f4(spark, sf).withColumns({"pattern": pattern, "parser_id": F.when(r % 11 == 4, "wide_v2"), "name": name})
+    return ly.route_parser(classed, bound, parsers=parsers, name="name")
 
 
 def two_headers(spark, sf):
@@ -264,7 +273,10 @@ ORACLE_SQL = {
     "f2_score_patterns": f"{SCORES} SELECT report_id, pattern, score FROM sc",
     "f3_classify": f"{CLASSES} SELECT * FROM cls",
     "f4_apply_pattern_overrides": f"{CLASSES} SELECT * FROM fo",
-    "f5_route_parser": f"{CLASSES} SELECT report_id, pattern, CASE WHEN report_id % 3 = 0 THEN 'narrative' WHEN pattern = 'wide_table' THEN 'wide_to_long' WHEN pattern = 'hierarchical_parent_child' THEN 'narrative' WHEN pattern = 'unknown' THEN 'simple_matrix' ELSE pattern END AS family FROM fo",
+    "f5_route_parser": f"""{CLASSES}, r AS (SELECT report_id AS r, CASE WHEN report_id % 2 = 1 THEN 'unheard' ELSE pattern END AS p FROM fo),
+      s AS (SELECT r, p, [CASE WHEN r % 3 = 0 AND r % 2 = 0 THEN 'narrative' END, CASE WHEN r % 3 = 0 AND r % 4 = 1 THEN 'key_value' END, CASE WHEN r % 3 = 0 AND r % 5 = 0 THEN 'wide_to_long' END, CASE WHEN r % 11 = 4 THEN 'wide_to_long' END,
+        CASE p WHEN 'wide_table' THEN 'wide_to_long' WHEN 'hierarchical_parent_child' THEN 'narrative' WHEN 'unheard' THEN NULL WHEN 'unknown' THEN NULL ELSE p END, CASE r % 7 WHEN 0 THEN 'wide_to_long' WHEN 1 THEN 'state_block_matrix' END, 'simple_matrix'] AS f FROM r)
+      SELECT r AS report_id, p AS pattern, list_filter(f, lambda x: x IS NOT NULL)[1] AS family, list_filter(list_transform(['binding', 'bound_parser', 'bound_pattern', 'classified_parser', 'pattern', 'name', 'default'], lambda n, i: CASE WHEN f[i] IS NOT NULL THEN n END), lambda x: x IS NOT NULL)[1] AS step FROM s""",
     "f6_block_layout": f"""{CLEAN} SELECT report_id, block_no, CASE block_no % 3 WHEN 0 THEN 'key_value' WHEN 1 THEN CASE WHEN bool_or(c0 = '' AND (row_no % 10 = 0 OR len(list_filter([c2, c3, c4, c5], lambda x: x <> '')) = 1)) THEN 'matrix' ELSE 'simple_matrix' END
       ELSE CASE WHEN bool_or(c0 = '' AND len(list_filter([c2, c3, c4, c5], lambda x: x <> '')) = 1) THEN 'matrix' ELSE 'simple_matrix' END END AS layout FROM bl WHERE block_no > 0 GROUP BY 1, 2""",
     "g1_match_state": """WITH v AS (SELECT DISTINCT c_custkey % 5 AS k, c_mktsegment AS n FROM customer) SELECT DISTINCT CASE k WHEN 0 THEN n WHEN 1 THEN concat(n, 'S') WHEN 2 THEN 'auto' WHEN 3 THEN concat('the ', n, ' zone') ELSE concat(' ', lower(n), '* ') END AS value,

@@ -44,6 +44,12 @@ facts AS (SELECT concat(l_returnflag, l_linestatus) AS parameter_id, concat(l_or
 seg AS (SELECT DISTINCT c_mktsegment AS canonical, lower(c_mktsegment) AS alias FROM customer)"""
 
 
+def placed_facts(spark, sf):
+    """The records with their place in the order of orders and lines."""
+    order, line = (F.split("record_id", "-")[i].cast("long") for i in (0, 1))
+    return facts(spark, sf).withColumn("position", order * 8 + line)
+
+
 def segments(spark, sf):
     return table(spark, sf, "customer").select(F.lower("c_mktsegment").alias("alias"), F.col("c_mktsegment").alias("canonical")).distinct()
 
@@ -65,7 +71,11 @@ UNION ALL SELECT parameter_id, 'range.value', 'warning', count(*) FILTER (value
 UNION ALL SELECT parameter_id, 'min_records', 'error', count(*) >= (SELECT count(*) FROM lineitem) // 6, CAST(count(*) AS DOUBLE) FROM facts GROUP BY 1),
 reports AS (SELECT parameter_id, count(*) FILTER (NOT passed AND severity = 'error') AS errors, count(*) FILTER (NOT passed AND severity = 'warning') AS warnings, count(*) AS checks,
   count(*) FILTER (NOT passed AND severity = 'error') = 0 AS passed, count(*) FILTER (NOT passed AND severity = 'error') <= 3 AND count(*) FILTER (NOT passed AND severity = 'warning') <= 5 AS export_allowed FROM checks GROUP BY 1),
-lineage AS (SELECT parameter_id, sha256(CAST(sum(CAST(concat('0x', substr(sha256(record_id), 1, 15)) AS BIGINT)) AS VARCHAR)) AS lineage_hash FROM facts GROUP BY 1)"""
+lp AS (SELECT parameter_id, record_id, CAST(split_part(record_id, '-', 1) AS BIGINT) * 8 + CAST(split_part(record_id, '-', 2) AS BIGINT) AS n FROM facts),
+la AS (SELECT parameter_id, n // 1024 AS n, sha256(string_agg(record_id, '' ORDER BY n, record_id)) AS part FROM lp GROUP BY parameter_id, lp.n // 1024),
+lb AS (SELECT parameter_id, n // 1024 AS n, sha256(string_agg(part, '' ORDER BY n)) AS part FROM la GROUP BY parameter_id, la.n // 1024),
+lc AS (SELECT parameter_id, n // 1024 AS n, sha256(string_agg(part, '' ORDER BY n)) AS part FROM lb GROUP BY parameter_id, lb.n // 1024),
+lineage AS (SELECT parameter_id, sha256(string_agg(part, '' ORDER BY n)) AS lineage_hash FROM lc GROUP BY 1)"""
 
 
 def reports(spark, sf):
@@ -214,6 +224,17 @@ def j15_check_contracts(spark, sf):
     return ql.check_contracts(pages, rows, ranges, found, names, r"^\d+-[0-3]$")
 
 
+def j16_check_bindings(spark, sf):
+    """Suppliers as parsers, parts as parameters, with bindings that are missing, wrong or of another family."""
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    name = lambda n: F.concat(F.lit("parser"), n.cast("string"))
+    parsers = table(spark, sf, "supplier").where("s_suppkey % 7 <> 3").select(name(F.col("s_suppkey")).alias("parser_id"), F.concat(F.lit("family"), (F.col("s_suppkey") % 4).cast("string")).alias("family"), F.array(F.lit("wide"), F.when(F.col("s_suppkey") % 2 == 0, "block").otherwise("pairs")).alias("patterns"))
+    own = k % 10 + 1
+    parameters = p.select(k.cast("string").alias("parameter_id"), name(own).alias("parser_id"), F.concat(F.lit("family"), F.when(k % 13 == 0, 9).otherwise(own % 4).cast("string")).alias("family"), F.when(k % 3 == 0, "block").when(k % 3 == 1, "wide").alias("pattern"))
+    registry = p.where("p_partkey % 17 <> 0").select(k.cast("string").alias("parameter_id"), name(F.when(k % 19 == 0, own + 1).otherwise(own)).alias("parser_id"))
+    return ql.check_bindings(parameters, registry, parsers)
+
+
 def j16_check_catalog_refs(spark, sf):
     r, n, s = (table(spark, sf, t) for t in ("region", "nation", "supplier"))
     aliases = n.select(F.col("n_name").alias("alias"), F.when(F.col("n_nationkey") % 6 == 0, "NOWHERE").otherwise(F.col("n_regionkey").cast("string")).alias("canonical"))
@@ -244,12 +265,13 @@ QUERIES = {
     "j7_check_min_records": lambda s, d: ql.check_min_records(facts(s, d), sixth(s, d)),
     "j8_check_coverage": lambda s, d: ql.check_coverage(facts(s, d), segments(s, d), 5),
     "j9_recalibrate_confidence": lambda s, d: ql.recalibrate_confidence(facts(s, d), segments(s, d), FIELDS).groupBy("parameter_id", "confidence").agg(F.count("*").alias("n")),
-    "j10_validation_report": lambda s, d: ql.validation_report(checks(s, d), max_errors=3, records=facts(s, d)),
+    "j10_validation_report": lambda s, d: ql.validation_report(checks(s, d), max_errors=3, records=placed_facts(s, d)),
     "j11_coverage_summary": lambda s, d: ql.coverage_summary(facts(s, d)),
     "j12_export_gate": lambda s, d: ql.export_gate(facts(s, d), reports(s, d)).groupBy("parameter_id").agg(F.count("*").alias("n")),
     "j13_profile_records": lambda s, d: ql.profile_records(facts(s, d), FIELDS),
     "j14_audit_hierarchy": lambda s, d: ql.audit_hierarchy(facts(s, d)),
     "j15_check_contracts": j15_check_contracts,
+    "j16_check_bindings": j16_check_bindings,
     "j16_check_catalog_refs": j16_check_catalog_refs,
     "k1_flatten_records": lambda s, d: kx.flatten_records(facts(s, d), ["state", "utility", "value"]),
     "k2_order_columns": lambda s, d: kx.order_columns(facts(s, d).drop("pages"), ["state", "utility", "discom", "year"], ("unit",)),
@@ -298,6 +320,9 @@ ORACLE_SQL = {
       UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'rows_numbered' FROM nation WHERE n_nationkey % 7 = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_ordered' FROM nation WHERE n_nationkey % 9 < 5
       UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_length' FROM nation WHERE n_nationkey % 4 = 0 UNION ALL SELECT record_id, 'id_pattern' FROM facts WHERE NOT regexp_matches(record_id, '^\\d+-[0-3]$')
       UNION ALL SELECT record_id, 'confidence_range' FROM facts WHERE confidence * 1.2 NOT BETWEEN 0 AND 1 UNION ALL SELECT n_name, 'catalog_sorted' FROM (SELECT n_name, lag(n_name) OVER (ORDER BY n_nationkey) AS b FROM nation) WHERE b > n_name""",
+    "j16_check_bindings": """WITH q AS (SELECT s_suppkey AS s FROM supplier WHERE s_suppkey % 7 <> 3), p AS (SELECT p_partkey AS k, p_partkey % 10 + 1 AS own, CASE WHEN p_partkey % 17 <> 0 THEN CASE WHEN p_partkey % 19 = 0 THEN p_partkey % 10 + 2 ELSE p_partkey % 10 + 1 END END AS bound FROM part),
+      r AS (SELECT k, CASE WHEN bound IS NULL THEN 'unregistered' WHEN bound <> own THEN 'binding' WHEN own NOT IN (SELECT s FROM q) THEN 'unknown_parser' WHEN k % 13 = 0 THEN 'family' WHEN k % 3 = 0 AND own % 2 = 1 THEN 'pattern' END AS rule_id FROM p)
+      SELECT rule_id, CAST(k AS VARCHAR) AS item FROM r WHERE rule_id IS NOT NULL UNION ALL SELECT 'bound_parser', CAST(k AS VARCHAR) FROM p WHERE bound IS NOT NULL AND bound NOT IN (SELECT s FROM q)""",
     "j16_check_catalog_refs": "SELECT 'alias_target' AS rule_id, n_name AS item FROM nation WHERE n_nationkey % 6 = 0 UNION ALL SELECT 'parent', s_name FROM supplier WHERE s_nationkey >= 20 UNION ALL SELECT 'duplicate_name', '2'",
     "k1_flatten_records": f"{FACTS} SELECT record_id, parameter_id, confidence, pages AS source_pages, state, CASE WHEN utility = 'state_level' THEN '' ELSE utility END AS utility, CASE WHEN value IS NOT NULL THEN concat(CAST(CAST(value AS INT) AS VARCHAR), '.0') END AS value FROM facts",
     "k2_order_columns": f"{FACTS} SELECT state, utility, CAST(NULL AS VARCHAR) AS discom, year, confidence, record_id, parameter_id, value FROM facts",
