@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from gridloom.fixtures import WITH_GRID, WITH_PAGES, grid_rows, report_pages, table
 from gridloom.operators import index as ix
+from gridloom.sources.scratch import new_path
 
 TITLE_RE = r"(?i)TABLE[- ]?\d+(?:\([A-Z]\))?\s*:\s*([^\n]+)"
 TOC_RE = r"(?i)TABLE[- ]?(\d+(?:\([A-Z]\))?)\s*:\s*(.*?)\s+(\d+)"
@@ -56,10 +59,43 @@ def a3_load_catalogs(spark, sf):
     return catalogs_of(table(spark, sf, "nation"), table(spark, sf, "region"), table(spark, sf, "customer"))["aliases"]
 
 
+def a3_load_catalog_files(spark, sf):
+    """Regions, nations and segments as nested catalog files, loaded as flat dimensions; one list of all."""
+    from gridloom.sources.catalogs import load_catalogs, write_catalogs
+
+    nation, region, customer = (table(spark, sf, t) for t in ("nation", "region", "customer"))
+    both = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+    entries = lambda df, key, value: df.select(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))))))
+    per = both.groupBy("r_name").agg(F.sort_array(F.collect_list(F.concat(F.lit(" "), "n_name"))).alias("names"), F.sort_array(F.collect_list(F.lower("n_comment") if "n_comment" in nation.columns else F.lower("n_name"))).alias("aliases"))
+    segments = customer.select("c_mktsegment").distinct()
+    files = {
+        "states": region.agg(F.sort_array(F.collect_list("r_name")).alias("states")),
+        "state_aliases": entries(nation.select(F.concat("n_name", F.lit(" ")).alias("k"), "n_name"), "k", F.col("n_name")).toDF("state_aliases"),
+        "utilities": entries(per, "r_name", F.col("names")).toDF("utilities"),
+        "voltages": entries(per, "r_name", F.struct(F.slice("names", 1, 2).alias("aliases"))).toDF("voltages"),
+        "units": entries(segments, "c_mktsegment", F.array(F.substring("c_mktsegment", 1, 3), F.lit(" "))).toDF("units"),
+        "categories": entries(per, "r_name", F.struct(F.slice("names", 3, 1).alias("aliases"), F.slice("names", 4, 2).alias("subcategories"))).toDF("categories"),
+    }
+    folder = new_path(spark, "catalogs")
+    write_catalogs(files, folder)
+    got = load_catalogs(spark, folder)
+    none = F.lit(None).cast("string")
+    flat = {
+        "states": ("canonical", none), "utilities": ("canonical", F.col("state")), "state_aliases": ("alias", F.col("canonical")), "voltages": ("alias", F.col("canonical")),
+        "units": ("alias", F.col("canonical")), "categories": ("alias", F.col("canonical")), "subcategories": ("subcategory", F.col("category")),
+    }
+    parts = [got[k].select(F.lit(k).alias("dimension"), F.col(name).alias("name"), of.alias("of")) for k, (name, of) in flat.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def a5_page_index_csv(spark, sf):
-    from gridloom.sources.writers import flat_page_index
+    """Written as CSV twice to one path, and read back."""
+    from gridloom.sources.writers import read_page_index_csv, write_page_index_csv
 
-    return flat_page_index(page_index(spark, sf))
+    path = new_path(spark, "page-index")
+    for _ in range(2):
+        write_page_index_csv(page_index(spark, sf), path)
+    return read_page_index_csv(spark, path)
 
 
 def a8_content_identity(spark, sf):
@@ -99,6 +135,7 @@ QUERIES = {
     "a1_read_pages": a1_read_pages,
     "a2_read_raw_rows": a2_read_raw_rows,
     "a3_load_catalogs": a3_load_catalogs,
+    "a3_load_catalog_files": a3_load_catalog_files,
     "a5_page_index_csv": a5_page_index_csv,
     "a8_content_identity": a8_content_identity,
     "b1_detect_titles": titles,
@@ -117,6 +154,10 @@ ORACLE_SQL = {
     "a3_load_catalogs": """SELECT lower(trim(r_name)) AS alias, r_name AS canonical, 'region' AS kind, CAST(row_number() OVER (ORDER BY r_regionkey) AS INT) AS priority FROM region
       UNION ALL SELECT lower(trim(n_name)), n_name, 'nation', CAST(row_number() OVER (ORDER BY n_nationkey) AS INT) FROM nation
       UNION ALL SELECT lower(trim(c_mktsegment)), c_mktsegment, 'segment', CAST(row_number() OVER (ORDER BY c_mktsegment) AS INT) FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
+    "a3_load_catalog_files": """WITH p AS (SELECT r_name, list(n_name ORDER BY n_name) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1), s AS (SELECT DISTINCT c_mktsegment AS g FROM customer)
+      SELECT 'states' AS dimension, r_name AS name, NULL AS "of" FROM region UNION ALL SELECT 'utilities', unnest(n), r_name FROM p UNION ALL SELECT 'state_aliases', lower(n_name), n_name FROM nation
+      UNION ALL SELECT 'voltages', lower(r_name), r_name FROM p UNION ALL SELECT 'voltages', lower(unnest(n[1:2])), r_name FROM p UNION ALL SELECT 'units', lower(g), g FROM s UNION ALL SELECT 'units', lower(g[1:3]), g FROM s
+      UNION ALL SELECT 'categories', lower(r_name), r_name FROM p UNION ALL SELECT 'categories', lower(unnest(n[3:3])), r_name FROM p UNION ALL SELECT 'subcategories', lower(unnest(n[4:5])), r_name FROM p""",
     "a5_page_index_csv": f"{WITH_INDEX} SELECT report_id, pdf_page, text_length, table_count, contains_table, titles AS table_titles FROM idx",
     "a8_content_identity": f"""{WITH_PAGES}, g AS (SELECT report_id, floor(pdf_page / 1024) AS b, sha256(string_agg(sha256(page_text), '' ORDER BY pdf_page)) AS d, count(*) AS n FROM fx_pages GROUP BY 1, 2),
       h AS (SELECT report_id, sha256(string_agg(d, '' ORDER BY b)) AS content_hash, CAST(sum(n) AS BIGINT) AS page_count FROM g GROUP BY report_id)

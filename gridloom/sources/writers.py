@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FLAT_INDEX = "report_id string, pdf_page int, text_length long, table_count long, contains_table boolean, table_titles string"
+
 
 def write_records(records: DataFrame, path: str) -> None:
     """A4: records as JSON lines."""
@@ -17,7 +19,14 @@ def flat_page_index(index: DataFrame) -> DataFrame:
 
 
 def write_page_index_csv(index: DataFrame, path: str) -> None:
-    flat_page_index(index).write.option("header", True).csv(path)
+    """A5, written: one folder of CSV parts, each with the header; running it again leaves the same rows."""
+    flat_page_index(index).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+
+
+def read_page_index_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_page_index_csv`` wrote; headings may hold quotes and line ends."""
+    reader = spark.read.schema(FLAT_INDEX).option("header", True).option("multiLine", True).option("escape", '"')
+    return reader.csv(path).na.fill("", ["table_titles"])
 
 
 def write_warehouse(records: DataFrame, path: str, key: str = "parameter_id") -> None:
@@ -35,5 +44,16 @@ def by_group(records: DataFrame, group: str, columns: list[str]) -> DataFrame:
     return records.select(sheet_name(F.col(group)).alias("sheet"), *columns)
 
 
-def write_by_group(records: DataFrame, path: str, group: str, columns: list[str]) -> None:
-    by_group(records, group, columns).sortWithinPartitions("sheet", *columns).write.partitionBy("sheet").parquet(path)
+def write_by_group(records: DataFrame, path: str, group: str, columns: list[str], rows_per_file: int = 1_000_000) -> None:
+    """A7, written: a folder of sorted files for every group.
+
+    A group has a writer for every ``rows_per_file`` of its rows, chosen by a hash of the
+    row, so that a hot group has many and a small one a single file.  Only the folders
+    of groups at hand are replaced: a second run leaves the same rows, and groups that
+    other runs wrote stay.
+    """
+    named = by_group(records, group, columns)
+    sizes = named.groupBy("sheet").agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_writers"))
+    dealt = named.join(sizes, "sheet").withColumn("_writer", F.pmod(F.xxhash64(*columns), F.col("_writers")))
+    dealt = dealt.repartition("sheet", "_writer").sortWithinPartitions("sheet", *columns).drop("_writers", "_writer")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sheet").parquet(path)
