@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # fixed values
 CID = r"\(cid:\d+\)"
-BLANKS = "[  -   　\t]+"
-DASHES = "[–—−‐‑‒―]+"
+BLANKS = "[\u00a0\u2000-\u200a\u202f\u205f\u3000\t]+"
+DASHES = "[\u2013\u2014\u2212\u2010\u2011\u2012\u2015]+"
 DEVANAGARI = "[ऀ-ॿ]+"
 DOUBLE_QUOTES = "“”„‟"
 SINGLE_QUOTES = "‘’‚‛"

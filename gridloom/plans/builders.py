@@ -46,9 +46,11 @@ def melted(first: int, source: str = "cl") -> str:
     return " UNION ALL ".join(f"SELECT *, {i} AS col_idx, '{LABELS[i]}' AS label, '{VOLT[i]}' AS volt, {CELLS[i]} AS cell, {num(CELLS[i])} AS value FROM {source}" for i in range(first, 8))
 
 
-KEYED = CLEAN + f""", k1 AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS seg, last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no) AS st FROM cl),
+KEYED = CLEAN + f""", k1 AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id
+      ORDER BY row_no) AS seg, last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no) AS st FROM cl),
 k2 AS (SELECT *, coalesce(last_value(nullif(c1, '') IGNORE NULLS) OVER (PARTITION BY report_id, seg ORDER BY row_no), 'state_level') AS utility FROM k1),
-k3 AS ({" UNION ALL ".join(f"SELECT report_id, row_no, pdf_page, st AS state, utility, c2 AS year, '{n}' AS label, {num(CELLS[i])} AS value FROM k2" for n, i in VALUE_COLUMNS.items())}),
+k3 AS ({" UNION ALL ".join(f"SELECT report_id, row_no, pdf_page, st AS state, utility, c2 AS year, '{n}' AS label, {num(CELLS[i])} AS value FROM k2" for n,
+  i in VALUE_COLUMNS.items())}),
 keyed AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY report_id, state, utility, year, label ORDER BY row_no) AS k FROM k3) WHERE k = 1)"""
 
 
@@ -190,33 +192,46 @@ ORACLE_SQL = {
       SELECT rec.*, coalesce(u.utility, 'state_level') AS utility FROM rec LEFT JOIN u USING (category)""",
     "i3_wide_to_long_keyed": f"{KEYED} SELECT * FROM keyed",
     "i4_numeric_matrix": f"{MELT1} SELECT report_id, row_no, pdf_page, c0 AS row_label, label AS column_label, value FROM m WHERE value IS NOT NULL",
-    "i5_year_anchored_rows": f"""{CLEAN}, y AS (SELECT *, list_filter([c3, c4, c5, c6, c7], lambda c: trim(c) <> '') AS a, last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no) AS state,
+    "i5_year_anchored_rows": f"""{CLEAN}, y AS (SELECT *, list_filter([c3, c4, c5, c6, c7], lambda c: trim(c) <> '') AS a, last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id
+      ORDER BY row_no) AS state,
       last_value(nullif(c1, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no) AS utility FROM cl)
-      SELECT report_id, row_no, pdf_page, state, utility, c2 AS year, {num('a[1]')} AS charge_1, a[2] AS unit_1, {num('a[3]')} AS charge_2, a[4] AS unit_2 FROM y WHERE {num('a[1]')} IS NOT NULL AND {num('a[3]')} IS NOT NULL""",
+      SELECT report_id, row_no, pdf_page, state, utility, c2 AS year, {num('a[1]')} AS charge_1, a[2] AS unit_1, {num('a[3]')} AS charge_2, a[4] AS unit_2 FROM y
+        WHERE {num('a[1]')} IS NOT NULL AND {num('a[3]')} IS NOT NULL""",
     "i6_drop_shadowed_aggregate": """WITH n AS (SELECT n_regionkey AS report_id, '2025-26' AS year, n_name AS utility, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2, 3)
-      SELECT * FROM n UNION ALL SELECT report_id, year, 'state_level', t FROM (SELECT report_id, year, max(n) + CASE WHEN report_id % 2 = 0 THEN 0 ELSE 1 END AS t FROM n GROUP BY 1, 2) x
+      SELECT * FROM n UNION ALL SELECT report_id, year, 'state_level', t FROM (SELECT report_id, year, max(n) + CASE WHEN report_id % 2 = 0 THEN 0 ELSE 1 END AS t FROM n
+        GROUP BY 1, 2) x
       WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.report_id = x.report_id AND n.year = x.year AND n.n = x.t)""",
     "i7_sectioned_values": rf"""{SECT}, c AS (SELECT s.report_id, s.row_no, s.is_section, s.c0, s.c1, l.c2, l.c4, l.c5, l.c6, l.c7, coalesce(last_value(nullif(s.c0, '') IGNORE NULLS) OVER (PARTITION BY s.report_id ORDER BY s.row_no), '') AS state,
-        last_value(CASE WHEN is_section THEN s.c1 END IGNORE NULLS) OVER (PARTITION BY s.report_id ORDER BY s.row_no) AS section FROM se s JOIN cl l ON l.report_id = s.report_id AND l.row_no = s.row_no),
+        last_value(CASE WHEN is_section THEN s.c1 END IGNORE NULLS) OVER (PARTITION BY s.report_id ORDER BY s.row_no) AS section FROM se s
+          JOIN cl l ON l.report_id = s.report_id AND l.row_no = s.row_no),
       v AS (SELECT *, list_filter([c0, c1, c4, c5, c6, c7], lambda x: trim(x) <> '' AND trim(x) <> state)[-1] AS raw FROM c WHERE NOT is_section)
-      SELECT report_id, row_no, state, section, c2 AS year, raw, CASE WHEN lower(raw) IN ('n/a', '--') THEN NULL ELSE TRY_CAST(regexp_replace(raw, '[^\d.]', '', 'g') AS DOUBLE) END AS value FROM v WHERE raw IS NOT NULL AND state <> ''""",
-    "i8_split_multi_value": """WITH t AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity / 10 AS DECIMAL(10,2)) AS VARCHAR) AS a, CAST(CAST(l_quantity / 4 AS DECIMAL(10,2)) AS VARCHAR) AS b FROM lineitem),
+      SELECT report_id, row_no, state, section, c2 AS year, raw, CASE WHEN lower(raw) IN ('n/a', '--') THEN NULL
+        ELSE TRY_CAST(regexp_replace(raw, '[^\d.]', '', 'g') AS DOUBLE) END AS value FROM v WHERE raw IS NOT NULL AND state <> ''""",
+    "i8_split_multi_value": """WITH t AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity / 10 AS DECIMAL(10,2)) AS VARCHAR) AS a, CAST(CAST(l_quantity / 4 AS DECIMAL(10,2)) AS VARCHAR) AS b
+      FROM lineitem),
       r AS (SELECT *, concat('Apr-Sep ', a, ' (Partial OA)', CASE WHEN l_linenumber % 2 = 0 THEN concat(' ', b, ' (Full OA)') ELSE '' END) AS raw FROM t)
       SELECT l_orderkey, l_linenumber, raw, 0 AS part, CAST(a AS DOUBLE) AS value, CASE WHEN l_linenumber % 2 = 0 THEN 'Partial OA' END AS qualifier FROM r
       UNION ALL SELECT l_orderkey, l_linenumber, raw, 1, CAST(b AS DOUBLE), 'Full OA' FROM r WHERE l_linenumber % 2 = 0""",
     "i9_parse_sentinel_number": "SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 0.0 WHEN 3 THEN CAST(l_quantity AS INT) + 0.5 WHEN 4 THEN CAST(CAST(l_quantity AS INT) AS DOUBLE) END AS value FROM lineitem",
-    "i10_block_matrix": rf"""{CLEAN}, g AS (SELECT *, c0 = '' AND block_no % 2 = 1 AND row_no % 30 = 15 AS head, c0 = '' AND row_no % 20 = 0 AND NOT (block_no % 2 = 1 AND row_no % 30 = 15) AS line FROM bl WHERE block_no > 0),
-      h AS (SELECT *, CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT supply' WHEN row_no % 60 = 20 THEN '33 kV side' ELSE 'EHT' END WHEN head THEN '' WHEN row_no % 9 = 0 THEN concat('HT ', c2) WHEN row_no % 14 = 0 THEN concat('alt ', c2) ELSE c2 END AS category,
-        last_value(CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT' WHEN row_no % 60 = 20 THEN '33 kV' ELSE 'EHT' END WHEN NOT head AND row_no % 9 = 0 AND coalesce({num("c4")}, {num("c5")}, {num("c6")}, {num("c7")}) IS NULL THEN 'HT' END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS v,
+    "i10_block_matrix": rf"""{CLEAN}, g AS (SELECT *, c0 = '' AND block_no % 2 = 1 AND row_no % 30 = 15 AS head, c0 = '' AND row_no % 20 = 0 AND NOT (block_no % 2 = 1 AND row_no % 30 = 15) AS line
+      FROM bl WHERE block_no > 0),
+      h AS (SELECT *, CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT supply' WHEN row_no % 60 = 20 THEN '33 kV side' ELSE 'EHT' END WHEN head THEN ''
+        WHEN row_no % 9 = 0 THEN concat('HT ', c2) WHEN row_no % 14 = 0 THEN concat('alt ', c2) ELSE c2 END AS category,
+        last_value(CASE WHEN line THEN CASE WHEN row_no % 40 = 0 THEN 'HT' WHEN row_no % 60 = 20 THEN '33 kV' ELSE 'EHT' END WHEN NOT head AND row_no % 9 = 0
+          AND coalesce({num("c4")}, {num("c5")}, {num("c6")}, {num("c7")}) IS NULL THEN 'HT' END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS v,
         min(CASE WHEN head THEN row_no END) OVER (PARTITION BY report_id, block_no) AS first_head FROM g),
       m AS (SELECT *, unnest([4, 5, 6, 7]) AS col_idx, unnest([c4, c5, c6, c7]) AS cell FROM h WHERE NOT line AND NOT head AND category <> ''),
-      k AS (SELECT report_id, block_no, row_no, col_idx, state, category, c3 AS subcategory, CASE WHEN v IS NOT NULL THEN v WHEN row_no % 9 = 0 THEN 'HT' WHEN row_no % 14 = 0 THEN 'LT' ELSE 'all' END AS voltage_level, {num("cell")} AS value,
+      k AS (SELECT report_id, block_no, row_no, col_idx, state, category, c3 AS subcategory, CASE WHEN v IS NOT NULL THEN v WHEN row_no % 9 = 0 THEN 'HT'
+        WHEN row_no % 14 = 0 THEN 'LT' ELSE 'all' END AS voltage_level, {num("cell")} AS value,
         CASE WHEN first_head IS NOT NULL THEN CASE WHEN col_idx <= 5 THEN 'Automobiles' ELSE concat('Customer#', lpad(CAST(first_head % 90 AS VARCHAR), 9, '0')) END
           ELSE CASE col_idx WHEN 4 THEN 'LT side' WHEN 5 THEN '2024-25 - new zone' WHEN 6 THEN 'Col 6' ELSE '2025-26 - Customer#000000003 - x' END END AS raw,
         CASE col_idx WHEN 6 THEN 'Rs/kW/month' ELSE 'Rs/kWh' END AS charge_unit, CASE col_idx WHEN 5 THEN '2024-25' WHEN 7 THEN '2025-26' ELSE '2023-24' END AS year FROM m),
-      nm AS (SELECT lower(c_name) AS name, c_name AS canonical, c_mktsegment AS own, 1 AS tier, c_custkey AS priority FROM customer WHERE c_custkey % 3 = 0 UNION ALL VALUES ('automob', 'Auto Power', NULL, 0, 0), ('00007', 'Seven Power', NULL, 0, 1), ('new zone', 'Zone Power', NULL, 0, 2)),
-      u AS (SELECT state, raw, min_by(canonical, CASE WHEN tier = 1 AND own <> state THEN 2 ELSE tier END * 1000000000 + priority) AS canonical FROM (SELECT DISTINCT state, raw FROM k) JOIN nm ON contains(lower(raw), name) GROUP BY 1, 2)
-      SELECT report_id, block_no, row_no, col_idx, k.state, coalesce(canonical, k.raw) AS utility, category, subcategory, voltage_level, value, charge_unit, year FROM k LEFT JOIN u ON u.state = k.state AND u.raw = k.raw WHERE value IS NOT NULL""",
+      nm AS (SELECT lower(c_name) AS name, c_name AS canonical, c_mktsegment AS own, 1 AS tier, c_custkey AS priority FROM customer WHERE c_custkey % 3 = 0
+        UNION ALL VALUES ('automob', 'Auto Power', NULL, 0, 0), ('00007', 'Seven Power', NULL, 0, 1), ('new zone', 'Zone Power', NULL, 0, 2)),
+      u AS (SELECT state, raw, min_by(canonical, CASE WHEN tier = 1 AND own <> state THEN 2 ELSE tier END * 1000000000 + priority) AS canonical FROM (SELECT DISTINCT state,
+        raw FROM k) JOIN nm ON contains(lower(raw), name) GROUP BY 1, 2)
+      SELECT report_id, block_no, row_no, col_idx, k.state, coalesce(canonical, k.raw) AS utility, category, subcategory, voltage_level, value, charge_unit, year FROM k LEFT
+        JOIN u ON u.state = k.state AND u.raw = k.raw WHERE value IS NOT NULL""",
     "i11_nearest_header_column": f"""{CLEAN}, m AS ({melted(4)}) SELECT report_id, row_no, col_idx, cell, CASE col_idx WHEN 4 THEN 'Col 3' WHEN 7 THEN '132 kV Charge' ELSE '11 kV Charge' END AS nearest_label FROM m""",
     "i12_simple_matrix": f"{MELT1} SELECT report_id, row_no, c0 AS category, label AS utility, value, 'Rs/kWh' AS charge_unit FROM m WHERE value IS NOT NULL",
     "i13_key_value": f"{CLEAN} SELECT report_id, row_no, c1 AS metric, {num('c4')} AS value, 'Rs/kWh' AS charge_unit FROM cl WHERE c1 <> '' AND {num('c4')} IS NOT NULL",
@@ -228,22 +243,31 @@ ORACLE_SQL = {
       WHERE NOT is_section AND coalesce({num('c7')}, {num('c6')}, {num('c5')}, {num('c4')}) IS NOT NULL""",
     "i15_narrative_fill": f"""{CLEAN}, s AS (SELECT *, last_value(nullif(c0, '') IGNORE NULLS) OVER w AS st FROM cl WINDOW w AS (PARTITION BY report_id ORDER BY row_no)),
       g AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS seg FROM s)
-      SELECT report_id, row_no, st AS state, utility, charge, period, CAST(NULL AS VARCHAR) AS policy FROM (SELECT report_id, row_no, st, last_value(nullif(c1, '') IGNORE NULLS) OVER w AS utility, last_value(nullif(c4, '') IGNORE NULLS) OVER w AS charge,
+      SELECT report_id, row_no, st AS state, utility, charge, period, CAST(NULL AS VARCHAR) AS policy
+        FROM (SELECT report_id, row_no, st, last_value(nullif(c1, '') IGNORE NULLS) OVER w AS utility, last_value(nullif(c4, '') IGNORE NULLS) OVER w AS charge,
         last_value(nullif(c6, '') IGNORE NULLS) OVER w AS period FROM g WINDOW w AS (PARTITION BY report_id, seg ORDER BY row_no)) WHERE utility IS NOT NULL""",
     "i16_append_continuations": f"""{CLEAN}, o AS (SELECT *, sum(CASE WHEN c1 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS record_no FROM cl)
-      SELECT report_id, record_no, min(row_no) AS row_no, coalesce(string_agg(c6, chr(10) ORDER BY row_no) FILTER (c6 NOT IN ('', '-')), '') AS policy, count(*) AS lines FROM o WHERE record_no > 0 GROUP BY 1, 2""",
+      SELECT report_id, record_no, min(row_no) AS row_no, coalesce(string_agg(c6, chr(10) ORDER BY row_no) FILTER (c6 NOT IN ('', '-')), '') AS policy, count(*) AS lines
+        FROM o WHERE record_no > 0 GROUP BY 1, 2""",
     "i17_inherit_parent_payload": f"""{CLEAN}, o AS (SELECT *, sum(CASE WHEN c1 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS g FROM cl)
-      SELECT a.report_id, a.row_no, false AS is_parent, p.c1 AS owner, p.c4 AS charge, a.c2 AS year FROM o a JOIN o p ON a.report_id = p.report_id AND a.g = p.g AND p.c1 <> '' WHERE a.c1 = ''""",
+      SELECT a.report_id, a.row_no, false AS is_parent, p.c1 AS owner, p.c4 AS charge, a.c2 AS year FROM o a JOIN o p ON a.report_id = p.report_id AND a.g = p.g
+        AND p.c1 <> '' WHERE a.c1 = ''""",
     "i18_record_id": f"{MELT4} SELECT report_id, row_no, col_idx, substr(sha256(lower(concat_ws(':', 'wheeling', category, coalesce(year, ''), CAST(row_no AS VARCHAR), CAST(col_idx AS VARCHAR)))), 1, 16) AS record_id FROM rec",
-    "i19_block_records_nested": f"""{CLEAN}, u AS (SELECT *, last_value(nullif(c1, '') IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS utility FROM bl WHERE block_no > 0), m AS ({melted(4, 'u')})
+    "i19_block_records_nested": f"""{CLEAN}, u AS (SELECT *, last_value(nullif(c1, '') IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no) AS utility FROM bl
+      WHERE block_no > 0), m AS ({melted(4, 'u')})
       SELECT report_id, block_no, row_no, utility, label, cell AS raw FROM m""",
     "i19_nested_blocks": f"""{CLEAN}, g AS (SELECT *, block_no % 3 AS k, c0 <> '' AS begins FROM bl WHERE block_no > 0),
-      h AS (SELECT report_id, block_no, row_no, k, list_filter(CASE WHEN k = 1 THEN CASE WHEN begins OR row_no % 23 = 0 THEN CASE WHEN row_no % 2 = 0 THEN ['Category', 'LT', 'HT', 'LT'] ELSE ['category', 'LT', 'HT'] END WHEN row_no % 10 = 0 THEN [concat('Section ', row_no)] ELSE [c2, c4, c5, c6] END
-        WHEN k = 2 THEN CASE WHEN begins THEN ['Kind', c0, 'B'] ELSE [c2, c4, c5, c7] END ELSE CASE WHEN begins OR row_no % 31 = 0 THEN ['CATEGORY', concat('U', row_no)] ELSE [c2, c4] END END, lambda x: x <> '') AS c FROM g),
+      h AS (SELECT report_id, block_no, row_no, k, list_filter(CASE WHEN k = 1 THEN CASE WHEN begins OR row_no % 23 = 0 THEN CASE
+        WHEN row_no % 2 = 0 THEN ['Category', 'LT', 'HT', 'LT'] ELSE ['category', 'LT', 'HT'] END WHEN row_no % 10 = 0 THEN [concat('Section ', row_no)] ELSE [c2, c4, c5, c6] END
+        WHEN k = 2 THEN CASE WHEN begins THEN ['Kind', c0, 'B'] ELSE [c2, c4, c5, c7] END ELSE CASE WHEN begins OR row_no % 31 = 0 THEN ['CATEGORY', concat('U', row_no)]
+          ELSE [c2, c4] END END, lambda x: x <> '') AS c FROM g),
       m AS (SELECT *, CASE WHEN k = 2 THEN c[1] = 'Kind' ELSE lower(c[1]) = 'category' END AS head FROM h WHERE len(c) > 0),
-      n AS (SELECT *, last_value(CASE WHEN head THEN c[2:] END IGNORE NULLS) OVER w AS cols, last_value(CASE WHEN k = 1 AND len(c) = 1 THEN c[1] END IGNORE NULLS) OVER w AS section, last_value(CASE WHEN k = 0 AND head THEN c[2] END IGNORE NULLS) OVER (PARTITION BY report_id, block_no ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS utility
+      n AS (SELECT *, last_value(CASE WHEN head THEN c[2:] END IGNORE NULLS) OVER w AS cols, last_value(CASE WHEN k = 1
+        AND len(c) = 1 THEN c[1] END IGNORE NULLS) OVER w AS section, last_value(CASE WHEN k = 0 AND head THEN c[2] END IGNORE NULLS) OVER (PARTITION BY report_id,
+        block_no ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS utility
         FROM m WINDOW w AS (PARTITION BY report_id, block_no ORDER BY row_no)),
-      e AS (SELECT report_id, block_no, k, section, row_no, c[1] AS category, cols[i] AS label, c[i + 1] AS value, row_number() OVER (PARTITION BY report_id, block_no, row_no, cols[i] ORDER BY i DESC) AS last
+      e AS (SELECT report_id, block_no, k, section, row_no, c[1] AS category, cols[i] AS label, c[i + 1] AS value, row_number() OVER (PARTITION BY report_id, block_no, row_no,
+        cols[i] ORDER BY i DESC) AS last
         FROM (SELECT *, unnest(range(1, least(len(cols), len(c) - 1) + 1)) AS i FROM n WHERE NOT head AND k > 0 AND (k = 2 OR section IS NOT NULL AND len(c) > 1)))
       SELECT report_id, block_no, CASE k WHEN 1 THEN 'matrix' ELSE 'simple_matrix' END AS parser_type, section, row_no, category, label, value FROM e WHERE last = 1
       UNION ALL SELECT report_id, block_no, 'key_value', NULL, row_no, c[1], utility, c[2] FROM n WHERE k = 0 AND NOT head AND len(c) >= 2""",
@@ -251,6 +275,7 @@ ORACLE_SQL = {
     "i21_source_pages": f"{MELT4} SELECT report_id, year, array_to_string(list_sort(list(DISTINCT pdf_page)), ',') AS pages, min(row_no) AS first_row, max(row_no) AS last_row FROM rec GROUP BY 1, 2",
     "i22_classify_record_rows": f"{CLEAN} SELECT report_id, row_no, CASE WHEN c1 <> '' THEN 'record' ELSE 'continuation' END AS row_type, c4 <> '' AS has_charge, c6 NOT IN ('', '-') AS has_period FROM cl",
     "i23_group_members": f"""{CLEAN}, g AS (SELECT *, block_no AS group_no FROM bl WHERE block_no > 0)
-      SELECT report_id, group_no, min_by(state, row_no) AS state, min_by(c1, row_no) AS master, coalesce(string_agg(c1, ',' ORDER BY row_no) FILTER (c1 <> '' AND c0 = ''), '') AS members, count(*) FILTER (c1 <> '' AND c0 = '') AS member_count FROM g GROUP BY 1, 2""",
+      SELECT report_id, group_no, min_by(state, row_no) AS state, min_by(c1, row_no) AS master, coalesce(string_agg(c1, ',' ORDER BY row_no) FILTER (c1 <> ''
+        AND c0 = ''), '') AS members, count(*) FILTER (c1 <> '' AND c0 = '') AS member_count FROM g GROUP BY 1, 2""",
     "i24_parent_or_child_values": f"{CLEAN} SELECT report_id, row_no, state, CASE WHEN c0 = '' THEN nullif(c1, '') END AS utility, {num('c4')} AS value FROM fl WHERE c0 <> '' OR c1 <> ''",
 }

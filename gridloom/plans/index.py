@@ -10,6 +10,7 @@ from gridloom.fixtures import WITH_GRID, WITH_PAGES, grid_rows, report_pages, ta
 from gridloom.operators import index as ix
 from gridloom.sources.scratch import new_path
 
+# fixed values: heading and contents-line patterns
 TITLE_RE = r"(?i)TABLE[- ]?\d+(?:\([A-Z]\))?\s*:\s*([^\n]+)"
 TOC_RE = r"(?i)TABLE[- ]?(\d+(?:\([A-Z]\))?)\s*:\s*(.*?)\s+(\d+)"
 #: Pages without contents pages, and their headings, as further table expressions.
@@ -153,11 +154,15 @@ ORACLE_SQL = {
       replace(concat_ws('|', c0, c1, c2, c3, c4, c5, c6, c7), 'N/A', '') AS joined FROM fx_grid""",
     "a3_load_catalogs": """SELECT lower(trim(r_name)) AS alias, r_name AS canonical, 'region' AS kind, CAST(row_number() OVER (ORDER BY r_regionkey) AS INT) AS priority FROM region
       UNION ALL SELECT lower(trim(n_name)), n_name, 'nation', CAST(row_number() OVER (ORDER BY n_nationkey) AS INT) FROM nation
-      UNION ALL SELECT lower(trim(c_mktsegment)), c_mktsegment, 'segment', CAST(row_number() OVER (ORDER BY c_mktsegment) AS INT) FROM (SELECT DISTINCT c_mktsegment FROM customer)""",
+      UNION ALL SELECT lower(trim(c_mktsegment)), c_mktsegment, 'segment', CAST(row_number() OVER (ORDER BY c_mktsegment) AS INT) FROM (SELECT DISTINCT c_mktsegment
+        FROM customer)""",
     "a3_load_catalog_files": """WITH p AS (SELECT r_name, list(n_name ORDER BY n_name) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1), s AS (SELECT DISTINCT c_mktsegment AS g FROM customer)
-      SELECT 'states' AS dimension, r_name AS name, NULL AS "of" FROM region UNION ALL SELECT 'utilities', unnest(n), r_name FROM p UNION ALL SELECT 'state_aliases', lower(n_name), n_name FROM nation
-      UNION ALL SELECT 'voltages', lower(r_name), r_name FROM p UNION ALL SELECT 'voltages', lower(unnest(n[1:2])), r_name FROM p UNION ALL SELECT 'units', lower(g), g FROM s UNION ALL SELECT 'units', lower(g[1:3]), g FROM s
-      UNION ALL SELECT 'categories', lower(r_name), r_name FROM p UNION ALL SELECT 'categories', lower(unnest(n[3:3])), r_name FROM p UNION ALL SELECT 'subcategories', lower(unnest(n[4:5])), r_name FROM p""",
+      SELECT 'states' AS dimension, r_name AS name, NULL AS "of" FROM region UNION ALL SELECT 'utilities', unnest(n), r_name FROM p UNION ALL SELECT 'state_aliases',
+        lower(n_name), n_name FROM nation
+      UNION ALL SELECT 'voltages', lower(r_name), r_name FROM p UNION ALL SELECT 'voltages', lower(unnest(n[1:2])), r_name FROM p UNION ALL SELECT 'units', lower(g), g
+        FROM s UNION ALL SELECT 'units', lower(g[1:3]), g FROM s
+      UNION ALL SELECT 'categories', lower(r_name), r_name FROM p UNION ALL SELECT 'categories', lower(unnest(n[3:3])), r_name FROM p UNION ALL SELECT 'subcategories',
+        lower(unnest(n[4:5])), r_name FROM p""",
     "a5_page_index_csv": f"{WITH_INDEX} SELECT report_id, pdf_page, text_length, table_count, contains_table, titles AS table_titles FROM idx",
     "a8_content_identity": f"""{WITH_PAGES}, g AS (SELECT report_id, floor(pdf_page / 1024) AS b, sha256(string_agg(sha256(page_text), '' ORDER BY pdf_page)) AS d, count(*) AS n FROM fx_pages GROUP BY 1, 2),
       h AS (SELECT report_id, sha256(string_agg(d, '' ORDER BY b)) AS content_hash, CAST(sum(n) AS BIGINT) AS page_count FROM g GROUP BY report_id)
@@ -166,10 +171,12 @@ ORACLE_SQL = {
     "b2_drop_toc_pages": f"{WITH_TITLES} SELECT report_id, pdf_page FROM kept",
     "b3_build_page_index": f"{WITH_INDEX} SELECT * FROM idx",
     "b4_page_index_rollup": f"""{WITH_INDEX} SELECT report_id, count(*) AS page_count, count(*) FILTER (titles <> '') AS pages_with_titles,
-      count(*) FILTER (contains_table) AS pages_with_tables, coalesce(string_agg(CAST(pdf_page AS VARCHAR), ',' ORDER BY pdf_page) FILTER (titles <> ''), '') AS anchor_pages FROM idx GROUP BY report_id""",
+      count(*) FILTER (contains_table) AS pages_with_tables, coalesce(string_agg(CAST(pdf_page AS VARCHAR), ',' ORDER BY pdf_page) FILTER (titles <> ''), '') AS anchor_pages
+        FROM idx GROUP BY report_id""",
     "b5_page_search": r"""WITH q AS (SELECT item_id AS query_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(concat_ws(' ', string_split(text, ' ')[1], string_split(text, ' ')[2])), '[^a-z0-9]+'), lambda t: t <> ''))) AS term FROM benchmark),
       n AS (SELECT query_id, count(*) AS n_terms FROM q GROUP BY 1),
-      x AS (SELECT source AS report_id, doc_id AS pdf_page, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> ''))) AS term FROM documents),
+      x AS (SELECT source AS report_id, doc_id AS pdf_page, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> ''))) AS term
+        FROM documents),
       h AS (SELECT query_id, report_id, pdf_page FROM x JOIN q USING (term) JOIN n USING (query_id) GROUP BY query_id, report_id, pdf_page, n_terms HAVING count(*) = n_terms),
       r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY report_id, pdf_page) AS INT) AS place FROM h)
       SELECT query_id, report_id, pdf_page, place FROM r WHERE place <= 20""",

@@ -210,27 +210,39 @@ DIGIT = " + ".join(f"CAST(regexp_matches({c}, '[0-9]') AS INT)" for c in CELLS[4
 P = "lpad(CAST(q AS VARCHAR), 2, '0')"
 HEADERS = CLEAN + r""", hr AS (SELECT report_id, CASE WHEN report_id % 3 = 0 THEN 3 ELSE 2 END AS d FROM (SELECT DISTINCT report_id FROM cl)),
 hl AS (SELECT report_id, unnest([1, 2, 3]) AS row_no, unnest([
-  [CASE WHEN report_id % 5 = 0 THEN '' ELSE 'State' END, 'Utility', CASE WHEN report_id % 2 = 0 THEN '2024-25' ELSE '2025-26' END, '', CASE WHEN report_id % 4 < 3 THEN 'Charge (Rs/kWh)' ELSE 'Surcharge %' END, '', 'Charge Rs/kW/month', ''],
+  [CASE WHEN report_id % 5 = 0 THEN '' ELSE 'State' END, 'Utility', CASE WHEN report_id % 2 = 0 THEN '2024-25' ELSE '2025-26' END, '', CASE
+    WHEN report_id % 4 < 3 THEN 'Charge (Rs/kWh)' ELSE 'Surcharge %' END, '', 'Charge Rs/kW/month', ''],
   [CASE WHEN report_id % 5 = 0 THEN 'State/UT' ELSE '' END, 'Utility', 'Year', '-', 'LT', CASE WHEN report_id % 2 = 0 THEN '11 kV' ELSE '66 kV Tension' END, '33 kV', ''],
   ['', '', '', '/', 'slab', '', '', 'net']]) AS cells FROM hr),
 gr AS (SELECT hl.report_id, row_no, cells FROM hl JOIN hr ON hl.report_id = hr.report_id AND row_no <= d
   UNION ALL SELECT cl.report_id, row_no + d, [c0, c1, c2, c3, CASE WHEN c4 = '' THEN '1' ELSE c4 END, c5, c6, c7] FROM cl JOIN hr ON cl.report_id = hr.report_id),
-dp AS (SELECT report_id, CAST(greatest(1, coalesce(min(CASE WHEN row_no <= 5 AND len(list_filter(cells, lambda c: TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) IS NOT NULL
-    AND NOT (TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) BETWEEN 1990 AND 2100 OR contains(c, '-') OR contains(c, '/')))) > 0 THEN row_no END) - 1, least(5, count(*)))) AS INT) AS depth FROM gr GROUP BY 1),
-hx AS (SELECT gr.report_id, row_no, CAST(unnest(range(0, 8)) AS INT) AS col_idx, nullif(trim(unnest(cells)), '') AS cell FROM gr JOIN dp ON gr.report_id = dp.report_id AND row_no <= depth),
+dp AS (SELECT report_id, CAST(greatest(1, coalesce(min(CASE WHEN row_no <= 5
+  AND len(list_filter(cells, lambda c: TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) IS NOT NULL
+    AND NOT (TRY_CAST(regexp_replace(trim(c), '[,%]', '', 'g') AS DOUBLE) BETWEEN 1990 AND 2100 OR contains(c, '-') OR contains(c, '/')))) > 0 THEN row_no END) - 1, least(5,
+      count(*)))) AS INT) AS depth FROM gr GROUP BY 1),
+hx AS (SELECT gr.report_id, row_no, CAST(unnest(range(0, 8)) AS INT) AS col_idx, nullif(trim(unnest(cells)), '') AS cell FROM gr JOIN dp ON gr.report_id = dp.report_id
+  AND row_no <= depth),
 hy AS (SELECT *, last_value(cell IGNORE NULLS) OVER (PARTITION BY report_id, row_no ORDER BY col_idx) AS lf FROM hx),
 hz AS (SELECT *, min(CASE WHEN lf IS NOT NULL THEN row_no END) OVER (PARTITION BY report_id, col_idx) AS b FROM hy),
-hf AS (SELECT report_id, row_no, col_idx, coalesce(last_value(CASE WHEN row_no = b THEN lf ELSE cell END IGNORE NULLS) OVER (PARTITION BY report_id, col_idx ORDER BY row_no), '') AS cell FROM hz),
+hf AS (SELECT report_id, row_no, col_idx, coalesce(last_value(CASE WHEN row_no = b THEN lf ELSE cell END IGNORE NULLS) OVER (PARTITION BY report_id, col_idx
+  ORDER BY row_no), '') AS cell FROM hz),
 hq AS (SELECT *, lag(cell) OVER (PARTITION BY report_id, col_idx ORDER BY row_no) AS p FROM hf WHERE cell NOT IN ('', '/', '\', '-')),
-pt AS (SELECT k.report_id, k.col_idx, coalesce(list(cell ORDER BY row_no) FILTER (cell IS NOT NULL AND (p IS NULL OR p <> cell)), []) AS path FROM (SELECT DISTINCT report_id, col_idx FROM hf) k LEFT JOIN hq ON hq.report_id = k.report_id AND hq.col_idx = k.col_idx GROUP BY 1, 2),
-ca AS (SELECT *, array_to_string(list_filter(list_transform(path, lambda x: regexp_replace(x, '^[\s/*+-]+|[\s/*+-]+$', '', 'g')), lambda x: x <> ''), ' - ') AS shown, array_to_string(path, ' ') AS t FROM pt),
-cb AS (SELECT report_id, col_idx, path, CASE WHEN shown = '' THEN concat('Column ', col_idx) ELSE shown END AS display_name, nullif(regexp_extract(t, '\b20\d{2}-\d{2}\b'), '') AS year,
+pt AS (SELECT k.report_id, k.col_idx, coalesce(list(cell ORDER BY row_no) FILTER (cell IS NOT NULL AND (p IS NULL OR p <> cell)), []) AS path FROM (SELECT DISTINCT report_id,
+  col_idx FROM hf) k LEFT JOIN hq ON hq.report_id = k.report_id AND hq.col_idx = k.col_idx GROUP BY 1, 2),
+ca AS (SELECT *, array_to_string(list_filter(list_transform(path, lambda x: regexp_replace(x, '^[\s/*+-]+|[\s/*+-]+$', '', 'g')), lambda x: x <> ''), ' - ') AS shown,
+  array_to_string(path, ' ') AS t FROM pt),
+cb AS (SELECT report_id, col_idx, path, CASE WHEN shown = '' THEN concat('Column ', col_idx)
+  ELSE shown END AS display_name, nullif(regexp_extract(t, '\b20\d{2}-\d{2}\b'), '') AS year,
   CASE WHEN contains(lower(t), 'rs/kw/month') THEN 'Rs/kW/month' WHEN contains(t, '%') THEN '%' WHEN contains(lower(t), 'rs/kwh') THEN 'Rs/kWh' END AS unit FROM ca),
-co AS (SELECT *, CASE WHEN col_idx = 0 AND regexp_matches(lower(display_name), '\bstate\b|union territory|\but\b') THEN 'state' WHEN regexp_matches(lower(display_name), 'utility|discom|licensee') THEN 'utility' WHEN regexp_matches(lower(display_name), 'voltage|kv|tension') THEN 'voltage'
-  WHEN regexp_matches(lower(display_name), 'category|consumer') THEN 'category' WHEN unit IS NOT NULL OR year IS NOT NULL OR regexp_matches(lower(display_name), 'charge|value') THEN 'value' ELSE 'unknown' END AS role FROM cb)"""
-LAB = SECT + """, ft AS (SELECT s.report_id, s.row_no, s.c0, s.c1, CASE WHEN is_section THEN '' ELSE l.c2 END AS c2, CASE WHEN is_section THEN '' ELSE l.c4 END AS c4, CASE WHEN is_section THEN '' ELSE l.c5 END AS c5,
+co AS (SELECT *, CASE WHEN col_idx = 0 AND regexp_matches(lower(display_name), '\bstate\b|union territory|\but\b') THEN 'state'
+  WHEN regexp_matches(lower(display_name), 'utility|discom|licensee') THEN 'utility' WHEN regexp_matches(lower(display_name), 'voltage|kv|tension') THEN 'voltage'
+  WHEN regexp_matches(lower(display_name), 'category|consumer') THEN 'category'
+    WHEN unit IS NOT NULL OR year IS NOT NULL OR regexp_matches(lower(display_name), 'charge|value') THEN 'value' ELSE 'unknown' END AS role FROM cb)"""
+LAB = SECT + """, ft AS (SELECT s.report_id, s.row_no, s.c0, s.c1, CASE WHEN is_section THEN '' ELSE l.c2 END AS c2, CASE WHEN is_section THEN '' ELSE l.c4 END AS c4, CASE
+      WHEN is_section THEN '' ELSE l.c5 END AS c5,
   CASE WHEN is_section THEN '' ELSE l.c6 END AS c6, CASE WHEN is_section THEN '' ELSE l.c7 END AS c7,
-  CASE WHEN is_section THEN 's' WHEN s.c0 <> '' THEN 'master' WHEN s.c1 <> '' AND state <> '' THEN 'child' WHEN s.c1 = '' AND rest <> '' AND state <> '' THEN 'continuation' ELSE 'data' END AS lab FROM sf s JOIN cl l ON l.report_id = s.report_id AND l.row_no = s.row_no)"""
+  CASE WHEN is_section THEN 's' WHEN s.c0 <> '' THEN 'master' WHEN s.c1 <> '' AND state <> '' THEN 'child' WHEN s.c1 = '' AND rest <> '' AND state <> '' THEN 'continuation'
+    ELSE 'data' END AS lab FROM sf s JOIN cl l ON l.report_id = s.report_id AND l.row_no = s.row_no)"""
 F7 = ["c0", "c1", "c2", "c4", "c5", "c6", "c7"]
 
 
@@ -238,13 +250,15 @@ def total(test):
     return "sum(" + " + ".join(f"CAST({test.format(c=c)} AS INT)" for c in F7) + ")"
 
 
-FEATURES = LAB + f""", fe AS (SELECT report_id, CAST(count(*) AS DOUBLE) AS row_count, 8.0 AS column_count, avg(CASE WHEN concat(c0, c1, c2, c4, c5, c6, c7) = '' THEN 1.0 ELSE 0 END) AS empty_row_ratio,
+FEATURES = LAB + f""", fe AS (SELECT report_id, CAST(count(*) AS DOUBLE) AS row_count, 8.0 AS column_count, avg(CASE WHEN concat(c0, c1, c2, c4, c5, c6, c7) = '' THEN 1.0
+      ELSE 0 END) AS empty_row_ratio,
   {total("regexp_matches({c}, '[0-9]')")} / (count(*) * 8.0) AS numeric_density, {total("regexp_matches({c}, '[a-zA-Z]')")} / (count(*) * 8.0) AS text_density, 8.0 AS average_cells_per_row,
   var_pop({" + ".join(f"CAST({c} <> '' AS INT)" for c in F7)}) AS row_length_variance, CAST(count(*) FILTER (lab = 'master') AS DOUBLE) AS state_name_occurrence,
   {total("regexp_matches(lower({c}), 'discom|utility|licensee| torrent|msedcl|guvnl|ugvcl|pgvcl|dgvcl|mgvcl|bescom|cesc|tpl')")} * 1.0 AS utility_name_occurrence,
   {total("regexp_matches(lower({c}), 'ht|lt|high tension|low tension|domestic|commercial|agriculture|industrial')")} * 1.0 AS section_keyword_occurrence,
   {total("regexp_matches({c}, '(?i)[0-9]+ *kv|voltage|volt')")} * 1.0 AS voltage_keyword_occurrence, {total("regexp_matches(lower({c}), 'tariff|charge|rate|cost|price|fee')")} * 1.0 AS tariff_keyword_occurrence,
-  sum(CAST(c2 LIKE '20%' AS INT)) * 1.0 AS year_occurrence, CAST(count(*) FILTER (lab = 'continuation') AS DOUBLE) AS continuation_row_indicators, CAST(count(*) FILTER (c0 = '' AND c1 <> '') AS DOUBLE) AS indentation_indicators,
+  sum(CAST(c2 LIKE '20%' AS INT)) * 1.0 AS year_occurrence, CAST(count(*) FILTER (lab = 'continuation') AS DOUBLE) AS continuation_row_indicators, CAST(count(*) FILTER (c0 = ''
+    AND c1 <> '') AS DOUBLE) AS indentation_indicators,
   CAST(count(*) FILTER (lab IN ('master', 'child')) AS DOUBLE) AS hierarchy_indicators, 0.125 AS empty_column_ratio, 0.0 AS repeated_header_indicators, 0.0 AS header_repetition_frequency,
   min_by((CAST(c0 = '' AS INT) + CAST(c1 = '' OR c1 = c0 AS INT) + CAST(c2 = '' OR c2 = c1 AS INT) + 1 + CAST(c4 = '' AS INT) + CAST(c5 = '' OR c5 = c4 AS INT) + CAST(c6 = '' OR c6 = c5 AS INT) + CAST(c7 = '' OR c7 = c6 AS INT)) / 8.0, row_no) AS merged_header_indicators
   FROM ft GROUP BY report_id)"""
@@ -264,8 +278,10 @@ def score_sql():
 SCORES = f"{FEATURES}, sc AS ({score_sql()})"
 CLASSES = SCORES + """, ce AS (SELECT *, exp(score - max(score) OVER (PARTITION BY report_id)) AS e FROM sc), cf AS (SELECT *, e / sum(e) OVER (PARTITION BY report_id) AS c FROM ce),
 ck AS (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY c DESC, o) AS k FROM cf),
-cls AS (SELECT report_id, CASE WHEN max(c) FILTER (k = 1) < 0.3 THEN 'unknown' ELSE max(pattern) FILTER (k = 1) END AS pattern, max(c) FILTER (k = 1) AS confidence, max(pattern) FILTER (k = 2) AS runner_up, max(c) FILTER (k = 2) AS runner_up_confidence, max(c) FILTER (k = 1) < 0.6 AS needs_confirmation FROM ck GROUP BY 1),
-fo AS (SELECT report_id, CASE report_id % 4 WHEN 0 THEN 'key_value' WHEN 1 THEN 'wide_table' WHEN 2 THEN 'numeric_matrix' ELSE pattern END AS pattern, CASE WHEN report_id % 4 < 3 THEN 1.0 ELSE confidence END AS confidence,
+cls AS (SELECT report_id, CASE WHEN max(c) FILTER (k = 1) < 0.3 THEN 'unknown' ELSE max(pattern) FILTER (k = 1) END AS pattern, max(c) FILTER (k = 1) AS confidence,
+  max(pattern) FILTER (k = 2) AS runner_up, max(c) FILTER (k = 2) AS runner_up_confidence, max(c) FILTER (k = 1) < 0.6 AS needs_confirmation FROM ck GROUP BY 1),
+fo AS (SELECT report_id, CASE report_id % 4 WHEN 0 THEN 'key_value' WHEN 1 THEN 'wide_table' WHEN 2 THEN 'numeric_matrix' ELSE pattern END AS pattern, CASE
+  WHEN report_id % 4 < 3 THEN 1.0 ELSE confidence END AS confidence,
   CASE report_id % 4 WHEN 0 THEN 'config_override' WHEN 1 THEN 'config_override' WHEN 2 THEN 'user_confirmed' ELSE 'classifier' END AS routing_source FROM cls)"""
 BAND = "CASE WHEN {q} < 11 THEN 'LT' WHEN {q} <= 33 THEN 'HT' ELSE 'EHT' END"
 ORACLE_SQL = {
@@ -274,32 +290,46 @@ ORACLE_SQL = {
     "f3_classify": f"{CLASSES} SELECT * FROM cls",
     "f4_apply_pattern_overrides": f"{CLASSES} SELECT * FROM fo",
     "f5_route_parser": f"""{CLASSES}, r AS (SELECT report_id AS r, CASE WHEN report_id % 2 = 1 THEN 'unheard' ELSE pattern END AS p FROM fo),
-      s AS (SELECT r, p, [CASE WHEN r % 3 = 0 AND r % 2 = 0 THEN 'narrative' END, CASE WHEN r % 3 = 0 AND r % 4 = 1 THEN 'key_value' END, CASE WHEN r % 3 = 0 AND r % 5 = 0 THEN 'wide_to_long' END, CASE WHEN r % 11 = 4 THEN 'wide_to_long' END,
-        CASE p WHEN 'wide_table' THEN 'wide_to_long' WHEN 'hierarchical_parent_child' THEN 'narrative' WHEN 'unheard' THEN NULL WHEN 'unknown' THEN NULL ELSE p END, CASE r % 7 WHEN 0 THEN 'wide_to_long' WHEN 1 THEN 'state_block_matrix' END, 'simple_matrix'] AS f FROM r)
+      s AS (SELECT r, p, [CASE WHEN r % 3 = 0 AND r % 2 = 0 THEN 'narrative' END, CASE WHEN r % 3 = 0 AND r % 4 = 1 THEN 'key_value' END, CASE WHEN r % 3 = 0
+        AND r % 5 = 0 THEN 'wide_to_long' END, CASE WHEN r % 11 = 4 THEN 'wide_to_long' END,
+        CASE p WHEN 'wide_table' THEN 'wide_to_long' WHEN 'hierarchical_parent_child' THEN 'narrative' WHEN 'unheard' THEN NULL WHEN 'unknown' THEN NULL ELSE p END, CASE r % 7
+          WHEN 0 THEN 'wide_to_long' WHEN 1 THEN 'state_block_matrix' END, 'simple_matrix'] AS f FROM r)
       SELECT r AS report_id, p AS pattern, list_filter(f, lambda x: x IS NOT NULL)[1] AS family, list_filter(list_transform(['binding', 'bound_parser', 'bound_pattern', 'classified_parser', 'pattern', 'name', 'default'], lambda n, i: CASE WHEN f[i] IS NOT NULL THEN n END), lambda x: x IS NOT NULL)[1] AS step FROM s""",
-    "f6_block_layout": f"""{CLEAN} SELECT report_id, block_no, CASE block_no % 3 WHEN 0 THEN 'key_value' WHEN 1 THEN CASE WHEN bool_or(c0 = '' AND (row_no % 10 = 0 OR len(list_filter([c2, c3, c4, c5], lambda x: x <> '')) = 1)) THEN 'matrix' ELSE 'simple_matrix' END
-      ELSE CASE WHEN bool_or(c0 = '' AND len(list_filter([c2, c3, c4, c5], lambda x: x <> '')) = 1) THEN 'matrix' ELSE 'simple_matrix' END END AS layout FROM bl WHERE block_no > 0 GROUP BY 1, 2""",
-    "g1_match_state": """WITH v AS (SELECT DISTINCT c_custkey % 5 AS k, c_mktsegment AS n FROM customer) SELECT DISTINCT CASE k WHEN 0 THEN n WHEN 1 THEN concat(n, 'S') WHEN 2 THEN 'auto' WHEN 3 THEN concat('the ', n, ' zone') ELSE concat(' ', lower(n), '* ') END AS value,
-      CASE k WHEN 3 THEN NULL WHEN 2 THEN 'AUTOMOBILE' ELSE n END AS canonical, CASE k WHEN 1 THEN round_even((1 - 1.0 / (length(n) + 1)) * 0.9, 2) WHEN 3 THEN 0.0 ELSE 1.0 END AS confidence,
+    "f6_block_layout": f"""{CLEAN} SELECT report_id, block_no, CASE block_no % 3 WHEN 0 THEN 'key_value' WHEN 1 THEN CASE WHEN bool_or(c0 = '' AND (row_no % 10 = 0 OR len(list_filter([c2, c3, c4, c5],
+      lambda x: x <> '')) = 1)) THEN 'matrix' ELSE 'simple_matrix' END
+      ELSE CASE WHEN bool_or(c0 = '' AND len(list_filter([c2, c3, c4, c5], lambda x: x <> '')) = 1) THEN 'matrix' ELSE 'simple_matrix' END END AS layout FROM bl
+        WHERE block_no > 0 GROUP BY 1, 2""",
+    "g1_match_state": """WITH v AS (SELECT DISTINCT c_custkey % 5 AS k, c_mktsegment AS n FROM customer) SELECT DISTINCT CASE k WHEN 0 THEN n WHEN 1 THEN concat(n, 'S') WHEN 2 THEN 'auto'
+      WHEN 3 THEN concat('the ', n, ' zone') ELSE concat(' ', lower(n), '* ') END AS value,
+      CASE k WHEN 3 THEN NULL WHEN 2 THEN 'AUTOMOBILE' ELSE n END AS canonical, CASE k WHEN 1 THEN round_even((1 - 1.0 / (length(n) + 1)) * 0.9, 2) WHEN 3 THEN 0.0
+        ELSE 1.0 END AS confidence,
       CASE k WHEN 1 THEN 'fuzzy' WHEN 2 THEN 'alias' WHEN 3 THEN NULL ELSE 'exact' END AS method FROM v""",
-    "g2_match_utility": """WITH v AS (SELECT DISTINCT c_custkey % 4 AS k, c_name, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN concat('M/s ', c_name, ' Ltd') WHEN 2 THEN concat('XYZ', c_custkey, ' DISCOM') ELSE CAST(c_custkey AS VARCHAR) END AS value FROM customer),
+    "g2_match_utility": """WITH v AS (SELECT DISTINCT c_custkey % 4 AS k, c_name, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN concat('M/s ', c_name, ' Ltd')
+      WHEN 2 THEN concat('XYZ', c_custkey, ' DISCOM') ELSE CAST(c_custkey AS VARCHAR) END AS value FROM customer),
       p AS (SELECT value, min_by(n.c_name, n.c_custkey) AS name FROM v JOIN customer n ON k = 3 AND length(value) >= 4 AND contains(lower(n.c_name), value) GROUP BY value)
-      SELECT value, CASE k WHEN 2 THEN value WHEN 3 THEN name ELSE c_name END AS canonical, CAST(CASE k WHEN 0 THEN 1.0 WHEN 1 THEN 0.9 WHEN 2 THEN 0.6 ELSE CASE WHEN name IS NULL THEN 0.0 ELSE 0.9 END END AS DOUBLE) AS confidence,
+      SELECT value, CASE k WHEN 2 THEN value WHEN 3 THEN name ELSE c_name END AS canonical, CAST(CASE k WHEN 0 THEN 1.0 WHEN 1 THEN 0.9 WHEN 2 THEN 0.6 ELSE CASE
+        WHEN name IS NULL THEN 0.0 ELSE 0.9 END END AS DOUBLE) AS confidence,
       CASE k WHEN 0 THEN 'exact' WHEN 1 THEN 'substring' WHEN 2 THEN 'regex' ELSE CASE WHEN name IS NOT NULL THEN 'substring' END END AS method FROM v LEFT JOIN p USING (value)""",
     "g3_match_voltage": "SELECT value, canonical, confidence, method, CASE WHEN canonical LIKE '% kV' THEN " + BAND.format(q="TRY_CAST(regexp_extract(canonical, '^[0-9.]+') AS DOUBLE)") + " WHEN canonical LIKE '% V' THEN 'LT' ELSE canonical END AS band FROM (" + vsql(("concat(q, ' kV')", "concat(q, ' kV')", 0.95, "'kv'"), ("concat(q, ' volts')", "concat(q, ' V')", 0.9, "'volt'"), ("'High Tension'", "'HT'", 1.0, "'alias'"), ("concat('new ht line ', m)", "'HT'", 0.8, "'word'"), ("m", "NULL", 0.0, "NULL"), ("concat('at ', q, '.5kV')", "concat(q, '.5 kV')", 0.95, "'kv'"), ("concat('feeder ', p, ' of 66 kV')", "'66 kV'", 0.95, "'kv'")) + ")",
     "g4_match_year": vsql((f"concat('20', {P}, '-17')", f"concat('20', {P}, '-17')", 1.0, "'fy_dash'"), (f"concat('20', {P}, '/18 x')", f"concat('20', {P}, '-18')", 0.95, "'fy_slash'"), (f"concat('FY ', {P}, '-19')", f"concat('20', {P}, '-19')", 0.9, "'fy_short'"), (f"concat('in 20', {P})", f"concat('20', {P})", 0.85, "'calendar'"), ("m", "NULL", 0.0, "NULL"), (f"concat('FY 20', {P}, '-20')", f"concat('20', {P}, '-20')", 1.0, "'fy_dash'"), ("concat('lot ', p, ' FY 2024-25')", "'2024-25'", 1.0, "'fy_dash'")),
     "g5_match_unit": vsql(("'Rs/kWh'", "'Rs/kWh'", 1.0, "'alias'"), ("concat(q, ' %')", "'%'", 0.95, "'percent'"), ("concat(q, ' paise / kWh')", "'paise/kWh'", 0.85, "'regex'"), ("m", "NULL", 0.0, "NULL"), ("'Rs./kWh'", "'Rs/kWh'", 1.0, "'alias'"), ("concat('lot ', p, ' in percent')", "'%'", 0.95, "'percent'")),
     "g6_match_category": vsql(("'Household'", "'Domestic'", 1.0, "'alias'"), ("concat('large ind unit ', q)", "'Industrial'", 0.9, "'word'"), ("m", "NULL", 0.0, "NULL"), ("'FURNITURE'", "'Commercial'", 1.0, "'alias'"), ("concat('find ', q)", "NULL", 0.0, "NULL"), ("concat('household no ', p)", "'Domestic'", 0.9, "'word'")),
     "g7_recognize": f"""WITH l AS (SELECT DISTINCT CAST(l_quantity AS INT) AS q, l_linenumber AS n, l_returnflag AS m, l_partkey AS p FROM lineitem),
-      v AS (SELECT DISTINCT CASE n WHEN 1 THEN concat('20', {P}, '-17') WHEN 2 THEN concat(q, ' kV') WHEN 3 THEN concat(q, ' %') WHEN 4 THEN CASE m WHEN 'A' THEN concat('Plant x', q) WHEN 'N' THEN concat('Tariff x', q) ELSE concat('Customer#', lpad(CAST(q AS VARCHAR), 9, '0'), ' Ltd') END
-        WHEN 5 THEN 'Household' WHEN 6 THEN concat('q', q) ELSE concat('feeder ', p, ' of 66 kV') END AS value, CASE WHEN n = 4 THEN CASE WHEN m = 'N' THEN 'Consumer Tariff' ELSE 'Utility' END WHEN n = 6 THEN '11 kV Charge' ELSE 'Charge' END AS header, q, n, m FROM l)
-      SELECT DISTINCT value, header, 'BUILDING' AS state, CASE n WHEN 1 THEN 'year' WHEN 3 THEN 'unit' WHEN 4 THEN CASE m WHEN 'N' THEN 'category' ELSE 'utility' END WHEN 5 THEN 'state' ELSE 'voltage' END AS entity_type,
-      CASE n WHEN 1 THEN value WHEN 2 THEN value WHEN 3 THEN '%' WHEN 4 THEN CASE m WHEN 'R' THEN left(value, 18) ELSE value END WHEN 5 THEN 'HOUSEHOLD' WHEN 6 THEN '11 kV' ELSE '66 kV' END AS canonical,
+      v AS (SELECT DISTINCT CASE n WHEN 1 THEN concat('20', {P}, '-17') WHEN 2 THEN concat(q, ' kV') WHEN 3 THEN concat(q, ' %') WHEN 4 THEN CASE m
+        WHEN 'A' THEN concat('Plant x', q) WHEN 'N' THEN concat('Tariff x', q) ELSE concat('Customer#', lpad(CAST(q AS VARCHAR), 9, '0'), ' Ltd') END
+        WHEN 5 THEN 'Household' WHEN 6 THEN concat('q', q) ELSE concat('feeder ', p, ' of 66 kV') END AS value, CASE WHEN n = 4 THEN CASE WHEN m = 'N' THEN 'Consumer Tariff'
+          ELSE 'Utility' END WHEN n = 6 THEN '11 kV Charge' ELSE 'Charge' END AS header, q, n, m FROM l)
+      SELECT DISTINCT value, header, 'BUILDING' AS state, CASE n WHEN 1 THEN 'year' WHEN 3 THEN 'unit' WHEN 4 THEN CASE m WHEN 'N' THEN 'category' ELSE 'utility' END
+        WHEN 5 THEN 'state' ELSE 'voltage' END AS entity_type,
+      CASE n WHEN 1 THEN value WHEN 2 THEN value WHEN 3 THEN '%' WHEN 4 THEN CASE m WHEN 'R' THEN left(value, 18) ELSE value END WHEN 5 THEN 'HOUSEHOLD' WHEN 6 THEN '11 kV'
+        ELSE '66 kV' END AS canonical,
       CAST(CASE n WHEN 1 THEN 1 WHEN 4 THEN CASE m WHEN 'A' THEN 0.5 WHEN 'N' THEN 0.75 ELSE 0.9 END WHEN 5 THEN 1 WHEN 6 THEN 0.7 ELSE 0.95 END AS DOUBLE) AS confidence,
-      CASE n WHEN 1 THEN 'fy_dash' WHEN 3 THEN 'percent' WHEN 4 THEN CASE m WHEN 'R' THEN 'substring' ELSE 'header' END WHEN 5 THEN 'exact' WHEN 6 THEN 'header' ELSE 'kv' END AS method FROM v""",
+      CASE n WHEN 1 THEN 'fy_dash' WHEN 3 THEN 'percent' WHEN 4 THEN CASE m WHEN 'R' THEN 'substring' ELSE 'header' END WHEN 5 THEN 'exact' WHEN 6 THEN 'header'
+        ELSE 'kv' END AS method FROM v""",
     "g8_extract_unit": "SELECT value, canonical AS unit FROM (" + vsql(("concat(q, ' Rs/kWh')", "'Rs/kWh'", 0, "''"), ("concat(q, ' p/kWh')", "'paise/kWh'", 0, "''"), ("concat(q, ' Rs/MW/day')", "'Rs/MW/day'", 0, "''"), ("m", "'none'", 0, "''"), ("concat(q, ' percent')", "'%'", 0, "''"), ("concat('lot ', p, ' in Rs/kWh')", "'Rs/kWh'", 0, "''")) + ")",
     "g9_extract_voltage": "SELECT value, canonical AS voltage FROM (" + vsql(("concat(q, ' kV')", "concat(q, ' kV')", 0, "''"), ("concat('HT ', q, ' kV')", "concat('HT - ', q, ' kV')", 0, "''"), ("concat('EHT ', q)", "'EHT'", 0, "''"), ("m", "'all'", 0, "''"), ("concat('Low Tension ', q)", "'LT'", 0, "''"), ("concat('right ', q)", "'all'", 0, "''"), ("concat('line ', p, ' at 66 kV')", "'66 kV'", 0, "''")) + ")",
-    "g10_canonicalize_utility": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN concat('old acme ', c_custkey) WHEN 2 THEN lower(c_name) ELSE concat('Plain St ', c_custkey) END AS utility, CASE WHEN c_custkey % 8 < 4 THEN c_mktsegment ELSE 'NONE' END AS state,
+    "g10_canonicalize_utility": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN concat('old acme ', c_custkey) WHEN 2 THEN lower(c_name) ELSE concat('Plain St ',
+      c_custkey) END AS utility, CASE WHEN c_custkey % 8 < 4 THEN c_mktsegment ELSE 'NONE' END AS state,
       CASE c_custkey % 4 WHEN 1 THEN 'ACME Power' WHEN 3 THEN concat('Plain St ', c_custkey) ELSE c_name END AS canonical,
       CASE WHEN c_custkey % 4 = 1 THEN 'alias' WHEN c_custkey % 4 = 3 THEN 'as_is' WHEN c_custkey % 8 < 4 THEN 'state' ELSE 'catalog' END AS step FROM customer""",
     "h1_header_depth": f"{HEADERS} SELECT report_id, depth FROM dp",
@@ -309,14 +339,20 @@ ORACLE_SQL = {
       SELECT report_id, prefix, string_agg(DISTINCT CAST(col_idx AS VARCHAR), ',' ORDER BY CAST(col_idx AS VARCHAR)) AS columns FROM pf GROUP BY 1, 2""",
     "h4_describe_columns": f"""{HEADERS} SELECT report_id, col_idx, display_name, year, unit, CASE WHEN len(path) > 1 THEN regexp_replace(path[1], '^[\\s/*+-]+|[\\s/*+-]+$', '', 'g') END AS "group", role,
       CASE WHEN role = 'value' THEN CASE WHEN unit = '%' THEN 'percentage' ELSE 'charge' END ELSE role END AS entity_type FROM co""",
-    "h5_annotate_cells": f"""{HEADERS}, x AS (SELECT gr.report_id, row_no, row_no <= depth AS head, cells[1] AS own, CAST(unnest(range(0, 8)) AS INT) AS col_idx, trim(unnest(cells)) AS v FROM gr JOIN dp ON gr.report_id = dp.report_id),
+    "h5_annotate_cells": f"""{HEADERS}, x AS (SELECT gr.report_id, row_no, row_no <= depth AS head, cells[1] AS own, CAST(unnest(range(0, 8)) AS INT) AS col_idx, trim(unnest(cells)) AS v FROM gr
+      JOIN dp ON gr.report_id = dp.report_id),
       sg AS (SELECT DISTINCT c_mktsegment AS g FROM customer), ul AS (SELECT * FROM customer WHERE c_custkey % 3 = 0 OR c_custkey < 60),
-      ne AS (SELECT nv, nown, min_by(c_name, c_custkey) AS near FROM (SELECT DISTINCT v AS nv, own AS nown FROM x WHERE NOT head AND length(v) BETWEEN 1 AND 3) JOIN ul ON c_mktsegment = nown AND contains(lower(c_name), lower(nv)) GROUP BY 1, 2),
+      ne AS (SELECT nv, nown, min_by(c_name, c_custkey) AS near FROM (SELECT DISTINCT v AS nv, own AS nown FROM x WHERE NOT head AND length(v) BETWEEN 1 AND 3)
+        JOIN ul ON c_mktsegment = nown AND contains(lower(c_name), lower(nv)) GROUP BY 1, 2),
       y AS (SELECT x.*, near, role, co.unit AS cu, display_name, TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) AS n, nullif(regexp_extract(lower(display_name), '\\b(\\d+)\\s*kv\\b', 1), '') AS kv, v IN (SELECT c_name FROM ul) AS listed, regexp_matches(v, '^20\\d{{2}}-\\d{{2}}$') AS fy FROM x JOIN co ON co.report_id = x.report_id AND co.col_idx = x.col_idx LEFT JOIN ne ON nv = v AND nown = own),
-      z AS (SELECT *, CASE WHEN head THEN 'header' WHEN v IN ('', 'N/A', '-') THEN 'empty' WHEN v IN (SELECT g FROM sg) THEN 'state' WHEN fy THEN 'year' WHEN v LIKE 'Customer#%' OR near IS NOT NULL THEN 'utility' WHEN contains(v, 'Rs/kWh') THEN 'unit' WHEN kv IS NOT NULL AND length(v) < 5 THEN 'voltage'
+      z AS (SELECT *, CASE WHEN head THEN 'header' WHEN v IN ('', 'N/A', '-') THEN 'empty' WHEN v IN (SELECT g FROM sg) THEN 'state' WHEN fy THEN 'year'
+        WHEN v LIKE 'Customer#%' OR near IS NOT NULL THEN 'utility' WHEN contains(v, 'Rs/kWh') THEN 'unit' WHEN kv IS NOT NULL AND length(v) < 5 THEN 'voltage'
         WHEN n IS NULL THEN 'unknown' WHEN role = 'voltage' THEN 'voltage' WHEN role = 'value' AND cu = '%' THEN 'percentage' ELSE 'charge' END AS a FROM y)
-      SELECT report_id, row_no, col_idx, a AS annotation, CASE WHEN a = 'empty' THEN NULL WHEN a = 'unit' THEN 'Rs/kWh' WHEN a = 'utility' THEN coalesce(near, v) WHEN a = 'voltage' THEN CASE WHEN length(v) < 5 THEN concat(kv, ' kV') ELSE concat(CAST(n AS BIGINT), ' kV') END ELSE v END AS canonical,
-      CAST(CASE WHEN a IN ('header', 'empty', 'state', 'year') THEN 1 WHEN a = 'utility' THEN CASE WHEN near IS NOT NULL THEN 0.85 WHEN listed THEN 1 ELSE 0.5 END WHEN a = 'unit' THEN 0.85 WHEN a = 'voltage' AND length(v) < 5 THEN 0.7 WHEN a = 'unknown' THEN 0 ELSE 0.95 END AS DOUBLE) AS confidence,
-      CASE WHEN a IN ('unit', 'charge', 'percentage', 'unknown') THEN n END AS number, CASE WHEN a = 'percentage' THEN '%' WHEN a = 'charge' THEN coalesce(cu, 'Rs/kWh') END AS unit, display_name AS context, CASE WHEN NOT head AND own <> '' THEN own END AS state FROM z""",
+      SELECT report_id, row_no, col_idx, a AS annotation, CASE WHEN a = 'empty' THEN NULL WHEN a = 'unit' THEN 'Rs/kWh' WHEN a = 'utility' THEN coalesce(near, v)
+        WHEN a = 'voltage' THEN CASE WHEN length(v) < 5 THEN concat(kv, ' kV') ELSE concat(CAST(n AS BIGINT), ' kV') END ELSE v END AS canonical,
+      CAST(CASE WHEN a IN ('header', 'empty', 'state', 'year') THEN 1 WHEN a = 'utility' THEN CASE WHEN near IS NOT NULL THEN 0.85 WHEN listed THEN 1 ELSE 0.5 END
+        WHEN a = 'unit' THEN 0.85 WHEN a = 'voltage' AND length(v) < 5 THEN 0.7 WHEN a = 'unknown' THEN 0 ELSE 0.95 END AS DOUBLE) AS confidence,
+      CASE WHEN a IN ('unit', 'charge', 'percentage', 'unknown') THEN n END AS number, CASE WHEN a = 'percentage' THEN '%'
+        WHEN a = 'charge' THEN coalesce(cu, 'Rs/kWh') END AS unit, display_name AS context, CASE WHEN NOT head AND own <> '' THEN own END AS state FROM z""",
     "h6_parse_number": f"""{CLEAN}, x AS (SELECT report_id, row_no, unnest([c0, c3, c4, c5, c6, c7]) AS v, unnest([0, 3, 4, 5, 6, 7]) AS col_idx FROM cl) SELECT report_id, row_no, col_idx, TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) AS number FROM x WHERE TRY_CAST(regexp_extract(v, '[-+]?\\d+(?:\\.\\d+)?') AS DOUBLE) IS NOT NULL""",
 }

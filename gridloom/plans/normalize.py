@@ -148,7 +148,8 @@ def e19_utility_to_group(spark, sf):
 CLEAN = WITH_BODY + r""", cl AS (SELECT report_id, row_no, pdf_page, trim(regexp_replace(regexp_replace(c0, '\(cid:\d+\)', ''), '\*+$', '')) AS c0, c1, c2, c3, c4, c5, c6, c7 FROM body),
 fl AS (SELECT *, coalesce(last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY report_id ORDER BY row_no), '') AS state FROM cl),
 bl AS (SELECT *, sum(CASE WHEN c0 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS block_no FROM fl)"""
-UBLOCKS = CLEAN + """, ua AS (SELECT report_id, row_no, pdf_page, state, c0, c1, c2, CASE WHEN row_no % 7 = 0 THEN concat(' North DISCOM ', row_no % 3) WHEN row_no % 29 = 0 THEN 'in 2024-25' ELSE c3 END AS c3, c4, c5,
+UBLOCKS = CLEAN + """, ua AS (SELECT report_id, row_no, pdf_page, state, c0, c1, c2, CASE WHEN row_no % 7 = 0 THEN concat(' North DISCOM ', row_no % 3) WHEN row_no % 29 = 0 THEN 'in 2024-25'
+      ELSE c3 END AS c3, c4, c5,
   CASE WHEN row_no % 11 = 0 THEN 'HT supply' WHEN row_no % 13 = 0 THEN 'LT-II' WHEN row_no % 17 = 0 THEN 'EHT' ELSE c6 END AS c6, c7,
   sum(CASE WHEN c1 <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY report_id ORDER BY row_no) AS block_no FROM fl),
 ub AS (SELECT * FROM ua WHERE block_no > 0)"""
@@ -220,8 +221,10 @@ ORACLE_SQL = {
     "e7_count_artifacts": f"{WITH_BODY} SELECT report_id, count(*) FILTER (contains(c0, '(cid:')) AS cid_tokens FROM body GROUP BY 1",
     "e8_normalize_key": f"""{WITH_BODY} SELECT report_id, row_no, trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(concat(c0, ' & /', c1)), '\\(cid:\\d+\\)', '', 'g'), '&', ' and '), '[/*]', '', 'g'), '\\s+', ' ', 'g')) AS key FROM body""",
     "e9_resolve_state": """WITH v AS (SELECT DISTINCT c_custkey % 5 AS k, c_mktsegment AS n FROM customer),
-      x AS (SELECT DISTINCT CASE k WHEN 0 THEN concat(lower(n), '(cid:3) *') WHEN 1 THEN concat('the ', n, ' group') WHEN 2 THEN 'auto' WHEN 3 THEN 'new bldg zone' ELSE concat('x', n) END AS value,
-        CASE k WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN 'AUTOMOBILE' WHEN 3 THEN 'BUILDING' END AS canonical, CASE k WHEN 0 THEN 'exact' WHEN 1 THEN 'name_word' WHEN 2 THEN 'alias' WHEN 3 THEN 'alias_word' END AS method FROM v)
+      x AS (SELECT DISTINCT CASE k WHEN 0 THEN concat(lower(n), '(cid:3) *') WHEN 1 THEN concat('the ', n, ' group') WHEN 2 THEN 'auto' WHEN 3 THEN 'new bldg zone'
+        ELSE concat('x', n) END AS value,
+        CASE k WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN 'AUTOMOBILE' WHEN 3 THEN 'BUILDING' END AS canonical, CASE k WHEN 0 THEN 'exact' WHEN 1 THEN 'name_word'
+          WHEN 2 THEN 'alias' WHEN 3 THEN 'alias_word' END AS method FROM v)
       SELECT * FROM x""",
     "e10_detect_group_in_row": f"{CLEAN} SELECT report_id, row_no, c0 AS state, 0 AS col_idx FROM cl WHERE c0 <> ''",
     "e11_label_rows": f"""{SECT} SELECT report_id, row_no, CASE WHEN is_section THEN 'section_header' WHEN c0 <> '' THEN 'master' WHEN c1 <> '' AND state <> '' THEN 'child' WHEN c1 = '' AND rest <> '' AND state <> '' THEN 'continuation' ELSE 'data' END AS row_label FROM sf""",
@@ -233,13 +236,16 @@ ORACLE_SQL = {
       SELECT report_id, block_no, min(row_no) AS start_row, max(row_no) AS end_row, count(*) AS row_count FROM n GROUP BY 1, 2""",
     "e16_segment_blocks_marker": f"{CLEAN} SELECT report_id, row_no, CAST(floor(row_no / 30) AS INT) AS block_no, concat(report_id, ' Part ', CAST(floor(row_no / 30) AS INT)) AS block_name FROM cl WHERE row_no > 30 AND row_no % 30 <> 0",
     "e17_describe_blocks": rf"""{UBLOCKS}, x AS (SELECT report_id, block_no, row_no, state, unnest([c0, c1, c2, c3, c4, c5, c6, c7]) AS cell, unnest(range(0, 8)) AS i FROM ub),
-      nm AS (SELECT lower(c_name) AS name, c_name AS canonical FROM customer WHERE c_custkey % 3 = 0 UNION ALL VALUES ('automob', 'Auto Power'), ('00007', 'Seven Power'), ('new zone', 'Zone Power')),
+      nm AS (SELECT lower(c_name) AS name, c_name AS canonical FROM customer WHERE c_custkey % 3 = 0
+        UNION ALL VALUES ('automob', 'Auto Power'), ('00007', 'Seven Power'), ('new zone', 'Zone Power')),
       h AS (SELECT report_id, block_no, string_agg(DISTINCT canonical, ',' ORDER BY canonical) AS held FROM x JOIN nm ON contains(lower(cell), name) GROUP BY 1, 2),
       b AS (SELECT report_id, block_no, min_by(state, row_no) AS state, nullif(min_by(regexp_extract(cell, '\b20\d{{2}}-\d{{2}}\b'), row_no * 10 + i) FILTER (regexp_matches(cell, '\b20\d{{2}}-\d{{2}}\b')), '') AS year,
         coalesce(string_agg(DISTINCT trim(cell), ',' ORDER BY trim(cell)) FILTER (regexp_matches(lower(cell), 'discom|utility|licensee')), '') AS worded,
-        concat_ws(',', CASE WHEN bool_or(contains(lower(cell), 'eht')) THEN 'EHT' END, CASE WHEN bool_or(contains(lower(cell), 'ht')) THEN 'HT' END, CASE WHEN bool_or(contains(lower(cell), 'lt')) THEN 'LT' END) AS sections,
+        concat_ws(',', CASE WHEN bool_or(contains(lower(cell), 'eht')) THEN 'EHT' END, CASE WHEN bool_or(contains(lower(cell), 'ht')) THEN 'HT' END, CASE
+          WHEN bool_or(contains(lower(cell), 'lt')) THEN 'LT' END) AS sections,
         min(row_no) AS start_row, max(row_no) AS end_row, count(DISTINCT row_no) AS row_count FROM x GROUP BY 1, 2)
-      SELECT report_id, block_no, state, year, coalesce(held, worded) AS utilities, sections, start_row, end_row, row_count, concat_ws('_', CAST(report_id AS VARCHAR), replace(lower(state), ' ', '_'), CAST(start_row AS VARCHAR), CAST(end_row AS VARCHAR)) AS block_id
+      SELECT report_id, block_no, state, year, coalesce(held, worded) AS utilities, sections, start_row, end_row, row_count, concat_ws('_', CAST(report_id AS VARCHAR),
+        replace(lower(state), ' ', '_'), CAST(start_row AS VARCHAR), CAST(end_row AS VARCHAR)) AS block_id
       FROM b LEFT JOIN h USING (report_id, block_no)""",
     "e18_compress_row": f"{WITH_BODY} SELECT report_id, row_no, concat_ws('|', {', '.join(f'nullif(trim({c}), $$$$)' for c in CELLS)}) AS joined FROM body".replace("$$$$", "''"),
     "e19_utility_to_group": """SELECT DISTINCT CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN concat('M/s ', c_name, ' Ltd') ELSE concat('no', c_custkey) END AS value,

@@ -40,7 +40,8 @@ facts AS (SELECT concat(l_returnflag, l_linestatus) AS parameter_id, concat(l_or
   CASE WHEN k % 31 = 0 THEN '' WHEN k % 37 = 0 THEN concat(c_mktsegment, 'X') ELSE c_mktsegment END AS state,
   CASE WHEN k % 41 = 0 THEN 'state_level' WHEN k % 53 = 0 THEN 'Col 3' WHEN k % 59 = 0 THEN 'N/A' ELSE c_name END AS utility,
   concat('20', lpad(CAST(l_orderkey % 20 + 10 AS VARCHAR), 2, '0')) AS year, CASE WHEN l_linenumber < 6 THEN 'Rs/kWh' END AS unit,
-  CASE WHEN k % 43 <> 0 THEN CAST(l_quantity AS DOUBLE) * 25 END AS value, concat(l_linenumber * 2, ',', l_linenumber * 2 + 1) AS pages, (CAST(l_quantity AS DOUBLE) % 10) / 10 AS confidence FROM f0),
+  CASE WHEN k % 43 <> 0 THEN CAST(l_quantity AS DOUBLE) * 25 END AS value, concat(l_linenumber * 2, ',', l_linenumber * 2 + 1) AS pages,
+    (CAST(l_quantity AS DOUBLE) % 10) / 10 AS confidence FROM f0),
 seg AS (SELECT DISTINCT c_mktsegment AS canonical, lower(c_mktsegment) AS alias FROM customer)"""
 
 
@@ -66,11 +67,15 @@ def checks(spark, sf):
 
 CHECKS = FACTS + """, checks AS (SELECT parameter_id, 'required.state' AS rule_id, 'error' AS severity, count(*) FILTER (state = '') = 0 AS passed, CAST(count(*) FILTER (state = '') AS DOUBLE) AS metric FROM facts GROUP BY 1
 UNION ALL SELECT parameter_id, 'required.unit', 'error', count(*) FILTER (unit IS NULL) = 0, CAST(count(*) FILTER (unit IS NULL) AS DOUBLE) FROM facts GROUP BY 1
-UNION ALL SELECT parameter_id, 'duplicate_id', 'error', sum(n) = 0, CAST(sum(n) AS DOUBLE) FROM (SELECT parameter_id, record_id, count(*) - 1 AS n FROM facts GROUP BY 1, 2) GROUP BY 1
-UNION ALL SELECT parameter_id, 'range.value', 'warning', count(*) FILTER (value NOT BETWEEN 0 AND 1000) = 0, CAST(count(*) FILTER (value NOT BETWEEN 0 AND 1000) AS DOUBLE) FROM facts GROUP BY 1
+UNION ALL SELECT parameter_id, 'duplicate_id', 'error', sum(n) = 0, CAST(sum(n) AS DOUBLE) FROM (SELECT parameter_id, record_id, count(*) - 1 AS n FROM facts
+  GROUP BY 1, 2) GROUP BY 1
+UNION ALL SELECT parameter_id, 'range.value', 'warning', count(*) FILTER (value NOT BETWEEN 0 AND 1000) = 0, CAST(count(*) FILTER (value NOT BETWEEN 0 AND 1000) AS DOUBLE)
+  FROM facts GROUP BY 1
 UNION ALL SELECT parameter_id, 'min_records', 'error', count(*) >= (SELECT count(*) FROM lineitem) // 6, CAST(count(*) AS DOUBLE) FROM facts GROUP BY 1),
-reports AS (SELECT parameter_id, count(*) FILTER (NOT passed AND severity = 'error') AS errors, count(*) FILTER (NOT passed AND severity = 'warning') AS warnings, count(*) AS checks,
-  count(*) FILTER (NOT passed AND severity = 'error') = 0 AS passed, count(*) FILTER (NOT passed AND severity = 'error') <= 3 AND count(*) FILTER (NOT passed AND severity = 'warning') <= 5 AS export_allowed FROM checks GROUP BY 1),
+reports AS (SELECT parameter_id, count(*) FILTER (NOT passed AND severity = 'error') AS errors, count(*) FILTER (NOT passed AND severity = 'warning') AS warnings,
+  count(*) AS checks,
+  count(*) FILTER (NOT passed AND severity = 'error') = 0 AS passed, count(*) FILTER (NOT passed AND severity = 'error') <= 3 AND count(*) FILTER (NOT passed
+    AND severity = 'warning') <= 5 AS export_allowed FROM checks GROUP BY 1),
 lp AS (SELECT parameter_id, record_id, CAST(split_part(record_id, '-', 1) AS BIGINT) * 8 + CAST(split_part(record_id, '-', 2) AS BIGINT) AS n FROM facts),
 la AS (SELECT parameter_id, n // 1024 AS n, sha256(string_agg(record_id, '' ORDER BY n, record_id)) AS part FROM lp GROUP BY parameter_id, lp.n // 1024),
 lb AS (SELECT parameter_id, n // 1024 AS n, sha256(string_agg(part, '' ORDER BY n)) AS part FROM la GROUP BY parameter_id, la.n // 1024),
@@ -108,11 +113,13 @@ def keyed(spark, sf):
     return sr.query_keywords(grouped(spark, sf))
 
 
-QWORDS = r"""WITH q0 AS (SELECT n_nationkey AS query_id, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS "group", concat('show me the charges of ', CASE WHEN n_nationkey % 5 = 0 THEN 'nobody' ELSE n_name END, ' for supplier ', n_regionkey) AS query FROM nation),
+QWORDS = r"""WITH q0 AS (SELECT n_nationkey AS query_id, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS "group", concat('show me the charges of ', CASE
+      WHEN n_nationkey % 5 = 0 THEN 'nobody' ELSE n_name END, ' for supplier ', n_regionkey) AS query FROM nation),
 qb AS (SELECT q0.query_id, q0.query, max_by(n_name, length(n_name)) AS g FROM q0 LEFT JOIN nation ON contains(lower(query), lower(n_name)) GROUP BY 1, 2),
 qk AS (SELECT query_id, query, g AS "group", list_filter(regexp_extract_all(CASE WHEN g IS NULL THEN lower(query) ELSE replace(lower(query), lower(g), ' ') END, '[a-z0-9]+'),
   lambda w: NOT list_contains(['extract','show','find','get','what','is','the','charges','charge','open','access','for','of','in'], w)) AS kw FROM qb),
-rs AS (SELECT n_name AS "group", s_suppkey AS position, lower(regexp_replace(concat_ws(' ', s_name, n_name), '[^A-Za-z0-9]+', ' ', 'g')) AS t FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+rs AS (SELECT n_name AS "group", s_suppkey AS position, lower(regexp_replace(concat_ws(' ', s_name, n_name), '[^A-Za-z0-9]+', ' ', 'g')) AS t FROM supplier
+  JOIN nation ON s_nationkey = n_nationkey),
 sc AS (SELECT query_id, position, len(list_filter(kw, lambda w: contains(t, w))) AS score FROM qk JOIN rs USING ("group"))"""
 
 
@@ -258,8 +265,10 @@ def l6_retrieve_block(spark, sf):
 
 
 K8 = {"State": ["State", "state"], "Utility": ["DISCOM", "utility"], "Year": ["year"], "Charge": ["value"]}
-STAGES = """WITH st AS (SELECT o_orderkey AS report_id, CAST(NULL AS INT) AS parameter_id, s AS stage_no, CAST(o_orderdate AS DATE) + CAST(s * 5 + o_orderkey % 9 AS INT) AS completed_at FROM orders, (SELECT unnest([1, 2, 3]) AS s)
-UNION ALL SELECT l_orderkey, CAST(l_linenumber AS INT), s, CAST(max(l_shipdate) AS DATE) + CAST(s * 5 + l_orderkey % 9 AS INT) FROM lineitem, (SELECT unnest([4, 5, 6]) AS s) GROUP BY 1, 2, 3)"""
+STAGES = """WITH st AS (SELECT o_orderkey AS report_id, CAST(NULL AS INT) AS parameter_id, s AS stage_no, CAST(o_orderdate AS DATE) + CAST(s * 5 + o_orderkey % 9 AS INT) AS completed_at
+      FROM orders, (SELECT unnest([1, 2, 3]) AS s)
+UNION ALL SELECT l_orderkey, CAST(l_linenumber AS INT), s, CAST(max(l_shipdate) AS DATE) + CAST(s * 5 + l_orderkey % 9 AS INT) FROM lineitem,
+  (SELECT unnest([4, 5, 6]) AS s) GROUP BY 1, 2, 3)"""
 
 QUERIES = {
     "a4_records_round_trip": a4_records_round_trip,
@@ -314,8 +323,11 @@ ORACLE_SQL = {
     "j3_check_composite_duplicates": one("composite_duplicate", "warning", "(count(*) - count(DISTINCT (lower(state), lower(utility), year)))"),
     "j4_check_catalog_membership": one("catalog.state", "error", "count(*) FILTER (state <> '' AND lower(state) NOT IN (SELECT alias FROM seg))"),
     "j5_check_range": one("range.value", "warning", "count(*) FILTER (value NOT BETWEEN 0 AND 1000)"),
-    "j6_check_null_rates": f"""{FACTS}, r AS (SELECT parameter_id, avg(CASE WHEN state = '' THEN 1.0 ELSE 0 END) AS a, avg(CASE WHEN utility = 'N/A' THEN 1.0 ELSE 0 END) AS b, avg(CASE WHEN unit IS NULL THEN 1.0 ELSE 0 END) AS c, (count(*) FILTER (value IS NULL) + count(*) FILTER (confidence IS NULL)) / (2 * count(*)) AS d FROM facts GROUP BY 1)
-      SELECT parameter_id, 'null_rate.state' AS rule_id, 'warning' AS severity, a <= 0.05 AS passed, a AS metric FROM r UNION ALL SELECT parameter_id, 'null_rate.utility', 'warning', b <= 0.1, b FROM r UNION ALL SELECT parameter_id, 'null_rate.unit', 'warning', c <= 0.2, c FROM r UNION ALL SELECT parameter_id, 'null_rate.values', 'warning', d <= 0.2, d FROM r""",
+    "j6_check_null_rates": f"""{FACTS}, r AS (SELECT parameter_id, avg(CASE WHEN state = '' THEN 1.0 ELSE 0 END) AS a, avg(CASE WHEN utility = 'N/A' THEN 1.0 ELSE 0 END) AS b, avg(CASE
+      WHEN unit IS NULL THEN 1.0 ELSE 0 END) AS c, (count(*) FILTER (value IS NULL) + count(*) FILTER (confidence IS NULL)) / (2 * count(*)) AS d FROM facts GROUP BY 1)
+      SELECT parameter_id, 'null_rate.state' AS rule_id, 'warning' AS severity, a <= 0.05 AS passed, a AS metric FROM r
+        UNION ALL SELECT parameter_id, 'null_rate.utility', 'warning', b <= 0.1, b FROM r UNION ALL SELECT parameter_id, 'null_rate.unit', 'warning', c <= 0.2, c FROM r
+        UNION ALL SELECT parameter_id, 'null_rate.values', 'warning', d <= 0.2, d FROM r""",
     "j7_check_min_records": one("min_records", "error", "count(*)", "count(*) >= (SELECT count(*) FROM lineitem) // 6"),
     "j8_check_coverage": one("coverage", "warning", "count(DISTINCT CASE WHEN lower(state) IN (SELECT alias FROM seg) THEN state END)", "count(DISTINCT CASE WHEN lower(state) IN (SELECT alias FROM seg) THEN state END) >= 5"),
     "j9_recalibrate_confidence": f"""{FACTS}, c AS (SELECT parameter_id, CASE WHEN utility = 'Col 3' THEN 0.3 WHEN lower(state) NOT IN (SELECT alias FROM seg) THEN 0.5 WHEN unit IS NULL THEN 0.8 ELSE 0.95 END AS confidence FROM facts) SELECT parameter_id, CAST(confidence AS DOUBLE) AS confidence, count(*) AS n FROM c GROUP BY 1, 2""",
@@ -325,13 +337,21 @@ ORACLE_SQL = {
     "j13_profile_records": f"""{FACTS} {" UNION ALL ".join(f"SELECT parameter_id, '{c}' AS field, count(DISTINCT {c}) AS distinct_values, count(*) FILTER (coalesce({c}, '') = '') AS empty_values, count(*) FILTER (coalesce({c}, '') = '') * 100.0 / count(*) AS empty_percent FROM facts GROUP BY 1" for c in FIELDS)}""",
     "j14_audit_hierarchy": f"""{FACTS} SELECT parameter_id, state, count(*) AS rows, count(*) FILTER (length(utility) < 3 OR regexp_matches(upper(utility), 'STATE|UTILITY')) AS suspicious,
       count(*) FILTER ((parameter_id, utility) IN (SELECT (parameter_id, state) FROM facts)) AS leaks, count(*) FILTER (value IS NULL) AS empty_values FROM facts GROUP BY 1, 2""",
-    "j15_check_contracts": f"{WITH_PAGES}, {FACTS.removeprefix('WITH ')}" + """ SELECT report_id, 'pages_contiguous' AS rule_id FROM fx_pages WHERE NOT (report_id IN ('src3', 'src9') AND pdf_page = 5) GROUP BY 1 HAVING min(pdf_page) <> 1 OR max(pdf_page) <> count(DISTINCT pdf_page) UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'equal_widths' FROM nation WHERE n_nationkey % 5 = 0
-      UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'rows_numbered' FROM nation WHERE n_nationkey % 7 = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_ordered' FROM nation WHERE n_nationkey % 9 < 5
-      UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_length' FROM nation WHERE n_nationkey % 4 = 0 UNION ALL SELECT record_id, 'id_pattern' FROM facts WHERE NOT regexp_matches(record_id, '^\\d+-[0-3]$')
-      UNION ALL SELECT record_id, 'confidence_range' FROM facts WHERE confidence * 1.2 NOT BETWEEN 0 AND 1 UNION ALL SELECT n_name, 'catalog_sorted' FROM (SELECT n_name, lag(n_name) OVER (ORDER BY n_nationkey) AS b FROM nation) WHERE b > n_name""",
-    "j16_check_bindings": """WITH q AS (SELECT s_suppkey AS s FROM supplier WHERE s_suppkey % 7 <> 3), p AS (SELECT p_partkey AS k, p_partkey % 10 + 1 AS own, CASE WHEN p_partkey % 17 <> 0 THEN CASE WHEN p_partkey % 19 = 0 THEN p_partkey % 10 + 2 ELSE p_partkey % 10 + 1 END END AS bound FROM part),
-      r AS (SELECT k, CASE WHEN bound IS NULL THEN 'unregistered' WHEN bound <> own THEN 'binding' WHEN own NOT IN (SELECT s FROM q) THEN 'unknown_parser' WHEN k % 13 = 0 THEN 'family' WHEN k % 3 = 0 AND own % 2 = 1 THEN 'pattern' END AS rule_id FROM p)
-      SELECT rule_id, CAST(k AS VARCHAR) AS item FROM r WHERE rule_id IS NOT NULL UNION ALL SELECT 'bound_parser', CAST(k AS VARCHAR) FROM p WHERE bound IS NOT NULL AND bound NOT IN (SELECT s FROM q)""",
+    "j15_check_contracts": f"{WITH_PAGES}, {FACTS.removeprefix('WITH ')}" + """ SELECT report_id, 'pages_contiguous' AS rule_id FROM fx_pages WHERE NOT (report_id IN ('src3', 'src9') AND pdf_page = 5)
+      GROUP BY 1 HAVING min(pdf_page) <> 1 OR max(pdf_page) <> count(DISTINCT pdf_page) UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'equal_widths' FROM nation
+      WHERE n_nationkey % 5 = 0
+      UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'rows_numbered' FROM nation WHERE n_nationkey % 7 = 0 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_ordered'
+        FROM nation WHERE n_nationkey % 9 < 5
+      UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'range_length' FROM nation WHERE n_nationkey % 4 = 0 UNION ALL SELECT record_id, 'id_pattern' FROM facts
+        WHERE NOT regexp_matches(record_id, '^\\d+-[0-3]$')
+      UNION ALL SELECT record_id, 'confidence_range' FROM facts WHERE confidence * 1.2 NOT BETWEEN 0 AND 1 UNION ALL SELECT n_name, 'catalog_sorted' FROM (SELECT n_name,
+        lag(n_name) OVER (ORDER BY n_nationkey) AS b FROM nation) WHERE b > n_name""",
+    "j16_check_bindings": """WITH q AS (SELECT s_suppkey AS s FROM supplier WHERE s_suppkey % 7 <> 3), p AS (SELECT p_partkey AS k, p_partkey % 10 + 1 AS own, CASE WHEN p_partkey % 17 <> 0 THEN CASE
+      WHEN p_partkey % 19 = 0 THEN p_partkey % 10 + 2 ELSE p_partkey % 10 + 1 END END AS bound FROM part),
+      r AS (SELECT k, CASE WHEN bound IS NULL THEN 'unregistered' WHEN bound <> own THEN 'binding' WHEN own NOT IN (SELECT s FROM q) THEN 'unknown_parser'
+        WHEN k % 13 = 0 THEN 'family' WHEN k % 3 = 0 AND own % 2 = 1 THEN 'pattern' END AS rule_id FROM p)
+      SELECT rule_id, CAST(k AS VARCHAR) AS item FROM r WHERE rule_id IS NOT NULL UNION ALL SELECT 'bound_parser', CAST(k AS VARCHAR) FROM p WHERE bound IS NOT NULL
+        AND bound NOT IN (SELECT s FROM q)""",
     "j16_check_catalog_refs": "SELECT 'alias_target' AS rule_id, n_name AS item FROM nation WHERE n_nationkey % 6 = 0 UNION ALL SELECT 'parent', s_name FROM supplier WHERE s_nationkey >= 20 UNION ALL SELECT 'duplicate_name', '2'",
     "k1_flatten_records": f"{FACTS} SELECT record_id, parameter_id, confidence, pages AS source_pages, state, CASE WHEN utility = 'state_level' THEN '' ELSE utility END AS utility, CASE WHEN value IS NOT NULL THEN concat(CAST(CAST(value AS INT) AS VARCHAR), '.0') END AS value FROM facts",
     "k2_order_columns": f"{FACTS} SELECT state, utility, CAST(NULL AS VARCHAR) AS discom, year, confidence, record_id, parameter_id, value FROM facts",
@@ -340,7 +360,8 @@ ORACLE_SQL = {
     "k5_summary_dashboard": f"{CHECKS} SELECT parameter_id, count(*) AS record_count, count(DISTINCT state) AS state_count, CASE WHEN any_value(passed) THEN 'PASSED' ELSE 'FAILED' END AS status, any_value(export_allowed) AS export_allowed FROM facts JOIN reports USING (parameter_id) GROUP BY 1",
     "k6_confidence_band": f"{FACTS} SELECT record_id, confidence, CASE WHEN confidence >= 0.9 THEN 'green' WHEN confidence >= 0.7 THEN 'yellow' ELSE 'red' END AS band, floor(value / 8 * 100 + 0.5) / 100 AS value FROM facts",
     "k7_column_profile": f"""{CLEAN}, u AS ({" UNION ALL ".join(f"SELECT report_id, {i} AS col_idx, c{i} AS cell FROM cl" for i in range(8))})
-      SELECT report_id, col_idx, count(*) FILTER (trim(cell) <> '') AS non_blank, bool_or(trim(cell) <> '') AS active, max(length(cell)) AS max_length, least(greatest(max(length(cell)) + 3, 10), 50) AS display_width FROM u GROUP BY 1, 2""",
+      SELECT report_id, col_idx, count(*) FILTER (trim(cell) <> '') AS non_blank, bool_or(trim(cell) <> '') AS active, max(length(cell)) AS max_length,
+        least(greatest(max(length(cell)) + 3, 10), 50) AS display_width FROM u GROUP BY 1, 2""",
     "k8_by_group_view": f"""{FACTS} SELECT state AS "State", utility AS "Utility", year AS "Year", CASE WHEN value IS NOT NULL THEN concat(CAST(CAST(value AS INT) AS VARCHAR), '.0') END AS "Charge" FROM facts WHERE state = 'BUILDING'""",
     "l1_detect_query_group": f"""{QWORDS} SELECT query_id, query, g AS "group" FROM qb""",
     "l2_query_keywords": f"""{QWORDS} SELECT query_id, query, "group", array_to_string(kw, ',') AS keywords FROM qk""",
@@ -349,17 +370,23 @@ ORACLE_SQL = {
       SELECT query_id, place, position, score, 'ok' AS status FROM t WHERE place <= 3 UNION ALL SELECT query_id, NULL, NULL, 0, 'no group' FROM qk WHERE "group" IS NULL""",
     "l5_block_catalog": f"""{CLEAN} SELECT report_id, block_no, min_by(state, row_no) AS state, min(pdf_page) AS start_page, count(*) AS row_count,
       string_agg(concat_ws(' ', {", ".join(f"nullif(c{i}, '')" for i in range(8))}), ' ' ORDER BY row_no) AS search_text FROM bl WHERE block_no > 0 GROUP BY 1, 2""",
-    "l6_retrieve_block": f"""{CLEAN}, t AS (SELECT DISTINCT substr(c_mktsegment, 1, 5) AS term FROM customer), h AS (SELECT term, report_id, min(block_no) AS block_no FROM bl JOIN t ON contains(lower(state), lower(term)) WHERE block_no > 0 GROUP BY 1, 2)
+    "l6_retrieve_block": f"""{CLEAN}, t AS (SELECT DISTINCT substr(c_mktsegment, 1, 5) AS term FROM customer), h AS (SELECT term, report_id, min(block_no) AS block_no FROM bl JOIN t ON contains(lower(state),
+      lower(term)) WHERE block_no > 0 GROUP BY 1, 2)
       SELECT term, report_id, block_no, row_no FROM bl JOIN h USING (report_id, block_no)""",
     "m1_changed_inputs": "SELECT doc_id FROM documents WHERE doc_id % 2 = 1 OR doc_id % 10 = 0",
     "m2_invalidate_downstream": "SELECT o_orderkey AS report_id, s.stage_no, CASE WHEN o_orderkey % 3 = 0 AND s.stage_no > o_custkey % 8 + 1 THEN 'stale' ELSE 'complete' END AS status FROM orders, (SELECT unnest(range(1, 9)) AS stage_no) s",
     "m1_stale_stages": f"""{STAGES}, c AS (SELECT *, report_id + stage_no * 7 + coalesce(parameter_id, 0) AS k, (report_id + stage_no) % 13 <> 0 AS ran FROM st),
-      u AS (SELECT a.report_id, a.parameter_id, a.stage_no, max(CASE WHEN b.ran THEN b.completed_at END) AS newest FROM c a LEFT JOIN c b ON a.report_id = b.report_id AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY ALL),
-      r AS (SELECT c.report_id, c.parameter_id, c.stage_no, CASE WHEN NOT ran THEN 'new' WHEN k % 11 = 0 THEN 'input' WHEN newest > completed_at THEN 'upstream newer' END AS reason FROM c JOIN u ON u.report_id = c.report_id AND u.stage_no = c.stage_no AND u.parameter_id IS NOT DISTINCT FROM c.parameter_id),
-      d AS (SELECT a.report_id, a.parameter_id, a.stage_no, any_value(a.reason) AS reason, bool_or(b.reason IS NOT NULL) AS behind FROM r a LEFT JOIN r b ON a.report_id = b.report_id AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY 1, 2, 3)
+      u AS (SELECT a.report_id, a.parameter_id, a.stage_no, max(CASE WHEN b.ran THEN b.completed_at END) AS newest FROM c a LEFT JOIN c b ON a.report_id = b.report_id
+        AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY ALL),
+      r AS (SELECT c.report_id, c.parameter_id, c.stage_no, CASE WHEN NOT ran THEN 'new' WHEN k % 11 = 0 THEN 'input'
+        WHEN newest > completed_at THEN 'upstream newer' END AS reason FROM c JOIN u ON u.report_id = c.report_id AND u.stage_no = c.stage_no
+        AND u.parameter_id IS NOT DISTINCT FROM c.parameter_id),
+      d AS (SELECT a.report_id, a.parameter_id, a.stage_no, any_value(a.reason) AS reason, bool_or(b.reason IS NOT NULL) AS behind FROM r a LEFT
+        JOIN r b ON a.report_id = b.report_id AND b.stage_no < a.stage_no AND (b.parameter_id IS NULL OR b.parameter_id = a.parameter_id) GROUP BY 1, 2, 3)
       SELECT report_id, parameter_id, stage_no, coalesce(reason, 'upstream stale') AS reason FROM d WHERE reason IS NOT NULL OR behind""",
     "m2_invalidate_scoped": f"""{STAGES}, ch AS (SELECT * FROM st WHERE (report_id * 3 + stage_no * 5 + coalesce(parameter_id, 0)) % 17 = 0)
-      SELECT s.report_id, s.parameter_id, s.stage_no, CASE WHEN EXISTS (SELECT 1 FROM ch WHERE ch.report_id = s.report_id AND ch.stage_no < s.stage_no AND (ch.parameter_id IS NULL OR s.parameter_id IS NULL OR ch.parameter_id = s.parameter_id)) THEN 'stale' ELSE 'complete' END AS status FROM st s""",
+      SELECT s.report_id, s.parameter_id, s.stage_no, CASE WHEN EXISTS (SELECT 1 FROM ch WHERE ch.report_id = s.report_id AND ch.stage_no < s.stage_no
+        AND (ch.parameter_id IS NULL OR s.parameter_id IS NULL OR ch.parameter_id = s.parameter_id)) THEN 'stale' ELSE 'complete' END AS status FROM st s""",
     "m3_stream_page_index": f"{WITH_TITLES} SELECT * FROM titles",
     "m3_stream_whole_index": f"{WITH_INDEX} SELECT * FROM idx",
 }
