@@ -14,66 +14,75 @@ from pyspark.sql import functions as F
 #: Up to so many rules are held against every host in one expression; more are joined.
 _INLINE_RULES = 200
 
-# A small labelled table; the hosts are invented.
+# A small labelled table of invented hosts of many kinds.  There are twice as many to allow, so
+# that a host without any known piece of a word is allowed.
 BLOCKED = """
-http://casino-royal.example.org/en/12
-https://www.lucky-casino.test/play
-https://online-casino-win.test/en/8
-http://win-big-casino.invalid/fr/4?ref=x
-https://free-bets-now.test/de/3
-https://m.best-bets.invalid/en/77
-http://sports-bets.test/odds
-https://freebets.example.org/es/10
-https://cheap-pills-online.test/en/1
-http://www.pills-4-you.invalid/buy
-https://cheap-meds.test/pills/22
-http://discount-pills.example.org/fr/9
-https://adult-videos.test/en/5
-http://www.adult-chat.invalid/x
-https://x-adult.example.org/de/31
-http://adultxxx.test/en/18
-https://spam-links.test/en/2
-http://link-spam-farm.invalid/a
-https://www.seo-farm.test/spam/6
-https://spamfarm.example.org/en/64
-https://ads-server.test/track
-http://click-track-ads.invalid/en/14
-https://ad-tracker.test/pixel
-https://track-ads.example.org/fr/3
-http://free-porn.test/en/1
-https://poker-win.invalid/es/8
-http://free-money-win.test/en/40
-https://cheap-viagra.invalid/de/2
+http://casino-royal.example.org/en/12          https://www.grand-casino.test/play             https://online-casino-win.test/en/8
+http://poker-stars-club.invalid/es/8           https://free-poker.test/join                   https://lucky-slots.test/de/4
+http://slots-jackpot.invalid/fr/2              https://jackpot-city.example.org/en/1          https://roulette-online.test/spin
+https://sports-bets.test/odds                  http://free-bets-now.test/de/3                 https://best-betting.invalid/en/77
+http://live-bet.example.org/es/10              https://lottery-winner.test/claim              https://blackjack-bonus.test/en/6
+https://cheap-pills-online.test/en/1           http://www.pills-4-you.invalid/buy             https://cheap-meds.test/order/22
+http://discount-meds.example.org/fr/9          https://viagra-discount.test/en/3              https://cheap-viagra.invalid/de/2
+http://buy-cialis-online.test/en/5             https://no-prescription-rx.test/fr/1           https://fast-weight-loss-pills.test/en/9
+https://adult-videos.test/en/5                 http://www.adult-chat.invalid/x                https://hot-adult-dating.test/de/31
+http://xxx-movies.test/en/18                   https://free-xxx.invalid/es/4                  http://free-porn.test/en/1
+https://porn-tube.example.org/fr/7             https://live-sex-cams.test/en/2                http://sexy-girls-chat.invalid/en/3
+https://adults-only.test/en/3                  http://best-adult-sites.invalid/fr/6           https://adultfriend.example.org/es/2
+https://free-money-win.test/en/40              http://win-big-cash.invalid/fr/4?ref=x         https://easy-cash-now.test/en/2
+http://payday-loans-fast.test/apply            https://instant-loans.example.org/en/8         http://get-rich-quick.test/de/1
+https://double-your-bitcoin.test/en/7          http://bitcoin-profit-now.invalid/es/3         https://claim-your-prize.test/en/11
+https://free-iphone-winner.test/fr/6           http://you-won-gift-card.invalid/en/9          https://spam-links.test/en/2
+http://link-spam-farm.invalid/a                https://buy-backlinks-cheap.test/en/4          https://www.seo-farm.test/rank/6
+http://seo-links-4-sale.test/en/3              https://buy-followers-now.test/en/64           http://cheap-traffic-bot.invalid/de/5
+https://ads-server.test/banner                 http://click-track-ads.invalid/en/14           https://ad-tracker.test/pixel
+https://popup-ads.example.org/fr/3             http://adclick-network.test/en/1               https://replica-watches-sale.test/en/8
+http://fake-rolex-cheap.invalid/fr/2           https://cheap-replica-bags.test/es/9           http://free-keygen-crack.test/dl
+https://cracked-software-free.invalid/en/6     http://watch-free-movies-now.test/de/8         https://free-download-warez.test/en/3
 """
 ALLOWED = """
-https://library.example.org/en/12
-http://www.cityschool.test/en/8
-https://news.northriver.invalid/fr/4
-https://blog.gardenhouse.test/de/3
-https://m.thehistory.invalid/en/77
-http://weather.station.test/es/10
-https://recipes.kitchen.example.org/en/1
-http://www.mathnotes.invalid/fr/9
-https://theston.test/en/5
-http://thinand.invalid/de/31
-https://blog.theran.example.org/en/18
-https://www.erthat.test/es/2
-http://m.thoner.invalid/en/64
-https://ionthe.test/fr/14
-https://hething.example.org/de/8
-http://www.university.test/en/3
-https://museum.invalid/en/1
-http://blog.astronomy.test/es/8
-https://thandre.example.org/en/40
-http://m.ingthes.invalid/de/2
-https://www.rethoun.test/en/9
-https://thebleat.invalid/en/20
-http://music.lessons.test/fr/6
-https://gardening.example.org/es/5
-http://blog.thation.test/en/11
-https://www.harbour.invalid/de/7
-https://theresed.test/en/19
-http://m.thester.example.org/fr/17
+https://library.example.org/en/12              http://www.cityschool.test/en/8                https://news.northriver.invalid/fr/4
+https://dailyherald.test/2024/05/story         https://morning-post.example.org/en/77         http://www.zeitung-heute.test/politik
+https://lejournal.invalid/fr/9                 https://elperiodico.test/es/10                 http://evening-times.test/sport/3
+https://www.university.test/en/3               http://physics.stateuniversity.invalid/en/1    https://hochschule-nord.test/de/8
+https://college-of-arts.example.org/en/40      http://institute-of-chemistry.test/papers      https://academia.invalid/es/2
+https://museum.invalid/en/1                    http://nationalgallery.test/exhibits/6         https://sussex-museum.test/en/5
+https://theatre-royal.test/tickets             http://opera-house.invalid/de/14               https://www.cityarchive.example.org/fr/6
+https://weather.station.test/es/10             https://wetterdienst.invalid/de/7              http://meteo.test/fr/20
+https://ministry-of-health.test/en/9           http://www.parliament.invalid/acts/18          https://city-council.example.org/en/31
+https://rathaus.test/de/3                      http://mairie-du-village.invalid/fr/17         https://ayuntamiento.test/es/19
+https://worldhealth.invalid/en/64              http://children-hospital.test/en/2             https://dentist-brown.example.org/en/5
+https://public-law.test/cases/88               http://human-rights.invalid/en/4               https://consumer-advice.test/en/12
+https://developer-docs.test/guide/7            http://opensource.invalid/projects/21          https://code-hosting.test/repo/wiki
+https://software-manual.example.org/en/6       http://linux-users.test/forum/55               https://python-lessons.invalid/en/3
+https://encyclopedia.test/wiki/Moon            http://dictionary.invalid/en/word              https://mathnotes.test/fr/9
+https://recipes.kitchen.example.org/en/1       http://grandmas-cooking.test/en/13             https://bakery-miller.invalid/de/5
+https://blog.gardenhouse.test/de/3             http://gardening.example.org/es/5              https://rose-growers.test/en/22
+https://bird-watching.invalid/en/8             http://mountain-hiking.test/trails/4           https://cycling-club.example.org/fr/2
+https://football-league.test/results           http://chess-federation.invalid/en/10          https://tennis-verein.test/de/6
+https://www.harbour.invalid/de/7               http://railway-timetable.test/en/15            https://airport.test/arrivals
+https://travel-guide.invalid/es/30             http://hotel-seaview.test/en/9                 https://camping-au-lac.example.org/fr/3
+https://bookshop.test/novels/11                http://furniture-maker.invalid/en/2            https://bicycle-repair.test/en/17
+https://farmers-market.example.org/en/7        http://wine-cellar.test/fr/12                  https://toy-store.invalid/en/4
+https://music.lessons.test/fr/6                http://jazz-orchestra.invalid/en/5             https://choir-of-saint-mary.test/en/1
+https://blog.astronomy.test/es/8               http://m.thehistory.invalid/en/77              https://geology-today.test/en/44
+https://photography-anna.example.org/en/3      http://johnsmith.test/about                    https://maria-garcia.invalid/es/6
+https://schneider-und-sohn.test/de/9           http://dupont-architectes.invalid/fr/8         https://petersen-law.test/en/2
+https://village-church.test/en/10              http://charity-for-children.invalid/give       https://red-cross-nurses.test/en/5
+https://scout-group.example.org/en/21          http://rotary-club.test/en/7                   https://volunteer-fire-brigade.invalid/de/2
+https://parents-forum.test/en/90               http://language-exchange.invalid/fr/33         https://pen-friends.test/es/12
+https://radio-station.test/live                http://podcast-stories.invalid/en/8            https://film-festival.test/en/6
+https://science-magazine.example.org/en/60     http://nature-reserve.test/en/14               https://ocean-research.invalid/en/28
+https://economics-review.test/en/3             http://stock-exchange.invalid/en/19            https://savings-bank.test/de/4
+https://insurance-guide.example.org/en/9       http://job-centre.test/vacancies/5             https://housing-office.invalid/en/6
+https://essex-county.test/en/2                 http://cashel-castle.invalid/en/7              https://adult-education.example.org/courses
+https://alphabet-games.test/kids/3             http://betty-bakes.invalid/en/16               https://track-and-field.test/en/8
+https://discount-rail-pass.test/en/1           http://free-library-books.invalid/en/4         https://online-courses.test/en/25
+https://best-of-poetry.example.org/en/2        http://winter-sports.test/de/11                https://medieval-art.invalid/fr/5
+https://old-maps.test/es/7                     http://family-tree.invalid/en/35               https://knitting-patterns.test/en/9
+https://forest-school.example.org/en/6         http://sailing-school.test/de/12               https://clockmakers.invalid/fr/4
+https://primary-school.test/en/1               http://teachers-union.invalid/en/13            https://student-paper.test/en/18
+https://water-board.example.org/en/5           http://energy-agency.test/en/10                https://bridge-engineers.invalid/de/8
 """
 
 

@@ -1,6 +1,8 @@
 """Quality, language, URL and quotation operators on small tables, and the pipeline."""
 
 import re
+import zlib
+from collections import Counter
 
 import pytest
 from gridloom.llm import langid, quality, quotations, url_filter
@@ -92,6 +94,28 @@ def test_url_verdicts(spark):
     assert url_filter.filter_urls(df.limit(0), URL_RULES, model).count() == 0
 
 
+def test_hosts_whose_first_word_the_table_lacks(spark):
+    rows = [(u, 1.0) for u in url_filter.BLOCKED.split()] + [(u, 0.0) for u in url_filter.ALLOWED.split()]
+    fold = lambda u: zlib.crc32(re.split(r"[-.]", re.sub(r"^https?://((www|m|blog|news)\.)?", "", u))[0].encode()) % 5
+    right, count = Counter(), Counter()
+    for f in range(5):
+        model = url_filter.train(spark.createDataFrame([r for r in rows if fold(r[0]) != f], "url string, label double"))
+        held = [r for r in rows if fold(r[0]) == f]
+        for r in url_filter.filter_urls(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(held)], "page_id long, url string"), [], model).collect():
+            label = held[r.page_id][1]
+            count[label] += 1
+            right[label] += (r.verdict == "block") == (label == 1)
+    assert right[0.0] >= 0.95 * count[0.0] and right[1.0] >= 0.4 * count[1.0] and right.total() >= 0.78 * count.total()
+
+
+def test_hosts_that_are_not_in_the_table(spark):
+    allowed = "https://github.com/a/b https://www.who.int/en/news https://www.zeit.de/politik/2024 https://en.wikipedia.org/wiki/Moon https://docs.python.org/3/library https://www.mit.edu/x https://lemonde.fr/x".split()
+    blocked = "http://cheapviagra4u.com/ http://best-casino-bonus.net/x http://freespins-slots.com/ http://seo-backlinks.biz/ http://payday-loan-now.com/ http://xxxvideos.com/".split()
+    df = spark.createDataFrame(list(enumerate(allowed + blocked)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(df, [], url_filter.train(url_filter.labelled_urls(spark))).collect()}
+    assert [got[i] for i in range(len(got))] == ["allow"] * len(allowed) + ["block"] * len(blocked)
+
+
 def test_many_rules_are_joined(spark):
     many = URL_RULES + [(f"h{i}.org/", "block") for i in range(300)]
     df = spark.createDataFrame([(i, *brute_parts(u)) for i, u in enumerate(URLS)], "page_id long, host string, path string")
