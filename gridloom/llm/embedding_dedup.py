@@ -218,17 +218,18 @@ def link_vectors(
 
     The codebooks are fitted on at most ``sample_rows`` vectors, those with the
     smallest hashes; every row is indexed and searched.  Codebooks are sized for about
-    ``cell_rows`` vectors of a label in a cell, with at least 16 sampled vectors for a
+    ``cell_rows`` vectors of the largest label in a cell, with at least 16 sampled vectors for a
     codeword: 20,000 carry 400 million vectors of a label, more need more ``sample_rows``.
     """
     theta = math.acos(threshold)
     vectors = materialize(_vectors(rows, id_col, vec_col, label_col), "vectors")
     indexed = vectors.where("dim > 0")
-    shape = indexed.groupBy("dim").agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")).collect()
+    # the largest label decides: a search looks through the cells of one label
+    shape = indexed.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.max("n").alias("largest")).collect()
     indexes = {}
     for s in shape:  # one per dimension
         taken = indexed.where(F.col("dim") == s.dim).orderBy(F.xxhash64("unit", "uid")).limit(sample_rows).select("unit").toArrow()
-        codewords = int(np.clip(math.sqrt(s.n / max(1, s.labels) / cell_rows), 2, max(2, sample_rows // 16)))
+        codewords = int(np.clip(math.sqrt(s.largest / cell_rows), 2, max(2, sample_rows // 16)))
         indexes[s.dim] = MultiIndex(_matrix(taken.column("unit")), codewords, threshold, recall)
     held = rows.sparkSession.sparkContext.broadcast(indexes)
 

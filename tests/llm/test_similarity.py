@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
-from gridloom.llm import decontaminate, jaccard_join
+from gridloom.llm import decontaminate, embedding_dedup, jaccard_join
 from gridloom.llm.embedding_dedup import link_vectors
 from gridloom.llm.graph import components
 from gridloom.llm.words import shingle_hashes, word_hashes
@@ -155,13 +155,24 @@ def test_vector_links(spark):
     links = (x @ x.T >= 0.93) & (label[:, None] == label[None, :])
     np.fill_diagonal(links, False)
     want = roots(n, [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(links)))])
-    assert all(got[i].n_links <= links[i].sum() for i in range(n))
-    assert sum(got[i].n_links for i in range(n)) >= 0.97 * links.sum()
-    assert sum(got[i].component_id == want[i] for i in range(n)) >= 0.97 * n
+    assert [got[i].n_links for i in range(n)] == links.sum(axis=1).tolist()
+    assert [got[i].component_id for i in range(n)] == want
     for i in range(n, n + len(odd)):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+def test_codebooks_follow_the_largest_label(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(800, 8))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(800 + i, v.tolist(), 1 + i) for i, v in enumerate(rng.normal(size=(800, 8)))]
+    sizes, fit = [], embedding_dedup._kmeans
+    monkeypatch.setattr(embedding_dedup, "_kmeans", lambda half, k, rng: sizes.append(k) or fit(half, k, rng))
+    got = {r.vec_id: r.n_links for r in link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cell_rows=8).collect()}
+    assert sizes == [10, 10]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert [got[i] for i in range(800)] == ((x @ x.T >= 0.93).sum(axis=1) - 1).tolist() and not any(got[i] for i in range(800, 1600))
+
+
 def test_vector_links_of_an_empty_table(spark):
     assert link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
