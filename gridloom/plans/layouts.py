@@ -156,7 +156,7 @@ def h5(spark, sf):
     rows = written(two_headers(spark, sf), "grid")
     depths = hd.header_depth(rows)
     columns = written(hd.describe_columns(hd.header_paths(hd.fill_header_spans(rows, depths))), "columns")
-    named = lambda values: en.match_state(values, *states(spark, sf))
+    named = lambda values: en.match_state(written(values, "state-cells"), *states(spark, sf))
     cells = written(hd.cells_in_context(rows, columns, depths, named), "cells")
     found = written(recognized(written(hd.triples_of(cells), "triples"), spark, sf), "entities")
     return hd.annotate_cells(cells, found)
