@@ -163,6 +163,14 @@ def resolved_utilities(values: DataFrame, aliases: DataFrame, utilities: DataFra
     return out.select("state", "utility", F.when(F.contains("name", F.lit(" - ")), F.array_join(kept, " - ")).otherwise(F.col("name")).alias("canonical"))
 
 
+def with_canonical_utility(records: DataFrame, aliases: DataFrame, utilities: DataFrame, values: DataFrame | None = None) -> DataFrame:
+    """``records`` with the canonical name of their utility; ``values`` are their distinct (state, utility), where these are at hand."""
+    asked = records.select("state", "utility").distinct() if values is None else values
+    names = resolved_utilities(asked, aliases, utilities).withColumnsRenamed({"state": "_s", "utility": "_u"})
+    out = records.join(names, F.col("state").eqNullSafe(F.col("_s")) & (F.col("utility") == F.col("_u")), "left")
+    return out.withColumn("utility", F.col("canonical")).drop("_s", "_u", "canonical")
+
+
 # fixed values
 HEADER_WORDS = ("category", "sub-category", "s.no", "sl.no", "sno", "state", "ut", "year", "value", "unit")
 VOLTAGE_LINE = r"(?i)\b(11\s*kV|33\s*kV|132\s*kV|220\s*kV|66\s*kV|400\s*kV|LT\b|HT\b|EHT\b)"
@@ -237,11 +245,7 @@ def block_matrix(rows: DataFrame, columns: DataFrame, aliases: DataFrame | None
         F.coalesce(own_column["unit"], F.lit("Rs/kWh")).alias("charge_unit"),
         F.coalesce(own_column["year"], F.col("year")).alias("year"),
     )
-    if aliases is None or utilities is None:
-        return out
-    names = resolved_utilities(out, aliases, utilities).withColumnsRenamed({"state": "_s", "utility": "_u"})
-    out = out.join(names, F.col("state").eqNullSafe(F.col("_s")) & (F.col("utility") == F.col("_u")), "left")
-    return out.withColumn("utility", F.col("canonical")).drop("_s", "_u", "canonical")
+    return out if aliases is None or utilities is None else with_canonical_utility(out, aliases, utilities)
 
 
 def nearest_header_column(cells: DataFrame, headers: DataFrame) -> DataFrame:

@@ -100,7 +100,9 @@ def i10_block_matrix(spark, sf):
     rows = block_grid(spark, sf)
     roles = spark.createDataFrame(COLUMN_ROLES, "col_idx int, display_name string, role string, year string, unit string")
     columns = labels(spark, sf).select("report_id", "col_idx").join(roles, "col_idx")
-    return bd.block_matrix(rows, columns, *utility_names(spark, sf))
+    records = written(bd.block_matrix(rows, columns), "matrix")
+    values = written(records.select("state", "utility").distinct(), "matrix-names")
+    return bd.with_canonical_utility(records, *utility_names(spark, sf), values)
 
 
 def i11_nearest_header_column(spark, sf):

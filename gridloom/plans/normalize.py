@@ -133,7 +133,7 @@ def utility_blocks(spark, sf):
 def e17_describe_blocks(spark, sf):
     aliases, catalog = utility_names(spark, sf)
     names = aliases.select("name", "canonical").unionByName(catalog.select(F.col("canonical").alias("name"), "canonical"))
-    return nm.describe_blocks(utility_blocks(spark, sf), names)
+    return nm.describe_blocks(written(utility_blocks(spark, sf), "blocks"), names)
 
 
 def e19_utility_to_group(spark, sf):
