@@ -203,26 +203,28 @@ def describe_blocks(rows: DataFrame, names: DataFrame | None = None, key: str =
     its cells with a word for a utility; sections go by letters, so EHT is HT, too.
     """
     cells = rows.select(key, "block_no", "row_no", "state", F.posexplode_outer("cells").alias("col_idx", "cell")).withColumn("text", F.lower("cell"))
-    if names is None:
-        cells = cells.withColumn("held", F.array().cast("array<string>"))
-    else:
-        low = names.select(F.lower("name").alias("name"), "canonical").distinct()
-        texts = cells.select("text").where("text <> ''").distinct()
-        held = held_names(texts, low.select("name").distinct()).join(low, "name").groupBy("text").agg(F.collect_set("canonical").alias("held"))
-        cells = cells.join(held, "text", "left")
+    none = F.array().cast("array<string>")
     year = F.regexp_extract("cell", tx.YEAR_LABEL, 0)
     place = F.struct("row_no", "col_idx")
     has = lambda *parts: F.max(F.when(F.col("text").rlike("|".join(parts)), 1))
     out = cells.groupBy(key, "block_no").agg(
         F.min_by("state", "row_no").alias("state"),
         F.min_by(year, F.when(year != "", place)).alias("year"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("held")))).alias("held"),
         F.sort_array(F.collect_set(F.when(F.col("text").rlike("discom|utility|licensee"), tx.strip(F.col("cell"))))).alias("worded"),
         F.array_join(F.array(*[F.when(has(*p) == 1, s) for s, p in SECTIONS]), ",").alias("sections"),
         F.min("row_no").alias("start_row"),
         F.max("row_no").alias("end_row"),
         F.count_if(F.coalesce(F.col("col_idx"), F.lit(0)) == 0).alias("row_count"),
     )
+    if names is None:
+        out = out.withColumn("held", none)
+    else:
+        # only cells that hold a name are joined, so blank ones meet in no task
+        low = names.select(F.lower("name").alias("name"), "canonical").distinct()
+        said = cells.where("text <> ''").select(key, "block_no", "text").distinct()
+        met = held_names(said.select("text").distinct(), low.select("name").distinct()).join(low, "name").select("text", "canonical").distinct()
+        held = said.join(met, "text").groupBy(key, "block_no").agg(F.sort_array(F.collect_set("canonical")).alias("held"))
+        out = out.join(held, [key, "block_no"], "left").withColumn("held", F.coalesce("held", none))
     utilities = F.array_join(F.when(F.size("held") > 0, F.col("held")).otherwise(F.col("worded")), ",")
     block_id = F.concat_ws("_", F.col(key).cast("string"), F.replace(F.lower("state"), F.lit(" "), F.lit("_")), F.col("start_row").cast("string"), F.col("end_row").cast("string"))
     return out.select(key, "block_no", "state", "year", utilities.alias("utilities"), "sections", "start_row", "end_row", "row_count", block_id.alias("block_id"))
