@@ -1,9 +1,10 @@
 """Names and phrases found in texts by joins on equal pieces, never name by name.
 
-A name is looked for under its longest word.  The distinct words of all texts are taken
-apart into pieces of four letters once; of the pieces of a name's word the one that
-fewest words have leads to the words that hold it, and these lead to the texts.  All
-joins are on equal keys, so dictionary and texts may both be large.
+A name is looked for under its longest word.  The distinct words of all texts are cut
+into all pieces that are as long as the longest word of some name; a piece equal to such a
+word leads from the word to the name, and the word leads to the texts.  All joins are on
+equal keys and sort both sides, so dictionary and texts may both be large: neither is
+sent whole through the driver, and no piece meets words that do not hold the name's.
 """
 
 from __future__ import annotations
@@ -11,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_LENGTH = 4
-
-
-def pieces(text: Column, n: int) -> Column:
+def pieces(text: Column, n: int | Column) -> Column:
     """The distinct pieces of ``n`` letters of a text."""
-    at = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-    return F.when(F.length(text) >= n, F.array_distinct(F.transform(at, lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+    size = n if isinstance(n, Column) else F.lit(n)
+    at = F.sequence(F.lit(1), F.greatest(F.length(text) - (size - 1), F.lit(1)))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(at, lambda i: F.substring(text, i, size)))).otherwise(F.array().cast("array<string>"))
 
 
 def words(text: Column) -> Column:
@@ -34,13 +33,10 @@ def _anchored(names: DataFrame) -> DataFrame:
 def _holding_words(found: DataFrame, names: DataFrame) -> DataFrame:
     """(word, name) of every word that holds the longest word of a name."""
     anchored = _anchored(names)
-    known = found.select("word", F.explode(pieces(F.col("word"), _LENGTH)).alias("piece"))
-    own = anchored.where(F.length("anchor") >= _LENGTH).select("name", "anchor", F.explode(pieces(F.col("anchor"), _LENGTH)).alias("piece"))
-    counted = own.join(known.groupBy("piece").agg(F.count("*").alias("n")), "piece", "left")
-    rarest = counted.groupBy("name", "anchor").agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), "piece")).alias("piece"))
-    long = known.join(rarest, "piece").where(F.contains("word", "anchor")).select("word", "name")
-    short = found.select("word", F.explode(F.concat(*[pieces(F.col("word"), n) for n in range(1, _LENGTH)])).alias("anchor"))
-    return long.unionByName(short.join(anchored.where(F.length("anchor") < _LENGTH), "anchor").select("word", "name"))
+    lengths = anchored.select(F.length("anchor").alias("n")).distinct()
+    sized = found.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("n")).join(F.broadcast(lengths), "n")
+    cut = sized.select("word", F.explode(pieces(F.col("word"), F.col("n"))).alias("anchor"))
+    return cut.join(anchored.hint("merge"), "anchor").select("word", "name")
 
 
 def held_names(texts: DataFrame, names: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -51,9 +47,9 @@ def held_names(texts: DataFrame, names: DataFrame, key: list[str] | None = None)
     """
     columns = key or ["text"]
     posts = texts.select(*columns, F.explode(words(F.col("text"))).alias("word"))
-    met = posts.join(_holding_words(posts.select("word").distinct(), names), "word").select(*columns, "name").distinct()
+    met = posts.join(_holding_words(posts.select("word").distinct(), names).hint("merge"), "word").select(*columns, "name").distinct()
     if key:
-        met = texts.join(met, key)
+        met = texts.join(met.hint("merge"), key)
     return met.where(F.contains("text", "name")).select(*columns, "name")
 
 
@@ -65,5 +61,5 @@ def held_words(texts: DataFrame, names: DataFrame) -> DataFrame:
     anchored = _anchored(sought.select(F.col("_n").alias("name")).distinct()).withColumnRenamed("name", "_n")
     posts = spelt.select("text", "_t", F.explode(words(F.col("_t"))).alias("anchor"))
     framed = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    met = posts.join(anchored, "anchor").where(F.contains(framed(F.col("_t")), framed(F.col("_n")))).select("text", "_n")
-    return met.join(sought, "_n").select("text", "name")
+    met = posts.join(anchored.hint("merge"), "anchor").where(F.contains(framed(F.col("_t")), framed(F.col("_n")))).select("text", "_n")
+    return met.join(sought.hint("merge"), "_n").select("text", "name")

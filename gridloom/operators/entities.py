@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
-from gridloom.operators.dictionary import held_names
+from gridloom.operators.dictionary import held_names, pieces
 from gridloom.operators.normalize import _word
 
 ORDER = ["state", "utility", "voltage", "year", "unit", "category"]
@@ -90,7 +90,11 @@ def close_pairs(values: DataFrame, names: DataFrame, least: float, inserts: bool
         shorter = lambda a, b: F.least(a, b) >= least * F.greatest(a, b) - 1e-9
     taken = lambda df, c: df.select(F.col(c).alias("text")).distinct()
     grams = lambda df: df.select("text", length.alias("n"), (2 * edits + 1).cast("int").alias("take"), F.explode(_numbered_grams(F.col("text"))).alias("g"))
-    left, right = grams(taken(values, "key")), grams(taken(names, "name"))
+    # texts as long as no name can be are not taken apart
+    sizes = names.select(F.length("name").alias("m")).distinct().select("m", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") * (2 / least)).cast("int"))).alias("n"))
+    sizes = sizes.where(shorter(F.col("n"), F.col("m"))).select("n").distinct()
+    near = taken(values, "key").withColumn("n", length).join(F.broadcast(sizes), "n", "left_semi").select("text")
+    left, right = grams(near), grams(taken(names, "name"))
     weight = right.groupBy("g").agg(F.count("*").alias("weight"))
 
     def rarest(side: DataFrame) -> DataFrame:
@@ -112,20 +116,21 @@ def match_state(values: DataFrame, names: DataFrame, aliases: DataFrame, least:
     """
     keyed = values.select("value").distinct().withColumn("key", tx.normalize_key(F.col("value")))
     table = names.select(F.lower("canonical").alias("name"), "canonical", "priority", F.lit(0).alias("kind")).unionByName(aliases.select(F.lower("alias").alias("name"), "canonical", "priority", F.lit(1).alias("kind")))
-    same = keyed.join(table, F.col("key") == F.col("name")).groupBy("value").agg(F.min_by(F.struct("canonical", "kind"), F.struct("kind", "priority")).alias("e"))
+    same = keyed.hint("merge").join(table, F.col("key") == F.col("name")).groupBy("value").agg(F.min_by(F.struct("canonical", "kind"), F.struct("kind", "priority")).alias("e"))
     exact = same.select("value", F.col("e.canonical").alias("canonical"), F.lit(1.0).alias("confidence"), F.when(F.col("e.kind") == 0, "exact").otherwise("alias").alias("method"))
-    left = keyed.join(exact, "value", "left_anti").where("key <> ''")
+    left = keyed.join(exact.hint("merge"), "value", "left_anti").where("key <> ''")
     close = close_pairs(left, table, least, ratio is not levenshtein_ratio)
     close = close.withColumn("r", ratio(F.col("key"), F.col("name"))).where(F.col("r") >= least).join(table, "name")
-    fuzzy = left.join(close, "key").groupBy("value").agg(F.min_by(F.struct("canonical", "r"), F.struct(-F.col("r"), F.col("kind"), F.col("priority"))).alias("b"))
+    fuzzy = left.hint("merge").join(close, "key").groupBy("value").agg(F.min_by(F.struct("canonical", "r"), F.struct(-F.col("r"), F.col("kind"), F.col("priority"))).alias("b"))
     fuzzy = fuzzy.select("value", F.col("b.canonical").alias("canonical"), F.bround(F.col("b.r") * 0.9, 2).alias("confidence"), F.lit("fuzzy").alias("method"))
-    out = keyed.select("value").join(exact.unionByName(fuzzy), "value", "left")
+    out = keyed.select("value").join(exact.unionByName(fuzzy).hint("merge"), "value", "left")
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
 def match_utility(values: DataFrame, utilities: DataFrame, patterns: list[str], header: Column | None = None, state: Column | None = None) -> DataFrame:
     """Exact name, a name inside the value or the reverse (4 letters at least), the same at any
     length among the names of the active state, a pattern, or the header's word for it.
+    Names and values are joined by sorting both sides, as both may be large.
 
     With ``state``, ``utilities`` has a state too; the result is by value, and by header and state where given.
     """
@@ -138,15 +143,23 @@ def match_utility(values: DataFrame, utilities: DataFrame, patterns: list[str],
     long_names = named.where(F.length("name") >= 4)
     inside = held_names(keys.withColumnRenamed("key", "text"), long_names.select("name")).select(F.col("text").alias("key"), "name")
     around = held_names(named.select(F.col("name").alias("text")), keys.where(F.length("key") >= 4).withColumnRenamed("key", "name")).select(F.col("name").alias("key"), F.col("text").alias("name"))
-    part = inside.unionByName(around).join(named, "name").groupBy("key").agg(first.alias("_part"))
+    part = inside.unionByName(around).join(named.hint("merge"), "name").groupBy("key").agg(first.alias("_part"))
     exact = named.select(F.col("name").alias("key"), F.col("canonical").alias("_exact"))
-    joined = keyed.join(exact, "key", "left").join(part, "key", "left")
+    joined = keyed.join(exact.hint("merge"), "key", "left").join(part.hint("merge"), "key", "left")
     if state is not None:
-        # longer names are found above, so only short ones are held against those of their state
+        # longer names are found above; left are keys below four letters in a name of the state, and such names in a key
         own = names.select("name", "canonical", "priority", F.col("state").alias("own_state"))
-        short = (F.length("key") < 4) | (F.length("name") < 4)
-        near = joined.where("_exact IS NULL AND _part IS NULL AND key <> ''").join(own, (F.col("state") == F.col("own_state")) & short & (F.contains("key", "name") | F.contains("name", "key")))
-        joined = joined.join(near.groupBy("key", "state").agg(first.alias("_near")), ["key", "state"], "left")
+        asked = joined.where("_exact IS NULL AND _part IS NULL AND key <> ''").select("key", "state").distinct()
+        short = lambda c: F.concat(*[pieces(F.col(c), n) for n in (1, 2, 3)])
+        owned = own.withColumnRenamed("own_state", "state")
+        lowest = owned.select("state", F.explode(short("name")).alias("key"), "priority").groupBy("key", "state").agg(F.min("priority").alias("priority"))
+        held = asked.join(lowest.hint("merge"), ["key", "state"]).join(owned.hint("merge"), ["state", "priority"]).where(F.contains("name", "key"))
+        held = held.select("key", "state", F.struct("priority", "canonical").alias("e"))
+        holds = asked.select("key", "state", F.explode(F.array_append(short("key"), F.lit(""))).alias("name"))
+        brief = own.where(F.length("name") < 4).groupBy("name", F.col("own_state").alias("state")).agg(F.min(F.struct("priority", "canonical")).alias("e"))
+        near = held.unionByName(holds.join(brief, ["name", "state"]).select("key", "state", "e"))
+        near = near.groupBy("key", "state").agg(F.min("e").alias("e")).select("key", "state", F.col("e.canonical").alias("_near"))
+        joined = joined.join(near, ["key", "state"], "left")
     else:
         joined = joined.withColumn("_near", F.lit(None).cast("string"))
     regex = reduce(lambda a, b: a | b, [F.col("value").rlike(p) for p in patterns], F.lit(False))
@@ -285,7 +298,7 @@ def recognize_in_context(
     value, header = F.col("value"), F.col("header")
     unit = unit_hit(value, F.when(tx.strip(value).rlike("(?i)rs|paise|kw|kva|%"), header).otherwise(""), units)
     read = {"voltage": voltage_hit(value, header, voltages), "year": year_hit(value), "unit": unit, "category": category_hit(value, header, categories, "category|consumer|tariff")}
-    joined = keyed.withColumns({f"_{k}": h for k, h in read.items()}).join(named, "value", "left").join(owned, ["value", "header", "state"], "left")
+    joined = keyed.withColumns({f"_{k}": h for k, h in read.items()}).join(named.hint("merge"), "value", "left").join(owned.hint("merge"), ["value", "header", "state"], "left")
     evidence = F.array(*[F.when(F.col(f"_{k}").isNotNull(), F.struct(F.col(f"_{k}.confidence").alias("confidence"), F.lit(-i).alias("o"), F.lit(k).alias("entity_type"), F.col(f"_{k}.canonical").alias("canonical"), F.col(f"_{k}.method").alias("method"))) for i, k in enumerate(ORDER)])
     best = joined.select("value", "header", "state", F.array_max(evidence).alias("b"))
     return best.select("value", "header", "state", F.coalesce("b.entity_type", F.lit("unknown")).alias("entity_type"), F.col("b.canonical").alias("canonical"), F.coalesce("b.confidence", F.lit(0.0)).alias("confidence"), F.col("b.method").alias("method"))
@@ -311,11 +324,11 @@ def canonicalize_utility(rows: DataFrame, alias_map: list[tuple[str, str]], util
     for name, target in reversed(alias_map):
         alias = F.when(low.contains(name.lower()), target).otherwise(alias)
     u = utilities.select(F.lower("canonical").alias("name"), "canonical", F.col("state").alias("_s")).where("name <> ''").distinct()
-    held = held_names(base.select(low.alias("text")).where("text IS NOT NULL").distinct(), u.select("name").distinct()).join(u, "name")
+    held = held_names(base.select(low.alias("text")).where("text IS NOT NULL").distinct(), u.select("name").distinct()).join(u.hint("merge"), "name")
     anywhere = held.groupBy(F.col("text").alias("_k")).agg(F.min("canonical").alias("_any"))
     in_state = held.groupBy(F.col("text").alias("_k"), "_s").agg(F.min("canonical").alias("_own"))
-    joined = base.withColumn("_k", low).join(anywhere, "_k", "left")
-    joined = joined.join(in_state, (joined["_k"] == in_state["_k"]) & (joined["state"] == in_state["_s"]), "left").drop(in_state["_k"])
+    joined = base.withColumn("_k", low).join(anywhere.hint("merge"), "_k", "left")
+    joined = joined.join(in_state.hint("merge"), (joined["_k"] == in_state["_k"]) & (joined["state"] == in_state["_s"]), "left").drop(in_state["_k"])
     own = F.col("_own")
     step = F.when(alias.isNotNull(), "alias").when(own.isNotNull(), "state").when(F.col("_any").isNotNull(), "catalog").otherwise("as_is")
     return joined.withColumns({"canonical": F.coalesce(alias, own, F.col("_any"), F.col("utility")), "step": step}).drop("_k", "_s", "_any", "_own")

@@ -84,3 +84,18 @@ def test_blocks_without_a_known_name_take_worded_cells(spark):
     assert (got[1].utilities, got[1].year, got[1].block_id, got[1].row_count) == ("BRPL,TPL,Torrent", "2024-25", "1_new_goa_1_2", 2)
     assert (got[2].utilities, got[2].sections, got[2].year) == ("Old Utility", "HT", None)
     assert (got[3].utilities, got[3].sections, got[3].row_count) == ("", "", 2)
+
+
+def test_names_are_not_sent_through_the_driver(spark):
+    t, n = spark.range(1000).selectExpr("cast(id as string) text"), spark.range(1000).selectExpr("cast(id * 7 as string) name")
+    plan = dy.held_names(t, n)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    # the few lengths of the names' words are broadcast, no name or word is
+    assert "SortMergeJoin" in plan and len(joins) == 1 and "BroadcastHashJoin [n#" in joins[0]
+
+
+def test_a_piece_meets_only_words_that_hold_it(spark):
+    t, n = spark.range(400).selectExpr("concat('customer#', lpad(cast(id as string), 9, '0')) text"), spark.range(400).selectExpr("concat('customer#', lpad(cast(id as string), 9, '0')) name")
+    assert dy._holding_words(t.withColumnRenamed("text", "word"), n).count() == 400
+    plan = dy._holding_words(t.withColumnRenamed("text", "word"), n)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" not in plan

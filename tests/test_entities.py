@@ -116,3 +116,17 @@ def test_annotated_cells_keep_numbers_of_charges_only(spark):
     assert got[2, 0] == ("state", "Delhi", None, None, "Delhi") and got[2, 1] == ("serial_number", "3", None, None, "Delhi")
     assert got[2, 2] == ("percentage", "7", 7.0, "%", "Delhi") and got[2, 3] == ("voltage", "33 kV", None, None, "Delhi") and got[2, 4] == ("charge", "1.5", 1.5, "Rs/kWh", "Delhi")
     assert got[3, 1][0] == got[3, 2][0] == "empty" and got[3, 3] == ("unknown", "x", None, None, None) and got[1, 0][0] == "header" and got[4, 0][0] == "empty"
+
+
+def test_short_keys_and_names_of_the_active_state_join_on_pieces(spark):
+    from gridloom.operators.entities import match_utility
+    from pyspark.sql import functions as F
+
+    catalog = spark.createDataFrame([("Torrent", 3, "GJ"), ("Torus", 1, "GJ"), ("TP", 2, "GJ"), ("Orbit", 0, "DL")], "canonical string, priority int, state string")
+    values = spark.createDataFrame([("tor", "GJ"), ("or", "GJ"), ("or", "DL"), ("xtpx", "GJ"), ("xtpx", "DL"), ("q", "GJ"), ("or", None)], "value string, st string")
+    frame = match_utility(values, catalog, [], state=F.col("st"))
+    got = {(r.value, r.state): (r.canonical, r.method) for r in frame.collect()}
+    near = "active_state"
+    assert got == {("tor", "GJ"): ("Torus", near), ("or", "GJ"): ("Torus", near), ("or", "DL"): ("Orbit", near), ("xtpx", "GJ"): ("TP", near), ("xtpx", "DL"): (None, None), ("q", "GJ"): (None, None), ("or", None): (None, None)}
+    # keys and names of a state are not paired one by one
+    assert "Contains(key" not in frame._jdf.queryExecution().optimizedPlan().toString()
