@@ -86,7 +86,7 @@ def g7(spark, sf):
     value = value.when(F.col("n") == 4, flag(F.concat(F.lit("Plant x"), text), F.concat(F.lit("Tariff x"), text), F.concat(F.lit("Customer#"), F.lpad(text, 9, "0"), F.lit(" Ltd"))))
     value = value.when(F.col("n") == 5, "Household").when(F.col("n") == 6, F.concat(F.lit("q"), text)).otherwise(F.concat(F.lit("feeder "), F.col("p").cast("string"), F.lit(" of 66 kV")))
     header = F.when(F.col("n") == 4, flag(F.lit("Utility"), F.lit("Consumer Tariff"), F.lit("Utility"))).when(F.col("n") == 6, "11 kV Charge").otherwise("Charge")
-    return recognized(li.select(value.alias("value"), header.alias("header"), F.lit("BUILDING").alias("state")).distinct(), spark, sf)
+    return recognized(written(li.select(value.alias("value"), header.alias("header"), F.lit("BUILDING").alias("state")).distinct(), "triples"), spark, sf)
 
 
 def g10(spark, sf):
