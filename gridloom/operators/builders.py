@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import text as tx
 from gridloom.operators.dictionary import held_names
 from gridloom.operators.normalize import ordered
+from gridloom.operators.running import running
 
 KEY = "report_id"
 
@@ -80,9 +81,10 @@ def wide_to_long_keyed(rows: DataFrame, columns: dict[str, int]) -> DataFrame:
     """
     head = F.lower(F.array_join(F.slice("cells", 1, 3), " ")).contains("utility")
     body = rows.where(~head)
-    body = body.withColumn("state", carry(filled(cell(0)))).withColumn("_named", filled(cell(0)).isNotNull())
-    body = body.withColumn("_seg", F.sum(F.col("_named").cast("int")).over(ordered()))
-    body = body.withColumn("utility", F.coalesce(carry(filled(cell(1)), segment="_seg"), F.lit("state_level"))).withColumn("year", carry(filled(cell(2))))
+    named, own = filled(cell(0)), filled(cell(1))
+    # a row that names a state ends the utility before it
+    body = running(body, last={"state": named, "_utility": F.when(named.isNotNull() | own.isNotNull(), F.struct(own.alias("v"))), "year": filled(cell(2))})
+    body = body.withColumn("utility", F.coalesce("_utility.v", F.lit("state_level")))
     pairs = F.array(*[F.struct(F.lit(k).alias("label"), cell(i).alias("raw")) for k, i in columns.items()])
     long = body.select(KEY, "row_no", "pdf_page", "state", "utility", "year", F.explode(pairs).alias("p")).select(KEY, "row_no", "pdf_page", "state", "utility", "year", "p.label", "p.raw")
     first = Window.partitionBy(KEY, "state", "utility", "year", "label").orderBy("row_no")
@@ -250,9 +252,9 @@ def block_matrix(rows: DataFrame, columns: DataFrame, aliases: DataFrame | None
 
 def nearest_header_column(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """A value column takes the header whose column is closest, the first of equals."""
-    joined = cells.join(headers.select(KEY, F.col("col_idx").alias("h"), "label"), KEY)
-    distance = F.struct(F.abs(F.col("col_idx") - F.col("h")), F.col("h"))
-    return joined.groupBy(*cells.columns).agg(F.min_by("label", distance).alias("nearest_label"))
+    heads = headers.groupBy(KEY).agg(F.collect_list(F.struct(F.col("col_idx").alias("h"), "label")).alias("_heads"))
+    nearest = F.array_min(F.transform("_heads", lambda x: F.struct(F.abs(F.col("col_idx") - x["h"]).alias("d"), x["h"].alias("h"), x["label"].alias("label"))))
+    return cells.join(heads, KEY).select(*cells.columns, nearest["label"].alias("nearest_label"))
 
 
 def simple_matrix(rows: DataFrame, labels: DataFrame) -> DataFrame:

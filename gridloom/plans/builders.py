@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.fixtures import CELLS, grid_body, grid_rows, table
+from gridloom.fixtures import CELLS, grid_body, grid_heads, grid_rows, table
 from gridloom.functions import text as tx
 from gridloom.operators import builders as bd
 from gridloom.plans.normalize import CLEAN, SECT, blocks, clean, filled, labelled, sectioned, utility_names
@@ -15,7 +15,7 @@ VALUE_COLUMNS = {"LT": 4, "11 kV": 5, "33 kV": 6, "132 kV": 7}
 
 
 def header(spark, sf):
-    return grid_rows(spark, sf).where("row_idx = 0 AND pdf_page = 1").select("report_id", F.lit(1).alias("row_no"), "cells")
+    return grid_heads(spark, sf).where("pdf_page = 1").select("report_id", F.lit(1).alias("row_no"), "cells")
 
 
 def labels(spark, sf):
@@ -152,7 +152,7 @@ def i23_group_members(spark, sf):
 QUERIES = {
     "i1_header_labels": labels,
     "i2_wide_to_long": i2_wide_to_long,
-    "i3_wide_to_long_keyed": lambda s, d: bd.wide_to_long_keyed(clean(s, d), VALUE_COLUMNS).drop("charge_unit"),
+    "i3_wide_to_long_keyed": lambda s, d: bd.wide_to_long_keyed(written(clean(s, d), "clean"), VALUE_COLUMNS).drop("charge_unit"),
     "i4_numeric_matrix": lambda s, d: bd.numeric_matrix(clean(s, d), labels(s, d)),
     "i5_year_anchored_rows": lambda s, d: bd.year_anchored_rows(clean(s, d)),
     "i6_drop_shadowed_aggregate": lambda s, d: bd.drop_shadowed_aggregate(shadowed(s, d), ["report_id", "year"], ["n"]),
