@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
 from gridloom.operators.dictionary import held_names, held_words
+from gridloom.operators.running import running
 
 # fixed values: words that no group name holds
 EXCLUDED_WORDS = (
@@ -138,10 +139,10 @@ def detect_section_header(rows: DataFrame, col: int = 1, pattern: str = "(?i)low
 def forward_fill_group(rows: DataFrame, col: int = 0, key: str = "report_id", section: Column | None = None) -> DataFrame:
     """A blank group cell takes the last named one; a section header resets the carry."""
     own = F.when(~tx.is_blank(F.get("cells", F.lit(col))), F.get("cells", F.lit(col)))
-    w = ordered(key)
-    marked = rows.withColumn("_s", F.sum((section if section is not None else F.lit(False)).cast("int")).over(w))
-    carried = F.last(own, ignorenulls=True).over(Window.partitionBy(key, "_s").orderBy("row_no"))
-    return marked.withColumn("state", F.coalesce(carried, F.lit(""))).withColumn("propagated", own.isNull() & carried.isNotNull()).drop("_s")
+    reset = F.coalesce(section, F.lit(False)) if section is not None else F.lit(False)
+    carried = running(rows, last={"_carried": F.when(own.isNotNull() | reset, F.struct(own.alias("v")))}, key=key)
+    state = F.col("_carried.v")
+    return carried.withColumn("state", F.coalesce(state, F.lit(""))).withColumn("propagated", own.isNull() & state.isNotNull()).drop("_carried")
 
 
 def label_rows(rows: DataFrame, header_words: list[str], header_rows: int = 1) -> DataFrame:
@@ -168,7 +169,7 @@ def label_rows(rows: DataFrame, header_words: list[str], header_rows: int = 1) -
 
 def segment_blocks_spanning(rows: DataFrame, starts: Column, key: str = "report_id") -> DataFrame:
     """A new block at every row that names a group; rows before the first are dropped."""
-    return rows.withColumn("block_no", F.sum(starts.cast("int")).over(ordered(key))).where("block_no > 0")
+    return running(rows, sums={"block_no": starts.cast("int")}, key=key).where("block_no > 0")
 
 
 def segment_blocks_column(rows: DataFrame, group: Column, key: str = "report_id") -> DataFrame:

@@ -66,7 +66,7 @@ def states(spark, sf):
 
 
 def filled(spark, sf):
-    return nm.forward_fill_group(clean(spark, sf))
+    return nm.forward_fill_group(written(clean(spark, sf), "clean"))
 
 
 def e9_values(spark, sf):
@@ -90,7 +90,7 @@ def e10_detect_group_in_row(spark, sf):
 def sectioned(spark, sf):
     """The grids with a section line in place of every 50th row."""
     line = F.array(F.lit(""), F.when(F.col("row_no") % 100 == 0, "Low Recovery").otherwise("Medium"), *[F.lit("")] * 6)
-    rows = clean(spark, sf).withColumn("cells", F.when(F.col("row_no") % 50 == 0, line).otherwise(F.col("cells")))
+    rows = written(clean(spark, sf), "clean").withColumn("cells", F.when(F.col("row_no") % 50 == 0, line).otherwise(F.col("cells")))
     return nm.detect_section_header(rows)
 
 
