@@ -33,11 +33,12 @@ MISSING_WORDS = ["n/a", "na", "not applicable", "not available", "--"]
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    # one match from the start on; a search for either end tries every letter
+    return F.regexp_extract(c, r"(?Us)\A\s*(.*\S)?", 1)
 
 
 def is_blank(c: Column) -> Column:
-    return strip(c) == ""
+    return ~c.rlike(r"(?U)\S")
 
 
 def _squeeze(c: Column) -> Column:
@@ -61,6 +62,16 @@ def extract_english(c: Column) -> Column:
     return _squeeze(F.regexp_replace(F.coalesce(c, F.lit("")), DEVANAGARI, ""))
 
 
+def clean_cell(c: Column) -> Column:
+    """E5 and E6 together.
+
+    Most cells are plain, that is printable ASCII between single spaces, without OCR tokens
+    and without marks or slashes at their ends; no rule changes those, so they skip the rules.
+    """
+    plain = c.rlike(r"\A(?:[!-.0-~][ -~]*)?[!-)+-.0-~]\z") & ~F.contains(c, F.lit("  ")) & ~F.contains(c, F.lit("(cid:"))
+    return F.when((c == "") | plain, c).otherwise(extract_english(clean_text(c)))
+
+
 def latin_tokens(c: Column) -> Column:
     """E6, variant: only the tokens with a Latin letter."""
     return F.array_join(F.filter(F.split(F.coalesce(c, F.lit("")), " "), lambda t: t.rlike("[A-Za-z]")), " ")
@@ -117,7 +128,7 @@ def extract_voltage(c: Column) -> Column:
 
 def parse_number(c: Column, annotation: Column | None = None) -> Column:
     """H6: first signed decimal, commas ignored; null where the cell is annotated as no number."""
-    bare = F.regexp_replace(F.coalesce(c, F.lit("")), ",", "")
+    bare = F.replace(F.coalesce(c, F.lit("")), F.lit(","), F.lit(""))
     number = F.regexp_extract(bare, r"[-+]?\d+(?:\.\d+)?", 0).try_cast("double")
     if annotation is None:
         return number

@@ -23,8 +23,9 @@ def header_depth(rows: DataFrame, most: int = 5) -> DataFrame:
     year = lambda c: number(c).between(1990, 2100) | F.trim(c).contains("-") | F.trim(c).contains("/")
     data = F.exists("cells", lambda c: F.coalesce(number(c).isNotNull() & ~year(c), F.lit(False)))
     label = F.col("row_label") if "row_label" in rows.columns else F.lit("")
-    top = rows.select(KEY, "row_no", data.alias("data"), (label != "header").alias("body"))
-    per = top.groupBy(KEY).agg(F.count("*").alias("n"), F.min(F.when(F.col("data") & (F.col("row_no") <= most), F.col("row_no"))).alias("first_data"), F.min(F.when(F.col("body"), F.col("row_no"))).alias("first_body"))
+    # numbers are looked for in the first rows only
+    top = rows.select(KEY, "row_no", F.when(F.col("row_no") <= most, data).alias("data"), (label != "header").alias("body"))
+    per = top.groupBy(KEY).agg(F.count("*").alias("n"), F.min(F.when(F.col("data"), F.col("row_no"))).alias("first_data"), F.min(F.when(F.col("body"), F.col("row_no"))).alias("first_body"))
     detected = F.coalesce(F.col("first_data") - 1, F.least(F.lit(most), F.col("n")))
     labelled = F.coalesce(F.col("first_body") - 1, F.col("n"))
     return per.select(KEY, F.greatest(F.lit(1), F.least(F.greatest(detected, labelled), F.col("n"))).cast("int").alias("depth"))

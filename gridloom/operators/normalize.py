@@ -88,7 +88,7 @@ def cleanup_stats(before: DataFrame, after: DataFrame, key: str = "report_id") -
 
 def clean_cells(rows: DataFrame) -> DataFrame:
     """E5 and E6 on every cell."""
-    return rows.withColumn("cells", F.transform("cells", lambda c: tx.extract_english(tx.clean_text(c))))
+    return rows.withColumn("cells", F.transform("cells", tx.clean_cell))
 
 
 def artifact_counts(rows: DataFrame, key: str = "report_id") -> DataFrame:
