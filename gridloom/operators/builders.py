@@ -138,14 +138,13 @@ def sectioned_values(rows: DataFrame, default_year: str = "2025-26") -> DataFram
 
 def split_multi_value(records: DataFrame, col: str) -> DataFrame:
     """I8: ``1.13 (Partial OA) 1.53 (Full OA)`` becomes one record a value, with its qualifier."""
-    pattern = r"(\d+(?:\.\d+)?)\s*\(([^)]*)\)"
-    pairs = F.arrays_zip(F.regexp_extract_all(col, F.lit(pattern), F.lit(1)).alias("v"), F.regexp_extract_all(col, F.lit(pattern), F.lit(2)).alias("q"))
-    many = F.size(pairs) > 1
-    one = F.array(F.struct(F.lit(None).cast("string").alias("v"), F.lit(None).cast("string").alias("q")))
-    split = records.withColumn("_p", F.when(many, pairs).otherwise(one))
-    split = split.select(*records.columns, F.posexplode("_p").alias("part", "_x"))
-    value = F.coalesce(F.col("_x.v").try_cast("double"), tx.parse_sentinel_number(F.col(col)))
-    return split.select(*records.columns, "part", value.alias("value"), F.col("_x.q").alias("qualifier"))
+    found = records.withColumn("_all", F.regexp_extract_all(col, F.lit(r"\d+(?:\.\d+)?\s*\([^)]*\)"), F.lit(0)))
+    one = F.array(F.lit(None).cast("string"))
+    # the search stands in a column of its own and the rows are split after it, so that a text is searched once
+    split = found.select(*records.columns, F.posexplode(F.when(F.size("_all") > 1, F.col("_all")).otherwise(one)).alias("part", "_x"))
+    number, qualifier = F.regexp_extract("_x", r"^\d+(?:\.\d+)?", 0), F.regexp_extract("_x", r"\(([^)]*)\)", 1)
+    value = F.coalesce(number.try_cast("double"), tx.parse_sentinel_number(F.col(col)))
+    return split.select(*records.columns, "part", value.alias("value"), qualifier.alias("qualifier"))
 
 
 def resolved_utilities(values: DataFrame, aliases: DataFrame, utilities: DataFrame) -> DataFrame:
