@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.sources.scratch import written
+
 KEY = "parameter_id"
 
 
@@ -123,9 +125,26 @@ def validation_report(checks: DataFrame, max_warnings: int = 5, max_errors: int
 
 
 def coverage_summary(records: DataFrame, value: str = "value") -> DataFrame:
-    """Records, the distinct states and utilities, and the share without a value."""
-    names = [F.array_join(F.sort_array(F.collect_set(F.when(~blank(c), F.col(c)))), ",").alias(n) for c, n in (("state", "states"), ("utility", "utilities"))]
-    return records.groupBy(KEY).agg(F.count("*").alias("record_count"), *names, F.count_distinct("utility").alias("utility_count"), F.avg(F.col(value).isNull().cast("double")).alias("null_rate"))
+    """Records, the distinct states and utilities, and the share without a value.
+
+    Records are counted by state and utility once.  The names of a parameter are put in order in
+    ranges of names, many at a time, and a row joins the texts of the ranges, so
+    no task sorts or holds all names of a parameter one by one.
+    """
+    counts = records.groupBy(KEY, "state", "utility").agg(F.count("*").alias("n"), F.count_if(F.col(value).isNull()).alias("empty"))
+    counts = written(counts, "coverage")
+    out = counts.groupBy(KEY).agg(F.sum("n").alias("record_count"), (F.sum("empty") / F.sum("n")).alias("null_rate"))
+    named = lambda c: counts.where(F.col(c).isNotNull()).select(KEY, F.col(c).alias("name")).distinct()
+    names = written(named("state").select(KEY, F.lit("states").alias("field"), "name").unionByName(named("utility").select(KEY, F.lit("utilities").alias("field"), "name")), "names")
+    told = ~blank("name")
+    ranges = names.repartitionByRange(KEY, "field", "name").groupBy(KEY, "field", F.spark_partition_id().alias("range"))
+    part = ranges.agg(F.array_join(F.sort_array(F.collect_list(F.when(told, F.col("name")))), ",").alias("part"), F.min(F.when(told, F.col("name"))).alias("first"), F.count("*").alias("n"))
+    parts = F.sort_array(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "part"))))
+    joined = part.groupBy(KEY, "field").agg(F.array_join(F.transform(parts, lambda p: p["part"]), ",").alias("joined"), F.sum("n").alias("n"))
+    of = lambda field, c: F.coalesce(F.max(F.when(F.col("field") == field, F.col(c))), F.lit("" if c == "joined" else 0))
+    lists = joined.groupBy(KEY).agg(of("states", "joined").alias("states"), of("utilities", "joined").alias("utilities"), of("utilities", "n").alias("utility_count"))
+    full = out.join(lists, out[KEY].eqNullSafe(lists[KEY]), "left").select(out[KEY], "record_count", F.coalesce("states", F.lit("")).alias("states"), F.coalesce("utilities", F.lit("")).alias("utilities"), F.coalesce("utility_count", F.lit(0)).alias("utility_count"), "null_rate")
+    return full
 
 
 def export_gate(records: DataFrame, reports: DataFrame) -> DataFrame:
