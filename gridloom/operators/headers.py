@@ -32,7 +32,7 @@ def header_depth(rows: DataFrame, most: int = 5) -> DataFrame:
 
 
 def header_cells(rows: DataFrame, depths: DataFrame) -> DataFrame:
-    return rows.join(depths, KEY).where("row_no <= depth").select(KEY, "row_no", F.posexplode("cells").alias("col_idx", "cell")).withColumn("cell", tx.strip(F.col("cell")))
+    return rows.join(F.broadcast(depths), KEY).where("row_no <= depth").select(KEY, "row_no", F.posexplode("cells").alias("col_idx", "cell")).withColumn("cell", tx.strip(F.col("cell")))
 
 
 def fill_header_spans(rows: DataFrame, depths: DataFrame) -> DataFrame:
@@ -101,19 +101,26 @@ def cells_in_context(rows: DataFrame, columns: DataFrame, depths: DataFrame, mat
     state column is the first with that role, else the first of all.
     """
     place = columns.groupBy(KEY).agg(F.min(F.when(F.col("role") == "state", F.col("col_idx"))).alias("_s"))
-    base = rows.join(depths, KEY).join(place, KEY, "left").select(KEY, "row_no", "cells", (F.col("row_no") <= F.col("depth")).alias("head"), F.coalesce("_s", F.lit(0)).alias("_s"))
+    # one row a report each
+    base = rows.join(F.broadcast(depths), KEY).join(F.broadcast(place), KEY, "left").select(KEY, "row_no", "cells", (F.col("row_no") <= F.col("depth")).alias("head"), F.coalesce("_s", F.lit(0)).alias("_s"))
     base = base.withColumn("_own", F.when(~F.col("head"), F.get("cells", F.col("_s"))))
-    states = match_states(base.select(F.col("_own").alias("value")).where("value IS NOT NULL").distinct())
+    # most rows leave the state to the rows above; these are joined with nothing, so they meet in no task
+    named, own = F.coalesce(F.col("_own") != "", F.lit(False)), base.select(F.col("_own").alias("value"))
+    states = match_states(own.where("value <> ''").distinct())
     states = states.where("canonical IS NOT NULL").select(F.col("value").alias("_own"), F.col("canonical").alias("state"))
-    cells = base.join(states, "_own", "left").select(KEY, "row_no", "head", "state", F.posexplode("cells").alias("col_idx", "value"))
+    base = base.where(named).join(states, "_own", "left").unionByName(base.where(~named), allowMissingColumns=True)
+    cells = base.select(KEY, "row_no", "head", "state", F.posexplode("cells").alias("col_idx", "value"))
     seen = columns.select(KEY, "col_idx", F.col("display_name").alias("header"), "role", F.col("unit").alias("column_unit"))
     return cells.withColumn("value", tx.strip(F.coalesce("value", F.lit("")))).join(seen, [KEY, "col_idx"], "left")
 
 
+def _says_something() -> Column:
+    return F.coalesce(~F.col("head") & ~F.col("value").isin(*EMPTY_CELLS), F.lit(False))
+
+
 def triples_of(cells: DataFrame) -> DataFrame:
     """The distinct (value, header, state) of the cells that say something."""
-    said = cells.where(~F.col("head") & ~F.col("value").isin(*EMPTY_CELLS))
-    return said.select("value", F.coalesce("header", F.lit("")).alias("header"), F.coalesce("state", F.lit("")).alias("state")).distinct()
+    return cells.where(_says_something()).select("value", F.coalesce("header", F.lit("")).alias("header"), F.coalesce("state", F.lit("")).alias("state")).distinct()
 
 
 def annotate_cells(cells: DataFrame, entities: DataFrame) -> DataFrame:
@@ -124,8 +131,11 @@ def annotate_cells(cells: DataFrame, entities: DataFrame) -> DataFrame:
     charge has its column's unit or ``Rs/kWh``, a percentage ``%``.
     """
     key = {"value": F.col("value"), "header": F.coalesce("header", F.lit("")), "state": F.coalesce("state", F.lit(""))}
-    known = entities.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("entity_type").alias("_type"), F.col("canonical").alias("_name"), F.col("confidence").alias("_sure"))
-    joined = cells.join(known, [c.eqNullSafe(F.col(f"_{k}")) for k, c in key.items()], "left")
+    known = entities.where("entity_type <> 'unknown'").select(*[F.col(k).alias(f"_{k}") for k in key], F.col("entity_type").alias("_type"), F.col("canonical").alias("_name"), F.col("confidence").alias("_sure"))
+    # entities grow with the names in a grid, so both sides are sorted; headers and blanks, of which there are many alike, stay out
+    said = _says_something()
+    joined = cells.where(said).join(known.hint("merge"), [c == F.col(f"_{k}") for k, c in key.items()], "left")
+    joined = joined.unionByName(cells.where(~said), allowMissingColumns=True)
     number = tx.parse_number(F.col("value"))
     found = F.coalesce("_type", F.lit("unknown")) != "unknown"
     share = (F.col("column_unit") == "%") | F.contains("value", F.lit("%"))
