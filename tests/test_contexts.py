@@ -1,6 +1,7 @@
 """Cells in context: blank state cells and large tables of entities in the joins of H5."""
 
 from gridloom.operators import headers as hd
+from gridloom.sources.scratch import written
 from pyspark.sql import functions as F
 
 COLUMNS = "report_id int, col_idx int, display_name string, role string, unit string"
@@ -22,7 +23,7 @@ def test_blank_state_cells_are_joined_with_nothing(spark):
 
 def test_entities_are_not_sent_whole_through_the_driver(spark):
     entities = spark.createDataFrame([("Acme", "Charge", "", "utility", "ACME", 0.9), ("5", "Charge", "Goa", "unknown", None, 0.0)], "value string, header string, state string, entity_type string, canonical string, confidence double")
-    out = hd.annotate_cells(cells_of(spark), entities)
+    out = hd.annotate_cells(cells_of(spark), written(entities, "entities"))
     got = {(r.row_no, r.col_idx): (r.annotation, r.canonical) for r in out.collect()}
     assert got[5, 1] == ("utility", "ACME") and got[2, 1] == ("charge", "5") and got[4, 1] == ("empty", None) and got[1, 1] == ("header", "Charge") and len(got) == 10
     plan = out._jdf.queryExecution().sparkPlan().toString()
