@@ -215,6 +215,8 @@ class ChunkEncoder:
                 flat, count = np.insert(flat, np.cumsum(count), np.uint32(end_id)), count + 1
             flats.append(flat)
             counts.append(count)
+        # Arrow keeps what the words of a slice took, and a worker lives on for other tasks
+        pa.default_memory_pool().release_unused()
         if not flats:
             return np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
         return np.concatenate(flats), np.concatenate(counts)

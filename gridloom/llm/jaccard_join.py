@@ -187,6 +187,8 @@ def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 *(pa.array([m[2][k][i] for m in made], pa.int32()) for k in range(2) for i in range(3)),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MADE.split(", ")])
+        # the worker lives on for other tasks
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("uid"), "text").mapInArrow(rows, MADE)
 

@@ -168,3 +168,18 @@ def test_shards_grow_in_number_with_the_text(docs, monkeypatch):
     ids = sorted((r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_file_digest(docs, tokenizer_path(), length=16).collect())
     monkeypatch.setattr(token_files, "SHARD_BYTES", 1 << 30)
     assert ids == sorted((r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_file_digest(docs, tokenizer_path(), length=16).collect())
+
+
+def test_encoder_gives_memory_back():
+    """What Arrow took for the words of a batch does not stay with the worker."""
+
+    def held() -> int:
+        lines = open("/proc/self/smaps_rollup").read().splitlines()
+        return sum(int(line.split()[1]) for line in lines if line.startswith("Pss_Anon")) // 1024
+
+    texts = pa.array([" ".join(f"w{k % 5000}" for k in range(i, i + 2000)) for i in range(2000)])
+    tool = packing.encoder(tokenizer_path())
+    tool.encode_flat(texts)
+    before = held()
+    pa.default_memory_pool().release_unused()
+    assert before - held() < 16
