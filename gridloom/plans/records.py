@@ -12,7 +12,7 @@ from gridloom.operators import search as sr
 from gridloom.plans.index import WITH_INDEX, WITH_TITLES
 from gridloom.plans.normalize import CLEAN, blocks, clean
 from gridloom.sources import writers
-from gridloom.sources.scratch import new_path
+from gridloom.sources.scratch import new_path, written
 
 FIELDS = ["state", "utility", "year", "unit"]
 
@@ -197,7 +197,8 @@ def m3_stream_whole_index(spark, sf):
     from gridloom.streaming.pages import whole_index_available
 
     at = lambda minutes: F.timestamp_seconds(F.lit(1_700_000_000 + 60 * minutes)).alias("arrived")
-    pages = report_pages(spark, sf).select("report_id", "pdf_page", "page_text")
+    # numbering the pages takes a window over a source, so they are written before they are delivered
+    pages = written(report_pages(spark, sf).select("report_id", "pdf_page", "page_text"), "pages")
     tables = pages.where("pdf_page % 3 = 0").select("report_id", "pdf_page", F.lit(1).alias("table_idx"))
     pause = pages.select(F.lit(None).cast("string").alias("report_id"), F.lit(0).alias("pdf_page"), F.lit("").alias("page_text"), at(3000)).limit(1)
     root = new_path(spark, "stream")

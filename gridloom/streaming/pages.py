@@ -47,8 +47,10 @@ def stream_page_index(pages: DataFrame, tables: DataFrame, late: str = "1 hour")
     order and repeatedly.  A page waits ``late`` for its tables; rows with a null
     report_id move the time on where no more pages come.
     """
-    first = _first_arrivals(pages, ["report_id", "pdf_page"], late)
-    page = first.select("report_id", "pdf_page", F.col("arrived").alias("seen"), F.length("page_text").cast("long").alias("text_length"), page_titles(F.col("page_text")).alias("titles"))
+    # read before pages are told apart, so that no text is shuffled
+    read = pages.select("report_id", "pdf_page", "arrived", F.length("page_text").cast("long").alias("text_length"), page_titles(F.col("page_text")).alias("titles"))
+    first = _first_arrivals(read, ["report_id", "pdf_page"], late)
+    page = first.select("report_id", "pdf_page", F.col("arrived").alias("seen"), "text_length", "titles")
     found = _first_arrivals(tables, ["report_id", "pdf_page", "table_idx"], late)
     found = found.select(F.col("report_id").alias("_r"), F.col("pdf_page").alias("_p"), "table_idx", F.col("arrived").alias("found"))
     near = F.expr(f"found >= seen - interval {late} AND found <= seen + interval {late}")
