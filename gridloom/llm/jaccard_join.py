@@ -54,14 +54,15 @@ _FILTER_BITS, _MOST_SLOTS = 32, 1 << 31
 _FIRST_BLOCKS = 6
 #: Parts of the key space that are joined one after the other, for each key that a shingle has.
 _ROUNDS = 12
-#: Parts of the sets whose pairs are counted one after the other.
-_PAIR_ROUNDS = 4
 #: Keys of more open classes are hot.
 _HOT = 16
 #: When more pairs than this would come of a key, its sketches are compared in blocks.
 _MANY_PAIRS = 2048
 #: Words of the short sketch that is compared before the long one.
 _FOLD = 4
+_SHORT = [f"f{k}" for k in range(_FOLD)]
+#: Rows whose sets a worker holds at once.
+_ROWS_AT_ONCE = 1000
 #: Most rows of one side of such a block.
 _BLOCK = 2048
 
@@ -133,6 +134,14 @@ def _room(total: Column, similarity: Fraction) -> Column:
     return F.floor(total * (den - num) / F.lit(den + num) + 1e-9)
 
 
+def _may_link(similarity: Fraction) -> Column:
+    """Whether sizes and short sketches of ``u_`` and ``v_`` columns leave room for the similarity."""
+    num, den = similarity.numerator, similarity.denominator
+    low, high = F.least("u_n_shingles", "v_n_shingles"), F.greatest("u_n_shingles", "v_n_shingles")
+    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in _SHORT), F.lit(0))
+    return (low * den >= high * num) & (apart <= _room(low + high, similarity))
+
+
 def sketches_of(shingles: np.ndarray, bands: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> tuple[int, list[np.ndarray], list[tuple[int, int, int]]]:
     """Own band; sketch there, and in the next band if a partner may lie there; what is left out in both."""
     lows, blocks = bands
@@ -163,6 +172,13 @@ def _set_names(shingles: np.ndarray) -> tuple[int, int]:
     return first or 1, second
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shorter batches, as the sets of a long one take several times the room of its texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(at, _ROWS_AT_ONCE)
+
+
 MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, level int, dropped int, spare int, next_level int, next_dropped int, next_spare int"
 
 
@@ -171,7 +187,7 @@ def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = size_bands(similarity)
-        for batch in batches:
+        for batch in _in_parts(batches):
             sets = [shingle_hashes(t.as_py(), width) for t in batch.column("text")]
             made = [sketches_of(s, bands, similarity) for s in sets]
             names = np.array([_set_names(s) for s in sets], dtype=np.int64).reshape(-1, 2)
@@ -279,7 +295,6 @@ def _sketches_of_sets(sketches: DataFrame, classes: DataFrame, ids: DataFrame, k
 
 def _close(pairs: DataFrame, sketches: DataFrame, classes: DataFrame, similarity: Fraction, keep) -> DataFrame:
     """The pairs (u, v) whose sketches, and sizes, leave room for the similarity."""
-    num, den = similarity.numerator, similarity.denominator
 
     def both(rows: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
         u = table.select(F.col("set_id").alias("u"), *[F.col(c).alias(f"u_{c}") for c in names])
@@ -287,11 +302,8 @@ def _close(pairs: DataFrame, sketches: DataFrame, classes: DataFrame, similarity
         return rows.join(v, "v").join(u, "u")
 
     # sizes and short sketches first, so that few pairs carry their long ones
-    short = [f"f{k}" for k in range(_FOLD)]
-    low, high = F.least("u_n_shingles", "v_n_shingles"), F.greatest("u_n_shingles", "v_n_shingles")
-    room, step = _room(low + high, similarity), F.col("v_band") - F.col("u_band")
-    apart = sum((F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in short), F.lit(0))
-    some = both(pairs, classes, ["n_shingles", "band", *short]).where((low * den >= high * num) & (F.abs(step) <= 1) & (apart <= room))
+    room, step = _room(F.col("u_n_shingles") + F.col("v_n_shingles"), similarity), F.col("v_band") - F.col("u_band")
+    some = both(pairs, classes, ["n_shingles", "band", *_SHORT]).where(_may_link(similarity) & (F.abs(step) <= 1))
     some = keep(some.select("u", "v", room.alias("room"), step.alias("step")), "short")
 
     held = _sketches_of_sets(sketches, classes, some.select(F.col("u").alias("set_id")).union(some.select("v")), keep)
@@ -310,7 +322,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     ids = IdFilter(wanted, "first_id")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_parts(batches):
             kept = batch.filter(pa.array(ids.hits(batch)))
             sets = [shingle_hashes(t.as_py(), width) for t in kept.column("text")]
             names = np.array([_set_names(s) for s in sets], dtype=np.int64).reshape(-1, 2)
@@ -336,16 +348,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return pairs.join(v, "v").join(u, "u").where((den + num) * both >= num * total).select("u", "v")
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, similarity: Fraction) -> DataFrame:
     """Pairs (u, v) of hot keys in different components, one of them outside the main component.
 
     Those that share a cold key, or one of a large group, are found by that, so these
     must share all their keys here, and more than the smaller of their spare ones.
     """
-    rest = members.where("root <> main").select("key", F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"), F.col("spare").alias("su"))
-    other = members.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"), F.col("later").alias("lv"), F.col("spare").alias("sv"), (F.col("root") == F.col("main")).alias("mv"))
+    short = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("n_shingles", *_SHORT)]
+    rest = members.where("root <> main").select("key", F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"), F.col("spare").alias("su"), *short("u"))
+    other = members.select("key", F.col("set_id").alias("v"), F.col("root").alias("rv"), F.col("later").alias("lv"), F.col("spare").alias("sv"), (F.col("root") == F.col("main")).alias("mv"), *short("v"))
     # of two sets outside the main component only one order counts
-    pairs = rest.join(other, "key").where("ru <> rv AND NOT (lu AND lv) AND (mv OR u < v)")
+    pairs = rest.join(other, "key").where("ru <> rv AND NOT (lu AND lv) AND (mv OR u < v)").where(_may_link(similarity))
     pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.least("su", "sv").alias("spare"))
     return pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("spare").alias("spare")).where("n > spare").select("u", "v")
 
@@ -411,33 +424,30 @@ def _pairs_with_enough(cold: DataFrame, sets: DataFrame, similarity: Fraction, k
 
     Two sets that link agree in more blocks than either can spare; of these only hot
     ones are not here, no more than either set has.  A pair of sets that both keep their
-    hot keys is taken here with any key, or found by hot keys alone.  Pairs are counted
-    for a part of the sets at a time, so that few rows lie on disk at once.
+    hot keys is taken here with any key, or found by hot keys alone.
+
+    Passages of many documents give pairs whose number grows with the square of the
+    table.  Every row carries its set's short sketch, so nearly all of them are dropped
+    where a key is joined, before anything is written of them.
     """
-    num, den = similarity.numerator, similarity.denominator
     most = (1 << 16) - 1
-    # size, band, keys to spare and hot keys, in one number; a longer count only makes more pairs pass
-    told = F.col("n_shingles") * (1 << 33) + F.col("later").cast("long") * (1 << 32) + F.least("spare", F.lit(most - 1)).cast("long") * (1 << 16) + F.least("hot", F.lit(most))
-    rows = keep(cold.join(sets.select("set_id", "later", told.alias("told")), ["set_id", "later"]).select("key", "set_id", "root", "told"), "cold")
+    # band, keys to spare and hot keys, in one number; a longer count only makes more pairs pass
+    told = F.col("later").cast("long") * (1 << 32) + F.least("spare", F.lit(most - 1)).cast("long") * (1 << 16) + F.least("hot", F.lit(most))
+    carried = ["set_id", "root", "told", "n_shingles", *_SHORT]
+    rows = keep(cold.join(sets.select("set_id", "later", told.alias("told"), "n_shingles", *_SHORT), ["set_id", "later"]).select("key", *carried), "cold")
 
     def of(x: str) -> tuple[Column, ...]:
         told = F.col(f"{x}_told")
-        return F.shiftright(told, 33), told.bitwiseAND(1 << 32) != 0, F.shiftright(told, 16).bitwiseAND(most), told.bitwiseAND(most)
+        return told.bitwiseAND(1 << 32) != 0, F.shiftright(told, 16).bitwiseAND(most), told.bitwiseAND(most)
 
-    (u_size, u_later, u_spare, u_hot), (v_size, v_later, v_spare, v_hot) = of("u"), of("v")
-    fits = (F.least(u_size, v_size) * den >= F.greatest(u_size, v_size) * num) & ~(u_later & v_later)
+    (u_later, u_spare, u_hot), (v_later, v_spare, v_hot) = of("u"), of("v")
     light = (u_hot <= u_spare) | (v_hot <= v_spare)
     must = F.when(light, F.greatest(F.least(u_spare, v_spare) + 1 - F.least(u_hot, v_hot), F.lit(1))).otherwise(1)
-    found = []
-    for part in range(_PAIR_ROUNDS):
-        u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("set_id", "root", "told")]) for x in "uv")
-        u = u.where(F.pmod(F.xxhash64("u_set_id"), F.lit(_PAIR_ROUNDS)) == part)
-        with scratch(cold.sparkSession, "counts") as _:
-            pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root").where(fits)
-            pairs = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), must.alias("must"))
-            counted = pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("must").alias("must"))
-            found.append(keep(counted.where("n >= must").select("u", "v"), "pairs"))
-    return reduce(DataFrame.unionByName, found)
+    u, v = (rows.select("key", *[F.col(c).alias(f"{x}_{c}") for c in carried]) for x in "uv")
+    pairs = u.join(v, "key").where("u_set_id < v_set_id AND u_root <> v_root").where(~(u_later & v_later) & _may_link(similarity))
+    pairs = pairs.select(F.col("u_set_id").alias("u"), F.col("v_set_id").alias("v"), must.alias("must"))
+    counted = pairs.groupBy("u", "v").agg(F.count("*").alias("n"), F.min("must").alias("must"))
+    return keep(counted.where("n >= must").select("u", "v"), "pairs")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
@@ -461,7 +471,7 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     spark = docs.sparkSession
     classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(
         F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"),
-        *[F.max(c).alias(c) for c in ("n_shingles", "band", "level", "dropped", "spare", "next_level", "next_dropped", "next_spare", "f0", "f1", "f2", "f3")],
+        *[F.max(c).alias(c) for c in ("n_shingles", "band", "level", "dropped", "spare", "next_level", "next_dropped", "next_spare", *_SHORT)],
     )
     classes = hold(classes.withColumn("name", F.col("set_id")), "classes")
     sketches, classes = _told_apart(sketches, classes)
@@ -489,7 +499,7 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
         hot = open_.where("many")
         counts = hot.groupBy("set_id", "later").agg(F.count("*").alias("hot"))
         sets = [
-            classes.select("set_id", "n_shingles", (F.col("band") + int(later)).alias("band"), *[F.col(f"{own}{c}").alias(c) for c in ("level", "dropped", "spare")], F.lit(later).alias("later"))
+            classes.select("set_id", "n_shingles", *_SHORT, (F.col("band") + int(later)).alias("band"), *[F.col(f"{own}{c}").alias(c) for c in ("level", "dropped", "spare")], F.lit(later).alias("later"))
             for own, later in (("", False), ("next_", True))
         ]
         sets = sets[0].unionByName(sets[1]).join(counts, ["set_id", "later"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
@@ -500,17 +510,17 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")
             nodes = components(links)
 
-        heavy = sets.where("hot > spare").select("set_id", "later", "spare")
+        heavy = sets.where("hot > spare").select("set_id", "later", "spare", "n_shingles", *_SHORT)
         placed = keep(_rooted(hot.select("key", "set_id", "later").join(heavy, ["set_id", "later"]), nodes), "hot")
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
         mains = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
         mains = mains.where("n > most").withColumn("many", (F.col("n") - F.col("most")) * F.col("n") > _MANY_PAIRS)
         held = keep(placed.join(mains, "key"), "hot-open")
         if not held.isEmpty():
-            near = _close(keep(_across(held.where("NOT many")), "few-pairs"), sketches, classes, similarity, keep)
+            near = _close(keep(_across(held.where("NOT many"), similarity), "few-pairs"), sketches, classes, similarity, keep)
             many = held.where("many")
             if not many.isEmpty():
-                some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep).join(classes.select("set_id", "n_shingles"), "set_id")
+                some = _sketches_of_sets(sketches, classes, many.select("set_id"), keep)
                 near = near.union(_close_in_blocks(many, some, similarity))
             near = keep(near.distinct(), "hot-near")
             links = hold(links.unionByName(_verified(near, docs, classes, width, similarity, keep)), "links")

@@ -5,10 +5,12 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from gridloom.llm import decontaminate, embedding_dedup, jaccard_join
 from gridloom.llm.embedding_dedup import link_vectors
 from gridloom.llm.graph import components
+from gridloom.llm.storage import scratch
 from gridloom.llm.words import shingle_hashes, word_hashes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -124,6 +126,25 @@ def test_jaccard_of_hot_keys_in_blocks(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
 
 
+def test_pairs_of_a_shared_passage_are_dropped_unwritten(spark):
+    """A key of sets that are far apart gives no pair, however few keys it asks for."""
+    cold = spark.createDataFrame([(1, s, False, s) for s in (1, 2, 3)], "key long, set_id long, later boolean, root long")
+    short = {1: (7, 0, 0, 0), 2: (3, 0, 0, 0), 3: (-1, -1, -1, -1)}
+    sets = spark.createDataFrame([(s, False, 100, 2, 0, 0, *f) for s, f in short.items()], "set_id long, later boolean, n_shingles long, band int, spare int, hot long, f0 long, f1 long, f2 long, f3 long")
+    with scratch(spark, "pairs") as keep:
+        got = jaccard_join._pairs_with_enough(cold, sets, Fraction(4, 5), keep).collect()
+    assert [(r.u, r.v) for r in got] == [(1, 2)]
+
+
+def test_sketching_holds_few_sets_at_once(spark, monkeypatch):
+    """Long batches of texts are worked off in short ones, with the same rows."""
+    monkeypatch.setattr(jaccard_join, "_ROWS_AT_ONCE", 7)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20))], ["doc_id"])
+    parts = list(jaccard_join._in_parts(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [7, 7, 6]
+    assert [x for p in parts for x in p.column("doc_id").to_pylist()] == list(range(20))
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
