@@ -176,14 +176,17 @@ def check_contracts(pages: DataFrame, rows: DataFrame, ranges: DataFrame, record
     """
     p = pages.groupBy("report_id").agg(F.min("pdf_page").alias("a"), F.max("pdf_page").alias("b"), F.count_distinct("pdf_page").alias("n"))
     w = rows.groupBy("report_id").agg(F.count_distinct(F.size("cells")).alias("widths"), F.max("row_no").alias("b"), F.count("*").alias("n"))
+
+    def broken(table: DataFrame, item: str, **rules: Column | str) -> DataFrame:
+        """One row for each rule that a row breaks; the table is read once for all."""
+        names = [F.when(F.expr(r) if isinstance(r, str) else r, F.lit(rule)) for rule, r in rules.items()]
+        return table.select(F.col(item).cast("string").alias("report_id"), F.explode(F.array_compact(F.array(*names))).alias("rule_id"))
+
     found = [
-        p.where("a <> 1 OR b <> n").select(F.col("report_id").cast("string"), F.lit("pages_contiguous").alias("rule_id")),
-        w.where("widths > 1").select(F.col("report_id").cast("string"), F.lit("equal_widths").alias("rule_id")),
-        w.where("b <> n").select(F.col("report_id").cast("string"), F.lit("rows_numbered").alias("rule_id")),
-        ranges.where("start_page > end_page").select(F.col("report_id").cast("string"), F.lit("range_ordered").alias("rule_id")),
-        ranges.where("length <> end_page - start_page + 1").select(F.col("report_id").cast("string"), F.lit("range_length").alias("rule_id")),
-        records.where(~F.col("record_id").rlike(id_pattern)).select(F.col("record_id").alias("report_id"), F.lit("id_pattern").alias("rule_id")),
-        records.where("confidence NOT BETWEEN 0 AND 1").select(F.col("record_id").alias("report_id"), F.lit("confidence_range").alias("rule_id")),
+        broken(p, "report_id", pages_contiguous="a <> 1 OR b <> n"),
+        broken(w, "report_id", equal_widths="widths > 1", rows_numbered="b <> n"),
+        broken(ranges, "report_id", range_ordered="start_page > end_page", range_length="length <> end_page - start_page + 1"),
+        broken(records, "record_id", id_pattern=~F.col("record_id").rlike(id_pattern), confidence_range="confidence NOT BETWEEN 0 AND 1"),
         # a catalog is a small dimension, so one task may hold it
         names.withColumn("_b", F.lag("name").over(Window.orderBy("position"))).where("_b > name").select(F.col("name").alias("report_id"), F.lit("catalog_sorted").alias("rule_id")),
     ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.fixtures import WITH_PAGES, report_pages, table
+from gridloom.fixtures import WITH_PAGES, dealt, report_pages, table
 from gridloom.operators import export as kx
 from gridloom.operators import incremental as inc
 from gridloom.operators import quality as ql
@@ -23,7 +23,9 @@ def facts(spark, sf):
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     state = F.when(k % 31 == 0, "").when(k % 37 == 0, F.concat("c_mktsegment", F.lit("X"))).otherwise(F.col("c_mktsegment"))
     utility = F.when(k % 41 == 0, "state_level").when(k % 53 == 0, "Col 3").when(k % 59 == 0, "N/A").otherwise(F.col("c_name"))
-    return li.join(o, F.expr("l_orderkey = o_orderkey")).join(c, F.expr("o_custkey = c_custkey")).select(
+    n = o.count()
+    ordered = dealt(dealt(li, n, "l_orderkey").join(o, F.expr("l_orderkey = o_orderkey")), n, "o_custkey")
+    return ordered.join(c, F.expr("o_custkey = c_custkey")).select(
         F.concat("l_returnflag", "l_linestatus").alias("parameter_id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), (F.col("l_linenumber") % 5).cast("string")).alias("record_id"),
         state.alias("state"), utility.alias("utility"),
@@ -232,7 +234,7 @@ def contract_rows(spark, sf):
 
 
 def j15_check_contracts(spark, sf):
-    rows = contract_rows(spark, sf)
+    rows = written(contract_rows(spark, sf), "grid")
     pages = report_pages(spark, sf).where("NOT (report_id IN ('src3', 'src9') AND pdf_page = 5)")
     ranges = rows.select("report_id").distinct().select("report_id", F.lit(5).alias("start_page"), (F.col("report_id") % 9).alias("end_page"))
     ranges = ranges.withColumn("length", F.col("end_page") - 4 + F.when(F.col("report_id") % 4 == 0, 1).otherwise(0))
