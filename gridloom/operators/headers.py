@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import text as tx
 
 KEY = "report_id"
+#: Header rows that are looked for where no row is labelled.
+MOST_HEADER_ROWS = 5
 # fixed values: words that tell a column's role, in order
 ROLE_WORDS = [
     ("utility", r"utility|discom|licensee"),
@@ -17,7 +19,7 @@ ROLE_WORDS = [
 ]
 
 
-def header_depth(rows: DataFrame, most: int = 5) -> DataFrame:
+def header_depth(rows: DataFrame, most: int = MOST_HEADER_ROWS) -> DataFrame:
     """H1: leading rows labelled header, or leading rows of the first ``most`` without a number that is no year; 1 at least."""
     number = lambda c: F.regexp_replace(F.trim(c), "[,%]", "").try_cast("double")
     year = lambda c: number(c).between(1990, 2100) | F.trim(c).contains("-") | F.trim(c).contains("/")

@@ -125,8 +125,11 @@ def f5(spark, sf):
     return ly.route_parser(classed, bound, parsers=parsers, name="name")
 
 
-def two_headers(spark, sf):
-    """Merged grids under a header of two rows with spans, of three in every third report, which differs from report to report."""
+def two_headers(spark, sf, most=None):
+    """Merged grids under a header of two rows with spans, of three in every third report, which differs from report to report.
+
+    With ``most``, only so many first rows of a grid are cleaned and written.
+    """
     r = F.col("report_id")
     even = r % 2 == 0
     top = [F.when(r % 5 == 0, "").otherwise("State"), "Utility", F.when(even, "2024-25").otherwise("2025-26"), "", F.when(r % 4 < 3, "Charge (Rs/kWh)").otherwise("Surcharge %"), "", "Charge Rs/kW/month", ""]
@@ -136,6 +139,9 @@ def two_headers(spark, sf):
     line = lambda cells: F.array(*[c if isinstance(c, F.Column) else F.lit(c) for c in cells])
     charge = F.transform("cells", lambda c, i: F.when((i == 4) & (c == ""), "1").otherwise(c))
     body = clean(spark, sf).select("report_id", (F.col("row_no") + depth).alias("row_no"), charge.alias("cells"))
+    if most:
+        # the first row of every grid is among them, so no report is lost
+        body = written(body.where(F.col("row_no") <= most), "top")
     ids = body.select("report_id").distinct()
     rows = F.filter(F.array(line(top), line(low), line(last)), lambda x, i: i < depth)
     head = ids.select("report_id", F.posexplode(rows).alias("row_no", "cells")).withColumn("row_no", F.col("row_no") + 1)
@@ -143,7 +149,8 @@ def two_headers(spark, sf):
 
 
 def filled_headers(spark, sf):
-    rows = two_headers(spark, sf)
+    """Rows without labels have a header of ``MOST_HEADER_ROWS`` at most, and rows are numbered from 1, so it is all in the first ones."""
+    rows = two_headers(spark, sf, hd.MOST_HEADER_ROWS)
     return hd.fill_header_spans(rows, hd.header_depth(rows))
 
 

@@ -2,7 +2,7 @@
 
 from gridloom import fixtures
 from gridloom.operators import quality as ql
-from gridloom.plans import records
+from gridloom.plans import layouts, records
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,13 @@ def test_large_grids_and_facts_are_dealt_by_their_rows(spark, monkeypatch):
     assert [sorted(map(str, t.collect())) for t in (body, facts)] == small
 
 
+def test_only_the_first_rows_are_read_for_headers(spark):
+    rows = layouts.two_headers(spark, SF, 5)
+    assert max(r.row_no for r in rows.collect()) == 5
+    whole = layouts.hd.header_depth(layouts.two_headers(spark, SF))
+    assert sorted(map(tuple, layouts.hd.header_depth(rows).collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_contracts_read_every_table_once(spark, tmp_path):
     make = lambda name, rows, schema: (spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name)), spark.read.parquet(str(tmp_path / name)))[1]
     pages = make("pages", [("r", 1), ("r", 3)], "report_id string, pdf_page int")
