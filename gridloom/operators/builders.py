@@ -39,11 +39,13 @@ def header_labels(header: DataFrame) -> DataFrame:
     return joined.withColumn("label", F.when(F.col("label") == "", F.concat(F.lit("Col "), F.col("col_idx").cast("string"))).otherwise(F.col("label")))
 
 
-def melt(rows: DataFrame, labels: DataFrame, first: int = 1) -> DataFrame:
-    """Numeric cells from column ``first`` on, with the label of their column."""
-    cells = rows.select(KEY, "row_no", "pdf_page", "cells", F.posexplode("cells").alias("col_idx", "cell"))
-    cells = cells.where(F.col("col_idx") >= first).withColumn("value", tx.parse_number(F.col("cell"))).where("value IS NOT NULL")
-    return cells.join(labels, [KEY, "col_idx"])
+def melt(rows: DataFrame, labels: DataFrame, first: int = 1, kept: tuple[str, ...] = ("cells",)) -> DataFrame:
+    """Numeric cells from column ``first`` on, with the label of their column and the ``kept`` columns of their row."""
+    later = F.slice("cells", first + 1, F.greatest(F.size("cells"), F.lit(1)))
+    cells = rows.select(KEY, "row_no", "pdf_page", *kept, F.posexplode(later).alias("col_idx", "cell")).withColumn("col_idx", F.col("col_idx") + first)
+    cells = cells.withColumn("value", tx.parse_number(F.col("cell"))).where("value IS NOT NULL")
+    # one row a report and column
+    return cells.join(F.broadcast(labels), [KEY, "col_idx"])
 
 
 def with_utility(records: DataFrame, names: DataFrame, column: str = "category") -> DataFrame:
@@ -52,25 +54,30 @@ def with_utility(records: DataFrame, names: DataFrame, column: str = "category")
     texts = records.select(F.lower(column).alias("text")).where("text <> ''").distinct()
     held = held_names(texts, known.select("name").distinct()).join(known, "name")
     held = held.groupBy(F.col("text").alias("_text")).agg(F.min_by("canonical", F.struct("priority", "canonical")).alias("_found"))
-    joined = records.join(held, F.lower(column) == F.col("_text"), "left")
+    # blank texts, of which there may be many, meet in no task
+    named = F.coalesce(F.col(column) != "", F.lit(False))
+    joined = records.where(named).join(held, F.lower(column) == F.col("_text"), "left").unionByName(records.where(~named), allowMissingColumns=True)
     return joined.withColumn("utility", F.coalesce("_found", F.lit("state_level"))).drop("_text", "_found")
 
 
 def wide_to_long(rows: DataFrame, labels: DataFrame, first: int = 4, names: DataFrame | None = None) -> DataFrame:
     """Every numeric cell with category, subcategory, voltage, year, unit and provenance, and its utility where catalog names are given."""
     sub = labels.where("col_idx = 1").select(KEY, F.lower("label").contains("category").alias("has_sub"))
-    out = melt(rows, labels, first).join(sub, KEY, "left")
     year = F.get(F.filter("cells", lambda c: c.rlike(r"^\d{4}-\d{2}$")), F.lit(0))
-    out = out.select(
-        KEY, "row_no", "pdf_page", "col_idx",
-        tx.strip(cell(0)).alias("category"),
-        F.when(F.col("has_sub"), tx.strip(cell(1))).otherwise("").alias("subcategory"),
-        tx.extract_voltage(F.col("label")).alias("voltage_level"),
-        year.alias("year"),
+    # what belongs to a row is found once, not for each of its cells
+    rows = rows.withColumns({"category": tx.strip(cell(0)), "subcategory": tx.strip(cell(1)), "year": year})
+    found = [] if names is None else ["utility"]
+    if found:
+        rows = with_utility(rows, names)
+    voltages = labels.withColumn("voltage_level", tx.extract_voltage(F.col("label")))
+    out = melt(rows, voltages, first, ("category", "subcategory", "year", *found)).join(F.broadcast(sub), KEY, "left")
+    return out.select(
+        KEY, "row_no", "pdf_page", "col_idx", "category",
+        F.when(F.col("has_sub"), F.col("subcategory")).otherwise("").alias("subcategory"),
+        "voltage_level", "year",
         tx.extract_unit(F.concat_ws(" ", "label", "cell")).alias("charge_unit"),
-        "label", "value",
+        "label", "value", *found,
     )
-    return out if names is None else with_utility(out, names)
 
 
 def wide_to_long_keyed(rows: DataFrame, columns: dict[str, int]) -> DataFrame:

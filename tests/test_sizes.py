@@ -1,6 +1,7 @@
 """Work that must not grow faster than the tables: partitions, and what is read how often."""
 
 from gridloom import fixtures
+from gridloom.operators import builders as bd
 from gridloom.operators import quality as ql
 from gridloom.plans import layouts, records
 
@@ -30,6 +31,25 @@ def test_only_the_first_rows_are_read_for_headers(spark):
     assert sorted(map(tuple, layouts.hd.header_depth(rows).collect())) == sorted(map(tuple, whole.collect()))
 
 
+def test_what_belongs_to_a_row_is_found_before_the_melt(spark):
+    df = spark.createDataFrame([(1, 1, 2, ["Goa", "", "2024-25", "", "7", "x", "8"])], "report_id int, row_no int, pdf_page int, cells array<string>")
+    labels = spark.createDataFrame([(1, i, f"L{i}") for i in range(7)], "report_id int, col_idx int, label string")
+    out = bd.wide_to_long(df, labels)
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    above = text[: text.index("Generate posexplode")]
+    assert r"\d{4}-\d{2}" in text and r"\d{4}-\d{2}" not in above
+    assert [(r.col_idx, r.category, r.year, r.value) for r in sorted(out.collect(), key=lambda r: r.col_idx)] == [(4, "Goa", "2024-25", 7.0), (6, "Goa", "2024-25", 8.0)]
+
+
+def test_blank_categories_meet_in_no_join(spark):
+    df = spark.createDataFrame([(i, "" if i else "GoaX") for i in range(9)] + [(9, None)], "i int, category string")
+    names = spark.createDataFrame([("goa", 1)], "canonical string, priority int")
+    out = bd.with_utility(df, names)
+    top = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Union" in top
+    assert sorted((r.i, r.utility) for r in out.collect()) == [(0, "goa"), *[(i, "state_level") for i in range(1, 10)]]
+
+
 def test_contracts_read_every_table_once(spark, tmp_path):
     make = lambda name, rows, schema: (spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name)), spark.read.parquet(str(tmp_path / name)))[1]
     pages = make("pages", [("r", 1), ("r", 3)], "report_id string, pdf_page int")
