@@ -24,20 +24,21 @@ def candidate_tables(rows: DataFrame) -> DataFrame:
 def select_primary_table(rows: DataFrame, heuristic: str = "largest_area", index: int = 0) -> DataFrame:
     """The rows of one table a page: the largest (first of equals), the first, or by index.
 
-    Shapes and places of tables are windows over a page, so the rows are dealt once.
+    Tables are counted first, and one a page is joined back by hashing, so no task sorts
+    or keeps rows; ``rows`` are read twice and should be written.
     """
-    page, one = Window.partitionBy(*PAGE), Window.partitionBy(*PAGE, "table_idx")
+    tables = rows.groupBy(*PAGE, "table_idx").agg((F.count("*") * F.max(F.size("cells"))).alias("_area"))
     if heuristic == "largest_area":
-        shaped = rows.withColumn("_area", F.count("*").over(one) * F.max(F.size("cells")).over(one))
-        best = F.max(F.struct("_area", (-F.col("table_idx")).alias("_first"))).over(page)
-        chosen = shaped.withColumn("_best", -best["_first"])
+        best = F.max(F.struct("_area", (-F.col("table_idx")).alias("_first")))
+        chosen = tables.groupBy(*PAGE).agg((-best["_first"]).alias("_best"))
     else:
-        placed = rows.withColumn("_place", F.dense_rank().over(page.orderBy("table_idx")) - 1)
+        page = Window.partitionBy(*PAGE)
         wanted = 0 if heuristic == "first_table" else index
-        there = F.max("_place").over(page) >= wanted
-        place = F.when(there, F.lit(wanted)).otherwise(0)
-        chosen = placed.withColumn("_best", F.when(F.col("_place") == place, F.col("table_idx")))
-    return chosen.where(F.col("table_idx") == F.col("_best")).select(rows.columns)
+        placed = tables.withColumn("_place", F.dense_rank().over(page.orderBy("table_idx")) - 1).withColumn("_last", F.max("_place").over(page))
+        chosen = placed.where(F.col("_place") == F.when(F.col("_last") >= wanted, F.lit(wanted)).otherwise(0)).select(*PAGE, F.col("table_idx").alias("_best"))
+    chosen = chosen.select(*[F.col(c).alias(f"_{c}") for c in PAGE], "_best").hint("shuffle_hash")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PAGE]
+    return rows.join(chosen, [*same, F.col("table_idx") == F.col("_best")], "left_semi")
 
 
 def extract_in_range(rows: DataFrame, pages: DataFrame, ranges: DataFrame) -> DataFrame:

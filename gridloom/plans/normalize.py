@@ -161,9 +161,9 @@ sf AS (SELECT *, coalesce(last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITIO
 
 QUERIES = {
     "d1_candidate_tables": lambda s, d: ex.candidate_tables(two_tables(s, d)),
-    "d2_select_primary_table": lambda s, d: flat(ex.select_primary_table(two_tables(s, d)), "report_id", "pdf_page", "table_idx", "row_idx"),
-    "d2_select_first_table": lambda s, d: flat(ex.select_primary_table(two_tables(s, d), "first_table"), "report_id", "pdf_page", "table_idx", "row_idx"),
-    "d2_select_table_by_index": lambda s, d: flat(ex.select_primary_table(two_tables(s, d), "by_index", 1), "report_id", "pdf_page", "table_idx", "row_idx"),
+    "d2_select_primary_table": lambda s, d: flat(ex.select_primary_table(written(two_tables(s, d), "tables")), "report_id", "pdf_page", "table_idx", "row_idx"),
+    "d2_select_first_table": lambda s, d: flat(ex.select_primary_table(written(two_tables(s, d), "tables"), "first_table"), "report_id", "pdf_page", "table_idx", "row_idx"),
+    "d2_select_table_by_index": lambda s, d: flat(ex.select_primary_table(written(two_tables(s, d), "tables"), "by_index", 1), "report_id", "pdf_page", "table_idx", "row_idx"),
     "d3_extract_in_range": lambda s, d: flat(ex.extract_in_range(grid_rows(s, d), grid_rows(s, d), ranges_of(s, d)), "report_id", "pdf_page", "row_idx", "warning"),
     "d4_range_id": lambda s, d: ex.range_id(ranges_of(s, d)),
     "d5_detect_header_height": lambda s, d: ex.detect_header_height(grid_rows(s, d)),

@@ -2,6 +2,7 @@
 
 from gridloom import fixtures
 from gridloom.operators import builders as bd
+from gridloom.operators import extraction as ex
 from gridloom.operators import quality as ql
 from gridloom.plans import layouts, records
 
@@ -24,6 +25,13 @@ def test_large_grids_and_facts_are_dealt_by_their_rows(spark, monkeypatch):
     assert [sorted(map(str, t.collect())) for t in (body, facts)] == small
 
 
+def test_no_task_sorts_the_tables_of_pages(spark):
+    df = spark.createDataFrame([(None, 1, t, i, ["a"] * w) for t, n, w in ((0, 2, 3), (1, 3, 1)) for i in range(n)], "report_id string, pdf_page int, table_idx int, row_idx int, cells array<string>")
+    found = ex.select_primary_table(df)
+    assert "Window" not in plan(found) and "SortMergeJoin" not in plan(found) and "ShuffledHashJoin" in plan(found)
+    assert sorted((r.table_idx, r.row_idx) for r in found.collect()) == [(0, 0), (0, 1)]
+
+
 def test_only_the_first_rows_are_read_for_headers(spark):
     rows = layouts.two_headers(spark, SF, 5)
     assert max(r.row_no for r in rows.collect()) == 5
