@@ -69,10 +69,11 @@ def g6(spark, sf):
 PATTERNS = [r"(?i)\bdiscom\b"]
 
 
-def recognized(triples, spark, sf):
-    """All six matchers on (value, header, state), with the segments as states and customers as utilities."""
+def recognized(triples, spark, sf, listed=None):
+    """All six matchers on (value, header, state), with the segments as states and all customers, or those that are ``listed``, as utilities."""
     c = table(spark, sf, "customer")
-    utilities = c.where("c_custkey % 3 = 0 OR c_custkey < 60").select(F.col("c_name").alias("canonical"), F.col("c_custkey").alias("priority"), F.col("c_mktsegment").alias("state"))
+    c = c if listed is None else c.where(listed)
+    utilities = c.select(F.col("c_name").alias("canonical"), F.col("c_custkey").alias("priority"), F.col("c_mktsegment").alias("state"))
     return en.recognize_in_context(triples, states(spark, sf), utilities, PATTERNS, VOLTAGES, UNITS, CATEGORIES)
 
 
@@ -159,13 +160,16 @@ def paths(spark, sf):
 
 
 def h5(spark, sf):
-    """The grid, its columns and what its values mean are written once each and joined."""
+    """The grid, its columns and what its values mean are written once each and joined.
+
+    The customers beyond the first whose key three does not divide are in no catalog, so some utilities are known by their header alone.
+    """
     rows = written(two_headers(spark, sf), "grid")
     depths = hd.header_depth(rows)
     columns = written(hd.describe_columns(hd.header_paths(hd.fill_header_spans(rows, depths))), "columns")
     named = lambda values: en.match_state(written(values, "state-cells"), *states(spark, sf))
     cells = written(hd.cells_in_context(rows, columns, depths, named), "cells")
-    found = written(recognized(written(hd.triples_of(cells), "triples"), spark, sf), "entities")
+    found = written(recognized(written(hd.triples_of(cells), "triples"), spark, sf, listed="c_custkey % 3 = 0 OR c_custkey < 60"), "entities")
     return hd.annotate_cells(cells, found)
 
 

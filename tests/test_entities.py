@@ -130,3 +130,20 @@ def test_short_keys_and_names_of_the_active_state_join_on_pieces(spark):
     assert got == {("tor", "GJ"): ("Torus", near), ("or", "GJ"): ("Torus", near), ("or", "DL"): ("Orbit", near), ("xtpx", "GJ"): ("TP", near), ("xtpx", "DL"): (None, None), ("q", "GJ"): (None, None), ("or", None): (None, None)}
     # keys and names of a state are not paired one by one
     assert "Contains(key" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_values_are_recognized_among_all_customers(spark, monkeypatch):
+    from gridloom.fixtures import table
+    from gridloom.plans import layouts
+
+    seen = []
+    real = en.recognize_in_context
+    monkeypatch.setattr(layouts.en, "recognize_in_context", lambda triples, states, utilities, *rest: seen.append(utilities) or real(triples, states, utilities, *rest))
+    sf = "/root/testdata/sf0.001"
+    layouts.g7(spark, sf)
+    customers = table(spark, sf, "customer")
+    assert sorted(r.canonical for r in seen[0].collect()) == sorted(r.c_name for r in customers.collect())
+    # one that was in no catalog: beyond the first, with a key that three does not divide
+    value = spark.createDataFrame([("Customer#000000100 Ltd", "Charge", "BUILDING")], "value string, header string, state string")
+    got = layouts.recognized(value, spark, sf).first()
+    assert (got.entity_type, got.canonical, got.method) == ("utility", "Customer#000000100", "substring")
