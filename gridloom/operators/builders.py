@@ -15,6 +15,10 @@ from gridloom.operators.normalize import ordered
 from gridloom.operators.running import running
 
 KEY = "report_id"
+#: Rows of a block that one nested row spans.
+NESTED_ROWS = 2_000
+#: Rows that a task sorts while it nests blocks, about.
+TASK_ROWS = 500_000
 
 
 def cell(i: int) -> Column:
@@ -335,7 +339,7 @@ def block_records_nested(rows: DataFrame, labels: DataFrame, first: int = 4) ->
     return joined.select(KEY, "block_no", "row_no", "utility", F.map_from_arrays(F.slice("names", first + 1, size), F.slice("cells", first + 1, size)).alias("values"))
 
 
-def nested_blocks(rows: DataFrame, layouts: DataFrame) -> DataFrame:
+def nested_blocks(rows: DataFrame, layouts: DataFrame, most: int = NESTED_ROWS, count: int | None = None) -> DataFrame:
     """I19, whole: every block as one row, nested by its layout (``layouts``: block, layout).
 
     Blank cells go first.  A ``matrix`` has sections: a row of one cell names one, a row that
@@ -345,21 +349,23 @@ def nested_blocks(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     with ``category``.  An entry maps columns to cells as far as both go; of equal columns
     the last counts.  ``columns`` of a section are those known where it begins.
 
-    A block is a part of one report's table, so its rows are few.
+    A block that spans more than ``most`` rows goes on in rows of the next ``part``, so no row
+    grows with the table.  Each has the columns and utility of its block; a section that goes on
+    is named again, and its ``columns`` stand where it begins.  With ``count``, the number of all
+    rows, parts are dealt to as many tasks as those need.
     """
     block = [KEY, "block_no"]
-    w = Window.partitionBy(*block).orderBy("row_no")
     c = rows.join(layouts.select(*block, "layout"), block).withColumn("c", F.filter(F.transform("cells", lambda x: tx.strip(F.coalesce(x, F.lit("")))), lambda x: x != ""))
-    c = c.where(F.size("c") > 0).withColumn("_k", F.row_number().over(w))
+    c = c.where(F.size("c") > 0)
     first, rest = F.get("c", F.lit(0)), F.slice("c", 2, F.greatest(F.size("c"), F.lit(1)))
     named, matrix, simple = F.lower(first) == "category", F.col("layout") == "matrix", F.col("layout") == "simple_matrix"
-    head = F.when(matrix, named & (F.size("c") > 1)).when(simple, F.col("_k") == 1).otherwise(named & (F.size("c") > 1))
-    starts = matrix & (F.size("c") == 1) & ~head
-    c = c.withColumns({
-        "_head": head, "_starts": starts,
-        "_columns": F.last(F.when(head, rest), ignorenulls=True).over(w),
-        "_section": F.sum(starts.cast("int")).over(w),
-    })
+    wide = named & (F.size("c") > 1)
+    ends = c.groupBy(*block).agg(F.min("row_no").alias("_first"), F.count("*").alias("_n"), F.max_by(F.get("c", F.lit(1)), F.when(wide, F.col("row_no"))).alias("_utility"))
+    c = c.join(ends, block).withColumns({"_head": F.when(simple, F.col("row_no") == F.col("_first")).otherwise(wide), "part": F.floor((F.col("row_no") - F.col("_first")) / most).cast("int")})
+    c = c.withColumn("_starts", matrix & (F.size("c") == 1) & ~F.col("_head"))
+    if count is not None:
+        c = c.repartition(max(-(-count // TASK_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *block, "part")
+    c = running(c, last={"_columns": F.when(F.col("_head"), rest), "_name": F.when(F.col("_starts"), first)}, sums={"_section": F.col("_starts").cast("int")}, key=block, run="part")
     n = F.least(F.size("_columns"), F.size("c") - 1)
     pairs = F.arrays_zip(F.slice("_columns", 1, n).alias("k"), F.slice(rest, 1, n).alias("v"))
     later = lambda e, i: F.exists(F.slice("_pairs", i + 2, F.greatest(F.size("_pairs"), F.lit(1))), lambda f: f["k"] == e["k"])
@@ -370,38 +376,40 @@ def nested_blocks(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     ordered_list = lambda x: F.sort_array(F.collect_list(x))
     # maps cannot be ordered, so entries are put in order by their row
     entries = F.array_sort(F.collect_list("_entry"), lambda a, b: F.signum(a["row_no"] - b["row_no"]).cast("int"))
-    parts = c.groupBy(*block, "layout", "_section").agg(
-        F.max(F.when(F.col("_starts"), first)).alias("name"),
+    # the parts of a block lie as they were carried, so they are not shuffled again
+    part = [*block, "part", "layout"]
+    parts = c.groupBy(*part, "_section").agg(
+        F.max("_name").alias("name"),
         F.max_by("_columns", F.when(F.col("_starts"), F.col("row_no"))).alias("section_columns"),
         F.max_by("_columns", "row_no").alias("columns"),
         entries.alias("rows"),
         ordered_list(F.when(~F.col("_head") & (F.size("c") >= 2), F.struct("row_no", first.alias("metric"), F.get("c", F.lit(1)).alias("value")))).alias("metrics"),
-        F.max_by(F.get("c", F.lit(1)), F.when(F.col("_head"), F.col("row_no"))).alias("utility"),
-        F.max("_k").alias("n"),
-    )
+        F.max("_utility").alias("utility"), F.max("_n").alias("n"),
+    )
     section = F.when((F.col("_section") > 0) & (F.col("layout") == "matrix"), F.struct("_section", "name", F.col("section_columns").alias("columns"), "rows"))
-    out = parts.groupBy(*block, "layout").agg(
+    out = parts.groupBy(*part).agg(
         F.array_sort(F.collect_list(section), lambda a, b: F.signum(a["_section"] - b["_section"]).cast("int")).alias("sections"),
         F.max_by("columns", "_section").alias("columns"), F.max_by("rows", "_section").alias("rows"), F.max_by("metrics", "_section").alias("metrics"),
         F.max_by("utility", "_section").alias("utility"), F.max("n").alias("n"),
     )
     whole, pair = (F.col("layout") == "simple_matrix") & (F.col("n") > 1), F.col("layout") == "key_value"
     return out.select(
-        *block, F.col("layout").alias("parser_type"), "sections",
+        *block, "part", F.col("layout").alias("parser_type"), "sections",
         F.when(whole, F.col("columns")).alias("columns"), F.when(whole, F.col("rows")).alias("rows"),
         F.when(pair, F.col("metrics")).alias("metrics"), F.when(pair, F.col("utility")).alias("utility"),
     )
 
 
 def flat_blocks(nested: DataFrame) -> DataFrame:
-    """The cells of nested blocks again: section, category or metric, column and value."""
+    """The cells of nested blocks again: section, category or metric, column and value; blocks are read once."""
     block = [KEY, "block_no", "parser_type"]
-    none = F.lit(None).cast("string")
-    s = nested.select(*block, F.explode("sections").alias("s")).select(*block, F.col("s.name").alias("section"), F.explode("s.rows").alias("r"))
-    r = nested.select(*block, none.alias("section"), F.explode("rows").alias("r"))
-    both = s.unionByName(r).select(*block, "section", "r.row_no", F.col("r.category").alias("category"), F.explode("r.values").alias("label", "value"))
-    m = nested.select(*block, F.col("utility").alias("label"), F.explode("metrics").alias("m"))
-    return both.unionByName(m.select(*block, none.alias("section"), "m.row_no", F.col("m.metric").alias("category"), "label", F.col("m.value").alias("value")))
+    line = lambda section, r, category, cells: F.struct(section.cast("string").alias("section"), r["row_no"].alias("row_no"), category.alias("category"), cells.alias("cells"))
+    pairs = lambda values: F.transform(F.map_entries(values), lambda e: F.struct(e["key"].alias("label"), e["value"].alias("value")))
+    entries = lambda rows, section: F.transform(rows, lambda r: line(section, r, r["category"], pairs(r["values"])))
+    metric = lambda m: line(F.lit(None), m, m["metric"], F.array(F.struct(F.col("utility").alias("label"), m["value"].alias("value"))))
+    found = [F.flatten(F.transform("sections", lambda s: entries(s["rows"], s["name"]))), entries(F.col("rows"), F.lit(None)), F.transform("metrics", metric)]
+    lines = nested.select(*block, F.explode(F.flatten(F.array_compact(F.array(*found)))).alias("l"))
+    return lines.select(*block, "l.section", "l.row_no", "l.category", F.inline("l.cells"))
 
 
 def parse_summary(records: DataFrame, rows: DataFrame) -> DataFrame:

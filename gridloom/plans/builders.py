@@ -138,10 +138,11 @@ def nested_grid(spark, sf):
 
 
 def i19_nested_blocks(spark, sf):
-    rows = nested_grid(spark, sf)
+    """The grid is written once; blocks are nested in parts, and cells taken from these."""
+    rows = written(nested_grid(spark, sf).select("report_id", "block_no", "row_no", "cells"), "grid")
     k = F.col("block_no") % 3
-    layouts = blocks(spark, sf).select("report_id", "block_no").distinct().withColumn("layout", F.when(k == 1, "matrix").when(k == 2, "simple_matrix").otherwise("key_value"))
-    return bd.flat_blocks(bd.nested_blocks(rows, layouts))
+    layouts = rows.select("report_id", "block_no").distinct().withColumn("layout", F.when(k == 1, "matrix").when(k == 2, "simple_matrix").otherwise("key_value"))
+    return bd.flat_blocks(bd.nested_blocks(rows, written(layouts, "layouts"), count=rows.count()))
 
 
 def i23_group_members(spark, sf):

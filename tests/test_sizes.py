@@ -69,3 +69,25 @@ def test_contracts_read_every_table_once(spark, tmp_path):
     assert plan(out).count("FileScan") == 5
     rules = {("r", x) for x in ("pages_contiguous", "equal_widths", "rows_numbered", "range_ordered", "range_length")} | {("x", "id_pattern"), ("x", "confidence_range"), ("a", "catalog_sorted")}
     assert sorted(map(tuple, out.collect())) == sorted(rules)
+
+
+def test_no_nested_row_grows_with_its_block(spark):
+    n = bd.NESTED_ROWS
+    line = lambda i: ["Category", "LT", "HT"] if i == 1 else ["S1"] if i == 2 else [f"r{i}", str(i), "x"]
+    pair = lambda i: ["category", f"U{i}"] if i in (1, n + 9) else [f"m{i}", str(i)]
+    simple = lambda i: ["Kind", "A", "B"] if i == 1 else [f"r{i}", str(i), "y"]
+    rows = [(1, b, b * 10 * n + i, of(i)) for b, of in ((1, line), (2, simple), (3, pair)) for i in range(1, 2 * n + 11)]
+    df = spark.createDataFrame(rows, "report_id int, block_no int, row_no int, cells array<string>").repartition(4)
+    layouts = spark.createDataFrame([(1, 1, "matrix"), (1, 2, "simple_matrix"), (1, 3, "key_value")], "report_id int, block_no int, layout string")
+    nested = bd.nested_blocks(df, layouts).cache()
+    got = {(r.block_no, r.part): r for r in nested.collect()}
+    assert sorted(got) == [(b, p) for b in (1, 2, 3) for p in (0, 1, 2)]
+    held = lambda r: sum(len(s.rows) for s in r.sections) + len(r.rows or ()) + len(r.metrics or ())
+    assert max(map(held, got.values())) <= n
+    assert [[(s.name, s.columns) for s in got[1, p].sections] for p in (0, 1, 2)] == [[("S1", ["LT", "HT"])], [("S1", None)], [("S1", None)]]
+    assert {got[3, p].utility for p in (0, 1, 2)} == {f"U{n + 9}"} and {tuple(got[2, p].columns) for p in (0, 1, 2)} == {("A", "B")}
+    want = [("matrix", "S1", 10 * n + i, f"r{i}", c, v) for i in range(3, 2 * n + 11) for c, v in (("LT", str(i)), ("HT", "x"))]
+    want += [("simple_matrix", None, 20 * n + i, f"r{i}", c, v) for i in range(2, 2 * n + 11) for c, v in (("A", str(i)), ("B", "y"))]
+    want += [("key_value", None, 30 * n + i, f"m{i}", f"U{n + 9}", str(i)) for i in range(2, 2 * n + 11) if i != n + 9]
+    flat = bd.flat_blocks(nested).select("parser_type", "section", "row_no", "category", "label", "value")
+    assert sorted(map(str, map(tuple, flat.collect()))) == sorted(map(str, want))
