@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.storage import materialize
+from gridloom.llm.storage import materialize, scratch
 from gridloom.llm.words import mix
 
 #: What parts pieces (2) and words (1).
@@ -36,6 +36,8 @@ _CHUNK, _RUN = 512 << 10, 3 << 20
 _MASS, _SLACK = 2_000_000, 4
 #: Bytes of an n-gram's mark in its partition.
 _MARK = 5
+#: Bits of the filter for each key, at most (128 MB; beyond that it lets more through, which are counted in vain), and in a row of ``bitmap_construct_agg``.
+_FILTER_BITS, _MOST_SLOTS, _ROW_BITS = 16, 1 << 30, 1 << 15
 
 _SUMMARIES = T.StructType(
     [
@@ -254,14 +256,42 @@ def _told_apart(key: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order[begin], times
 
 
-def _counted(docs: DataFrame, longest: int, key_bits: int, known) -> DataFrame:
-    """Exact counts of the n-grams of each run of texts, with their words; size 0 has the number of words.
+class Known:
+    """The sorted keys to count."""
 
-    ``known``: a broadcast array of the sorted keys to count, or None for all.
-    """
+    def __init__(self, keys: DataFrame):
+        found = np.sort(keys.toArrow().column("key").to_numpy()).astype(np.int64)
+        self.held = keys.sparkSession.sparkContext.broadcast(found.tobytes())
+
+    def places(self, key: np.ndarray) -> np.ndarray:
+        keys = np.frombuffer(self.held.value, dtype=np.int64)
+        if not keys.size:
+            return np.empty(0, dtype=np.int64)
+        return np.flatnonzero(keys[np.minimum(np.searchsorted(keys, key), keys.size - 1)] == key)
+
+
+class Filter:
+    """A bitmap over the last bits of the keys, which are those of a hash: it drops no key, but lets some others through."""
+
+    def __init__(self, keys: DataFrame, count: int):
+        self.slots = min(_MOST_SLOTS, max(_ROW_BITS, 1 << (count * _FILTER_BITS - 1).bit_length()))
+        # numbers from 1 on have buckets from 1 on
+        place = F.col("key").bitwiseAND(F.lit(self.slots - 1)) + 1
+        parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        filled = np.zeros((self.slots // _ROW_BITS, _ROW_BITS // 8), dtype=np.uint8)
+        for row in parts.toLocalIterator():
+            filled[row.part - 1] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+        self.held = keys.sparkSession.sparkContext.broadcast(filled.tobytes())
+
+    def places(self, key: np.ndarray) -> np.ndarray:
+        place = key & (self.slots - 1)
+        return np.flatnonzero(np.frombuffer(self.held.value, dtype=np.uint8)[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+
+
+def _counted(docs: DataFrame, longest: int, key_bits: int, known: Known | Filter) -> DataFrame:
+    """Exact counts of the n-grams of each run of texts that are ``known``, with their words; size 0 has the number of words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = None if known is None else np.frombuffer(known.value, dtype=np.int64)
         for run, langs in _runs(batches, second=True):
             words = np.bincount(run.doc, minlength=len(langs))
             totals = pa.table([langs, pa.array(words, pa.int64())], names=["lang", "times"]).group_by("lang").aggregate([("times", "sum")])
@@ -270,10 +300,8 @@ def _counted(docs: DataFrame, longest: int, key_bits: int, known) -> DataFrame:
             yield _batch(pa.nulls(n, pa.int64()), names, 0, pa.array([""] * n), totals.column("times_sum").combine_chunks())
             for (size, at, found), (_, _, other) in zip(run.grams(longest), run.grams(longest, 1)):
                 key = (found >> np.uint64(64 - key_bits)).astype(np.int64)
-                if keys is not None:
-                    place = np.minimum(np.searchsorted(keys, key), keys.size - 1) if keys.size else key
-                    hit = np.flatnonzero(keys[place] == key) if keys.size else np.empty(0, dtype=np.int64)
-                    at, key, other = at[hit], key[hit], other[hit]
+                hit = known.places(key)
+                at, key, other = at[hit], key[hit], other[hit]
                 first, times = _told_apart(key, other)
                 if first.size:
                     places = at[first]
@@ -297,22 +325,20 @@ def frequent_ngrams(docs: DataFrame, longest: int = 3, least: int = 10, most_key
     """lang, size, phrase and times of every n-gram of up to ``longest`` words with ``least`` occurrences or more in its language.
 
     Size 0 has the number of words of each language.  Up to ``most_keys`` keys of
-    eight bytes are sent to the tasks; more are joined by key.
+    eight bytes are sent to the tasks; of more, a bitmap of some bits a key: what it lets
+    through besides is counted as exactly, and dropped by its count.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # a word and what parts it from the next take six bytes or so
     bits = max(1, int(size / 6 * longest / _MASS).bit_length())
     mark_bits = min(8 * _MARK, 62 - bits)
-    summaries = materialize(_summaries(texts, longest, bits, mark_bits), "phrases-summaries")
-    keys = materialize(_survivors(summaries, least, mark_bits), "phrases-keys")
-    if keys.count() <= most_keys:
-        known = np.sort(keys.toArrow().column("key").to_numpy()).astype(np.int64)
-        counted = _counted(texts, longest, bits + mark_bits, spark.sparkContext.broadcast(known.tobytes()))
-    else:
-        counted = _counted(texts, longest, bits + mark_bits, None)
-        counted = counted.where("key IS NULL").unionByName(counted.where("key IS NOT NULL").join(keys.hint("merge"), "key", "left_semi").select(_COUNTS.names))
+    # summaries go straight to their partitions, and their shuffle is gone before n-grams are counted
+    with scratch(docs.sparkSession, "phrases") as keep:
+        keys = keep(_survivors(_summaries(texts, longest, bits, mark_bits), least, mark_bits), "keys")
+        count = keys.count()
+        known = Known(keys) if count <= most_keys else Filter(keys, count)
+    counted = _counted(texts, longest, bits + mark_bits, known)
     added = counted.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("times"))
     return materialize(added.where((F.col("size") == 0) | (F.col("times") >= least)), "phrases-counts")
 

@@ -121,3 +121,29 @@ def test_query_equals_its_sql(spark, sf):
     assert got.columns == names == COLUMNS
     found = want.fetchall()
     assert len(found) > 100 and sorted(map(tuple, got.collect())) == sorted(found)
+
+
+def test_more_keys_than_are_sent_are_filtered_before_the_shuffle(spark, monkeypatch):
+    rows = made() + [(1000 + i, " ".join(f"w{i}x{k}" for k in range(200)), "en", "z", 1) for i in range(60)]
+    seen = []
+    real = co._counted
+    monkeypatch.setattr(co, "_counted", lambda *a: seen.append(real(*a)) or seen[-1])
+    assert mined(spark, rows, most_keys=3) == mined(spark, rows) == brute(rows)
+    few, sent = (f.where("size > 0").count() for f in seen)
+    # 36,000 n-grams of these rows stand once, so few of them may be counted by their words
+    assert few < 1.2 * sent + 4000
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_counts_are_left_behind(spark):
+    import os
+
+    from gridloom.llm.storage import shared_folder
+
+    def names():
+        folder = shared_folder(spark).replace("file:", "", 1)
+        return {f"{top}/{f}" for top in os.listdir(folder) for f in os.listdir(f"{folder}/{top}")}
+
+    before = names()
+    co.frequent_ngrams(spark.createDataFrame(made(), SCHEMA))
+    assert {n.split("/")[0].rsplit("-", 1)[0] for n in names() - before} == {"gridloom-phrases-counts"}
