@@ -1,31 +1,27 @@
-"""Jaccard self-join of documents over word shingles by parity sketches.
+"""Jaccard self-join of documents over word shingles by rare shingles and parity sketches.
 
-The shingles of a document are dealt to blocks by a hash; a block is a bit field
+Two sets of similarity t share at least t * n elements, n the size of the larger one.  So
+of each set, all but t * n of its elements, and one more, hold a common one, whatever
+order all sets are put in.  Shingles are counted in slots of a hash table first, and a
+set's keys are its rarest: passages of many documents are keys of a set only if it has
+little else, so few keys are shared but by copies.
+
+Sizes are banded so that both sides of a pair can be compared in one band, and an equi-join on
+(band, shingle) finds every pair that can reach the similarity.
+
+The shingles of a document are also dealt to blocks by a hash; a block is a bit field
 in which every shingle flips one bit.  Shingles that two documents share cancel,
 so the number of blocks (as of bits) in which their sketches differ is at most the
-size of the symmetric difference of their sets.  Sets of sizes a and b with
-similarity t differ in at most (a + b)(1 - t)/(1 + t) elements; with one block more
-than that, two such documents agree in a whole block.  Sizes are banded so that
-both sides of a pair use the same number of blocks, and an equi-join on
-(band, block, bits) finds every pair that can reach the similarity.
+size of the symmetric difference of their sets.  Pairs whose sketches differ in more
+than their sizes allow are dropped before any set is read.
 
-Groups of documents that agree in a block may be large, so their pairs are never
+Groups of documents that share a key may be large, so their pairs are never
 written out.  Equal sets are one class from the start.  A few blocks of every set link
-most near copies first: each class is checked against the smallest it meets.  Then all
-blocks are joined, a part of the key space at a time, and only keys whose classes are
-not yet in one component are kept.  Keys of a few classes give pairs.
-
-Bands have spare blocks, so two sets that link agree in some blocks more than the bound
-asks for.  A set leaves its weakest blocks out, those with the fewest bits, as long as
-every partner must agree with it in a stronger one; so most chance matches, of a block
-that is empty or holds one common shingle, are no keys.  A pair that shares fewer keys
-than its sizes ask for is dropped unseen.
-
-Keys of many classes, which a passage of many documents makes, are left out where that
-cannot lose a pair: a set with no more hot keys than it has blocks to spare shares
-another key with each of its partners.  What is left, sets that consist
-of such passages, is compared sketch by sketch in blocks of bounded size, and only close
-pairs leave the task.
+most near copies first: each class is checked against the smallest it meets.  Then the
+rare shingles are joined, a part of the key space at a time, and only keys whose classes are
+not yet in one component are kept.  Keys of a few classes give pairs.  Keys of many classes,
+of sets that consist of passages of many documents, are compared sketch by sketch
+in blocks of bounded size, and only close pairs leave the task.
 """
 
 from __future__ import annotations
@@ -37,6 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +62,8 @@ _SHORT = [f"f{k}" for k in range(_FOLD)]
 _ROWS_AT_ONCE = 1000
 #: Most rows of one side of such a block.
 _BLOCK = 2048
+#: Bytes of text for each slot in which shingles are counted, slots at least and at most, and slots in a row.
+_SLOT_BYTES, _FEWEST_SLOTS, _MOST_COUNTED, _SLOT_ROW = 64, 1 << 16, 1 << 23, 1 << 13
 
 
 def size_bands(similarity: Fraction, most: int = 1 << 32) -> tuple[np.ndarray, np.ndarray]:
@@ -179,11 +178,50 @@ def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, _ROWS_AT_ONCE)
 
 
-MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, level int, dropped int, spare int, next_level int, next_dropped int, next_spare int"
+def _slots(shingles: np.ndarray, slots: int) -> np.ndarray:
+    return (shingles >> np.uint64(16) & np.uint64(slots - 1)).astype(np.int64)
+
+
+def _counts(docs: DataFrame, width: int) -> Broadcast:
+    """How many sets have a shingle of each slot, up to 65,535; the table does not grow beyond ``_MOST_COUNTED`` slots."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = min(_MOST_COUNTED, max(_FEWEST_SLOTS, 1 << (size // _SLOT_BYTES).bit_length()))
+    schema = "part int, counts binary"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(slots, dtype=np.uint32)
+        for batch in batches:
+            for t in batch.column("text"):
+                np.add.at(held, _slots(shingle_hashes(t.as_py(), width), slots), 1)
+        rows = np.minimum(held, 255).astype(np.uint8).reshape(-1, _SLOT_ROW)
+        some = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([rows[k].tobytes() for k in some], pa.binary())], ["part", "counts"])
+        pa.default_memory_pool().release_unused()
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(_SLOT_ROW, dtype=np.uint32)
+        for c in table.column("counts"):
+            total += np.frombuffer(c.as_py(), dtype=np.uint8)
+        return pa.table([table.column("part")[:1], pa.array([np.minimum(total, 65535).astype(np.uint16).tobytes()], pa.binary())], names=["part", "counts"])
+
+    counts = np.zeros((slots // _SLOT_ROW, _SLOT_ROW), dtype=np.uint16)
+    for row in docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect():
+        counts[row.part] = np.frombuffer(bytes(row.counts), dtype=np.uint16)
+    return docs.sparkSession.sparkContext.broadcast(counts.ravel())
+
 
+def rarest(shingles: np.ndarray, counts: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """The rarest elements of a set, 32 bits of each: as many as it may lack of a set that links with it, and one more."""
+    take = shingles.size - -(-shingles.size * similarity.numerator // similarity.denominator) + 1
+    order = np.lexsort((shingles, counts[_slots(shingles, counts.size)]))
+    return shingles[order[:take]].astype(np.uint32).view(np.int32)
 
-def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """doc_id, a number of the row, n_shingles, two names of the set, band, and the sketches in that band and the next."""
+
+MADE = "doc_id long, uid long, n_shingles long, set_id long, check long, band int, bits array<long>, next_bits array<long>, f0 long, f1 long, f2 long, f3 long, level int, next_level int, rare array<int>"
+
+
+def _sketches(docs: DataFrame, width: int, similarity: Fraction, counts: Broadcast) -> DataFrame:
+    """doc_id, a number of the row, n_shingles, two names of the set, band, the sketches in that band and the next, and the rarest shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = size_bands(similarity)
@@ -200,7 +238,8 @@ def _sketches(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 pa.array([m[0] for m in made], pa.int32()),
                 *(_lists([m[1][k] for m in made]) for k in range(2)),
                 *(pa.array(c) for c in np.array([fold(s) for s in sets], dtype=np.uint64).reshape(-1, _FOLD).T.copy().view(np.int64)),
-                *(pa.array([m[2][k][i] for m in made], pa.int32()) for k in range(2) for i in range(3)),
+                *(pa.array([m[2][k][0] for m in made], pa.int32()) for k in range(2)),
+                pa.array([rarest(s, counts.value, similarity) for s in sets], pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in MADE.split(", ")])
         # the worker lives on for other tasks
@@ -260,18 +299,30 @@ def _thinned(rows: DataFrame, column: str, wanted: IdFilter) -> DataFrame:
     return rows.select(*names, *wanted.columns(column)).mapInArrow(thin, rows.schema)
 
 
-def _block_keys(sketches: DataFrame, wanted=None, first: int | None = None) -> DataFrame:
-    """(set_id, key, later) of the blocks of sets in their own band and, ``later``, the next, without those that are left out."""
+def _exploded(sketches: DataFrame, own: Column, later: Column) -> DataFrame:
+    """(set_id, key, later) of the keys of sets in their own band and, ``later``, the next."""
+    mark = lambda keys, k: F.transform(keys, lambda h: F.struct(h.alias("key"), F.lit(k).alias("later")))
+    return sketches.select("set_id", F.explode(F.concat(mark(own, False), mark(later, True))).alias("k")).select("set_id", "k.key", "k.later")
+
+
+def _block_keys(sketches: DataFrame, first: int) -> DataFrame:
+    """(set_id, key, later) of the ``first`` blocks of sets, without those that are left out."""
+
+    def of(bits: str, level: str, later: int) -> Column:
+        named = F.transform(F.slice(bits, 1, first), lambda x, i: F.when(F.bit_count(x) > F.col(level), F.xxhash64(F.col("band") + later, i, x)))
+        return F.filter(named, lambda h: h.isNotNull())
+
+    return _exploded(sketches, of("bits", "level", 0), of("next_bits", "next_level", 1))
+
+
+def _rare_keys(sketches: DataFrame, wanted) -> DataFrame:
+    """(set_id, key, later) of the rarest shingles of sets, in every band in which the set has a sketch."""
 
-    def of(bits: str, level: str, later: bool) -> Column:
-        taken = F.slice(bits, 1, first) if first else F.col(bits)
-        band = F.col("band") + int(later)
-        named = F.transform(taken, lambda x, i: F.when(F.bit_count(x) > F.col(level), F.xxhash64(band, i, x)))
-        kept = F.filter(named, lambda h: h.isNotNull() if wanted is None else h.isNotNull() & wanted(h))
-        return F.transform(kept, lambda h: F.struct(h.alias("key"), F.lit(later).alias("later")))
+    def of(bits: str, later: int) -> Column:
+        rare = F.slice("rare", 1, F.when(F.size(bits) > 0, F.size("rare")).otherwise(0))
+        return F.filter(F.transform(rare, lambda x: F.xxhash64(F.col("band") + later, x)), lambda h: wanted(h))
 
-    rows = sketches.select("set_id", F.explode(F.concat(of("bits", "level", False), of("next_bits", "next_level", True))).alias("k"))
-    return rows.select("set_id", "k.key", "k.later")
+    return _exploded(sketches, of("bits", 0), of("next_bits", 1))
 
 
 def _shared_keys(rows: DataFrame, keep) -> DataFrame:
@@ -351,8 +402,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
 def _across(members: DataFrame, similarity: Fraction) -> DataFrame:
     """Pairs (u, v) of hot keys in different components, one of them outside the main component.
 
-    Those that share a cold key, or one of a large group, are found by that, so these
-    must share all their keys here, and more than the smaller of their spare ones.
+    Those that share a cold key, or one of a large group, are found by that; these
+    must share more keys here than the smaller of their spare ones.
     """
     short = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("n_shingles", *_SHORT)]
     rest = members.where("root <> main").select("key", F.col("set_id").alias("u"), F.col("root").alias("ru"), F.col("later").alias("lu"), F.col("spare").alias("su"), *short("u"))
@@ -462,7 +513,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, similarity: Fraction = F
     Other columns are left out.  An empty table gives an empty result.
     """
     with scratch(docs.sparkSession, "sketches") as keep:
-        sketches = keep(_sketches(docs, width, similarity), "sketches")
+        with scratch(docs.sparkSession, "counts"):
+            counts = _counts(docs, width)
+        sketches = keep(_sketches(docs, width, similarity, counts), "sketches")
         return materialize(_components(docs, sketches, width, similarity, keep), "components")
 
 
@@ -471,25 +524,25 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     spark = docs.sparkSession
     classes = sketches.where("n_shingles > 0").groupBy("set_id", "check").agg(
         F.min("doc_id").alias("first_id"), F.min("uid").alias("first_uid"),
-        *[F.max(c).alias(c) for c in ("n_shingles", "band", "level", "dropped", "spare", "next_level", "next_dropped", "next_spare", *_SHORT)],
+        *[F.max(c).alias(c) for c in ("n_shingles", "band", *_SHORT)],
     )
     classes = hold(classes.withColumn("name", F.col("set_id")), "classes")
     sketches, classes = _told_apart(sketches, classes)
 
     # a few blocks: every member against the smallest set of its key
     with scratch(spark, "first") as keep:
-        members = keep(_shared_keys(_block_keys(sketches, first=_FIRST_BLOCKS), keep), "members")
+        members = keep(_shared_keys(_block_keys(sketches, _FIRST_BLOCKS), keep), "members")
         first = members.where("low < set_id").select(F.col("low").alias("u"), F.col("set_id").alias("v")).distinct()
         near = keep(_close(first, sketches, classes, similarity, keep), "near")
         links = hold(_verified(near, docs, classes, width, similarity, keep), "links")
     nodes = components(links)
 
-    # all blocks: keys whose sets are not yet in one component
+    # rare shingles: keys whose sets are not yet in one component
     rounds = math.ceil(_ROUNDS * (1 - similarity) / (1 + similarity)) or 1
     parts = []
     for part in range(rounds):
         with scratch(spark, "round") as keep:
-            keys = _block_keys(sketches, lambda h, part=part: F.pmod(h, F.lit(rounds)) == part)
+            keys = _rare_keys(sketches, lambda h, part=part: F.pmod(h, F.lit(rounds)) == part)
             placed = keep(_rooted(_shared_keys(keys, keep).drop("low"), nodes), "placed")
             spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
             parts.append(hold(placed.join(spread.select("key", (F.col("n") > _HOT).alias("many")), "key"), "open"))
@@ -498,10 +551,8 @@ def _components(docs: DataFrame, sketches: DataFrame, width: int, similarity: Fr
     with scratch(spark, "pairs") as keep:
         hot = open_.where("many")
         counts = hot.groupBy("set_id", "later").agg(F.count("*").alias("hot"))
-        sets = [
-            classes.select("set_id", "n_shingles", *_SHORT, (F.col("band") + int(later)).alias("band"), *[F.col(f"{own}{c}").alias(c) for c in ("level", "dropped", "spare")], F.lit(later).alias("later"))
-            for own, later in (("", False), ("next_", True))
-        ]
+        # one rare shingle is all that a pair is sure to share, so no key can be spared
+        sets = [classes.select("set_id", "n_shingles", *_SHORT, (F.col("band") + int(later)).alias("band"), F.lit(0).alias("spare"), F.lit(later).alias("later")) for later in (False, True)]
         sets = sets[0].unionByName(sets[1]).join(counts, ["set_id", "later"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
         sets = keep(sets, "sets")
         pairs = _pairs_with_enough(open_.where("NOT many").drop("many"), sets, similarity, keep)

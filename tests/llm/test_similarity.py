@@ -280,3 +280,39 @@ def test_traversal_visits_the_cells_within_the_slack_in_order():
         seen = cells[rows == r]
         assert (np.diff(score[r, seen]) >= -1e-9).all()
         assert set(seen) == set(np.flatnonzero(score[r] <= score[r].min() + slack[r] + 1e-12))
+
+
+def test_a_passage_of_many_sets_is_no_key():
+    """Sets that link share one of their rarest shingles; those of a common passage are not among them."""
+    rng = np.random.default_rng(12)
+    similarity = Fraction(4, 5)
+    passage = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((passage, rng.integers(0, 2**63, int(n), dtype=np.uint64)))) for n in rng.integers(40, 200, 300)]
+    pairs = [(s, np.unique(np.concatenate((s[: int(s.size * rng.uniform(0.82, 1))], rng.integers(0, 2**63, int(rng.integers(0, 9)), dtype=np.uint64))))) for s in sets]
+    counts = np.zeros(1 << 16, dtype=np.uint16)
+    for s in [*sets, *[b for _, b in pairs]]:
+        np.add.at(counts, jaccard_join._slots(s, counts.size), 1)
+    linked = 0
+    for a, b in pairs:
+        both = np.intersect1d(a, b).size
+        x, y = (jaccard_join.rarest(s, counts, similarity) for s in (a, b))
+        if 5 * both >= 4 * (a.size + b.size - both):
+            linked += 1
+            assert np.intersect1d(x, y).size
+    common = set(passage.astype(np.uint32).view(np.int32).tolist())
+    assert linked > 100 and not any(common & set(jaccard_join.rarest(s, counts, similarity).tolist()) for s in sets)
+
+
+def test_keys_of_passages_are_not_joined(spark, monkeypatch):
+    """Documents with texts of their own around common passages share no key, so no row is kept for pairs."""
+    rng = random.Random(3)
+    passages = [" ".join("p%dx%d" % (k, i) for i in range(60)) for k in range(6)]
+    texts = [" ".join([*rng.sample(passages, 2), *("d%dx%d" % (n, i) for i in range(90))]) for n in range(120)]
+    seen = []
+    real = jaccard_join._pairs_with_enough
+    monkeypatch.setattr(jaccard_join, "_pairs_with_enough", lambda cold, *rest: seen.append(cold.count()) or real(cold, *rest))
+    monkeypatch.setattr(jaccard_join, "_HOT", 1 << 20)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard_join.jaccard_components(df, 5, Fraction(4, 5)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {n: n for n in range(120)}
+    assert seen == [0]
